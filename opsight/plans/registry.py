@@ -10,8 +10,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from opsight.operators import cleaning as C
+from opsight.operators.quality import etl_quality_score, quality_score
 from opsight.plans import fixtures as fx
 from opsight.plans import kpi
+from opsight.plans.cleaning_chain import CleaningChain
+from opsight.plans.etl import EtlJob, etl_clean
+from opsight.session import shared_path
+from opsight.sources.files import gate_files, read_source
+from opsight.sources.sinks import bulk_load, upsert
 from opsight.sources.tables import Tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +79,162 @@ def _q_anomaly(spark, folder):
     return kpi.volume_anomaly(fx.incidents(Tables(spark, folder), ["created_at"]))
 
 
+# ------------------------------------------------------------------ cleaning
+# Fixed parameters of the registered cleaning queries.
+MESSY_SCHEMA = {"id": "int", "amount": "float", "amount_txt": "float", "signup_txt": "datetime",
+                "segment": "str", "nation": "int", "missing_col": "str"}
+ETL_RUN_TS = dt.datetime(2024, 1, 1, 0, 0, 0)
+ETL_SOURCE_KEY = "landing/messy_dup.parquet"
+
+
+@register("clean_coerce_types")
+def _q_coerce(spark, folder):
+    out, _ = C.coerce_types(fx.messy(Tables(spark, folder)), MESSY_SCHEMA)
+    return out
+
+
+@register("clean_dedup_exact")
+def _q_dedup_exact(spark, folder):
+    return C.drop_exact_duplicates(fx.messy_dup(Tables(spark, folder)))
+
+
+@register("clean_dedup_keep_first")
+def _q_dedup_first(spark, folder):
+    return C.dedup_by_key(fx.messy(Tables(spark, folder)), ["id"], "first", ["batch"])
+
+
+@register("clean_dedup_keep_last")
+def _q_dedup_last(spark, folder):
+    return C.dedup_by_key(fx.messy(Tables(spark, folder)), ["id"], "last", ["batch"])
+
+
+@register("clean_dedup_drop_all")
+def _q_dedup_none(spark, folder):
+    return C.dedup_by_key(fx.messy(Tables(spark, folder)), ["id"], False)
+
+
+@register("clean_nulls_drop")
+def _q_nulls_drop(spark, folder):
+    return C.drop_null_rows(fx.messy(Tables(spark, folder)).drop("mostly_null"))
+
+
+@register("clean_nulls_custom")
+def _q_nulls_custom(spark, folder):
+    return C.fill_custom(fx.messy(Tables(spark, folder)),
+                         {"segment": "UNKNOWN", "amount": 0.0, "not_a_column": 1})
+
+
+@register("clean_nulls_smart")
+def _q_nulls_smart(spark, folder):
+    out, _, _ = C.fill_smart(fx.messy(Tables(spark, folder)), 0.5)
+    return out
+
+
+@register("clean_outliers_iqr_cap")
+def _q_out_cap(spark, folder):
+    out, _ = C.treat_outliers(fx.messy(Tables(spark, folder)), ["amount"], "iqr", "cap")
+    return out
+
+
+@register("clean_outliers_zscore_flag")
+def _q_out_flag(spark, folder):
+    out, _ = C.treat_outliers(fx.telecom(Tables(spark, folder)),
+                              ["monthly_charges", "total_charges"], "zscore", "flag")
+    return out
+
+
+@register("clean_outliers_iqr_remove")
+def _q_out_remove(spark, folder):
+    out, _ = C.treat_outliers(fx.telecom(Tables(spark, folder)),
+                              ["num_support_tickets", "total_charges"], "iqr", "remove")
+    return out
+
+
+@register("clean_standardize")
+def _q_standardize(spark, folder):
+    return C.standardize_strings(fx.messy(Tables(spark, folder)))
+
+
+@register("quality_score_lexical")
+def _q_quality(spark, folder):
+    return quality_score(fx.messy_dup(Tables(spark, folder)), lexical=True)
+
+
+@register("etl_clean_transform")
+def _q_etl_clean(spark, folder):
+    return etl_clean(fx.messy_dup(Tables(spark, folder)), ETL_SOURCE_KEY, ETL_RUN_TS)
+
+
+@register("etl_quality_score")
+def _q_etl_score(spark, folder):
+    return etl_quality_score(etl_clean(fx.messy_dup(Tables(spark, folder)), ETL_SOURCE_KEY, ETL_RUN_TS))
+
+
+def _messy_chain(spark, folder) -> CleaningChain:
+    return (CleaningChain(fx.messy(Tables(spark, folder)))
+            .validate_schema(MESSY_SCHEMA)
+            .remove_duplicates(["id"], "first", ["batch"])
+            .handle_nulls("smart")
+            .treat_outliers(["amount"], "iqr", "cap")
+            .standardize_formats())
+
+
+@register("clean_chain_result")
+def _q_chain(spark, folder):
+    df, _ = _messy_chain(spark, folder).build()
+    return df
+
+
+@register("clean_chain_audit")
+def _q_chain_audit(spark, folder):
+    _, audit, _ = _messy_chain(spark, folder).run()
+    return audit.drop("ts")
+
+
+# ------------------------------------------------------------------ sources / sinks
+@register("source_csv_roundtrip")
+def _q_csv(spark, folder):
+    t = Tables(spark, folder)
+    orders = t.orders
+    path = shared_path(spark, "landing", "orders_csv") + ".csv"
+    orders.write.mode("overwrite").option("header", True).csv(path)
+    return read_source(spark, path, orders.schema)
+
+
+@register("source_parquet_by_suffix")
+def _q_parquet(spark, folder):
+    return read_source(spark, Tables(spark, folder).path("orders"))
+
+
+@register("source_file_gate")
+def _q_gate(spark, folder):
+    return gate_files(spark, folder)
+
+
+@register("sink_bulk_load")
+def _q_bulk(spark, folder):
+    path = shared_path(spark, "tables", "part_loaded")
+    bulk_load(Tables(spark, folder).part, path, {"p_name": 12, "p_type": 8}, mode="overwrite")
+    return spark.read.parquet(path)
+
+
+@register("sink_upsert")
+def _q_upsert(spark, folder):
+    t = Tables(spark, folder)
+    return upsert(fx.upsert_target(t), fx.upsert_staging(t), ["c_custkey"])
+
+
+@register("etl_run")
+def _q_etl_run(spark, folder):
+    landing = shared_path(spark, "landing", "messy") + ".parquet"
+    fx.messy_dup(Tables(spark, folder)).write.mode("overwrite").parquet(landing)
+    root = shared_path(spark, "etl")
+    job = EtlJob(spark, landing, f"{root}/curated", f"{root}/reports", f"{root}/metrics",
+                 source_key=ETL_SOURCE_KEY, run_ts=ETL_RUN_TS)
+    _, report = job.run({"id": "int", "amount": "float", "segment": "str", "signup_txt": "datetime"})
+    return spark.read.parquet(report["output_path"])
+
+
 def load_all() -> dict[str, QueryFn]:
     """Import every module that registers queries and return the registry."""
     return dict(REGISTRY)

@@ -15,6 +15,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from opsight.operators import cleaning as C
+from opsight.operators import profile as P
+from opsight.operators import stattests as S
 from opsight.operators.quality import etl_quality_score, quality_score
 from opsight.plans import fixtures as fx
 from opsight.plans import kpi
@@ -235,6 +237,164 @@ def _q_etl_run(spark, folder):
     return spark.read.parquet(report["output_path"])
 
 
+# ------------------------------------------------------------------ profiling
+def round_doubles(df, digits: int = 6):
+    """Round every double column (stable value hashes across engines)."""
+    return df.select(*[F.round(f.name, digits).alias(f.name) if f.dataType.typeName() == "double"
+                       else F.col(f.name) for f in df.schema.fields])
+
+
+@register("eda_profile")
+def _q_profile(spark, folder):
+    return round_doubles(P.profile(Tables(spark, folder).lineitem))
+
+
+@register("eda_histogram")
+def _q_hist(spark, folder):
+    return round_doubles(P.histogram(Tables(spark, folder).lineitem))
+
+
+@register("churn_distributions")
+def _q_churn_hist(spark, folder):
+    return round_doubles(P.histogram(fx.telecom(Tables(spark, folder)),
+                                     ["tenure_months", "monthly_charges", "num_support_tickets"], by="churn"))
+
+
+@register("eda_outliers_iqr")
+def _q_out_iqr(spark, folder):
+    return P.outlier_summary(fx.corr_frame(Tables(spark, folder)), method="iqr")
+
+
+@register("eda_outliers_zscore")
+def _q_out_z(spark, folder):
+    return P.outlier_summary(fx.telecom(Tables(spark, folder)),
+                             ["tenure_months", "monthly_charges", "total_charges", "num_support_tickets"],
+                             method="zscore")
+
+
+@register("churn_segment_rates")
+def _q_segments(spark, folder):
+    return round_doubles(P.segment_rates(fx.telecom(Tables(spark, folder)), ["contract", "partner", "senior_citizen"]))
+
+
+@register("churn_headline")
+def _q_headline(spark, folder):
+    return round_doubles(P.headline(fx.telecom(Tables(spark, folder))))
+
+
+@register("eda_correlation_pearson")
+def _q_pearson(spark, folder):
+    return round_doubles(P.correlation_matrix(fx.corr_frame(Tables(spark, folder))))
+
+
+@register("eda_high_correlations")
+def _q_high(spark, folder):
+    return round_doubles(P.high_correlations(P.correlation_matrix(fx.corr_frame(Tables(spark, folder))), 0.7))
+
+
+@register("eda_correlation_spearman")
+def _q_spearman(spark, folder):
+    t = Tables(spark, folder)
+    return round_doubles(P.correlation_matrix(fx.telecom(t), ["tenure_months", "monthly_charges",
+                                                              "num_support_tickets"], "spearman"))
+
+
+@register("eda_contingency")
+def _q_contingency(spark, folder):
+    o = Tables(spark, folder).orders
+    return o.groupBy("o_orderpriority", "o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("stats_group_means")
+def _q_group_means(spark, folder):
+    return round_doubles(S.group_means(Tables(spark, folder).orders, "o_totalprice", "o_orderpriority"))
+
+
+# ------------------------------------------------------------------ tests
+_TT_COLS = ["n_a", "n_b", "group_a_mean", "group_b_mean", "std_a", "std_b", "t_pooled", "t_welch",
+            "df_welch", "cohens_d", "levene_w", "jb_a", "jb_b"]
+
+
+@register("stats_ttest_statistics")
+def _q_tt_stats(spark, folder):
+    s = S.ttest_statistics(fx.ab(Tables(spark, folder)), "value", "arm", 0, 1)
+    return round_doubles(s.select(*_TT_COLS))
+
+
+@register("stats_ttest")
+def _q_tt(spark, folder):
+    return S.ttest(fx.ab(Tables(spark, folder)), "value", "arm", 0, 1)
+
+
+@register("stats_churn_tenure_statistics")
+def _q_tenure_stats(spark, folder):
+    s = S.ttest_statistics(fx.telecom(Tables(spark, folder)), "tenure_months", "churn", 1, 0, equal_var=True)
+    return round_doubles(s.select(*_TT_COLS))
+
+
+@register("stats_churn_tenure_ttest")
+def _q_tenure(spark, folder):
+    return S.ttest(fx.telecom(Tables(spark, folder)), "tenure_months", "churn", 1, 0, equal_var=True)
+
+
+@register("stats_paired_statistics")
+def _q_paired_stats(spark, folder):
+    return round_doubles(S.paired_statistics(fx.paired(Tables(spark, folder)), "first_price", "last_price"))
+
+
+@register("stats_paired_ttest")
+def _q_paired(spark, folder):
+    return S.paired_ttest(fx.paired(Tables(spark, folder)), "first_price", "last_price")
+
+
+@register("stats_anova_statistics")
+def _q_anova_stats(spark, folder):
+    s = S.anova_statistics(Tables(spark, folder).orders, "o_totalprice", "o_orderpriority")
+    return round_doubles(s.select("f_statistic", "df_between", "df_within", "n_groups"))
+
+
+@register("stats_anova")
+def _q_anova(spark, folder):
+    return S.anova(Tables(spark, folder).orders, "o_totalprice", "o_orderpriority")
+
+
+@register("stats_chi_square_statistics")
+def _q_chi_stats(spark, folder):
+    return round_doubles(S.chi_square_statistics(Tables(spark, folder).orders, "o_orderpriority", "o_orderstatus"))
+
+
+@register("stats_chi_square_yates_statistics")
+def _q_chi_yates(spark, folder):
+    li = Tables(spark, folder).lineitem.select(
+        "l_linestatus", (F.col("l_returnflag") == "R").alias("returned"))
+    return round_doubles(S.chi_square_statistics(li, "l_linestatus", "returned"))
+
+
+@register("stats_chi_square")
+def _q_chi(spark, folder):
+    return S.chi_square(Tables(spark, folder).orders, "o_orderpriority", "o_orderstatus")
+
+
+@register("stats_ab_proportion_statistics")
+def _q_abp_stats(spark, folder):
+    return round_doubles(S.ab_proportion_statistics(fx.ab(Tables(spark, folder)), "success", "arm", 0, 1))
+
+
+@register("stats_ab_proportion")
+def _q_abp(spark, folder):
+    return S.ab_test_proportion(fx.ab(Tables(spark, folder)), "success", "arm", 0, 1)
+
+
+@register("stats_ab_continuous_statistics")
+def _q_abc_stats(spark, folder):
+    return round_doubles(S.ab_continuous_statistics(fx.ab(Tables(spark, folder)), "value", "arm", 0, 1))
+
+
+@register("stats_ab_continuous")
+def _q_abc(spark, folder):
+    return S.ab_test_continuous(fx.ab(Tables(spark, folder)), "value", "arm", 0, 1)
+
+
 def load_all() -> dict[str, QueryFn]:
     """Import every module that registers queries and return the registry."""
     return dict(REGISTRY)

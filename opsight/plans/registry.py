@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from opsight.operators import cleaning as C
 from opsight.operators import profile as P
+from opsight.operators import forecasting as FC
 from opsight.operators import stattests as S
+from opsight.operators import timeseries as TS
 from opsight.operators.quality import etl_quality_score, quality_score
 from opsight.plans import fixtures as fx
 from opsight.plans import kpi
@@ -395,6 +397,45 @@ def _q_abc(spark, folder):
     return S.ab_test_continuous(fx.ab(Tables(spark, folder)), "value", "arm", 0, 1)
 
 
+# ------------------------------------------------------------------ time series
+def _filled_series(spark, folder):
+    return TS.gap_fill(fx.daily_series(Tables(spark, folder)), ["series"])
+
+
+@register("ts_decompose")
+def _q_decompose(spark, folder):
+    return round_doubles(TS.decompose(_filled_series(spark, folder), ["series"], period=7))
+
+
+@register("ts_rolling_stats")
+def _q_rolling(spark, folder):
+    return round_doubles(TS.rolling_stats(_filled_series(spark, folder), ["series"], window=30))
+
+
+@register("ts_anomaly_band")
+def _q_band(spark, folder):
+    return round_doubles(TS.anomaly_band(_filled_series(spark, folder), ["series"], window=30, sigma=2.5))
+
+
+@register("ts_adf")
+def _q_adf(spark, folder):
+    return FC.adf(_filled_series(spark, folder), ["series"])
+
+
+@register("ts_arima_forecast")
+def _q_arima(spark, folder):
+    return FC.arima(_filled_series(spark, folder), ["series"], order=(2, 1, 2), steps=90)
+
+
+@register("ts_holdout_error")
+def _q_holdout(spark, folder):
+    split = TS.holdout_split(_filled_series(spark, folder), ["series"], horizon=30)
+    train = split.filter(~F.col("is_test")).drop("is_test")
+    test = split.filter(F.col("is_test")).drop("is_test")
+    fc = FC.arima(train, ["series"], order=(2, 1, 2), steps=30)
+    return TS.forecast_errors(fc, test, ["series"])
+
+
 def load_all() -> dict[str, QueryFn]:
     """Import every module that registers queries and return the registry."""
     return dict(REGISTRY)

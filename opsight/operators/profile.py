@@ -225,30 +225,45 @@ def high_correlations(matrix: DataFrame, threshold: float = 0.7) -> DataFrame:
     return matrix.filter(F.abs(F.col("correlation")) >= threshold)
 
 
+def running_totals(df: DataFrame, order_col: str, cols: Sequence[str], descending: bool = False,
+                   prefix: str = "cum_") -> DataFrame:
+    """Running sums of ``cols`` over the global order of ``order_col`` (ties
+    share one value: RANGE semantics), one output row per input row.
+
+    Distributed without a single-partition window: the frame is
+    range-partitioned on ``order_col`` (equal values share a partition), a
+    partition-local running sum is added to the total of all earlier
+    partitions (one small row per partition, broadcast). The partition
+    assignment comes from sampling, so the local sums are checkpointed
+    (reliable, shared folder) before they are used twice.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    key = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    grouped = df.groupBy(order_col).agg(*[F.sum(c).alias(f"__s_{c}") for c in cols])
+    nparts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = grouped.repartitionByRange(nparts, key).withColumn("__p", F.spark_partition_id())
+    w = Window.partitionBy("__p").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
+    local = ranged.select("*", *[F.sum(f"__s_{c}").over(w).alias(f"__l_{c}") for c in cols]) \
+        .checkpoint(eager=True)
+    totals = local.groupBy("__p").agg(*[F.sum(f"__s_{c}").alias(f"__t_{c}") for c in cols])
+    before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("__p", *[F.coalesce(F.sum(f"__t_{c}").over(before), F.lit(0)).alias(f"__o_{c}")
+                                     for c in cols])
+    return local.join(F.broadcast(offsets), "__p").select(
+        order_col, *[F.col(f"__s_{c}").alias(c) for c in cols],
+        *[(F.col(f"__o_{c}") + F.col(f"__l_{c}")).alias(f"{prefix}{c}") for c in cols])
+
+
 def average_rank(df: DataFrame, col: str, out: str) -> DataFrame:
     """Add the average (tie-averaged, 1-based) rank of ``col`` as ``out``.
 
-    Distributed without a global single-partition window: distinct values
-    with counts are range-partitioned by value (equal values share a
-    partition); a running count inside each partition plus the total of all
-    earlier partitions (one small row per partition, broadcast) gives each
-    value's first rank. The ranks are joined back on the value (a hot value
-    is one row on the rank side; AQE splits a skewed join partition).
+    Built on :func:`running_totals` over the value counts (no global
+    single-partition window); the per-value ranks are joined back on the
+    value (a hot value is one row on the rank side; AQE splits a skewed join
+    partition).
     """
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("__c"))
-    nparts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = counts.repartitionByRange(nparts, col).withColumn("__p", F.spark_partition_id())
-    w = Window.partitionBy("__p").orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
-    # Range bounds come from sampling, which may differ if the stage is
-    # recomputed; a reliable checkpoint fixes the partition assignment before
-    # it is used twice (offsets and ranks).
-    ensure_checkpoint_dir(df.sparkSession)
-    local = ranged.withColumn("__cum", F.sum("__c").over(w)).checkpoint(eager=True)
-    totals = local.groupBy("__p").agg(F.sum("__c").alias("__t"))
-    offsets = totals.withColumn(
-        "__off", F.coalesce(F.sum("__t").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)),
-                            F.lit(0))).select("__p", "__off")
-    ranks = local.join(F.broadcast(offsets), "__p").select(
-        col, (F.col("__off") + F.col("__cum") - F.col("__c") + 1
-              + (F.col("__c") - 1) / 2.0).cast("double").alias(out))
+    counts = df.select(col, F.lit(1).alias("__c"))
+    cum = running_totals(counts, col, ["__c"], prefix="__cum")
+    ranks = cum.select(col, (F.col("__cum__c") - F.col("__c") + 1 + (F.col("__c") - 1) / 2.0)
+                       .cast("double").alias(out))
     return df.join(ranks, col)

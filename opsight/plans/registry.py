@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from opsight.operators import cleaning as C
 from opsight.operators import profile as P
 from opsight.operators import forecasting as FC
+from opsight.operators import ml as ML
 from opsight.operators import stattests as S
 from opsight.operators import timeseries as TS
 from opsight.operators.quality import etl_quality_score, quality_score
@@ -436,6 +437,71 @@ def _q_holdout(spark, folder):
     return TS.forecast_errors(fc, test, ["series"])
 
 
+# ------------------------------------------------------------------ churn models and metrics
+CHURN_FEATURES = ["senior_citizen", "tenure_months", "monthly_charges", "total_charges", "num_support_tickets",
+                  "num_orders", "charge_per_month_tenure", "tickets_per_tenure", "high_value_customer",
+                  "new_customer", "long_tenure"]
+
+
+def _churn_frame(spark, folder):
+    return ML.one_hot(ML.engineer_features(fx.telecom(Tables(spark, folder))), ["contract", "partner"])
+
+
+@register("ml_features")
+def _q_features(spark, folder):
+    return round_doubles(_churn_frame(spark, folder))
+
+
+@register("ml_split_counts")
+def _q_split(spark, folder):
+    s = ML.stratified_split(fx.telecom(Tables(spark, folder)), "churn", "customer_id", 0.2, 42)
+    return s.groupBy("churn", "is_test").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("ml_accuracy_f1")
+def _q_accf1(spark, folder):
+    return round_doubles(ML.accuracy_f1(fx.scored(Tables(spark, folder))))
+
+
+@register("ml_roc_auc")
+def _q_auc(spark, folder):
+    return round_doubles(ML.roc_auc(fx.scored(Tables(spark, folder))))
+
+
+@register("ml_roc_curve")
+def _q_roc(spark, folder):
+    return round_doubles(ML.roc_curve(fx.scored(Tables(spark, folder))))
+
+
+@register("ml_confusion_matrix")
+def _q_cm(spark, folder):
+    return ML.confusion_matrix(fx.scored(Tables(spark, folder)))
+
+
+@register("ml_classification_report")
+def _q_report(spark, folder):
+    return round_doubles(ML.classification_report(fx.scored(Tables(spark, folder))))
+
+
+@register("ml_model_comparison")
+def _q_models(spark, folder):
+    df = _churn_frame(spark, folder)
+    feats = CHURN_FEATURES + [c for c in df.columns if c.startswith(("contract_", "partner_"))]
+    out, _ = ML.compare_models(df, feats, "churn", "customer_id", folds=5, seed=42)
+    return out
+
+
+@register("ml_feature_importances")
+def _q_importances(spark, folder):
+    df = _churn_frame(spark, folder)
+    feats = CHURN_FEATURES + [c for c in df.columns if c.startswith(("contract_", "partner_"))]
+    split = ML.stratified_split(df, "churn", "customer_id", 0.2, 42)
+    train = split.filter(~F.col("is_test"))
+    model, _ = ML._fit_score(ML._models(None, 42)["Random Forest"], train, train.limit(0), feats, "churn")
+    rows = ML.feature_importances(model, feats, 15)
+    return spark.createDataFrame(rows, "feature string, importance double")
+
+
 def load_all() -> dict[str, QueryFn]:
     """Import every module that registers queries and return the registry."""
     return dict(REGISTRY)

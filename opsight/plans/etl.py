@@ -12,7 +12,7 @@ import datetime as dt
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsight.functions.scalar import row_hash, strip_ws
@@ -23,24 +23,29 @@ from opsight.sources.metrics import publish_metrics
 from opsight.sources.sinks import write_report, write_zone
 
 
-def etl_clean(df: DataFrame, source_file: str, run_ts: dt.datetime,
-              hash_columns: Sequence[str] | None = None, hash_width: int = 4) -> DataFrame:
+def etl_clean(df: DataFrame, source_file: str | Column, run_ts: dt.datetime,
+              hash_columns: Sequence[str] | None = None, hash_width: int = 4,
+              keep: Sequence[str] = ()) -> DataFrame:
     """Exact dedup, then trim + lower-case every string column, then a 16-hex
     sha256 row hash of the first ``hash_width`` columns (or ``hash_columns``),
     then ``_loaded_at`` / ``_source_file`` (C17).
 
     Dedup runs before lower-casing, so rows that differ only in case or
-    surrounding space both survive (as in the original).
+    surrounding space both survive (as in the original). ``source_file`` is a
+    literal key or a per-row column; ``keep`` columns pass through unchanged
+    (not lower-cased, not hashed, dropped from the output).
     """
     d = df.distinct()
-    strings = set(C.string_columns(d))
+    strings = set(C.string_columns(d)) - set(keep)
     d = d.select(*[F.lower(strip_ws(c)).alias(c) if c in strings else F.col(c) for c in d.columns])
-    keys = list(hash_columns) if hash_columns else d.columns[:hash_width]
+    data_cols = [c for c in d.columns if c not in set(keep)]
+    keys = list(hash_columns) if hash_columns else data_cols[:hash_width]
+    src = source_file if isinstance(source_file, Column) else F.lit(source_file)
     return d.select(
-        "*",
+        *data_cols,
         row_hash(keys).alias("row_hash"),
         F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz").alias("_loaded_at"),
-        F.lit(source_file).alias("_source_file"),
+        src.alias("_source_file"),
     )
 
 

@@ -29,6 +29,7 @@ from opsight.session import shared_path
 from opsight.sources.files import gate_files, read_source
 from opsight.sources.sinks import bulk_load, upsert
 from opsight.sources.tables import Tables
+from opsight.streaming.landing import run_landing_etl
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -502,6 +503,20 @@ def _q_importances(spark, folder):
     return spark.createDataFrame(rows, "feature string, importance double")
 
 
+# ------------------------------------------------------------------ streaming (A5)
+EVENTS_SCHEMA = {"event_id": "int", "ts": "datetime", "user_id": "int", "value": "float", "event_type": "str"}
+
+
+@register("stream_landing_etl")
+def _q_stream(spark, folder):
+    events = Tables(spark, folder).events
+    root = shared_path(spark, "stream")
+    events.write.mode("overwrite").parquet(f"{root}/landing")
+    run_landing_etl(spark, f"{root}/landing", events.schema, f"{root}/curated", f"{root}/checkpoint",
+                    EVENTS_SCHEMA, metrics_path=f"{root}/metrics")
+    return spark.read.parquet(f"{root}/curated")
+
+
 def load_all() -> dict[str, QueryFn]:
     """Import every module that registers queries and return the registry."""
     return dict(REGISTRY)

@@ -50,6 +50,20 @@ def growth_pct(current: ColumnOrName, previous: ColumnOrName) -> Column:
     return (cur - prev) / F.nullif(prev, F.lit(0.0)) * F.lit(100.0)
 
 
+def exact_sum(c: ColumnOrName, precision: str = "decimal(38,10)") -> Column:
+    """Sum as an exact decimal (order-independent, like SQL NUMERIC), returned as
+    double; NULL if a value or the sum does not fit ``precision``."""
+    return F.try_sum(_c(c).try_cast(precision)).cast("double")
+
+
+def exact_avg(c: ColumnOrName) -> Column:
+    """Mean from :func:`exact_sum`; falls back to the double mean when the
+    decimal sum overflows. Exact decimal means round the same way in every
+    engine, whatever the partitioning."""
+    col = _c(c)
+    return F.coalesce(exact_sum(col) / F.count(col).cast("double"), F.avg(col.cast("double")))
+
+
 def clip(c: ColumnOrName, lower=None, upper=None) -> Column:
     """Clamp to [lower, upper]; NULL stays NULL (``least``/``greatest`` skip NULLs)."""
     col = _c(c)

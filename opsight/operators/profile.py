@@ -42,6 +42,28 @@ def exact_mean(c: Column) -> Column:
     return F.coalesce(dec.cast("double") / F.count(c).cast("double"), F.avg(c.cast("double")))
 
 
+def distinct_counts(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
+    """``(column, unique_count)`` for each column, NULLs not counted.
+
+    Exact counts unpivot the columns to ``(column, value-as-text)`` pairs and
+    count distinct pairs per column: one shuffle of partially de-duplicated
+    pairs, instead of one Expand copy of every row per distinct aggregate.
+    """
+    cols = list(columns)
+    if not exact:
+        row = df.agg(*[F.approx_count_distinct(c).alias(f"u{i}") for i, c in enumerate(cols)])
+        return row.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"),
+                                                       F.col(f"u{i}").cast("long").alias("unique_count"))
+                                              for i, c in enumerate(cols)])).alias("u")).select("u.*")
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("v")) for c in cols])).alias("p")) \
+        .select("p.*").filter(F.col("v").isNotNull()).distinct()
+    counted = pairs.groupBy("column").agg(F.count(F.lit(1)).cast("long").alias("unique_count"))
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    return names.join(counted, "column", "left").select(
+        "column", F.coalesce("unique_count", F.lit(0).cast("long")).alias("unique_count"))
+
+
 def profile(df: DataFrame, columns: Sequence[str] | None = None, exact_distinct: bool = True,
             exact_median: bool = True) -> DataFrame:
     """One row per column: dtype, non-NULL, NULL, NULL %, distinct values,
@@ -49,9 +71,10 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, exact_distinct:
     sample std, corrected skewness and kurtosis (E12). The mean is taken from
     an exact decimal sum where it fits.
 
-    ``exact_distinct=False`` switches to HyperLogLog (``approx_count_distinct``)
-    and ``exact_median=False`` to ``percentile_approx`` for very wide or
-    high-cardinality profiles.
+    Three single-pass aggregates: moments and medians of all columns (one
+    row), distinct counts (:func:`distinct_counts`) and duplicate rows.
+    ``exact_distinct=False`` switches to HyperLogLog and ``exact_median=False``
+    to ``percentile_approx`` for very wide or high-cardinality profiles.
     """
     cols = list(columns or df.columns)
     nums = set(_numeric(df))
@@ -59,8 +82,7 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, exact_distinct:
     exprs = [F.count(F.lit(1)).alias("__rows")]
     for i, c in enumerate(cols):
         col = F.col(c)
-        exprs += [F.count(col).alias(f"nn{i}"),
-                  (F.count_distinct(col) if exact_distinct else F.approx_count_distinct(col)).alias(f"u{i}")]
+        exprs.append(F.count(col).alias(f"nn{i}"))
         if c in nums:
             x = col.cast("double")
             med = F.percentile(x, 0.5) if exact_median else F.percentile_approx(x, 0.5, 10000)
@@ -81,7 +103,6 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, exact_distinct:
             (F.col("__rows") - nn).cast("long").alias("null_count"),
             F.round((F.col("__rows") - nn) / F.nullif(F.col("__rows").cast("double"), F.lit(0.0)) * 100, 2)
             .alias("null_pct"),
-            F.col(f"u{i}").cast("long").alias("unique_count"),
             F.col("duplicate_rows"),
             (F.col(f"m{i}") if num else none).alias("mean"),
             (F.col(f"md{i}") if num else none).alias("median"),
@@ -89,7 +110,11 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, exact_distinct:
             (corrected_skewness(F.col(f"g1{i}"), nn) if num else none).alias("skewness"),
             (corrected_kurtosis(F.col(f"g2{i}"), nn) if num else none).alias("kurtosis"),
         ))
-    return wide.select(F.explode(F.array(*entries)).alias("p")).select("p.*")
+    long = wide.select(F.explode(F.array(*entries)).alias("p")).select("p.*")
+    uniq = distinct_counts(df, cols, exact_distinct)
+    return long.join(uniq, "column").select(
+        "column", "dtype", "non_null_count", "null_count", "null_pct", "unique_count", "duplicate_rows",
+        "mean", "median", "std", "skewness", "kurtosis")
 
 
 def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 30,

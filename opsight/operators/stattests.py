@@ -92,11 +92,13 @@ def ttest_statistics(df: DataFrame, value: str, group: str, a, b,
     n1, n2 = F.col("n_a").cast("double"), F.col("n_b").cast("double")
     v1, v2 = F.col("var_a"), F.col("var_b")
     diff = F.col("mean_a") - F.col("mean_b")
-    sp2 = ((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2)
-    t_pooled = diff / F.sqrt(sp2 * (F.lit(1.0) / n1 + F.lit(1.0) / n2))
+    # try_divide: a zero variance or a one-row group gives NULL, not an error.
+    sp2 = F.try_divide((n1 - 1) * v1 + (n2 - 1) * v2, n1 + n2 - 2)
+    t_pooled = F.try_divide(diff, F.sqrt(sp2 * (F.lit(1.0) / n1 + F.lit(1.0) / n2)))
     se1, se2 = v1 / n1, v2 / n2
-    t_welch = diff / F.sqrt(se1 + se2)
-    df_welch = (se1 + se2) ** 2 / (se1 ** 2 / (n1 - 1) + se2 ** 2 / (n2 - 1))
+    t_welch = F.try_divide(diff, F.sqrt(se1 + se2))
+    df_welch = F.try_divide((se1 + se2) ** 2,
+                            F.try_divide(se1 ** 2, n1 - 1) + F.try_divide(se2 ** 2, n2 - 1))
     sd_pool = F.sqrt((v1 + v2) / 2)
     row = row.withColumn("levene_p", f_upper_p("levene_w", "levene_d1", "levene_d2"))
     if equal_var is None:
@@ -148,7 +150,8 @@ def paired_statistics(df: DataFrame, a: str, b: str) -> DataFrame:
     sd_pool = F.sqrt((F.col("va") + F.col("vb")) / 2)
     return agg.select(
         F.col("n").cast("long").alias("n_pairs"), "group_a_mean", "group_b_mean", "mean_diff",
-        (F.col("mean_diff") / (F.col("sd_diff") / F.sqrt(F.col("n").cast("double")))).alias("t_statistic"),
+        F.try_divide(F.col("mean_diff"), F.col("sd_diff") / F.sqrt(F.col("n").cast("double")))
+        .alias("t_statistic"),
         (F.col("n") - 1).cast("double").alias("df"),
         F.when(sd_pool > 0, (F.col("group_a_mean") - F.col("group_b_mean")) / sd_pool)
         .otherwise(F.lit(0.0)).alias("cohens_d"),
@@ -173,7 +176,8 @@ def anova_statistics(df: DataFrame, value: str, group: str) -> DataFrame:
         F.sum(F.col("n") * (F.col("m") - F.col("grand")) ** 2).alias("ssb"),
         F.sum((F.col("n") - 1) * F.coalesce(F.col("v"), F.lit(0.0))).alias("ssw"))
     return parts.select(
-        ((F.col("ssb") / (F.col("k") - 1)) / (F.col("ssw") / (F.col("big_n") - F.col("k")))).alias("f_statistic"),
+        F.try_divide(F.try_divide(F.col("ssb"), F.col("k") - 1),
+                     F.try_divide(F.col("ssw"), F.col("big_n") - F.col("k"))).alias("f_statistic"),
         (F.col("k") - 1).cast("double").alias("df_between"),
         (F.col("big_n") - F.col("k")).cast("double").alias("df_within"),
         F.col("k").cast("long").alias("n_groups"),

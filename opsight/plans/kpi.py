@@ -1,6 +1,9 @@
 """Operational KPI reports (SLA, resolution percentiles, growth, cohorts,
 Pareto, agent ranking, volume anomalies) as DataFrame plans.
 
+Sums and means of measures are exact decimal aggregates (as SQL NUMERIC), so
+rounded results do not depend on partitioning or summation order.
+
 Scale notes. Every report first aggregates raw rows with a hash aggregate
 (partial aggregation on the map side, so a hot key is combined before the
 shuffle). Window functions then run on the aggregated frame only: days,
@@ -17,7 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from opsight.functions.scalar import day_of, hours_between, month_offset, month_start, pct
+from opsight.functions.scalar import (day_of, exact_avg, exact_sum, hours_between, month_offset,
+                                      month_start, pct)
 
 
 def _w(by: Sequence[str]):
@@ -70,7 +74,7 @@ def resolution_percentiles(incidents: DataFrame, by: Sequence[str] = ("priority"
         q = F.percentile_approx("hrs", [0.5, 0.9, 0.95], accuracy)
     agg = base.groupBy(*by).agg(
         F.count(F.lit(1)).alias("ticket_count"),
-        F.avg("hrs").alias("avg_hrs"),
+        exact_avg("hrs").alias("avg_hrs"),
         q.alias("q"),
         F.min("hrs").alias("min_hrs_raw"),
         F.max("hrs").alias("max_hrs_raw"),
@@ -91,8 +95,8 @@ def revenue_growth(transactions: DataFrame, by: Sequence[str] = ()) -> DataFrame
     months present) and 3-month trailing mean revenue."""
     monthly = transactions.groupBy(*by, month_start("transaction_date").alias("month")).agg(
         F.count_distinct("customer_id").alias("active_customers"),
-        F.sum("amount").alias("revenue"),
-        F.avg("amount").alias("avg_amount"),
+        F.coalesce(exact_sum("amount"), F.sum(F.col("amount").cast("double"))).alias("revenue"),
+        exact_avg("amount").alias("avg_amount"),
     )
     w = _w(by).orderBy("month")
     prev1 = F.lag("revenue", 1).over(w)
@@ -161,10 +165,10 @@ def agent_ranking(incidents: DataFrame, min_tickets: int = 20) -> DataFrame:
     resolved, deadline = F.col("resolved_at"), F.col("sla_deadline")
     m = incidents.filter(resolved.isNotNull()).groupBy("agent_id", "agent_name").agg(
         F.count(F.lit(1)).alias("tickets_handled"),
-        F.round(F.avg(hours_between("created_at", "resolved_at")), 2).alias("avg_resolution_hrs"),
+        F.round(exact_avg(hours_between("created_at", "resolved_at")), 2).alias("avg_resolution_hrs"),
         F.round(F.sum(F.when(resolved <= deadline, 1).otherwise(0)).cast("double")
                 / F.count(F.lit(1)) * 100, 1).alias("sla_compliance_pct"),
-        F.round(F.avg("satisfaction_score"), 2).alias("avg_csat"),
+        F.round(exact_avg("satisfaction_score"), 2).alias("avg_csat"),
     ).filter(F.col("tickets_handled") >= min_tickets)
     sla_desc = F.col("sla_compliance_pct").desc_nulls_last()
     return m.select(

@@ -8,6 +8,7 @@ models are Spark ML estimators trained on the cluster. Metrics take a
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -164,7 +165,8 @@ def _fit_score(est, train: DataFrame, test: DataFrame, features: list[str], labe
 
 
 def compare_models(df: DataFrame, features: Sequence[str], label: str = "churn", id_col: str = "customer_id",
-                   folds: int = 5, seed: int = 42, models: Sequence[str] | None = None) -> tuple[DataFrame, dict]:
+                   folds: int = 5, seed: int = 42, models: Sequence[str] | None = None,
+                   parallelism: int = 6) -> tuple[DataFrame, dict]:
     """Train each model on a stratified 80 % split, score the 20 % test side
     and report accuracy, F1, AUC and k-fold CV AUC (mean, population std) (K15).
 
@@ -180,27 +182,36 @@ def compare_models(df: DataFrame, features: Sequence[str], label: str = "churn",
     if models is not None:
         chosen = {k: v for k, v in chosen.items() if k in models}
     fold = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed + 1)), F.lit(folds))
-    train_f = train.withColumn("__fold", fold)
+    train_f = train.withColumn("__fold", fold).persist()
     spark = df.sparkSession
-    rows, fitted = [], {}
-    for name, est in chosen.items():
+
+    def holdout(name, est):
         model, pred = _fit_score(est, train, test, feats, label)
-        fitted[name] = model
         af = accuracy_f1(pred).first()
-        auc = roc_auc(pred).first()["auc"]
-        cv = []
-        for k in range(folds):
-            tr = train_f.filter(F.col("__fold") != k)
-            va = train_f.filter(F.col("__fold") == k)
-            if name.startswith("Logistic"):
-                est_k = est.copy().setRegParam(1.0 / max(tr.count(), 1))
-            else:
-                est_k = est
-            _, p = _fit_score(est_k, tr, va, feats, label)
-            cv.append(roc_auc(p).first()["auc"])
-        mean = sum(cv) / len(cv)
-        std = (sum((v - mean) ** 2 for v in cv) / len(cv)) ** 0.5
-        rows.append((name, float(af["accuracy"]), float(af["f1"]), float(auc), float(mean), float(std)))
+        return model, float(af["accuracy"]), float(af["f1"]), float(roc_auc(pred).first()["auc"])
+
+    def cv_auc(name, est, k):
+        tr = train_f.filter(F.col("__fold") != k)
+        va = train_f.filter(F.col("__fold") == k)
+        if name.startswith("Logistic"):
+            est = est.copy().setRegParam(1.0 / max(tr.count(), 1))
+        _, p = _fit_score(est, tr, va, feats, label)
+        return roc_auc(p).first()["auc"]
+
+    # Fits are independent Spark jobs: submit them concurrently so small
+    # fits share the cluster instead of queueing (the scheduler interleaves).
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        hold = {n: pool.submit(holdout, n, e) for n, e in chosen.items()}
+        cvs = {n: [pool.submit(cv_auc, n, e, k) for k in range(folds)] for n, e in chosen.items()}
+        rows, fitted = [], {}
+        for name in chosen:
+            model, acc, f1, auc = hold[name].result()
+            fitted[name] = model
+            cv = [f.result() for f in cvs[name]]
+            mean = sum(cv) / len(cv)
+            std = (sum((v - mean) ** 2 for v in cv) / len(cv)) ** 0.5
+            rows.append((name, acc, f1, auc, float(mean), float(std)))
+    train_f.unpersist()
     best = max(rows, key=lambda r: r[3])[0] if rows else None
     out = spark.createDataFrame(
         [(*r, r[0] == best) for r in rows],

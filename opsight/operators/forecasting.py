@@ -131,11 +131,9 @@ def adf(df: DataFrame, keys: Sequence[str], ts: str = "ts", value: str = "value"
         return pd.DataFrame([row])
 
     src = df.select(*keys, ts, value)
-    grouped = src.groupBy(*keys) if keys else src.groupBy(F.lit(0).alias("__all"))
     if not keys:
-        src = src.withColumn("__all", F.lit(0))
-        return src.groupBy("__all").applyInPandas(lambda p: run(p), ADF_SCHEMA)
-    return grouped.applyInPandas(run, schema)
+        return src.withColumn("__all", F.lit(0)).groupBy("__all").applyInPandas(run, ADF_SCHEMA)
+    return src.groupBy(*keys).applyInPandas(run, schema)
 
 
 # ---------------------------------------------------------------- ARIMA

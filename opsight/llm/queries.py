@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opsight.llm import ngram_join
+from opsight.llm import fingerprints, mixing, ngram_join, quality_rules, secret_ledger, sentencepiece_bpe, url_rules, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,9 +19,44 @@ def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.jaccard_components(_table(spark, folder, "documents"))
 
 
+def op2_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return url_rules.url_verdicts(_table(spark, folder, "pages"))
+
+
+def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix_report(_table(spark, folder, "documents"))
+
+
+def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return sentencepiece_bpe.token_report(_table(spark, folder, "documents"))
+
+
+def op7_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprint_report(_table(spark, folder, "documents"))
+
+
+def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.quality_report(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+def op9_secret_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_ledger.secret_report(_table(spark, folder, "documents"))
+
+
+def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archive_report(_table(spark, folder, "pages"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+        "op2_url_rules": op2_url_rules,
+        "op4_mixing": op4_mixing,
+        "op5_sentencepiece": op5_sentencepiece,
+        "op7_fingerprints": op7_fingerprints,
+        "op8_quality_rules": op8_quality_rules,
+        "op9_secret_ledger": op9_secret_ledger,
+        "op10_warc": op10_warc,
     }
 
 

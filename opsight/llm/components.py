@@ -34,54 +34,67 @@ def connected_components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+# Two members can share 4/9 of their sizes' sum (similarity 0.8) only if the parts that others share allow it.
+_MAY_LINK = ("5 * least(size, {0}size) >= 4 * greatest(size, {0}size) "
+             "and 9 * least(usable, {0}usable) >= 4 * (size + {0}size)")
+# What both share with their bucket's pivot, and what either shares with others beyond it, bounds it further.
+_MAY_LINK_BY_PIVOT = ("(near is null or o_near is null or 9 * (least(near, o_near) "
+                      "+ least(usable - near, o_usable - o_near)) >= 4 * (size + o_size))")
+
+
 def links_from_buckets(postings: DataFrame, verify: Callable[[DataFrame], DataFrame],
                        star_rounds: int = 2) -> tuple[DataFrame, DataFrame]:
     """Connected ``(id, component)`` of all ids that share a signature and pass ``verify``, and the links.
 
-    ``postings(sig, id, size, rank)`` lists the ids of each signature. ``verify`` takes pairs ``(a, b)``
-    and returns those that are links. Forming all pairs of a bucket is quadratic in its members, so
-    first each member is compared with its bucket's pivot (lowest ``rank``, then id), then with the
-    lowest member outside that pivot's component. What then lies in one component needs no further
-    comparison; the last round compares all members of a bucket that are still in different
-    components. So no link between components is lost, whatever the bucket's size.
+    ``postings(sig, id, size, rank, usable)`` lists the ids of each signature; ``usable`` is how much of
+    an id's size any other id may share. ``verify`` takes pairs ``(a, b)`` and returns ``(a, b, shared,
+    link)``, ``shared`` being the pair's overlap if it is a set join's, else NULL.
+
+    Forming all pairs of a bucket is quadratic in its members, so first each member is compared with its
+    bucket's pivot (lowest ``rank``, then id), then with the lowest member outside that pivot's component.
+    What then lies in one component needs no further comparison; the last round compares all members of
+    a bucket that are still in different components, unless their overlaps with the pivot show that they
+    cannot link. So no link between components is lost, whatever the bucket's size.
     """
     keys = (postings.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("sig"))
-    members = shared_table(postings.join(keys, "sig", "left_semi").select("sig", "id", "size", "rank").distinct(),
-                           "members")
+    rows = shared_table(postings.join(keys, "sig", "left_semi").select("sig", "id", "size", "rank", "usable").distinct(),
+                        "members").withColumn("near", F.lit(None).cast("long"))
     spark, id_type = postings.sparkSession, postings.schema["id"].dataType.simpleString()
-    links = tested = spark.createDataFrame([], f"a {id_type}, b {id_type}")
+    links = spark.createDataFrame([], f"a {id_type}, b {id_type}")
+    tested = spark.createDataFrame([], f"a {id_type}, b {id_type}")
     found = spark.createDataFrame([], f"id {id_type}, component {id_type}")
+    lowest = F.min(F.struct("rank", "id", "size", "usable", "component")).alias("p")
     for k in range(star_rounds + 1):
-        labelled = (members.join(found, "id", "left")
-                    .withColumn("component", F.coalesce("component", "id")))
+        labelled = rows.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
         mixed = (labelled.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"))
                  .filter("low <> high").select("sig"))
-        open_rows = labelled.join(mixed, "sig", "left_semi")
-        if k:
-            open_rows = shared_table(open_rows, "open")
+        rows = shared_table(labelled.join(mixed, "sig", "left_semi"), "open")
+        pivots = rows.groupBy("sig").agg(lowest)
+        if k == 1:  # the first pivot has met all members: take the lowest outside its component
+            pivots = rows.join(pivots, "sig").filter("component <> p.component").groupBy("sig").agg(lowest)
         if k < star_rounds:
-            pivots = open_rows.groupBy("sig").agg(F.min(F.struct("rank", "id", "size", "component")).alias("p"))
-            if k:  # the earlier pivot has met all members: take the lowest outside its component
-                pivots = (open_rows.join(pivots, "sig").filter("component <> p.component").groupBy("sig")
-                          .agg(F.min(F.struct("rank", "id", "size", "component")).alias("p")))
-            pairs = (open_rows.join(pivots, "sig")
-                     .filter("component <> p.component and 5 * least(size, p.size) >= 4 * greatest(size, p.size)")
+            pairs = (rows.join(pivots, "sig").filter("component <> p.component and " + _MAY_LINK.format("p."))
                      .select(F.least("id", "p.id").alias("a"), F.greatest("id", "p.id").alias("b")))
         else:
-            other = open_rows.select("sig", *[F.col(c).alias(f"{c}2") for c in ("id", "size", "component")])
-            pairs = (open_rows.join(other, "sig")
-                     .filter("component < component2 and 5 * least(size, size2) >= 4 * greatest(size, size2)")
-                     .select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")))
+            other = rows.toDF(*[c if c == "sig" else f"o_{c}" for c in rows.columns])
+            pairs = (rows.join(other, "sig")
+                     .filter("component < o_component and " + _MAY_LINK.format("o_") + " and " + _MAY_LINK_BY_PIVOT)
+                     .select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b")))
         pairs = shared_table(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-        if pairs.limit(1).count() == 0:
-            if k < star_rounds:
-                continue
-            break
-        tested = tested.unionByName(pairs)
-        new = shared_table(verify(pairs).select("a", "b"), "links")
-        if new.limit(1).count():
-            links = links.unionByName(new)
-            found = connected_components(links)
+        if pairs.limit(1).count():
+            tested = tested.unionByName(pairs)
+            results = shared_table(verify(pairs), "results")
+            if not k:
+                near = (rows.join(pivots.select("sig", F.col("p.id").alias("pivot")), "sig")
+                        .withColumn("a", F.least("id", "pivot")).withColumn("b", F.greatest("id", "pivot"))
+                        .join(results.select("a", "b", "shared"), ["a", "b"], "left")
+                        .withColumn("near", F.when(F.col("id") == F.col("pivot"), F.col("size")).otherwise(F.col("shared"))))
+                rows = near.select("sig", "id", "size", "rank", "usable", "near", "component")
+            new = results.filter("link").select("a", "b")
+            if new.limit(1).count():
+                links = links.unionByName(new)
+                found = connected_components(links)
+        rows = rows.drop("component")
     return found, links
 
 

@@ -1,10 +1,10 @@
 """N-gram Jaccard join by token-combination prefixes.
 
 A document's set holds its distinct five-word shingles (lower case); two documents link when their
-Jaccard similarity is at least 0.8. Shingles fall into three classes by document frequency: unique,
-rare (at most ``RARE_DF`` documents) and frequent. Sets are ordered by class, then hash, and only a
-prefix is indexed: rare shingles singly, frequent ones as 2-combinations within hash subclasses, and
-the prefix is extended by one shingle for each subclass it uses. If a prefix can lose all shingles
+Jaccard similarity is at least 0.8. Shingles fall into classes by document frequency: unique, rare (at most
+``RARE_DF`` documents) and frequent ones by powers of four. Sets are ordered by class, then hash, and
+only a prefix is indexed: rare shingles singly, frequent ones as 2-combinations within hash groups, and
+the prefix is extended by one shingle for each group it uses. If a prefix can lose all shingles
 that similarity 0.8 allows to differ and still keep one signature, every similar pair shares a
 signature; the pairs are then verified on their whole sets.
 
@@ -28,9 +28,9 @@ from opsight.llm.components import fetch, links_from_buckets
 from opsight.llm.hashing import mix, shingle_sets
 
 RARE_DF = 16
-# Class bitmaps: 2**26 slots each (8 MB), whatever the input. Two shingles in one slot share the
-# higher class, which costs signatures but loses no pair.
-SLOT_BITS = 26
+# Class table: 2**25 slots of 4 bits (16 MB), whatever the input. Shingles in one slot share the highest
+# class, which costs signatures but loses no pair; about a slot for four shingles keeps the classes apart.
+SLOT_BITS = 25
 _FLUSH = 1 << 21
 _U = np.uint64
 
@@ -72,8 +72,10 @@ def _token_blocks(bucket_bits: int):
     return run
 
 
-def _class_bitmaps(bucket_bits: int, rare_df: int):
-    """Each hash range's slices of the bitmaps of repeated and of frequent shingles."""
+def _class_slices(bucket_bits: int, rare_df: int):
+    """Each hash range's slice of the class table: 0 unique, 1 rare, then frequent by powers of four."""
+    limits = np.array([1, *(rare_df * 4 ** k for k in range(14))])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[np.ndarray]] = {}
         for batch in batches:
@@ -84,20 +86,17 @@ def _class_bitmaps(bucket_bits: int, rare_df: int):
         for bucket in sorted(held):
             t = np.sort(np.concatenate(held.pop(bucket)))
             starts = np.flatnonzero(np.r_[True, t[1:] != t[:-1]])
-            count = np.diff(np.r_[starts, len(t)])
+            kind = np.searchsorted(limits, np.diff(np.r_[starts, len(t)])).astype(np.uint8)
             slot = ((t[starts] >> _U(48 - SLOT_BITS)) & _U((1 << rest) - 1)).astype(np.int64)
-            maps = []
-            for chosen in (count > 1, count > rare_df):
-                bits = np.zeros(1 << rest, np.uint8)
-                bits[slot[chosen]] = 1
-                maps.append(np.packbits(bits).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), *[pa.array([m], pa.binary()) for m in maps]],
-                                             ["bucket", "repeated", "frequent"])
+            table = np.zeros(1 << rest, np.uint8)
+            np.maximum.at(table, slot[kind > 0], kind[kind > 0])
+            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array(
+                [(table[::2] << 4 | table[1::2]).tobytes()], pa.binary())], ["bucket", "kinds"])
     return run
 
 
-def shingle_classes(docs: DataFrame, rare_df: int = RARE_DF) -> tuple[np.ndarray, np.ndarray]:
-    """Packed bitmaps of the repeated and of the frequent shingles of all documents (16 MB together).
+def shingle_classes(docs: DataFrame, rare_df: int = RARE_DF) -> np.ndarray:
+    """The packed class table of the shingles of all documents.
 
     Every shingle is shuffled once, as 6 bytes in sorted blocks; a hash range is counted by one task.
     """
@@ -106,43 +105,43 @@ def shingle_classes(docs: DataFrame, rare_df: int = RARE_DF) -> tuple[np.ndarray
     bucket_bits = min(18, max(8, (4 * partitions - 1).bit_length()))
     blocks = docs.select("text").mapInArrow(_token_blocks(bucket_bits), "bucket int, high binary, low binary")
     slices = (blocks.repartition(partitions, "bucket")
-              .mapInArrow(_class_bitmaps(bucket_bits, rare_df), "bucket int, repeated binary, frequent binary"))
-    width = 1 << (SLOT_BITS - bucket_bits - 3)
-    maps = np.zeros((2, 1 << (SLOT_BITS - 3)), np.uint8)
+              .mapInArrow(_class_slices(bucket_bits, rare_df), "bucket int, kinds binary"))
+    width = 1 << (SLOT_BITS - bucket_bits - 1)
+    table = np.zeros(1 << (SLOT_BITS - 1), np.uint8)
     for row in slices.collect():  # 16 MB at most, whatever the input
-        for k, part in enumerate((row.repeated, row.frequent)):
-            maps[k, row.bucket * width:(row.bucket + 1) * width] = np.frombuffer(part, np.uint8)
-    return maps[0], maps[1]
+        table[row.bucket * width:(row.bucket + 1) * width] = np.frombuffer(row.kinds, np.uint8)
+    return table
 
 
-def _bit(bitmap: np.ndarray, slot: np.ndarray) -> np.ndarray:
-    return (bitmap[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1
+def _kinds(table: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    slot = (grams >> _U(64 - SLOT_BITS)).astype(np.int64)
+    return (table[slot >> 1] >> ((1 - (slot & 1)) * 4).astype(np.uint8)) & 15
 
 
-def signatures(grams: np.ndarray, repeated: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, int]:
-    """The signatures of one sorted shingle set, and its number of shingles that are not frequent.
+def signatures(grams: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, int, int]:
+    """The signatures of one sorted shingle set, and how many shingles are not frequent and how many not unique.
 
     ``need`` shingles of the prefix must remain countable: one more than may be missing in a partner.
     """
     n = len(grams)
     need = n - (4 * n + 4) // 5 + 1
-    slot = (grams >> _U(64 - SLOT_BITS)).astype(np.int64)
-    twice = _bit(repeated, slot).astype(bool)
-    often = _bit(frequent, slot).astype(bool) & twice
-    unique, rare, common = n - int(twice.sum()), grams[twice & ~often], grams[often]
+    kind = _kinds(table, grams)
+    often = kind > 1
+    unique, rare, common = int((kind == 0).sum()), grams[kind == 1], grams[often]
+    common = common[np.argsort(kind[often], kind="stable")]
     rank = n - len(common)
     if unique >= need:
-        return np.empty(0, np.uint64), rank
+        return np.empty(0, np.uint64), rank, n - unique
     singles = rare[:need - unique]
     need -= unique + len(singles)
     if need <= 0 or not len(common):
-        return singles, rank
+        return singles, rank, n - unique
     out = [singles]
     top = 1 << (n.bit_length() - 1)
     for lower in ([top, 2 * top] if 5 * n >= 8 * top else [top]):  # size bands that a partner may use
         groups = _U(max(1, lower // 10))
         group = (common >> _U(7)) % groups
-        # the m-th shingle of a subclass counts from the second on: find where the prefix ends
+        # a group's shingles count from the second on: find where the prefix ends
         order = np.argsort(group, kind="stable")
         sorted_group = group[order]
         first = np.r_[True, sorted_group[1:] != sorted_group[:-1]]
@@ -157,29 +156,30 @@ def signatures(grams: np.ndarray, repeated: np.ndarray, frequent: np.ndarray) ->
             if not same.any():
                 break
             out.append(mix(mix(kept[:-step][same] + _U(lower)) + kept[step:][same]))
-    return np.concatenate(out), rank
+    return np.concatenate(out), rank, n - unique
 
 
-def _postings(maps):
+def _postings(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        repeated, frequent = maps.value
+        table = shared.value
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            sigs, at, size, rank = [], [], [], []
+            sigs, at, size, rank, usable = [], [], [], [], []
             for row, grams in shingle_sets(batch.column(1)):
                 if len(grams):
-                    s, r = signatures(grams, repeated, frequent)
+                    s, r, u = signatures(grams, table)
                     if len(s):
                         sigs.append(np.unique(s))
                         at.append(row)
                         size.append(len(grams))
                         rank.append(r)
+                        usable.append(u)
             if sigs:
                 n = [len(s) for s in sigs]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.repeat(ids[at], n).astype(np.int64)),
-                     pa.array(np.repeat(size, n).astype(np.int64)), pa.array(np.repeat(rank, n).astype(np.int64))],
-                    ["sig", "id", "size", "rank"])
+                    [pa.array(np.concatenate(sigs).view(np.int64)),
+                     *[pa.array(np.repeat(c, n).astype(np.int64)) for c in (ids[at], size, rank, usable)]],
+                    ["sig", "id", "size", "rank", "usable"])
     return run
 
 
@@ -190,26 +190,29 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["id", "grams"])
 
 
-def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keep = []
+        shared, link = [], []
         for x, y in zip(batch.column(2), batch.column(3)):
             p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
             both = np.concatenate((p, q))
             both.sort()
-            shared = int(np.count_nonzero(both[1:] == both[:-1]))
-            keep.append(100 * shared >= 80 * (len(p) + len(q) - shared))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            n = int(np.count_nonzero(both[1:] == both[:-1]))
+            shared.append(n)
+            link.append(100 * n >= 80 * (len(p) + len(q) - n))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(shared, pa.int64()),
+                                          pa.array(link, pa.bool_())], ["a", "b", "shared", "link"])
 
 
 def verify_pairs(docs: DataFrame):
-    """A function that keeps the pairs ``(a, b)`` whose whole sets have a Jaccard similarity of 0.8 or more."""
+    """A function that compares the whole sets of pairs ``(a, b)``; Jaccard similarity 0.8 or more is a link."""
     def verify(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
         sets = shared_table(fetch(docs, "doc_id", ids).mapInArrow(_sets, "id long, grams binary"), "sets")
         both = (pairs.join(sets.toDF("a", "grams_a"), "a").join(sets.toDF("b", "grams_b"), "b")
                 .select("a", "b", "grams_a", "grams_b"))
-        return both.mapInArrow(_similar, "a long, b long").distinct()
+        return (both.mapInArrow(_compared, "a long, b long, shared long, link boolean")
+                .groupBy("a", "b").agg(F.max("shared").alias("shared"), F.max("link").alias("link")))
     return verify
 
 
@@ -224,8 +227,8 @@ def jaccard_components(docs: DataFrame, rare_df: int = RARE_DF) -> DataFrame:
     copies = shared_table(sizes.filter("n_shingles > 0").join(groups, ["d1", "d2"]).filter("doc_id > rep")
                           .select("doc_id", "rep").distinct(), "copies")
     nodes = rows_not_in(docs.filter("doc_id is not null"), ["doc_id"], copies)
-    maps = spark.sparkContext.broadcast(shingle_classes(nodes, rare_df))
-    postings = shared_table(nodes.mapInArrow(_postings(maps), "sig long, id long, size long, rank long"), "postings")
+    table = spark.sparkContext.broadcast(shingle_classes(nodes, rare_df))
+    postings = shared_table(nodes.mapInArrow(_postings(table), "sig long, id long, size long, rank long, usable long"), "postings")
     found, _ = links_from_buckets(postings, verify_pairs(docs))
     reps = found.select(F.col("id").alias("rep"), "component")
     return (sizes.select("doc_id", "n_shingles").join(copies, "doc_id", "left")

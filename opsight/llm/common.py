@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsight.session import shared_path
@@ -11,6 +14,7 @@ from opsight.session import shared_path
 SEPARATORS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
+BATCH_BYTES = 16 << 20
 # Size of the row filter below: 2**23 bits in 64-bit words, at most 131,072 rows of 16 bytes.
 FILTER_BITS = 1 << 23
 
@@ -28,11 +32,26 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SEPARATORS), "")
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of at most 16 MB while a job is planned, so that Python workers stay small."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    number = int(before.rstrip("b")) if before.rstrip("b").lstrip("-").isdigit() else None
+    if number is not None and not 0 < number <= BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def shared_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back: a cut in the lineage that
     survives lost executors."""
     path = shared_path(df.sparkSession, "tables", name)
-    df.write.mode("overwrite").parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -185,33 +185,21 @@ def _postings(shared):
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        grams = [g.tobytes() for _, g in shingle_sets(batch.column(1))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(grams, pa.large_binary()).cast(pa.binary())],
-                                         ["id", "grams"])
-
-
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        shared, link = [], []
-        for x, y in zip(batch.column(2), batch.column(3)):
-            p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            both = np.concatenate((p, q))
-            both.sort()
-            n = int(np.count_nonzero(both[1:] == both[:-1]))
-            shared.append(n)
-            link.append(100 * n >= 80 * (len(p) + len(q) - n))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(shared, pa.int64()),
-                                          pa.array(link, pa.bool_())], ["a", "b", "shared", "link"])
+        for low in range(0, batch.num_rows, 64):
+            part = batch.slice(low, 64)
+            grams = [g.view(np.int64) for _, g in shingle_sets(part.column(1))]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(grams, pa.list_(pa.int64()))], ["id", "grams"])
 
 
 def verify_pairs(docs: DataFrame):
     """A function that compares the whole sets of pairs ``(a, b)``; Jaccard similarity 0.8 or more is a link."""
     def verify(pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        sets = shared_table(fetch(docs, "doc_id", ids).mapInArrow(_sets, "id long, grams binary"), "sets")
+        sets = shared_table(fetch(docs, "doc_id", ids).mapInArrow(_sets, "id long, grams array<long>"), "sets")
         both = (pairs.join(sets.toDF("a", "grams_a"), "a").join(sets.toDF("b", "grams_b"), "b")
-                .select("a", "b", "grams_a", "grams_b"))
-        return (both.mapInArrow(_compared, "a long, b long, shared long, link boolean")
+                .select("a", "b", (F.size("grams_a") + F.size("grams_b")).alias("sizes"),
+                        F.size(F.array_intersect("grams_a", "grams_b")).cast("long").alias("shared")))
+        return (both.withColumn("link", F.expr("100 * shared >= 80 * (sizes - shared)"))
                 .groupBy("a", "b").agg(F.max("shared").alias("shared"), F.max("link").alias("link")))
     return verify
 

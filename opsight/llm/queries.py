@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opsight.llm import fingerprints, mixing, ngram_join, quality_rules, secret_ledger, sentencepiece_bpe, url_rules, warc
+from opsight.llm import fingerprints, html_crf, line_dedup, mixing, ngram_join, quality_rules, secret_ledger, sentencepiece_bpe, url_rules, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,10 @@ def op2_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return url_rules.url_verdicts(_table(spark, folder, "pages"))
 
 
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.line_report(_table(spark, folder, "documents"))
+
+
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_report(_table(spark, folder, "documents"))
 
@@ -31,6 +35,10 @@ def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece_bpe.token_report(_table(spark, folder, "documents"))
 
 
+def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_crf.extracted(_table(spark, folder, "pages"))
+
+
 def op7_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprint_report(_table(spark, folder, "documents"))
 
@@ -51,8 +59,10 @@ def llm_queries() -> dict[str, Query]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
         "op2_url_rules": op2_url_rules,
+        "op3_line_dedup": op3_line_dedup,
         "op4_mixing": op4_mixing,
         "op5_sentencepiece": op5_sentencepiece,
+        "op6_html_extraction": op6_html_extraction,
         "op7_fingerprints": op7_fingerprints,
         "op8_quality_rules": op8_quality_rules,
         "op9_secret_ledger": op9_secret_ledger,

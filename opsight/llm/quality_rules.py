@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from opsight.llm.common import SEPARATORS, let, shared_table, words_of
 
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 12_000
 MAX_CONDITIONS = 4
 MAX_RULES = 12
 MIN_COVER = 5
@@ -29,28 +29,40 @@ MIN_PRECISION = 0.95
 GRID = 24  # thresholds of a feature: so many quantiles of either class
 
 FEATURES = ("n_words", "mean_word", "symbol_share", "upper_share", "exclaim_share", "bar_share",
-            "digit_share", "dup_line_share", "repeat_share", "distinct_share")
+            "digit_share", "dup_line_share", "repeat_share")
 STATS = "__quality"
 
 
+# Up to so many different repeated windows are looked up one by one, more by sorting (same result).
+_FEW = 24
+
+
 def _repeat_words(words: Column) -> Column:
-    """Words in 3-word windows that occur at least twice in the text, from sorted (window, position) pairs."""
+    """Words in 3-word windows that occur at least twice in the text, the first included.
+
+    Windows are 64-bit hashes of their words; a text without equal hashes has no repeats.
+    """
+    def covered(at: Column) -> Column:
+        return let(at, lambda a: F.aggregate(  # windows that overlap count their words once
+            F.transform(a, lambda x, j: F.least(F.lit(3), F.coalesce(F.get(a, j + 1) - x, F.lit(3)))),
+            F.lit(0), lambda total, x: total + x))
+
+    def by_sorting(g: Column) -> Column:
+        def kept(p: Column) -> Column:
+            same = F.transform(p, lambda x, j: F.when(
+                F.get(p, j - 1)["s"].eqNullSafe(x["s"]) | F.get(p, j + 1)["s"].eqNullSafe(x["s"]), x["i"]))
+            return covered(F.sort_array(F.array_compact(same)))
+        return let(F.sort_array(F.transform(g, lambda s, i: F.struct(s.alias("s"), i.alias("i")))), kept)
+
     def in_windows(g: Column) -> Column:
-        placed = F.sort_array(F.transform(g, lambda s, i: F.struct(s.alias("s"), i.alias("i"))))
-
-        def repeated(p: Column) -> Column:
-            def kept(x, j):
-                before = F.get(p, j - 1)["s"].eqNullSafe(x["s"])
-                after = F.get(p, j + 1)["s"].eqNullSafe(x["s"])
-                return F.when(before | after, x["i"])
-            at = F.sort_array(F.array_compact(F.transform(p, kept)))
-            return let(at, lambda a: F.aggregate(  # windows that overlap count their words once
-                F.transform(a, lambda x, j: F.least(F.lit(3), F.coalesce(F.get(a, j + 1) - x, F.lit(3)))),
-                F.lit(0), lambda total, x: total + x))
-        return F.when(F.size(F.array_distinct(g)) == F.size(g), F.lit(0)).otherwise(let(placed, repeated))
-
-    windows = F.transform(F.sequence(F.lit(0), F.size(words) - 3),
-                          lambda i: F.concat_ws(" ", F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)))
+        def repeated(s: Column) -> Column:
+            twice = F.array_distinct(F.array_compact(F.transform(s, lambda x, j: F.when(F.get(s, j + 1) == x, x))))
+            return let(twice, lambda r: F.when(F.size(r) > _FEW, by_sorting(g)).otherwise(covered(F.array_compact(
+                F.transform(g, lambda x, i: F.when(F.array_contains(r, x), i))))))
+        return F.when(F.size(F.array_distinct(g)) == F.size(g), F.lit(0)).otherwise(let(F.sort_array(g), repeated))
+
+    windows = F.slice(F.transform(words, lambda x, i: F.xxhash64(x, F.get(words, i + 1), F.get(words, i + 2))),
+                      F.lit(1), F.size(words) - 2)
     return F.when(F.size(words) < 4, F.lit(0)).otherwise(let(windows, in_windows))
 
 
@@ -63,17 +75,18 @@ def statistics(text: Column) -> Column:
     """A struct of the base counts and of the features of a text."""
     t = F.coalesce(text, F.lit(""))
     of_words = let(words_of(text), lambda w: F.struct(
-        F.size(w).cast("long").alias("n_words"), F.size(F.array_distinct(w)).alias("distinct"),
-        _repeat_words(w).cast("long").alias("n_repeat_words")))
+        F.size(w).cast("long").alias("n_words"), _repeat_words(w).cast("long").alias("n_repeat_words")))
+    # signs, digits and capitals are counted in what remains without small letters and white space
+    rest = F.regexp_replace(t, r"[a-z\x20\x09-\x0D]+", "")
+    signs = let(rest, lambda z: F.struct(
+        _left(z, r"[^#*$%&|<>]+").cast("long").alias("n_symbols"), _left(z, r"\P{Lu}+").alias("n_upper"),
+        _left(z, r"[^0-9]+").alias("n_digits"), _left(z, r"[^!]+").alias("n_exclaim"), _left(z, r"[^|]+").alias("n_bars")))
     lines = let(F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")),
                 lambda x: F.struct(F.size(x).alias("n_lines"),
                                    (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines")))
     return F.struct(
         of_words.alias("words"), lines.alias("lines"),
-        _left(t, SEPARATORS).cast("long").alias("word_chars"),
-        _left(t, r"[^#*$%&|<>]+").cast("long").alias("n_symbols"),
-        _left(t, r"\P{Lu}+").alias("n_upper"), _left(t, r"[^0-9]+").alias("n_digits"),
-        _left(t, r"[^!]+").alias("n_exclaim"), _left(t, r"[^|]+").alias("n_bars"))
+        signs.alias("signs"), _left(t, SEPARATORS).cast("long").alias("word_chars"))
 
 
 def with_statistics(docs: DataFrame) -> DataFrame:
@@ -83,13 +96,13 @@ def with_statistics(docs: DataFrame) -> DataFrame:
     n = F.greatest(s["words"]["n_words"], F.lit(1)).cast("double")
     n_words, repeats = s["words"]["n_words"], s["words"]["n_repeat_words"]
     return docs.withColumn(STATS, statistics(F.col("text"))).withColumn(STATS, F.struct(
-        n_words.alias("n_words"), s["word_chars"].alias("word_chars"), s["n_symbols"].alias("n_symbols"),
+        n_words.alias("n_words"), s["word_chars"].alias("word_chars"), s["signs"]["n_symbols"].alias("n_symbols"),
         s["lines"]["n_dup_lines"].alias("n_dup_lines"), repeats.alias("n_repeat_words"),
         ((n_words < 50) | (100 * repeats > 50 * n_words)).alias("base_failed"),
-        F.array(n_words.cast("double"), chars / n, s["n_symbols"] / chars, s["n_upper"] / chars,
-                s["n_exclaim"] / chars, s["n_bars"] / chars, s["n_digits"] / chars,
+        F.array(n_words.cast("double"), chars / n, s["signs"]["n_symbols"] / chars, s["signs"]["n_upper"] / chars,
+                s["signs"]["n_exclaim"] / chars, s["signs"]["n_bars"] / chars, s["signs"]["n_digits"] / chars,
                 s["lines"]["n_dup_lines"] / F.greatest(s["lines"]["n_lines"], F.lit(1)),
-                repeats / n, s["words"]["distinct"] / n).alias("features")))
+                repeats / n).alias("features")))
 
 
 @dataclass(frozen=True)

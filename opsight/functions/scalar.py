@@ -44,24 +44,27 @@ def pct(numer: ColumnOrName, denom: ColumnOrName) -> Column:
     return _c(numer).cast("double") / F.nullif(_c(denom).cast("double"), F.lit(0.0)) * F.lit(100.0)
 
 
-def growth_pct(current: ColumnOrName, previous: ColumnOrName) -> Column:
-    """(current - previous) / previous * 100, NULL when previous is 0 or NULL."""
-    cur, prev = _c(current), _c(previous)
-    return (cur - prev) / F.nullif(prev, F.lit(0.0)) * F.lit(100.0)
+def _exactly(col: Column, precision: str) -> tuple[Column, Column]:
+    """The column as a decimal, and whether every value of the group is exactly that decimal."""
+    dec = col.try_cast(precision)
+    lost = F.count_if(col.isNotNull() & (dec.isNull() | (dec.cast("double") != col.cast("double"))))
+    return dec, lost == 0
 
 
 def exact_sum(c: ColumnOrName, precision: str = "decimal(38,10)") -> Column:
-    """Sum as an exact decimal (order-independent, like SQL NUMERIC), returned as
-    double; NULL if a value or the sum does not fit ``precision``."""
-    return F.try_sum(_c(c).try_cast(precision)).cast("double")
+    """Sum as double, taken from an exact decimal sum (order-independent, like SQL NUMERIC) when every
+    value is such a decimal; else the sum of doubles."""
+    col = _c(c)
+    dec, whole = _exactly(col, precision)
+    return F.coalesce(F.when(whole, F.try_sum(dec).cast("double")), F.sum(col.cast("double")))
 
 
-def exact_avg(c: ColumnOrName) -> Column:
-    """Mean from :func:`exact_sum`; falls back to the double mean when the
-    decimal sum overflows. Exact decimal means round the same way in every
-    engine, whatever the partitioning."""
+def exact_avg(c: ColumnOrName, precision: str = "decimal(38,10)") -> Column:
+    """Mean with the sum of :func:`exact_sum`: values that are no such decimal (too small, too large,
+    infinite) give the mean of doubles, so none is lost."""
     col = _c(c)
-    return F.coalesce(exact_sum(col) / F.count(col).cast("double"), F.avg(col.cast("double")))
+    dec, whole = _exactly(col, precision)
+    return F.coalesce(F.when(whole, F.try_sum(dec).cast("double") / F.count(col).cast("double")), F.avg(col.cast("double")))
 
 
 def clip(c: ColumnOrName, lower=None, upper=None) -> Column:
@@ -75,14 +78,14 @@ def clip(c: ColumnOrName, lower=None, upper=None) -> Column:
     return F.when(col.isNull(), F.lit(None)).otherwise(out)
 
 
-# Whitespace class of the reference's string cleaning (Python ``str.strip`` and
-# regex ``\s``): space, tab, newline, carriage return, vertical tab, form feed.
-_WS = r"[ \t\n\r\x0B\f]"
+# White space as Python's ``str.strip`` and ``\\s`` see it: Java's Unicode class, and the four separators
+# (file, group, record, unit) that only Python counts.
+_WS = r"(?U)[\s\x1C-\x1F]"
 
 
 def strip_ws(c: ColumnOrName) -> Column:
     """Remove leading/trailing whitespace of every kind (``F.trim`` only removes spaces)."""
-    return F.regexp_replace(_c(c), rf"^{_WS}+|{_WS}+$", "")
+    return F.regexp_replace(_c(c), rf"{_WS}+$|^{_WS}+", "")
 
 
 def collapse_ws(c: ColumnOrName) -> Column:

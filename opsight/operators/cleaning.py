@@ -8,10 +8,12 @@ Design rules
   quartiles, means) are computed for **all** columns in one aggregate; the
   result is one row, so bringing it to the driver is bounded by the column
   count, never by the data.
-* Key-based deduplication is a hash aggregate (``groupBy(keys)`` with
-  ``min``/``max`` of a struct), not a window: partial aggregation combines a
-  hot key map-side before the shuffle, so one key holding a third of the rows
-  costs no more than any other key.
+* Key-based deduplication is an aggregate (``groupBy(keys)`` with ``min``/``max``
+  of a struct; sorted, as the struct holds text), not a window: partial
+  aggregation combines a hot key map-side before the shuffle, so one key
+  holding a third of the rows costs no more than any other key.
+* NaN is missing, as in pandas: the null, fill and outlier operators see it as
+  NULL.
 
 Intentional deviations from the pandas original: a bool target is really
 cast; NULL is not counted as a changed value in standardisation; the outlier
@@ -27,8 +29,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opsight.functions.scalar import clip, collapse_ws, strip_ws
+from opsight.operators.ranks import column_modes, column_percentiles
 
-# Reference type names -> Spark types.
+# Type names of an expected schema.
 TYPE_NAMES = {
     "int": T.LongType(),
     "float": T.DoubleType(),
@@ -61,7 +64,7 @@ def _to_timestamp(c: Column, formats: Sequence[str]) -> Column:
     return F.coalesce(*parsed).cast("timestamp_ntz")
 
 
-def _coercion_exprs(df: DataFrame, expected: dict[str, str],
+def coercion_exprs(df: DataFrame, expected: dict[str, str],
                     date_formats: Sequence[str]) -> dict[str, Column]:
     """Column -> cast expression, for columns whose type must change."""
     out: dict[str, Column] = {}
@@ -82,19 +85,29 @@ def _coercion_exprs(df: DataFrame, expected: dict[str, str],
             if isinstance(types[name], T.StringType):
                 src = strip_ws(src)
             expr = src.try_cast(target)
+            if isinstance(target, T.LongType) and isinstance(types[name], T.StringType):
+                expr = F.coalesce(expr, _whole_number(src))
         out[name] = expr
     return out
 
 
+def _whole_number(text: Column) -> Column:
+    """Decimal or exponent text as a whole number: '12.0' and '1e3' exactly, a fraction cut towards zero
+    (as pandas' nullable integers after rounding down); what is no number or too large is NULL."""
+    exact = text.try_cast("decimal(38,18)")
+    return F.coalesce(exact.try_cast("long"), text.try_cast("double").try_cast("long"))
+
+
 def coerce_types(df: DataFrame, expected: dict[str, str],
                  date_formats: Sequence[str] = DEFAULT_DATE_FORMATS) -> tuple[DataFrame, list[str]]:
     """Cast columns to the expected types; a value that cannot be cast becomes NULL.
 
     Returns the new frame and the columns whose type changed. Text is parsed
     as ISO timestamps / dates by ``date_formats`` in order; numbers may carry
-    surrounding whitespace.
+    surrounding whitespace, and whole numbers may be written as '12.0' or '1e3'
+    (a fraction is cut towards zero).
     """
-    exprs = _coercion_exprs(df, expected, date_formats)
+    exprs = coercion_exprs(df, expected, date_formats)
     cols = [exprs[c].alias(c) if c in exprs else F.col(c) for c in df.columns]
     return df.select(*cols), [c for c in df.columns if c in exprs]
 
@@ -102,7 +115,7 @@ def coerce_types(df: DataFrame, expected: dict[str, str],
 def coercion_losses(df: DataFrame, expected: dict[str, str],
                     date_formats: Sequence[str] = DEFAULT_DATE_FORMATS) -> dict[str, int]:
     """Per coerced column, non-NULL values of ``df`` that the cast turns into NULL (one aggregate)."""
-    exprs = _coercion_exprs(df, expected, date_formats)
+    exprs = coercion_exprs(df, expected, date_formats)
     if not exprs:
         return {}
     names = list(exprs)
@@ -151,11 +164,11 @@ def dedup_by_key(df: DataFrame, subset: Sequence[str] | None = None, keep: str |
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str, int]:
     """NULL (and NaN) count per column in one aggregate."""
     cols = list(columns or df.columns)
-    row = df.agg(*[F.count_if(_is_missing(df, c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    row = df.agg(*[F.count_if(is_missing(df, c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
     return {c: int(row[f"n{i}"]) for i, c in enumerate(cols)}
 
 
-def _is_missing(df: DataFrame, c: str) -> Column:
+def is_missing(df: DataFrame, c: str) -> Column:
     dtype = df.schema[c].dataType
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         return F.col(c).isNull() | F.isnan(F.col(c))
@@ -174,7 +187,7 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 
 def drop_null_rows(df: DataFrame) -> DataFrame:
-    """Drop rows with any NULL."""
+    """Drop rows with any NULL or NaN."""
     return df.na.drop(how="any")
 
 
@@ -182,6 +195,7 @@ def fill_custom(df: DataFrame, fills: dict | None) -> DataFrame:
     """Fill NULLs with given per-column values; unknown columns are ignored."""
     if not fills:
         return df
+    df = nan_to_null(df)
     known = {k: v for k, v in fills.items() if k in df.columns}
     exprs = []
     for f in df.schema.fields:
@@ -196,7 +210,7 @@ def columns_over_null_share(df: DataFrame, threshold: float = 0.5) -> list[str]:
     """Columns whose NULL share is strictly above ``threshold``."""
     cols = df.columns
     row = df.agg(F.count(F.lit(1)).alias("__n"),
-                 *[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+                 *[F.count_if(is_missing(df, c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
     n = row["__n"]
     if not n:
         return []
@@ -204,18 +218,12 @@ def columns_over_null_share(df: DataFrame, threshold: float = 0.5) -> list[str]:
 
 
 def fill_values_smart(df: DataFrame) -> dict[str, object]:
-    """Median of every numeric column and lowest-mode of every other column,
-    for columns that contain NULLs; one aggregate (C9, C10)."""
-    nums = set(numeric_columns(df))
-    exprs = []
-    for i, c in enumerate(df.columns):
-        exprs.append(F.count_if(F.col(c).isNull()).alias(f"z{i}"))
-        if c in nums:
-            exprs.append(F.percentile(F.col(c), 0.5).alias(f"v{i}"))
-        else:
-            exprs.append(F.mode(F.col(c), True).alias(f"v{i}"))
-    row = df.agg(*exprs).first()
-    return {c: row[f"v{i}"] for i, c in enumerate(df.columns) if row[f"z{i}"] and row[f"v{i}"] is not None}
+    """Median of every numeric column and lowest mode of every other column, for columns that contain
+    NULL or NaN (C9, C10). Medians come from distributed ranks, modes from grouped counts."""
+    lacking = [c for c, n in null_counts(df).items() if n] if df.columns else []
+    nums = [c for c in lacking if c in set(numeric_columns(df))]
+    medians = {c: q[0] for c, q in column_percentiles(df, nums, [0.5]).items()}
+    return medians | column_modes(df, [c for c in lacking if c not in nums])
 
 
 def fill_smart(df: DataFrame, drop_threshold: float = 0.5) -> tuple[DataFrame, list[str], dict]:
@@ -225,6 +233,7 @@ def fill_smart(df: DataFrame, drop_threshold: float = 0.5) -> tuple[DataFrame, l
     Integral columns receive the median cast to their own type, so the schema
     does not change.
     """
+    df = nan_to_null(df)
     dropped = columns_over_null_share(df, drop_threshold)
     kept = df.drop(*dropped) if dropped else df
     values = fill_values_smart(kept)
@@ -240,43 +249,36 @@ def fill_smart(df: DataFrame, drop_threshold: float = 0.5) -> tuple[DataFrame, l
 # --------------------------------------------------------------------- C11
 def outlier_bounds(df: DataFrame, columns: Sequence[str], method: str = "iqr",
                    k_iqr: float = 1.5, k_sigma: float = 3.0) -> dict[str, tuple[float, float]]:
-    """Lower/upper outlier bounds per column from one aggregate.
+    """Lower/upper outlier bounds per column.
 
     ``iqr``: Q1 - 1.5·IQR, Q3 + 1.5·IQR with linear-interpolated quartiles;
-    ``zscore``: mean ± 3·sample std. NULLs are ignored. Columns with no
-    non-NULL value get ``(None, None)``.
+    ``zscore``: mean ± 3·sample std. NULL and NaN are ignored. Columns with no
+    other value get ``(None, None)``.
     """
+    if method not in ("iqr", "zscore"):
+        raise ValueError("method must be 'iqr' or 'zscore'")
+    out: dict[str, tuple] = {c: (None, None) for c in columns}
     if not columns:
-        return {}
-    exprs = []
+        return out
+    if method == "iqr":
+        for c, (q1, q3) in column_percentiles(df, columns, [0.25, 0.75]).items():
+            out[c] = (q1 - k_iqr * (q3 - q1), q3 + k_iqr * (q3 - q1))
+        return out
+    clean = nan_to_null(df.select(*columns))
+    row = clean.agg(*[e for i, c in enumerate(columns)
+                      for e in (F.avg(c).alias(f"m{i}"), F.stddev_samp(c).alias(f"s{i}"))]).first()
     for i, c in enumerate(columns):
-        if method == "iqr":
-            exprs.append(F.percentile(F.col(c), F.array(F.lit(0.25), F.lit(0.75))).alias(f"q{i}"))
-        elif method == "zscore":
-            exprs += [F.avg(c).alias(f"m{i}"), F.stddev_samp(c).alias(f"s{i}")]
-        else:
-            raise ValueError("method must be 'iqr' or 'zscore'")
-    row = df.agg(*exprs).first()
-    out = {}
-    for i, c in enumerate(columns):
-        if method == "iqr":
-            q = row[f"q{i}"]
-            if q is None:
-                out[c] = (None, None)
-                continue
-            q1, q3 = q
-            iqr = q3 - q1
-            out[c] = (q1 - k_iqr * iqr, q3 + k_iqr * iqr)
-        else:
-            m, s = row[f"m{i}"], row[f"s{i}"]
-            out[c] = (None, None) if m is None or s is None else (m - k_sigma * s, m + k_sigma * s)
+        m, s = row[f"m{i}"], row[f"s{i}"]
+        if m is not None and s is not None:
+            out[c] = (m - k_sigma * s, m + k_sigma * s)
     return out
 
 
 def _outside(c: str, lo, hi) -> Column:
     if lo is None:
         return F.lit(False)
-    return (F.col(c) < F.lit(lo)) | (F.col(c) > F.lit(hi))
+    x = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))  # NaN is missing, not above every bound
+    return (x < F.lit(lo)) | (x > F.lit(hi))
 
 
 def treat_outliers(df: DataFrame, columns: Sequence[str] | None = None, method: str = "iqr",
@@ -298,14 +300,17 @@ def treat_outliers(df: DataFrame, columns: Sequence[str] | None = None, method:
             cur = cur.filter(~F.coalesce(_outside(c, *b), F.lit(False)))
         return cur, bounds
     bounds = outlier_bounds(df, cols, method)
+    return apply_bounds(df, bounds, treatment), bounds
+
+
+def apply_bounds(df: DataFrame, bounds: dict[str, tuple], treatment: str) -> DataFrame:
+    """Cap values to known bounds, or flag those outside (one projection)."""
     if treatment == "cap":
-        exprs = [clip(f, F.lit(bounds[f][0]), F.lit(bounds[f][1])).cast(df.schema[f].dataType).alias(f)
-                 if f in bounds and bounds[f][0] is not None else F.col(f) for f in df.columns]
-        return df.select(*exprs), bounds
+        return df.select(*[clip(f, F.lit(bounds[f][0]), F.lit(bounds[f][1])).cast(df.schema[f].dataType).alias(f)
+                           if f in bounds and bounds[f][0] is not None else F.col(f) for f in df.columns])
     if treatment == "flag":
-        flags = [F.coalesce(_outside(c, *bounds[c]), F.lit(False)).cast("int").alias(f"{c}_outlier")
-                 for c in cols]
-        return df.select("*", *flags), bounds
+        return df.select("*", *[F.coalesce(_outside(c, *b), F.lit(False)).cast("int").alias(f"{c}_outlier")
+                                for c, b in bounds.items()])
     raise ValueError("treatment must be 'cap', 'remove' or 'flag'")
 
 

@@ -1,15 +1,12 @@
-"""Per-series unit-root test and ARIMA forecasts.
-
-Spark groups the rows of each series (``groupBy(keys).applyInPandas``); one
-series is one pandas frame in one task, and many series run in parallel.
-Inside a task the work is a few small NumPy least-squares problems whose size
-is the series length, never the table size.
-
-ARIMA here is a conditional-sum-of-squares fit: Hannan-Rissanen start,
-reflection of MA roots into the invertible region, then a damped
-Gauss-Newton refinement that only accepts steps keeping the model stationary
-and invertible. It is not the exact state-space likelihood; AIC is the
-conditional one.
+"""Per-series unit-root test and ARIMA forecasts from Gram sums.
+
+Lags, differences and residuals are window columns; the products that least squares needs are summed by
+Spark for each series (partial aggregation), and only the solution of the small normal equations runs
+in Python, on one row for each series. Rows of a series stay spread over Spark's stages; no task holds a
+series as a Python object.
+
+ARIMA is fitted in two regressions (Hannan and Rissanen): a long autoregression gives residuals, then the
+series is regressed on its own lags and on those residuals. AIC and sigma are of the second regression.
 """
 
 from __future__ import annotations
@@ -19,8 +16,9 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from opsight.functions.distributions import normal_cdf
 
@@ -41,7 +39,6 @@ ADF_CRIT_C = {
 Z_975 = 1.959963984540054
 
 
-# ---------------------------------------------------------------- ADF
 def adf_pvalue(stat: float) -> float:
     if stat > ADF_TAU_MAX_C:
         return 1.0
@@ -55,257 +52,215 @@ def adf_critical_values(nobs: int) -> dict[str, float]:
     return {k: b[0] + b[1] / nobs + b[2] / nobs ** 2 + b[3] / nobs ** 3 for k, b in ADF_CRIT_C.items()}
 
 
-def _ols(y: np.ndarray, x: np.ndarray):
-    beta, *_ = np.linalg.lstsq(x, y, rcond=None)
-    resid = y - x @ beta
-    return beta, resid
+# ---------------------------------------------------------------- Gram sums
+def _series(keys: Sequence[str]):
+    return Window.partitionBy(*keys) if keys else Window.partitionBy()
 
 
-def _adf_design(x: np.ndarray, lags: int, nobs: int | None = None):
-    """Rows t: Δx_t on [x_{t-1}, Δx_{t-1..t-lags}, 1]; last ``nobs`` usable rows."""
-    dx = np.diff(x)
-    avail = len(dx) - lags
-    nobs = avail if nobs is None else nobs
-    rows = np.arange(len(dx) - nobs, len(dx))
-    cols = [x[rows]]  # level x_{t-1} for Δx_t = x_{t+1} - x_t  (index shift)
-    for k in range(1, lags + 1):
-        cols.append(dx[rows - k])
-    cols.append(np.ones(nobs))
-    return dx[rows], np.column_stack(cols)
+def gram_sums(names: Sequence[str]) -> Column:
+    """Sums of all products of the columns ``names`` (upper triangle by rows); NULL counts as 0."""
+    return F.array(*[F.sum(F.coalesce(F.col(a) * F.col(b), F.lit(0.0)))
+                     for i, a in enumerate(names) for b in names[i:]])
 
 
-def adf_test(values: Sequence[float], maxlag: int | None = None) -> dict:
-    """Augmented Dickey-Fuller with a constant and AIC lag choice.
+def _square(flat: Sequence[float]) -> np.ndarray:
+    """The symmetric matrix of :func:`gram_sums`; column 0 is the target."""
+    size = int((math.isqrt(8 * len(flat) + 1) - 1) / 2)
+    full = np.zeros((size, size))
+    full[np.triu_indices(size)] = flat
+    return full + np.triu(full, 1).T
 
-    All lag lengths 0..maxlag are compared on the common sample, the best one
-    is refitted on its own full sample (as in the usual implementation).
-    """
-    x = np.asarray(values, dtype=float)
-    n = len(x)
-    if maxlag is None:
-        maxlag = int(math.ceil(12.0 * (n / 100.0) ** 0.25))
-        maxlag = min(n // 2 - 2, maxlag)
-    if maxlag < 0 or n < 6:
-        return {"adf_statistic": float("nan"), "p_value": float("nan"), "used_lag": -1, "nobs": 0}
-    common = len(x) - 1 - maxlag
-    best, best_aic = 0, math.inf
-    for lag in range(0, maxlag + 1):
-        y, xx = _adf_design(x, lag, common)
-        _, r = _ols(y, xx)
-        ssr = float(r @ r)
-        k = xx.shape[1]
-        llf = -common / 2.0 * (math.log(2 * math.pi) + math.log(ssr / common) + 1)
-        aic = -2 * llf + 2 * k
-        if aic < best_aic:
-            best, best_aic = lag, aic
-    y, xx = _adf_design(x, best)
-    beta, r = _ols(y, xx)
-    nobs, k = xx.shape
-    sigma2 = float(r @ r) / (nobs - k)
-    cov = sigma2 * np.linalg.pinv(xx.T @ xx)
-    stat = float(beta[0] / math.sqrt(cov[0, 0]))
-    crit = adf_critical_values(nobs)
-    p = adf_pvalue(stat)
-    return {"adf_statistic": stat, "p_value": p, "used_lag": int(best), "nobs": int(nobs),
-            "crit_1pct": crit["1%"], "crit_5pct": crit["5%"], "crit_10pct": crit["10%"],
-            "stationary": bool(p < 0.05)}
-
-
-ADF_SCHEMA = ("adf_statistic double, p_value double, used_lag int, nobs int, crit_1pct double, "
-              "crit_5pct double, crit_10pct double, stationary boolean")
-
-
-def adf(df: DataFrame, keys: Sequence[str], ts: str = "ts", value: str = "value") -> DataFrame:
-    """ADF test per series (J3): one row per key."""
-    keys = list(keys)
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*keys).schema.fields)
-    schema = (schema + ", " if schema else "") + ADF_SCHEMA
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(ts)
-        vals = pdf[value].dropna().to_numpy(dtype=float)
-        res = adf_test(vals)
-        row = {k: pdf[k].iloc[0] for k in keys}
-        row.update({c: res.get(c) for c in ["adf_statistic", "p_value", "used_lag", "nobs", "crit_1pct",
-                                             "crit_5pct", "crit_10pct", "stationary"]})
-        return pd.DataFrame([row])
+def _solve(gram: np.ndarray, chosen: Sequence[int]) -> tuple[np.ndarray, float, np.ndarray]:
+    """Coefficients of target 0 on the chosen columns, residual sum of squares, inverse normal matrix."""
+    scale = np.sqrt(np.maximum(np.diag(gram)[list(chosen)], 1e-300))
+    normal = gram[np.ix_(chosen, chosen)] / np.outer(scale, scale)
+    inverse = np.linalg.pinv(normal, rcond=1e-13, hermitian=True) / np.outer(scale, scale)
+    beta = inverse @ gram[list(chosen), 0]
+    return beta, max(float(gram[0, 0] - beta @ gram[list(chosen), 0]), 0.0), inverse
+
 
-    src = df.select(*keys, ts, value)
-    if not keys:
-        return src.withColumn("__all", F.lit(0)).groupBy("__all").applyInPandas(run, ADF_SCHEMA)
-    return src.groupBy(*keys).applyInPandas(run, schema)
+# ---------------------------------------------------------------- ADF
+def _adf_columns(df: DataFrame, keys: Sequence[str], ts: str, value: str, most: int) -> DataFrame:
+    """Per row: place ``i`` and length ``n`` of the series, ``y`` = Δx, ``level`` = x before, and its lags ``d1..``."""
+    w = _series(keys)
+    o = w.orderBy(ts)
+    base = df.filter(F.col(value).isNotNull()).select(
+        *keys, F.row_number().over(o).alias("i"), F.count(F.lit(1)).over(w).alias("n"), F.col(ts).alias("__ts"),
+        (F.col(value).cast("double") - F.avg(F.col(value).cast("double")).over(w)).alias("x"))
+    o = w.orderBy("__ts")
+    base = base.withColumn("level", F.lag("x").over(o)).withColumn("y", F.col("x") - F.col("level"))
+    return base.select("*", F.lit(1.0).alias("one"), *[F.lag("y", k).over(o).alias(f"d{k}") for k in range(1, most + 1)])
+
+
+def _longest_lag(n: Column) -> Column:
+    """The usual longest lag for a series of ``n`` values; negative when it is too short."""
+    usual = F.least(F.ceil(F.lit(12.0) * F.pow(n / F.lit(100.0), F.lit(0.25))), F.floor(n / 2) - 2)
+    return F.when(n < 6, F.lit(-1)).otherwise(usual).cast("int")
+
+
+@F.pandas_udf(T.IntegerType())
+def _best_lag(gram: pd.Series, nobs: pd.Series, longest: pd.Series) -> pd.Series:
+    """The lag length with the lowest AIC on the common sample."""
+    out = []
+    for flat, n, most in zip(gram, nobs, longest):
+        full, found = _square(flat), (math.inf, 0)
+        for lag in range(int(most) + 1):
+            _, ssr, _ = _solve(full, [1, 2, *range(3, 3 + lag)])
+            if ssr > 0 and n > 0:
+                found = min(found, (n * math.log(ssr / n) + 2 * (lag + 2), lag))
+        out.append(found[1])
+    return pd.Series(out, dtype="int32")
+
+
+_ADF_RESULT = T.StructType([
+    T.StructField("adf_statistic", T.DoubleType()), T.StructField("p_value", T.DoubleType()),
+    T.StructField("used_lag", T.IntegerType()), T.StructField("nobs", T.IntegerType()),
+    *[T.StructField(f"crit_{k}pct", T.DoubleType()) for k in (1, 5, 10)], T.StructField("stationary", T.BooleanType())])
+
+
+@F.pandas_udf(_ADF_RESULT)
+def _adf_result(gram: pd.Series, nobs: pd.Series, lag: pd.Series) -> pd.DataFrame:
+    rows = []
+    for flat, n, used in zip(gram, nobs, lag):
+        chosen = [1, 2, *range(3, 3 + int(used))]
+        free = int(n) - len(chosen)
+        stat = math.nan
+        if free > 0:
+            beta, ssr, inverse = _solve(_square(flat), chosen)
+            spread = ssr / free * inverse[0, 0]
+            stat = float(beta[0] / math.sqrt(spread)) if spread > 0 else math.nan
+        crit = adf_critical_values(int(n)) if n else dict.fromkeys(ADF_CRIT_C, math.nan)
+        p = adf_pvalue(stat) if not math.isnan(stat) else math.nan
+        rows.append((stat, p, int(used), int(n), crit["1%"], crit["5%"], crit["10%"], p < 0.05))
+    return pd.DataFrame(rows, columns=_ADF_RESULT.names)
+
+
+def adf(df: DataFrame, keys: Sequence[str], ts: str = "ts", value: str = "value", maxlag: int | None = None) -> DataFrame:
+    """Augmented Dickey-Fuller test with a constant for each series (J3); lag length by AIC up to ``maxlag``.
+
+    All lengths are compared on the sample of the longest, and the best is refitted on its own. With
+    ``maxlag=0`` this is the plain Dickey-Fuller regression. Series of fewer than six values are left out.
+    """
+    keys = list(keys)
+    sizes = df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    most = maxlag if maxlag is not None else int(sizes.agg(F.max(_longest_lag(F.col("n")))).first()[0] or 0)
+    most = max(most, 0)
+    longest = _longest_lag(F.col("n"))
+    longest = F.when(longest >= 0, F.least(longest, F.lit(maxlag))) if maxlag is not None else longest
+    rows = _adf_columns(df, keys, ts, value, most).withColumn("longest", longest).filter("longest >= 0")
+    names = ["y", "level", "one", *[f"d{k}" for k in range(1, most + 1)]]
+    common = (rows.filter("i >= longest + 2").groupBy(*keys, "longest")
+              .agg(gram_sums(names).alias("gram"), F.count(F.lit(1)).alias("nobs")))
+    best = common.select(*[F.col(k).alias(f"__{k}") for k in keys], _best_lag("gram", "nobs", "longest").alias("lag"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    full = (rows.join(best, same).filter("i >= lag + 2").groupBy(*keys, "lag")
+            .agg(gram_sums(names).alias("gram"), F.count(F.lit(1)).alias("nobs")))
+    return full.select(*keys, _adf_result("gram", "nobs", "lag").alias("r")).select(*keys, "r.*")
 
 
 # ---------------------------------------------------------------- ARIMA
-def _ma_residuals(w: np.ndarray, phi: np.ndarray, theta: np.ndarray) -> np.ndarray:
-    p, q = len(phi), len(theta)
-    e = np.zeros(len(w))
-    for t in range(len(w)):
-        ar = sum(phi[i] * w[t - 1 - i] for i in range(p) if t - 1 - i >= 0)
-        ma = sum(theta[j] * e[t - 1 - j] for j in range(q) if t - 1 - j >= 0)
-        e[t] = w[t] - ar - ma
-    return e
-
-
-def _roots_ok(coef: np.ndarray, sign: float) -> bool:
-    """All roots of 1 + sign·(c1 z + c2 z² + …) outside the unit circle."""
-    if len(coef) == 0 or not np.any(coef):
-        return True
-    poly = np.r_[1.0, sign * coef]
-    roots = np.roots(poly[::-1])
-    return bool(np.all(np.abs(roots) > 1.0 + 1e-8))
-
-
-def _reflect_ma(theta: np.ndarray) -> np.ndarray:
-    """Replace MA roots inside the unit circle by their reciprocals (same autocovariance shape)."""
-    if len(theta) == 0:
-        return theta
-    poly = np.r_[1.0, theta]
-    roots = np.roots(poly[::-1])
-    roots = np.where(np.abs(roots) < 1.0, 1.0 / np.conj(roots), roots)
-    rebuilt = np.real(np.poly(roots))[::-1]
-    rebuilt = rebuilt / rebuilt[0]
-    return rebuilt[1:len(theta) + 1]
-
-
-def _hannan_rissanen(w: np.ndarray, p: int, q: int) -> tuple[np.ndarray, np.ndarray]:
-    n = len(w)
-    m = min(max(p + q + 5, 10), max(n // 4, p + q + 1))
-    if q == 0:
-        x = np.column_stack([w[m - i - 1:n - i - 1] for i in range(p)]) if p else np.zeros((n - m, 0))
-        phi = _ols(w[m:], x)[0] if p else np.zeros(0)
-        return phi, np.zeros(0)
-    xa = np.column_stack([w[m - i - 1:n - i - 1] for i in range(m)])
-    a, _ = _ols(w[m:], xa)
-    ehat = np.zeros(n)
-    ehat[m:] = w[m:] - xa @ a
-    start = m + max(p, q)
-    cols = [w[start - i - 1:n - i - 1] for i in range(p)] + [ehat[start - j - 1:n - j - 1] for j in range(q)]
-    beta, _ = _ols(w[start:], np.column_stack(cols))
-    return beta[:p], beta[p:]
-
-
-def fit_arma_css(w: np.ndarray, p: int, q: int, max_iter: int = 50) -> dict:
-    """Conditional least squares ARMA(p, q) without constant on a (differenced) series."""
-    phi, theta = _hannan_rissanen(w, p, q)
-    if not _roots_ok(phi, -1.0):
-        phi = phi * 0.5
-    theta = _reflect_ma(theta)
-    params = np.r_[phi, theta]
-
-    def sse(par):
-        e = _ma_residuals(w, par[:p], par[p:])
-        return float(e @ e), e
-
-    def admissible(par):
-        return _roots_ok(par[:p], -1.0) and _roots_ok(par[p:], 1.0)
-
-    cur, e = sse(params)
-    for _ in range(max_iter):
-        if len(params) == 0:
-            break
-        jac = np.empty((len(w), len(params)))
-        for k in range(len(params)):
-            h = 1e-6 * max(1.0, abs(params[k]))
-            step = params.copy()
-            step[k] += h
-            jac[:, k] = (sse(step)[1] - e) / h
-        delta, *_ = np.linalg.lstsq(jac, -e, rcond=None)
-        lam, accepted = 1.0, False
-        while lam > 1e-4:
-            trial = params + lam * delta
-            if admissible(trial):
-                val, te = sse(trial)
-                if val < cur:
-                    params, cur, e, accepted = trial, val, te, True
-                    break
-            lam /= 2
-        if not accepted or np.max(np.abs(lam * delta)) < 1e-8:
-            break
-    n = len(w)
-    sigma2 = cur / n
-    k = p + q + 1
-    aic = n * (math.log(2 * math.pi * sigma2) + 1) + 2 * k
-    return {"phi": params[:p], "theta": params[p:], "sigma2": sigma2, "aic": aic, "resid": e}
-
-
-def _psi_weights(phi_full: np.ndarray, theta: np.ndarray, h: int) -> np.ndarray:
-    psi = np.zeros(h)
-    psi[0] = 1.0
-    for j in range(1, h):
-        val = theta[j - 1] if j - 1 < len(theta) else 0.0
-        for i in range(1, min(j, len(phi_full)) + 1):
-            val += phi_full[i - 1] * psi[j - i]
-        psi[j] = val
-    return psi
-
-
-def arima_forecast(values: Sequence[float], order: tuple[int, int, int] = (2, 1, 2), steps: int = 90) -> dict:
-    """Fit ARIMA(p, d, q) by CSS and forecast ``steps`` ahead with 95 % bands."""
-    p, d, q = order
-    y = np.asarray(values, dtype=float)
-    w = np.diff(y, n=d) if d else y.copy()
-    fit = fit_arma_css(w, p, q)
-    phi, theta, e = fit["phi"], fit["theta"], fit["resid"]
-    hist_w, hist_e = list(w), list(e)
-    fc_w = []
-    for h in range(steps):
-        ar = sum(phi[i] * hist_w[-1 - i] for i in range(p))
-        ma = sum(theta[j] * hist_e[-1 - j] for j in range(q) if j < len(hist_e))
-        val = ar + ma
-        fc_w.append(val)
-        hist_w.append(val)
-        hist_e.append(0.0)
-    fc = np.asarray(fc_w)
-    # integrate back d times using the last observed levels
-    levels = [y]
-    for _ in range(d):
-        levels.append(np.diff(levels[-1]))
-    for k in range(d, 0, -1):
-        fc = levels[k - 1][-1] + np.cumsum(fc)
-    # psi weights of phi(B)(1-B)^d
-    poly = np.r_[1.0, -phi]
-    for _ in range(d):
-        poly = np.convolve(poly, [1.0, -1.0])
-    phi_full = -poly[1:]
-    psi = _psi_weights(phi_full, theta, steps)
-    se = np.sqrt(fit["sigma2"] * np.cumsum(psi ** 2))
-    return {"forecast": fc, "lower_95": fc - Z_975 * se, "upper_95": fc + Z_975 * se,
-            "aic": fit["aic"], "phi": phi, "theta": theta, "sigma2": fit["sigma2"]}
-
-
-FORECAST_FIELDS = "ts date, step int, forecast double, lower_95 double, upper_95 double, aic double"
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
+def _coefficients(gram: pd.Series) -> pd.Series:
+    return pd.Series([_solve(_square(g), range(1, _square(g).shape[0]))[0].tolist() for g in gram])
+
+
+def _inside(poly: np.ndarray) -> np.ndarray:
+    """Coefficients c of 1 - c1 z - c2 z^2 ... with the roots moved outside the unit circle if needed."""
+    if not len(poly) or not np.any(poly):
+        return poly
+    largest = float(np.abs(np.roots(np.r_[1.0, -poly])).max())
+    return poly if largest < 0.999 else poly * (0.999 / largest) ** np.arange(1, len(poly) + 1)
+
+
+def _forecast(p: int, d: int, q: int, steps: int):
+    fields = "step int, forecast double, lower_95 double, upper_95 double, aic double"
+
+    @F.pandas_udf(f"array<struct<{fields.replace(' int', ':int').replace(' double', ':double')}>>")
+    def run(gram: pd.Series, nobs: pd.Series, recent: pd.Series, levels: pd.Series) -> pd.Series:
+        out = []
+        for flat, n, last, tops in zip(gram, nobs, recent, levels):
+            beta, ssr, _ = _solve(_square(flat), range(1, 1 + p + q + (d == 0)))
+            phi, theta = _inside(beta[:p]), -_inside(-beta[p:p + q])
+            constant = float(beta[p + q]) if d == 0 else 0.0
+            w = [r["w"] for r in last]
+            e = [r["e"] or 0.0 for r in last]
+            ahead = []
+            for _ in range(steps):
+                value = constant + sum(phi[k] * w[-1 - k] for k in range(p)) + sum(theta[k] * e[-1 - k] for k in range(q))
+                ahead.append(value)
+                w.append(value)
+                e.append(0.0)
+            path = np.array(ahead)
+            for top in list(tops)[::-1]:  # undo the differences, the last one first
+                path = top + np.cumsum(path)
+            whole = np.r_[1.0, -phi]
+            for _ in range(d):
+                whole = np.convolve(whole, [1.0, -1.0])
+            psi = np.zeros(steps)
+            psi[0] = 1.0
+            for k in range(1, steps):
+                psi[k] = (theta[k - 1] if k <= q else 0.0) - sum(whole[j] * psi[k - j] for j in range(1, min(k, len(whole) - 1) + 1))
+            sigma2 = ssr / max(n, 1)
+            wide = Z_975 * np.sqrt(sigma2 * np.cumsum(psi ** 2))
+            aic = float(n * (math.log(2 * math.pi * sigma2) + 1) + 2 * (p + q + 1)) if sigma2 > 0 else math.nan
+            out.append([(k + 1, float(f), float(f - s), float(f + s), aic) for k, (f, s) in enumerate(zip(path, wide))])
+        return pd.Series(out)
+    return run
 
 
 def arima(df: DataFrame, keys: Sequence[str], ts: str = "ts", value: str = "value",
-          order: tuple[int, int, int] = (2, 1, 2), steps: int = 90) -> DataFrame:
-    """Per-series ARIMA forecast rows ``(keys, ts, step, forecast, lower_95, upper_95, aic)``.
+          order: tuple[int, int, int] = (2, 1, 2), steps: int = 90, long_lags: int = 12) -> DataFrame:
+    """ARIMA(p, d, q) forecasts ``(keys, ts, step, forecast, lower_95, upper_95, aic)``.
 
-    Forecast days follow the last day of each series. ``ts`` must be a DATE column.
+    Forecast days follow the last day of each series; ``ts`` must be a DATE column. Roots of the fitted
+    polynomials are moved just outside the unit circle where the regression puts them on or inside it.
     """
+    p, d, q = order
+    keys = list(keys)
+    o = _series(keys).orderBy("__ts")
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(ts).alias("__ts"), F.col(value).cast("double").alias("l0"))
+    for k in range(d):
+        rows = rows.withColumn(f"l{k + 1}", F.col(f"l{k}") - F.lag(f"l{k}").over(o))
+    rows = rows.withColumnRenamed(f"l{d}", "w").withColumn("i", F.row_number().over(o))
+    long_lags = max(long_lags, p + q)
+    lagged = rows.select("*", F.lit(1.0).alias("one"), *[F.lag("w", k).over(o).alias(f"w{k}") for k in range(1, long_lags + 1)])
+    names = ["w", *[f"w{k}" for k in range(1, long_lags + 1)], "one"]
+    fit = (lagged.filter(F.col("i") > d + long_lags).groupBy(*keys).agg(gram_sums(names).alias("gram"))
+           .select(*[F.col(k).alias(f"__{k}") for k in keys], _coefficients("gram").alias("c")))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    fitted = F.lit(0.0)
+    for k, name in enumerate(names[1:]):
+        fitted = fitted + F.get("c", F.lit(k)) * F.col(name)
+    known = lagged.join(fit, same).withColumn("e", F.when(F.col("i") > d + long_lags, F.col("w") - fitted))
+    second = known.select("*", *[F.lag("e", k).over(o).alias(f"e{k}") for k in range(1, q + 1)])
+    names = ["w", *[f"w{k}" for k in range(1, p + 1)], *[f"e{k}" for k in range(1, q + 1)], *(["one"] if d == 0 else [])]
+    tail = max(p, q, 1)
+    kept = F.struct("i", "w", "e")
+    ends = second.withColumn("__left", F.count(F.lit(1)).over(_series(keys)) - F.col("i"))
+    sums = (ends.groupBy(*keys).agg(
+        gram_sums_when(names, F.col("i") > d + long_lags + q).alias("gram"),
+        F.count_if(F.col("i") > d + long_lags + q).alias("nobs"), F.max("__ts").alias("__last"),
+        F.sort_array(F.collect_list(F.when(F.col("__left") < tail, kept))).alias("recent"),  # a few rows
+        F.array(*[F.max_by(f"l{k}", "i") for k in range(d)]).cast("array<double>").alias("levels")).filter("nobs > 0"))
+    out = sums.select(*keys, "__last", F.explode(_forecast(p, d, q, steps)("gram", "nobs", "recent", "levels")).alias("f"))
+    return out.select(*keys, F.date_add("__last", F.col("f.step")).alias(ts), "f.step", "f.forecast", "f.lower_95",
+                      "f.upper_95", "f.aic")
+
+
+def gram_sums_when(names: Sequence[str], chosen: Column) -> Column:
+    """:func:`gram_sums` over the chosen rows."""
+    return F.array(*[F.sum(F.when(chosen, F.col(a) * F.col(b)).otherwise(F.lit(0.0)))
+                     for i, a in enumerate(names) for b in names[i:]])
+
+
+def naive(df: DataFrame, keys: Sequence[str], ts: str = "ts", value: str = "value", steps: int = 30) -> DataFrame:
+    """The last value of each series carried forward: ``(keys, ts, step, forecast)``; ``ts`` is a DATE."""
     keys = list(keys)
-    src = df.select(*keys, ts, value)
-    if not keys:
-        src = src.withColumn("__all", F.lit(0))
-        keys_g = ["__all"]
-    else:
-        keys_g = keys
-    kschema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in src.select(*keys_g).schema.fields)
-    schema = f"{kschema}, {FORECAST_FIELDS}"
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(ts)
-        vals = pdf[value].to_numpy(dtype=float)
-        res = arima_forecast(vals, order, steps)
-        last = pd.Timestamp(pdf[ts].iloc[-1])
-        out = pd.DataFrame({
-            ts: [(last + pd.Timedelta(days=i + 1)).date() for i in range(steps)],
-            "step": np.arange(1, steps + 1, dtype="int32"),
-            "forecast": res["forecast"], "lower_95": res["lower_95"], "upper_95": res["upper_95"],
-            "aic": res["aic"]})
-        for k in keys_g:
-            out.insert(0, k, pdf[k].iloc[0])
-        return out[[*keys_g, ts, "step", "forecast", "lower_95", "upper_95", "aic"]]
-
-    out = src.groupBy(*keys_g).applyInPandas(run, schema)
-    return out.drop("__all") if not keys else out
+    last = df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(F.max(F.struct(F.col(ts).alias("t"), F.col(value).alias("v"))).alias("l"))
+    return last.select(*keys, F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("step"), "l").select(
+        *keys, F.date_add("l.t", F.col("step")).alias(ts), "step", F.col("l.v").cast("double").alias("forecast"))

@@ -8,16 +8,16 @@ models are Spark ML estimators trained on the cluster. Metrics take a
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opsight.operators.profile import average_rank, running_totals
+from opsight.session import shared_path
+from opsight.operators.ranks import average_rank, exact_percentiles, match, running_totals, unpivoted
 
 
 # ---------------------------------------------------------------- K1-K3
@@ -25,7 +25,7 @@ def engineer_features(df: DataFrame, tenure: str = "tenure_months", charges: str
                       total: str = "total_charges", tickets: str = "num_support_tickets") -> DataFrame:
     """Interaction and threshold features (K1). ``high_value_customer`` compares
     with the exact 75th percentile of ``charges`` (one-row frame joined back)."""
-    q = df.agg(F.percentile(F.col(charges).cast("double"), 0.75).alias("__q75"))
+    q = exact_percentiles(unpivoted(df, [charges]), [], [0.75]).select(F.col("q")[0].alias("__q75"))
     t1 = F.greatest(F.col(tenure), F.lit(1)).cast("double")
     return df.crossJoin(F.broadcast(q)).select(
         *df.columns,
@@ -37,37 +37,58 @@ def engineer_features(df: DataFrame, tenure: str = "tenure_months", charges: str
     )
 
 
-def one_hot(df: DataFrame, columns: Sequence[str], drop_first: bool = True) -> DataFrame:
+def one_hot(df: DataFrame, columns: Sequence[str], drop_first: bool = True, most: int = 1000) -> DataFrame:
     """0/1 indicator columns ``{col}_{level}`` per category level, the
     alphabetically first level dropped (K2). NULL gives all zeros.
 
-    Levels are read with one ``collect_set`` aggregate (categorical columns:
-    bounded by their cardinality, not by the row count).
+    Levels are the distinct values, read in one grouped pass. A column with more than ``most`` levels is
+    no category and raises, before its levels reach the driver.
     """
     cols = list(columns)
     if not cols:
         return df
-    row = df.agg(*[F.sort_array(F.collect_set(F.col(c).cast("string"))).alias(c) for c in cols]).first()
+    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols])).alias("p"))
+    found: dict[str, list[str]] = {c: [] for c in cols}
+    for r in pairs.select("p.*").filter("v is not null").distinct().limit(most * len(cols) + 1).collect():
+        found[r["c"]].append(r["v"])
     out = []
     for c in cols:
-        levels = list(row[c])
+        levels = sorted(found[c])
+        if len(levels) > most or sum(map(len, found.values())) > most * len(cols):
+            raise ValueError(f"more than {most} levels in {cols}")
         keep = levels[1:] if drop_first else levels
         out += [F.coalesce((F.col(c).cast("string") == F.lit(v)).cast("int"), F.lit(0)).alias(f"{c}_{v}")
                 for v in keep]
     return df.select(*[x for x in df.columns if x not in cols], *out)
 
 
-def stratified_split(df: DataFrame, label: str, id_col: str, test_fraction: float = 0.2,
-                     seed: int = 42) -> DataFrame:
-    """Add ``is_test``: each row goes to the test side when its seeded hash
-    falls under ``test_fraction`` (K3).
+def stratified_order(df: DataFrame, label: str, id_col: str, seed: int = 42) -> DataFrame:
+    """Add ``__place`` (1-based rank of a seeded md5 of the id within the label) and ``__size`` (rows of the label).
 
-    The same hash threshold applies inside every label class, so each class is
-    split in the same proportion (exact in expectation); no shuffle, repeatable
-    for a seed, and independent of partitioning.
+    Ranks come from range partitions with running totals, so no label's rows meet in one task. Rows with
+    one id share their place.
     """
-    bucket = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(1_000_000))
-    return df.withColumn("is_test", bucket < F.lit(int(round(test_fraction * 1_000_000))))
+    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string")))
+    keyed = df.withColumn("__key", key)
+    ranked = running_totals(keyed.select(F.col(label).alias("__label"), "__key", F.lit(1).alias("__one")),
+                            ["__label", "__key"], ["__one"])
+    heads = ranked.groupBy("__label").agg(F.min(F.col("cum___one") - F.col("__one")).alias("__start"), F.sum("__one").alias("__size"))
+    places = match(ranked, heads, ["__label"]).select(
+        F.col("__label").alias(label), "__key", (F.col("cum___one") - F.col("__one") + 1 - F.col("__start")).alias("__place"), "__size")
+    return match(keyed, places, [label, "__key"]).drop("__key")
+
+
+def stratified_split(df: DataFrame, label: str, id_col: str, test_fraction: float = 0.2,
+                     seed: int = 42, folds: int | None = None) -> DataFrame:
+    """Add ``is_test``: of each class the rows of the lowest seeded hash, ``test_fraction`` of the class
+    rounded to whole rows (K3). With ``folds`` the training rows get ``fold`` in turn, so folds are
+    stratified too (K11)."""
+    ordered = stratified_order(df, label, id_col, seed)
+    n_test = F.round(F.col("__size") * F.lit(test_fraction)).cast("long")
+    out = ordered.withColumn("is_test", F.col("__place") <= n_test)
+    if folds:
+        out = out.withColumn("fold", F.when(~F.col("is_test"), ((F.col("__place") - n_test - 1) % folds).cast("int")))
+    return out.drop("__place", "__size")
 
 
 # ---------------------------------------------------------------- K8-K13
@@ -98,7 +119,7 @@ def roc_curve(scored: DataFrame, label: str = "label", score: str = "score") ->
     s = scored.select(F.col(score).cast("double").alias("threshold"),
                       (F.col(label) == 1).cast("long").alias("pos"), (F.col(label) == 0).cast("long").alias("neg"))
     tot = s.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N_"))
-    cum = running_totals(s, "threshold", ["pos", "neg"], descending=True)
+    cum = running_totals(s, ["threshold"], ["pos", "neg"], descending=True)
     return cum.crossJoin(F.broadcast(tot)).select(
         "threshold", (F.col("cum_neg") / F.col("N_")).alias("fpr"), (F.col("cum_pos") / F.col("P")).alias("tpr"))
 
@@ -140,91 +161,105 @@ def classification_report(scored: DataFrame, label: str = "label", prediction: s
 
 
 # ---------------------------------------------------------------- K4-K7, K11, K14, K15
-def _models(n_train_hint: int | None, seed: int):
+def _models(n_train: int, seed: int, trees: int = 100, rounds: int = 100):
     return {
         # C = 1 in the original's objective (sum of losses + ||w||²/2) is
         # regParam = 1 / n_train in Spark's mean-loss objective.
-        "Logistic Regression": LogisticRegression(maxIter=1000, regParam=1.0 / max(n_train_hint or 1, 1),
+        "Logistic Regression": LogisticRegression(maxIter=1000, regParam=1.0 / max(n_train, 1),
                                                   elasticNetParam=0.0, standardization=False, tol=1e-10,
                                                   featuresCol="scaled"),
-        "Random Forest": RandomForestClassifier(numTrees=100, maxDepth=10, seed=seed, featuresCol="features"),
-        "Gradient Boosted Trees": GBTClassifier(maxIter=100, seed=seed, featuresCol="features"),
+        "Random Forest": RandomForestClassifier(numTrees=trees, maxDepth=10, seed=seed, featuresCol="features"),
+        "Gradient Boosted Trees": GBTClassifier(maxIter=rounds, seed=seed, featuresCol="features"),
     }
 
 
-def _fit_score(est, train: DataFrame, test: DataFrame, features: list[str], label: str):
-    assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
-    scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
-    est = est.copy().setLabelCol(label)
-    model = Pipeline(stages=[assembler, scaler, est]).fit(train)
-    pred = model.transform(test).select(
-        F.col(label).cast("int").alias("label"),
-        vector_to_array("probability")[1].alias("score"),
-        F.col("prediction").cast("int").alias("prediction"))
-    return model, pred
+def assembled(df: DataFrame, features: Sequence[str], label: str, extra: Sequence[str] = ()) -> DataFrame:
+    """``(label, features, extra...)`` with the feature vector, as a written table: every fit reads it
+    without recomputing the features."""
+    vector = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
+    rows = vector.transform(df).select(F.col(label).cast("double").alias("label"), "features", *extra)
+    path = shared_path(df.sparkSession, "features")
+    rows.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def fit_model(est, train: DataFrame):
+    """The scaler (K4) and the estimator, fitted on ``train(label, features)``; trees take the raw features.
+
+    The fitted model is saved and loaded again: a fresh model keeps a training summary, which holds the
+    session, and a plan that scores with it cannot be sent to the executors once any frame is cached.
+    """
+    scaled = est.getFeaturesCol() == "scaled"
+    scaler = [StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)] if scaled else []
+    path = shared_path(train.sparkSession, "model")
+    Pipeline(stages=[*scaler, est]).fit(train).write().overwrite().save(path)
+    return PipelineModel.load(path)
+
+
+def score_model(model, rows: DataFrame) -> DataFrame:
+    """``(label, score, prediction)`` of the rows."""
+    return model.transform(rows).select(F.col("label").cast("int").alias("label"), vector_to_array("probability")[1].alias("score"),
+                                        F.col("prediction").cast("int").alias("prediction"))
 
 
 def compare_models(df: DataFrame, features: Sequence[str], label: str = "churn", id_col: str = "customer_id",
                    folds: int = 5, seed: int = 42, models: Sequence[str] | None = None,
-                   parallelism: int = 6) -> tuple[DataFrame, dict]:
-    """Train each model on a stratified 80 % split, score the 20 % test side
-    and report accuracy, F1, AUC and k-fold CV AUC (mean, population std) (K15).
+                   trees: int = 100, rounds: int = 100) -> tuple[DataFrame, dict]:
+    """Train each model on a stratified 80 % split, score the 20 % test side and report accuracy, F1, AUC
+    and k-fold CV AUC (mean, population std), with split sizes and label rates (K15).
 
-    The scaler is fitted inside each fit (train part or CV fold), not on the
-    whole frame before folding. Returns the comparison frame and the fitted
-    models by name (for feature importances, K14).
+    The scaler is fitted inside each fit (train part or CV fold), not on the whole frame before folding.
+    Fits run one after another on one written feature table. Returns the comparison frame and a dict of
+    the fitted models, the name of the best (by AUC) and the scored test rows of each.
     """
     feats = list(features)
-    split = stratified_split(df, label, id_col, 0.2, seed).persist()
-    train, test = split.filter(~F.col("is_test")), split.filter(F.col("is_test"))
-    n_train = train.count()
-    chosen = _models(n_train, seed)
-    if models is not None:
-        chosen = {k: v for k, v in chosen.items() if k in models}
-    fold = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed + 1)), F.lit(folds))
-    train_f = train.withColumn("__fold", fold).persist()
     spark = df.sparkSession
-
-    def holdout(name, est):
-        model, pred = _fit_score(est, train, test, feats, label)
-        af = accuracy_f1(pred).first()
-        return model, float(af["accuracy"]), float(af["f1"]), float(roc_auc(pred).first()["auc"])
-
-    def cv_auc(name, est, k):
-        tr = train_f.filter(F.col("__fold") != k)
-        va = train_f.filter(F.col("__fold") == k)
-        if name.startswith("Logistic"):
-            est = est.copy().setRegParam(1.0 / max(tr.count(), 1))
-        _, p = _fit_score(est, tr, va, feats, label)
-        return roc_auc(p).first()["auc"]
-
-    # Fits are independent Spark jobs: submit them concurrently so small
-    # fits share the cluster instead of queueing (the scheduler interleaves).
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        hold = {n: pool.submit(holdout, n, e) for n, e in chosen.items()}
-        cvs = {n: [pool.submit(cv_auc, n, e, k) for k in range(folds)] for n, e in chosen.items()}
-        rows, fitted = [], {}
-        for name in chosen:
-            model, acc, f1, auc = hold[name].result()
-            fitted[name] = model
-            cv = [f.result() for f in cvs[name]]
-            mean = sum(cv) / len(cv)
-            std = (sum((v - mean) ** 2 for v in cv) / len(cv)) ** 0.5
-            rows.append((name, acc, f1, auc, float(mean), float(std)))
-    train_f.unpersist()
-    best = max(rows, key=lambda r: r[3])[0] if rows else None
+    table = assembled(stratified_split(df, label, id_col, 0.2, seed, folds), feats, label, ["is_test", "fold"]).persist()
+    try:
+        counts = {r["is_test"]: r for r in table.groupBy("is_test").agg(
+            F.count(F.lit(1)).alias("n"), F.avg("label").alias("rate")).collect()}
+        sizes = [counts[k]["n"] if k in counts else 0 for k in (False, True)]
+        rates = [float(counts[k]["rate"]) if k in counts else None for k in (False, True)]
+        train, test = table.filter("not is_test").drop("is_test"), table.filter("is_test").drop("is_test", "fold")
+        rows, fitted, scored = [], {}, {}
+        for name, est in _models(sizes[0], seed, trees, rounds).items():
+            if models is not None and name not in models:
+                continue
+            aucs = []
+            for k in range(folds):
+                part = train.filter(F.col("fold") != k)
+                own = est.copy().setRegParam(1.0 / max(part.count(), 1)) if est.getFeaturesCol() == "scaled" else est
+                aucs.append(roc_auc(score_model(fit_model(own, part), train.filter(F.col("fold") == k))).first()["auc"])
+            fitted[name] = fit_model(est, train)
+            path = shared_path(spark, "scored")
+            score_model(fitted[name], test).write.mode("overwrite").parquet(path)
+            scored[name] = spark.read.parquet(path)
+            af, auc = accuracy_f1(scored[name]).first(), roc_auc(scored[name]).first()["auc"]
+            known = [v for v in aucs if v is not None]
+            mean = sum(known) / len(known) if known else None
+            std = (sum((v - mean) ** 2 for v in known) / len(known)) ** 0.5 if known else None
+            rows.append((name, af["accuracy"], af["f1"], auc, mean, std))
+    finally:
+        table.unpersist()
+    best = max(rows, key=lambda r: -1.0 if r[3] is None else r[3])[0] if rows else None
     out = spark.createDataFrame(
-        [(*r, r[0] == best) for r in rows],
+        [(*r, *sizes, *rates, r[0] == best) for r in rows],
         "model string, accuracy double, f1 double, auc double, cv_auc_mean double, cv_auc_std double, "
-        "is_best boolean")
-    split.unpersist()
-    return out, fitted
+        "train_rows long, test_rows long, train_rate double, test_rate double, is_best boolean")
+    return out, {"models": fitted, "best": best, "scored": scored}
+
+
+def evaluate_best(outcome: dict, features: Sequence[str]) -> dict[str, DataFrame]:
+    """ROC points, confusion matrix, report and importances of the best fitted model."""
+    scored = outcome["scored"][outcome["best"]]
+    rows = feature_importances(outcome["models"][outcome["best"]], features)
+    return {"roc": roc_curve(scored), "confusion": confusion_matrix(scored), "report": classification_report(scored),
+            "importances": scored.sparkSession.createDataFrame(rows, "feature string, importance double")}
 
 
 def feature_importances(model, features: Sequence[str], top: int = 15) -> list[tuple[str, float]]:
-    """Top ``top`` feature importances of a fitted tree pipeline."""
-    tree = model.stages[-1]
-    if not hasattr(tree, "featureImportances"):
-        return []
-    imp = tree.featureImportances.toArray()
+    """Top ``top`` importances of a fitted model (K14): of trees their own, of a linear model the absolute
+    coefficients of the scaled features."""
+    last = model.stages[-1]
+    imp = last.featureImportances.toArray() if hasattr(last, "featureImportances") else abs(last.coefficients.toArray())
     return sorted(zip(features, map(float, imp)), key=lambda t: -t[1])[:top]

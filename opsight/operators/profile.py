@@ -12,11 +12,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opsight.session import ensure_checkpoint_dir
+from opsight.functions.scalar import exact_avg
+from opsight.operators.cleaning import nan_to_null
+from opsight.operators.ranks import average_rank, exact_percentiles, running_totals, unpivoted
 
 
 def _numeric(df: DataFrame) -> list[str]:
@@ -35,19 +37,11 @@ def corrected_kurtosis(g2: Column, n: Column) -> Column:
     return F.when(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6))
 
 
-def exact_mean(c: Column) -> Column:
-    """Mean from an exact decimal sum (no summation-order error), falling back
-    to the double mean when a value or the sum does not fit decimal(38,10)."""
-    dec = F.try_sum(c.try_cast("decimal(38,10)"))
-    return F.coalesce(dec.cast("double") / F.count(c).cast("double"), F.avg(c.cast("double")))
-
-
 def distinct_counts(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
     """``(column, unique_count)`` for each column, NULLs not counted.
 
-    Exact counts unpivot the columns to ``(column, value-as-text)`` pairs and
-    count distinct pairs per column: one shuffle of partially de-duplicated
-    pairs, instead of one Expand copy of every row per distinct aggregate.
+    Exact counts group each column on its typed value (0.0 and -0.0 are one value, as in SQL): for each
+    type one unpivoted pass of ``(column, value)``, partially de-duplicated before its shuffle.
     """
     cols = list(columns)
     if not exact:
@@ -55,10 +49,15 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], exact: bool = True) -
         return row.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"),
                                                        F.col(f"u{i}").cast("long").alias("unique_count"))
                                               for i, c in enumerate(cols)])).alias("u")).select("u.*")
-    pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("v")) for c in cols])).alias("p")) \
-        .select("p.*").filter(F.col("v").isNotNull()).distinct()
-    counted = pairs.groupBy("column").agg(F.count(F.lit(1)).cast("long").alias("unique_count"))
+    by_type: dict[str, list[str]] = {}
+    for c in cols:
+        by_type.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
+    counted = None
+    for names in by_type.values():
+        pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("v")) for c in names])).alias("p"))
+        part = (pairs.select("p.*").filter(F.col("v").isNotNull()).groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
+                .groupBy("column").agg(F.count(F.lit(1)).cast("long").alias("unique_count")))
+        counted = part if counted is None else counted.unionByName(part)
     names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
     return names.join(counted, "column", "left").select(
         "column", F.coalesce("unique_count", F.lit(0).cast("long")).alias("unique_count"))
@@ -68,14 +67,15 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, exact_distinct:
             exact_median: bool = True) -> DataFrame:
     """One row per column: dtype, non-NULL, NULL, NULL %, distinct values,
     duplicate rows of the whole frame, and for numeric columns mean, median,
-    sample std, corrected skewness and kurtosis (E12). The mean is taken from
-    an exact decimal sum where it fits.
+    sample std, corrected skewness and kurtosis (E12). NaN counts as NULL, as in
+    pandas. The mean is taken from an exact decimal sum where it fits.
 
-    Three single-pass aggregates: moments and medians of all columns (one
-    row), distinct counts (:func:`distinct_counts`) and duplicate rows.
-    ``exact_distinct=False`` switches to HyperLogLog and ``exact_median=False``
-    to ``percentile_approx`` for very wide or high-cardinality profiles.
+    Moments come from one aggregate, medians from distributed ranks
+    (:func:`~opsight.operators.ranks.exact_percentiles`), distinct counts and
+    duplicate rows from grouped passes. ``exact_distinct=False`` switches to
+    HyperLogLog and ``exact_median=False`` to ``percentile_approx``.
     """
+    df = nan_to_null(df)
     cols = list(columns or df.columns)
     nums = set(_numeric(df))
     dtypes = {f.name: f.dataType.simpleString() for f in df.schema.fields}
@@ -85,8 +85,7 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, exact_distinct:
         exprs.append(F.count(col).alias(f"nn{i}"))
         if c in nums:
             x = col.cast("double")
-            med = F.percentile(x, 0.5) if exact_median else F.percentile_approx(x, 0.5, 10000)
-            exprs += [exact_mean(col).alias(f"m{i}"), med.alias(f"md{i}"), F.stddev_samp(x).alias(f"s{i}"),
+            exprs += [exact_avg(col).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
                       F.skewness(x).alias(f"g1{i}"), F.kurtosis(x).alias(f"g2{i}")]
     stats = df.agg(*exprs)
     dups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n")) \
@@ -105,28 +104,37 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, exact_distinct:
             .alias("null_pct"),
             F.col("duplicate_rows"),
             (F.col(f"m{i}") if num else none).alias("mean"),
-            (F.col(f"md{i}") if num else none).alias("median"),
             (F.col(f"s{i}") if num else none).alias("std"),
             (corrected_skewness(F.col(f"g1{i}"), nn) if num else none).alias("skewness"),
             (corrected_kurtosis(F.col(f"g2{i}"), nn) if num else none).alias("kurtosis"),
         ))
     long = wide.select(F.explode(F.array(*entries)).alias("p")).select("p.*")
+    long = long.join(_medians(df, [c for c in cols if c in nums], exact_median), "column", "left")
     uniq = distinct_counts(df, cols, exact_distinct)
     return long.join(uniq, "column").select(
         "column", "dtype", "non_null_count", "null_count", "null_pct", "unique_count", "duplicate_rows",
         "mean", "median", "std", "skewness", "kurtosis")
 
 
+def _medians(df: DataFrame, cols: Sequence[str], exact: bool) -> DataFrame:
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column string, median double")
+    long = unpivoted(df, cols)
+    if exact:
+        return exact_percentiles(long, ["column"], [0.5]).select("column", F.col("q")[0].alias("median"))
+    return long.groupBy("column").agg(F.percentile_approx("value", 0.5, 10000).alias("median"))
+
+
 def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 30,
-              by: str | None = None, max_columns: int = 12) -> DataFrame:
-    """Equal-width histogram per numeric column (first ``max_columns``).
+              by: str | None = None) -> DataFrame:
+    """Equal-width histogram of every numeric column, or of the given ones.
 
     Bin i (1..bins) covers [lo + (i−1)·w, lo + i·w); the maximum falls in the
     last bin. With ``by`` the counts are split by that column (e.g. churned
     vs retained) on common edges. Columns are unpivoted and counted in one
     aggregate: only (column, bin[, by]) partial counts are shuffled.
     """
-    cols = list(columns or _numeric(df))[:max_columns]
+    cols = list(columns or _numeric(df))
     rng = df.agg(*[F.min(F.col(c).cast("double")).alias(f"lo{i}") for i, c in enumerate(cols)],
                  *[F.max(F.col(c).cast("double")).alias(f"hi{i}") for i, c in enumerate(cols)])
     longs = F.explode(F.array(*[
@@ -157,9 +165,11 @@ def outlier_summary(df: DataFrame, columns: Sequence[str] | None = None, method:
     counts; both are single aggregates over all columns.
     """
     cols = list(columns or _numeric(df))
+    df = nan_to_null(df)
     if method == "iqr":
-        st = df.agg(*[F.percentile(F.col(c).cast("double"), F.array(F.lit(0.25), F.lit(0.75))).alias(f"q{i}")
-                      for i, c in enumerate(cols)])
+        q = exact_percentiles(unpivoted(df, cols), ["column"], [0.25, 0.75])  # a row for each column
+        st = q.agg(*[F.first(F.when(F.col("column") == c, F.col("q")), ignorenulls=True).alias(f"q{i}")
+                     for i, c in enumerate(cols)])
         bounds = st.select(*[
             e for i, _ in enumerate(cols) for e in (
                 (F.col(f"q{i}")[0] - 1.5 * (F.col(f"q{i}")[1] - F.col(f"q{i}")[0])).alias(f"lo{i}"),
@@ -219,76 +229,91 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None,
 
     Pearson: k(k−1)/2 ``corr`` expressions in one aggregate; each pair uses
     the rows where both values are present. Spearman: Pearson of average
-    ranks, ranked per pair on the rows where both are present (see
-    :func:`average_rank`).
+    ranks; the columns of rows without missing values are ranked once each,
+    pairs that miss other rows are ranked on their own rows. Kendall: tau-b
+    (see :func:`kendall_tau`).
     """
+    df = nan_to_null(df)
     cols = list(columns or _numeric(df))
     pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
     if method == "pearson":
         row = df.agg(*[F.corr(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")).alias(f"r{i}_{j}")
                        for i, j in pairs])
-    elif method == "spearman":
-        parts = []
-        for i, j in pairs:
-            a, b = cols[i], cols[j]
-            both = df.select(F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b")) \
-                .filter(F.col("a").isNotNull() & F.col("b").isNotNull())
-            ranked = average_rank(average_rank(both, "a", "ra"), "b", "rb")
-            parts.append(ranked.agg(F.corr("ra", "rb").alias(f"r{i}_{j}")))
-        row = parts[0]
-        for p in parts[1:]:
-            row = row.crossJoin(p)
+    elif method in ("spearman", "kendall"):
+        return _rank_correlations(df, cols, pairs, method)
     else:
-        raise ValueError("method must be 'pearson' or 'spearman'")
+        raise ValueError("method must be 'pearson', 'spearman' or 'kendall'")
     entries = [F.struct(F.lit(cols[i]).alias("feature_1"), F.lit(cols[j]).alias("feature_2"),
                         F.col(f"r{i}_{j}").alias("correlation")) for i, j in pairs]
     return row.select(F.explode(F.array(*entries)).alias("c")).select("c.*")
 
 
+def _rank_correlations(df: DataFrame, cols: Sequence[str], pairs: list[tuple[int, int]], method: str) -> DataFrame:
+    """Spearman or Kendall rows for each pair of columns."""
+    typed = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    rows = []
+    if method == "kendall":
+        rows = [kendall_tau(typed, f"x{i}", f"x{j}").select(
+            F.lit(cols[i]).alias("feature_1"), F.lit(cols[j]).alias("feature_2"), F.col("tau").alias("correlation")) for i, j in pairs]
+    else:
+        missing = typed.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in typed.columns]).first()
+        whole = [i for i in range(len(cols)) if not missing[f"x{i}"]]
+        if len(whole) > 1:  # columns without missing values: one rank each serves all their pairs
+            ranked = typed.select(*[f"x{i}" for i in whole])
+            for i in whole:
+                ranked = average_rank(ranked, f"x{i}", f"r{i}")
+            one = ranked.agg(*[F.corr(f"r{i}", f"r{j}").alias(f"c{i}_{j}") for i, j in pairs if i in whole and j in whole])
+            entries = [F.struct(F.lit(cols[i]).alias("feature_1"), F.lit(cols[j]).alias("feature_2"),
+                                F.col(f"c{i}_{j}").alias("correlation")) for i, j in pairs if i in whole and j in whole]
+            rows.append(one.select(F.explode(F.array(*entries)).alias("c")).select("c.*"))
+        for i, j in pairs:
+            if i in whole and j in whole and len(whole) > 1:
+                continue
+            both = typed.select(F.col(f"x{i}").alias("a"), F.col(f"x{j}").alias("b")).dropna()
+            ranked = average_rank(average_rank(both, "a", "ra"), "b", "rb")
+            rows.append(ranked.agg(F.corr("ra", "rb").alias("correlation")).select(
+                F.lit(cols[i]).alias("feature_1"), F.lit(cols[j]).alias("feature_2"), "correlation"))
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
+
+
+def kendall_tau(df: DataFrame, x: str, y: str) -> DataFrame:
+    """Kendall's tau-b of two columns over the rows where both are present, as one row ``tau, n``.
+
+    Discordant pairs are the inversions of the y order among rows in x order. They are counted by
+    bits: both columns are replaced by dense ranks; two rows are inverted when, at the highest bit in
+    which their y ranks differ, the row with the larger x rank has a 0. So for each bit the rows are
+    grouped by the higher bits of y (one unpivoted pass of log2(n) rows for each cell), and a running
+    count of ones before each zero gives the inversions; equal x ranks are taken together. No pair of
+    rows is ever formed.
+    """
+    cells = (df.select(F.col(x).alias("x"), F.col(y).alias("y")).dropna()
+             .groupBy("x", "y").agg(F.count(F.lit(1)).alias("w")))
+    one = running_totals(cells.select("y", F.lit(1).alias("__n")).distinct(), ["y"], ["__n"], prefix="r_")
+    ranked = cells.join(one.select("y", F.col("r___n").alias("ry")), "y")
+    top = one.agg(F.max("r___n").alias("m"))
+    level = (ranked.join(F.broadcast(top)).withColumn("b", F.expr(
+        "transform(sequence(0, cast(floor(log2(m)) as int)), k -> struct(k as bit, shiftright(ry, k + 1) as above, "
+        "shiftright(ry, k) & 1 as one))")).select("x", "w", F.explode("b").alias("b"))
+        .select("x", "b.bit", "b.above", (F.col("w") * F.col("b.one")).alias("ones"), (F.col("w") * (1 - F.col("b.one"))).alias("zeros")))
+    order = ["bit", "above", "x"]
+    run = running_totals(level, order, ["ones", "zeros"], prefix="up_")
+    start = run.groupBy("bit", "above").agg(F.min(F.col("up_ones") - F.col("ones")).alias("base"))
+    inverted = (run.join(start, ["bit", "above"])
+                .agg(F.sum(F.col("zeros").cast("double") * (F.col("up_ones") - F.col("ones") - F.col("base"))).alias("d")))
+    square = lambda c: F.sum(F.col(c).cast("double") * (F.col(c) - 1) / 2)
+    total = cells.agg(F.sum("w").alias("n"), square("w").alias("txy"))
+    tx = cells.groupBy("x").agg(F.sum("w").alias("w")).agg(square("w").alias("tx"))
+    ty = cells.groupBy("y").agg(F.sum("w").alias("w")).agg(square("w").alias("ty"))
+    one_row = total.crossJoin(F.broadcast(tx)).crossJoin(F.broadcast(ty)).crossJoin(F.broadcast(inverted))
+    pairs = F.col("n").cast("double") * (F.col("n") - 1) / 2
+    d = F.coalesce("d", F.lit(0.0))
+    concordant = pairs - F.col("tx") - F.col("ty") + F.col("txy") - d
+    return one_row.select(F.try_divide(concordant - d, F.sqrt((pairs - F.col("tx")) * (pairs - F.col("ty")))).alias("tau"), "n")
+
+
 def high_correlations(matrix: DataFrame, threshold: float = 0.7) -> DataFrame:
     """Pairs with |r| ≥ threshold, compared unrounded."""
     return matrix.filter(F.abs(F.col("correlation")) >= threshold)
-
-
-def running_totals(df: DataFrame, order_col: str, cols: Sequence[str], descending: bool = False,
-                   prefix: str = "cum_") -> DataFrame:
-    """Running sums of ``cols`` over the global order of ``order_col`` (ties
-    share one value: RANGE semantics), one output row per input row.
-
-    Distributed without a single-partition window: the frame is
-    range-partitioned on ``order_col`` (equal values share a partition), a
-    partition-local running sum is added to the total of all earlier
-    partitions (one small row per partition, broadcast). The partition
-    assignment comes from sampling, so the local sums are checkpointed
-    (reliable, shared folder) before they are used twice.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    key = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    grouped = df.groupBy(order_col).agg(*[F.sum(c).alias(f"__s_{c}") for c in cols])
-    nparts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = grouped.repartitionByRange(nparts, key).withColumn("__p", F.spark_partition_id())
-    w = Window.partitionBy("__p").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
-    local = ranged.select("*", *[F.sum(f"__s_{c}").over(w).alias(f"__l_{c}") for c in cols]) \
-        .checkpoint(eager=True)
-    totals = local.groupBy("__p").agg(*[F.sum(f"__s_{c}").alias(f"__t_{c}") for c in cols])
-    before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("__p", *[F.coalesce(F.sum(f"__t_{c}").over(before), F.lit(0)).alias(f"__o_{c}")
-                                     for c in cols])
-    return local.join(F.broadcast(offsets), "__p").select(
-        order_col, *[F.col(f"__s_{c}").alias(c) for c in cols],
-        *[(F.col(f"__o_{c}") + F.col(f"__l_{c}")).alias(f"{prefix}{c}") for c in cols])
-
-
-def average_rank(df: DataFrame, col: str, out: str) -> DataFrame:
-    """Add the average (tie-averaged, 1-based) rank of ``col`` as ``out``.
-
-    Built on :func:`running_totals` over the value counts (no global
-    single-partition window); the per-value ranks are joined back on the
-    value (a hot value is one row on the rank side; AQE splits a skewed join
-    partition).
-    """
-    counts = df.select(col, F.lit(1).alias("__c"))
-    cum = running_totals(counts, col, ["__c"], prefix="__cum")
-    ranks = cum.select(col, (F.col("__cum__c") - F.col("__c") + 1 + (F.col("__c") - 1) / 2.0)
-                       .cast("double").alias(out))
-    return df.join(ranks, col)

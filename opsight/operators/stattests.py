@@ -16,12 +16,13 @@ Deviations from the pandas/SciPy original (on purpose):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsight.functions.distributions import (chi2_upper_p, f_upper_p, normal_two_sided_p,
                                              t_two_sided_p)
 from opsight.functions.scalar import effect_size_label, winner_label
+from opsight.operators.ranks import exact_percentiles
 
 
 def _pick(col: str, g: str, label) -> Column:
@@ -30,22 +31,26 @@ def _pick(col: str, g: str, label) -> Column:
 
 def _two_groups(df: DataFrame, value: str, group: str, a, b) -> DataFrame:
     return df.select(F.col(group).alias("g"), F.col(value).cast("double").alias("x")) \
-        .filter(F.col("g").isin(a, b) & F.col("x").isNotNull())
+        .filter(F.col("g").isin(a, b) & F.col("x").isNotNull() & ~F.isnan("x"))
 
 
 def group_moments(base: DataFrame) -> DataFrame:
-    """Per group ``g``: n, mean, sample variance, population skewness / excess
-    kurtosis and median of ``x`` (one aggregate, partial per map task)."""
+    """Per group ``g``: n, mean, sample variance, population skewness and excess
+    kurtosis of ``x`` (one aggregate, partial per map task)."""
     return base.groupBy("g").agg(
         F.count(F.lit(1)).alias("n"),
         F.avg("x").alias("mean"),
         F.var_samp("x").alias("var"),
         F.skewness("x").alias("g1"),
         F.kurtosis("x").alias("g2"),
-        F.percentile("x", 0.5).alias("median"),
     )
 
 
+def group_medians(base: DataFrame) -> DataFrame:
+    """``(g, median)`` from distributed ranks."""
+    return exact_percentiles(base, ["g"], [0.5], "x").select("g", F.col("q")[0].alias("median"))
+
+
 def levene_parts(base: DataFrame, medians: DataFrame) -> DataFrame:
     """Per group: n, mean and sample variance of |x − group median| (Brown-Forsythe).
 
@@ -75,20 +80,27 @@ def _levene_w(parts: DataFrame) -> DataFrame:
 
 
 def ttest_statistics(df: DataFrame, value: str, group: str, a, b,
-                     equal_var: bool | None = None, alpha: float = 0.05) -> DataFrame:
+                     equal_var: bool | None = None, alpha: float = 0.05, levene: bool = True) -> DataFrame:
     """Statistic part of the independent two-sample t-test.
 
     Pooled variance is used when ``equal_var`` is True, Welch when False, and
     when None the choice follows Levene's test (pooled iff p > alpha).
     Columns: n, mean, std per group, t_statistic, df (both variants resolved),
-    cohens_d, Levene W and p, Jarque-Bera per group.
+    cohens_d, Levene W and p, Jarque-Bera per group. ``levene=False`` leaves out Levene's
+    test (NULL columns) and its passes for the medians; the choice then needs ``equal_var``.
     """
+    if equal_var is None and not levene:
+        raise ValueError("the choice of the variance needs Levene's test or equal_var")
     base = _two_groups(df, value, group, a, b)
     mom = group_moments(base)
-    lev = _levene_w(levene_parts(base, mom))
     one = mom.agg(*[_pick(c, s, lab) for s, lab in (("a", a), ("b", b))
                     for c in ("n", "mean", "var", "g1", "g2")])
-    row = one.crossJoin(F.broadcast(lev))
+    if levene:
+        row = one.crossJoin(F.broadcast(_levene_w(levene_parts(base, group_medians(base)))))  # one row
+        row = row.withColumn("levene_p", f_upper_p("levene_w", "levene_d1", "levene_d2"))
+    else:
+        none = F.lit(None).cast("double")
+        row = one.withColumns({"levene_w": none, "levene_p": none})
     n1, n2 = F.col("n_a").cast("double"), F.col("n_b").cast("double")
     v1, v2 = F.col("var_a"), F.col("var_b")
     diff = F.col("mean_a") - F.col("mean_b")
@@ -100,7 +112,6 @@ def ttest_statistics(df: DataFrame, value: str, group: str, a, b,
     df_welch = F.try_divide((se1 + se2) ** 2,
                             F.try_divide(se1 ** 2, n1 - 1) + F.try_divide(se2 ** 2, n2 - 1))
     sd_pool = F.sqrt((v1 + v2) / 2)
-    row = row.withColumn("levene_p", f_upper_p("levene_w", "levene_d1", "levene_d2"))
     if equal_var is None:
         use_pooled = F.coalesce(F.col("levene_p") > F.lit(alpha), F.lit(False))
     else:
@@ -146,7 +157,8 @@ def paired_statistics(df: DataFrame, a: str, b: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"), F.avg(F.col("a") - F.col("b")).alias("mean_diff"),
              F.stddev_samp(F.col("a") - F.col("b")).alias("sd_diff"),
              F.avg("a").alias("group_a_mean"), F.avg("b").alias("group_b_mean"),
-             F.var_samp("a").alias("va"), F.var_samp("b").alias("vb"))
+             F.var_samp("a").alias("va"), F.var_samp("b").alias("vb"),
+             *[(F.count(F.lit(1)) / F.lit(6.0) * (F.skewness(c) ** 2 + F.kurtosis(c) ** 2 / 4)).alias(f"jb_{c}") for c in "ab"])
     sd_pool = F.sqrt((F.col("va") + F.col("vb")) / 2)
     return agg.select(
         F.col("n").cast("long").alias("n_pairs"), "group_a_mean", "group_b_mean", "mean_diff",
@@ -154,14 +166,25 @@ def paired_statistics(df: DataFrame, a: str, b: str) -> DataFrame:
         .alias("t_statistic"),
         (F.col("n") - 1).cast("double").alias("df"),
         F.when(sd_pool > 0, (F.col("group_a_mean") - F.col("group_b_mean")) / sd_pool)
-        .otherwise(F.lit(0.0)).alias("cohens_d"),
+        .otherwise(F.lit(0.0)).alias("cohens_d"), "jb_a", "jb_b",
     )
 
 
 def paired_ttest(df: DataFrame, a: str, b: str, alpha: float = 0.05) -> DataFrame:
+    """Full paired result: statistics, p-value, significance, effect size, Jarque-Bera normality of both
+    samples and Levene's equal-variance flag (I2)."""
     s = paired_statistics(df, a, b).withColumn("p_value", t_two_sided_p("t_statistic", "df"))
-    return s.select(F.lit("Paired t-test").alias("test"), "*", (F.col("p_value") < alpha).alias("significant"),
-                    effect_size_label("cohens_d").alias("effect_size"))
+    both = df.select(F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b")).dropna()
+    long = both.select(F.explode(F.array(*[F.struct(F.lit(c).alias("g"), F.col(c).alias("x")) for c in "ab"])).alias("v")).select("v.*")
+    w = _levene_w(levene_parts(long, group_medians(long)))
+    w = w.select("levene_w", f_upper_p("levene_w", "levene_d1", "levene_d2").alias("levene_p"))
+    s = s.crossJoin(F.broadcast(w))  # one row
+    return s.select(F.lit("Paired t-test").alias("test"), *[c for c in s.columns if not c.startswith("jb_")],
+                    F.lit(alpha).alias("alpha"), (F.col("p_value") < alpha).alias("significant"),
+                    effect_size_label("cohens_d").alias("effect_size"),
+                    ((F.exp(-F.col("jb_a") / 2) > alpha) & (F.exp(-F.col("jb_b") / 2) > alpha)).alias("normality_ok"),
+                    F.lit("jarque-bera").alias("normality_method"),
+                    (F.col("levene_p") > alpha).alias("equal_variance"))
 
 
 def anova_statistics(df: DataFrame, value: str, group: str) -> DataFrame:
@@ -185,10 +208,14 @@ def anova_statistics(df: DataFrame, value: str, group: str) -> DataFrame:
 
 
 def anova(df: DataFrame, value: str, group: str, alpha: float = 0.05) -> DataFrame:
+    """Full ANOVA result; ``group_means`` maps each group's text to its mean (one entry for each group)."""
     s = anova_statistics(df, value, group).withColumn(
         "p_value", f_upper_p("f_statistic", "df_between", "df_within"))
-    return s.select(F.lit("One-Way ANOVA").alias("test"), "f_statistic", "p_value",
-                    (F.col("p_value") < alpha).alias("significant"), "n_groups", "df_between", "df_within")
+    means = group_means(df, value, group).agg(F.map_from_entries(F.sort_array(F.collect_list(
+        F.struct(F.col(group).cast("string").alias("k"), F.col("mean").alias("v"))))).alias("group_means"))
+    s = s.crossJoin(F.broadcast(means))  # one row
+    return s.select(F.lit("One-Way ANOVA").alias("test"), "f_statistic", "p_value", F.lit(alpha).alias("alpha"),
+                    (F.col("p_value") < alpha).alias("significant"), "n_groups", "df_between", "df_within", "group_means")
 
 
 def group_means(df: DataFrame, value: str, group: str) -> DataFrame:
@@ -196,50 +223,45 @@ def group_means(df: DataFrame, value: str, group: str) -> DataFrame:
     return df.filter(F.col(group).isNotNull()).groupBy(group).agg(F.avg(value).alias("mean"))
 
 
+def contingency(df: DataFrame, a: str, b: str) -> DataFrame:
+    """Counts ``(a, b, n)`` of the value pairs without NULLs, long form."""
+    return (df.select(F.col(a).alias("a"), F.col(b).alias("b")).filter(F.col("a").isNotNull() & F.col("b").isNotNull())
+            .groupBy("a", "b").agg(F.count(F.lit(1)).cast("long").alias("n")))
+
+
 def chi_square_statistics(df: DataFrame, a: str, b: str, correction: bool = True) -> DataFrame:
     """Chi-square test of independence on the contingency of ``a`` × ``b``.
 
-    Uses Σ o²/e − n over the non-empty cells, so empty cells need no
-    enumeration. With one degree of freedom (a 2×2 table) and ``correction``
-    the Yates continuity correction applies to all four cells, as SciPy's
-    default does; the empty cells of that table are enumerated from the two
-    row and two column totals (at most 2 × 2 rows). Cramér's V uses the
+    One frame of cells carries its row and column totals, and Σ o²/e − n over the non-empty cells is the
+    statistic, so empty cells need no enumeration. With one degree of freedom (a 2×2 table) and
+    ``correction`` the Yates continuity correction applies, as SciPy's default does: all four cells then
+    deviate equally, and Σ 1/e over them is n (Σ 1/row total)(Σ 1/column total). Cramér's V uses the
     corrected statistic.
     """
-    cells = df.select(F.col(a).alias("ra"), F.col(b).alias("cb")) \
-        .filter(F.col("ra").isNotNull() & F.col("cb").isNotNull()) \
-        .groupBy("ra", "cb").agg(F.count(F.lit(1)).alias("o"))
-    rows = cells.groupBy("ra").agg(F.sum("o").alias("row_total"))
-    cols = cells.groupBy("cb").agg(F.sum("o").alias("col_total"))
-    meta = cells.agg(F.sum("o").alias("n")).crossJoin(
-        F.broadcast(rows.agg(F.count(F.lit(1)).alias("n_rows")))).crossJoin(
-        F.broadcast(cols.agg(F.count(F.lit(1)).alias("n_cols"))))
-    full = cells.join(rows, "ra").join(cols, "cb").crossJoin(F.broadcast(meta))
-    e = F.col("row_total").cast("double") * F.col("col_total").cast("double") / F.col("n").cast("double")
-    plain = full.agg(
-        F.first("n").alias("n"), F.first("n_rows").alias("n_rows"), F.first("n_cols").alias("n_cols"),
-        (F.sum(F.col("o").cast("double") ** 2 / e) - F.first("n").cast("double")).alias("chi2_plain"))
-    # Yates for the 2x2 case: all four cells from two row and two column totals.
-    # Both sides are filtered through the one-row `two` (empty unless r = c = 2),
-    # so the product below has at most 2 x 2 rows.
-    two = meta.filter((F.col("n_rows") == 2) & (F.col("n_cols") == 2))
-    rows2 = rows.crossJoin(F.broadcast(two.select("n")))
-    cols2 = cols.crossJoin(F.broadcast(two.select(F.lit(1).alias("one")))).drop("one")
-    grid = rows2.crossJoin(cols2) \
-        .join(cells, ["ra", "cb"], "left") \
-        .select(F.coalesce("o", F.lit(0)).cast("double").alias("o"), e.alias("e"))
-    dev = F.abs(F.col("e") - F.col("o"))
-    yates = grid.agg(F.sum((dev - F.least(F.lit(0.5), dev)) ** 2 / F.col("e")).alias("chi2_yates"))
-    out = plain.crossJoin(F.broadcast(yates))
+    cells = contingency(df, a, b).withColumnsRenamed({"a": "ra", "b": "cb", "n": "o"})
+    in_row, in_col = Window.partitionBy("ra"), Window.partitionBy("cb")
+    full = cells.withColumns({
+        "row_total": F.sum("o").over(in_row).cast("double"), "row_cells": F.count(F.lit(1)).over(in_row)}).withColumns({
+            "col_total": F.sum("o").over(in_col).cast("double"), "col_cells": F.count(F.lit(1)).over(in_col)})
+    by_total = F.col("row_total") * F.col("col_total")
+    sums = full.agg(
+        F.sum("o").alias("n"), F.sum(F.col("o").cast("double") ** 2 / by_total).alias("ratio"),
+        F.round(F.sum(F.lit(1.0) / F.col("row_cells"))).cast("long").alias("n_rows"),
+        F.round(F.sum(F.lit(1.0) / F.col("col_cells"))).cast("long").alias("n_cols"),
+        F.sum(F.lit(1.0) / F.col("row_cells") / F.col("row_total")).alias("row_inverse"),
+        F.sum(F.lit(1.0) / F.col("col_cells") / F.col("col_total")).alias("col_inverse"),
+        F.max(F.struct("o", by_total.alias("by_total"))).alias("cell"))
+    n = F.col("n").cast("double")
+    dev = F.abs(F.col("cell.o") - F.col("cell.by_total") / n)
+    yates = (dev - F.least(F.lit(0.5), dev)) ** 2 * n * F.col("row_inverse") * F.col("col_inverse")
     dof = (F.col("n_rows") - 1) * (F.col("n_cols") - 1)
-    chi2 = (F.when(dof == 0, F.lit(0.0))
-            .when((dof == 1) & F.lit(correction), F.col("chi2_yates"))
-            .otherwise(F.col("chi2_plain")))
+    out = sums.withColumn("dof", dof).withColumn("chi2", F.when(dof == 0, F.lit(0.0)).when(
+        (dof == 1) & F.lit(correction), yates).otherwise(n * F.col("ratio") - n))
     min_dim = F.least(F.col("n_rows"), F.col("n_cols")) - 1
     return out.select(
-        chi2.alias("chi2_statistic"), dof.cast("long").alias("degrees_of_freedom"),
+        F.col("chi2").alias("chi2_statistic"), F.col("dof").cast("long").alias("degrees_of_freedom"),
         F.col("n").cast("long").alias("n"),
-        F.when(min_dim > 0, F.sqrt(chi2 / (F.col("n") * min_dim))).otherwise(F.lit(0.0)).alias("cramers_v"))
+        F.when(min_dim > 0, F.sqrt(F.col("chi2") / (n * min_dim))).otherwise(F.lit(0.0)).alias("cramers_v"))
 
 
 def chi_square(df: DataFrame, a: str, b: str, alpha: float = 0.05, correction: bool = True) -> DataFrame:
@@ -281,7 +303,7 @@ def ab_test_proportion(df: DataFrame, success: str, arm: str, control, treatment
 
 def ab_continuous_statistics(df: DataFrame, value: str, arm: str, control, treatment) -> DataFrame:
     """Welch t (control − treatment) and lift of means (treatment vs control)."""
-    t = ttest_statistics(df, value, arm, control, treatment, equal_var=False)
+    t = ttest_statistics(df, value, arm, control, treatment, equal_var=False, levene=False)
     return t.select(
         F.col("group_a_mean").alias("control_mean"), F.col("group_b_mean").alias("treatment_mean"),
         F.when(F.col("group_a_mean") != 0,

@@ -12,7 +12,7 @@ import datetime as dt
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from opsight.functions.scalar import row_hash, strip_ws
@@ -66,38 +66,42 @@ class EtlJob:
         self.report: dict = {"timestamp": self.run_ts.isoformat(), "checks": []}
 
     def run(self, expected_schema: dict[str, str], schema=None) -> tuple[DataFrame, dict]:
+        """Run the job; returns the written partition and the report.
+
+        One pass deduplicates and persists the cleaned rows; source rows and lost values are observed on
+        the way, and NULL counts, score, row count and write read the persisted rows.
+        """
         raw = read_source(self.spark, self.source_path, schema)
         errors = []
         missing = C.missing_columns(raw, list(expected_schema))
         if missing:
             errors.append(f"Missing columns: {set(missing)}")
-        typed, _ = C.coerce_types(raw, expected_schema)
         self.report["checks"].append({"check": "schema_validation", "passed": not errors, "errors": errors})
-
-        strings = set(C.string_columns(typed))
-        deduped_lower = typed.distinct()
+        seen = Observation(f"etl_{uuid.uuid4().hex[:8]}")
+        lost = {f"lost_{i}": (c, e) for i, (c, e) in enumerate(C.coercion_exprs(raw, expected_schema, C.DEFAULT_DATE_FORMATS).items())}
+        observed = raw.observe(seen, F.count(F.lit(1)).alias("rows"), *[
+            F.count_if(F.col(c).isNotNull() & e.isNull()).alias(k) for k, (c, e) in lost.items()])
+        typed, _ = C.coerce_types(observed, expected_schema)
         cleaned = etl_clean(typed, self.source_key, self.run_ts).persist()
-
-        # One aggregate over the input for its size, one over the deduped
-        # frame for NULLs; the persisted result serves count, score and write.
-        source_rows = typed.count()
-        nulls = C.null_counts(deduped_lower.select(
-            *[F.lower(strip_ws(c)).alias(c) if c in strings else F.col(c) for c in deduped_lower.columns]))
-        out_rows = cleaned.count()
-        self.report["source_rows"] = source_rows
-        self.report["checks"].append({
-            "check": "cleaning",
-            "duplicates_removed": source_rows - out_rows,
-            "null_summary": {k: v for k, v in nulls.items() if v > 0},
-            "output_rows": out_rows,
-        })
-        score_row = etl_quality_score(cleaned).first()
-        self.report["quality_score"] = score_row["quality_score"]
-        self.report["completeness"] = score_row["completeness"]
-        self.report["uniqueness"] = score_row["uniqueness"]
-
-        output_path = write_zone(cleaned, self.zone_root, self.run_id)
-        self.report["output_path"] = output_path
+        try:
+            out_rows = cleaned.count()
+            nulls = C.null_counts(cleaned, [c for c in raw.columns if c in cleaned.columns])
+            source_rows = seen.get["rows"]
+            self.report["source_rows"] = source_rows
+            self.report["checks"].append({
+                "check": "cleaning",
+                "duplicates_removed": source_rows - out_rows,
+                "null_summary": {k: v for k, v in nulls.items() if v > 0},
+                "coercion_losses": {c: seen.get[k] for k, (c, _) in lost.items() if seen.get[k]},
+                "output_rows": out_rows,
+            })
+            score_row = etl_quality_score(cleaned).first()
+            self.report["quality_score"] = score_row["quality_score"]
+            self.report["completeness"] = score_row["completeness"]
+            self.report["uniqueness"] = score_row["uniqueness"]
+            self.report["output_path"] = write_zone(cleaned, self.zone_root, self.run_id)
+        finally:
+            cleaned.unpersist()
         self.report["final_rows"] = out_rows
         write_report(self.spark, self.report, f"{self.reports_root.rstrip('/')}/report_{self.run_id}")
         if self.metrics_path:
@@ -105,4 +109,4 @@ class EtlJob:
                 ("QualityScore", score_row["quality_score"] or 0.0, "None"),
                 ("RowsProcessed", out_rows, "Count"),
             ])
-        return cleaned, self.report
+        return self.spark.read.parquet(self.report["output_path"]), self.report

@@ -6,11 +6,10 @@ rounded results do not depend on partitioning or summation order.
 
 Scale notes. Every report first aggregates raw rows with a hash aggregate
 (partial aggregation on the map side, so a hot key is combined before the
-shuffle). Window functions then run on the aggregated frame only: days,
-months, categories or agents, i.e. thousands of rows regardless of input
-size. Windows without ``by`` keys are global over that small frame; pass
-``by`` to compute one report per key (region, product line, ...) and the
-windows are partitioned on it.
+shuffle). Window functions then run on days or months only, thousands of rows
+regardless of input size; ranks and running shares over categories and agents,
+whose number grows with the data, go over range partitions. Pass ``by`` to
+compute one report per key (region, product line, ...).
 """
 
 from __future__ import annotations
@@ -20,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from opsight.operators.ranks import exact_percentiles, match, totals_within, written
 from opsight.functions.scalar import (day_of, exact_avg, exact_sum, hours_between, month_offset,
                                       month_start, pct)
 
@@ -62,23 +62,25 @@ def resolution_percentiles(incidents: DataFrame, by: Sequence[str] = ("priority"
                            exact: bool = True, accuracy: int = 10000) -> DataFrame:
     """Resolution-time count, mean, P50/P90/P95, min, max per group (hours, 2 digits).
 
-    ``exact`` uses linear-interpolated ``percentile`` (state per group grows with
-    the number of distinct values); ``exact=False`` uses ``percentile_approx``
-    with bounded state for unbounded-cardinality measures.
+    ``exact`` interpolates linearly between distributed ranks; ``exact=False`` uses
+    ``percentile_approx``. Groups are joined on ``by``, one row each.
     """
     hrs = hours_between("created_at", "resolved_at")
     base = incidents.filter(F.col("resolved_at").isNotNull()).select(*by, hrs.alias("hrs"))
-    if exact:
-        q = F.percentile("hrs", F.array(F.lit(0.5), F.lit(0.9), F.lit(0.95)))
-    else:
-        q = F.percentile_approx("hrs", [0.5, 0.9, 0.95], accuracy)
     agg = base.groupBy(*by).agg(
         F.count(F.lit(1)).alias("ticket_count"),
         exact_avg("hrs").alias("avg_hrs"),
-        q.alias("q"),
+        *([] if exact else [F.percentile_approx("hrs", [0.5, 0.9, 0.95], accuracy).alias("q")]),
         F.min("hrs").alias("min_hrs_raw"),
         F.max("hrs").alias("max_hrs_raw"),
     )
+    if exact:
+        q = exact_percentiles(base, by, [0.5, 0.9, 0.95], "hrs").drop("n")
+        q = q.select(*[F.col(c).alias(f"__{c}") for c in by], "q")
+        same = F.lit(True)
+        for c in by:
+            same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+        agg = agg.join(q, same, "left")
     return agg.select(
         *by, "ticket_count",
         F.round("avg_hrs", 2).alias("avg_resolution_hrs"),
@@ -95,7 +97,7 @@ def revenue_growth(transactions: DataFrame, by: Sequence[str] = ()) -> DataFrame
     months present) and 3-month trailing mean revenue."""
     monthly = transactions.groupBy(*by, month_start("transaction_date").alias("month")).agg(
         F.count_distinct("customer_id").alias("active_customers"),
-        F.coalesce(exact_sum("amount"), F.sum(F.col("amount").cast("double"))).alias("revenue"),
+        exact_sum("amount").alias("revenue"),
         exact_avg("amount").alias("avg_amount"),
     )
     w = _w(by).orderBy("month")
@@ -136,47 +138,53 @@ def cohort_retention(transactions: DataFrame, customers: DataFrame,
     ).orderBy("cohort_month", "months_since_signup")
 
 
-def pareto(incidents: DataFrame, key: str = "category", cutoff: float = 80.0) -> DataFrame:
-    """Share of incidents per ``key`` and cumulative share in descending count order.
+def pareto(incidents: DataFrame, key: str = "category", cutoff: float = 80.0, by: Sequence[str] = ()) -> DataFrame:
+    """Share of incidents per ``key`` and cumulative share in descending count order, within ``by``.
 
-    The running sum uses the default RANGE frame, so tied counts share one
-    cumulative value (as in SQL). ``pareto_group`` tests the rounded cumulative %.
+    Tied counts share one cumulative value (as SQL's default RANGE frame). ``pareto_group`` tests the
+    rounded cumulative %. The running sum goes over range partitions, so any number of keys works.
     """
-    counts = incidents.groupBy(key).agg(F.count(F.lit(1)).alias("incident_count"))
-    total = F.sum("incident_count").over(Window.partitionBy())
-    cum = F.sum("incident_count").over(Window.orderBy(F.col("incident_count").desc()))
-    ranked = counts.select(
-        key, "incident_count",
-        F.round(F.col("incident_count").cast("double") / total * 100, 2).alias("pct_of_total"),
-        F.round(cum.cast("double") / total * 100, 2).alias("cumulative_pct"),
-    )
-    return ranked.select(
-        key, "incident_count", "pct_of_total", "cumulative_pct",
-        F.when(F.col("cumulative_pct") <= cutoff, "TOP 80%").otherwise("REMAINING").alias("pareto_group"),
-    ).orderBy(F.col("incident_count").desc())
-
-
-def agent_ranking(incidents: DataFrame, min_tickets: int = 20) -> DataFrame:
-    """Per-agent resolved tickets, mean hours, SLA %, mean CSAT; ranks and quartile.
-
-    Only resolved tickets count; agents under ``min_tickets`` are dropped
-    (HAVING). Ranks put NULL CSAT last; NTILE breaks ties by ``agent_id``.
+    counts = incidents.groupBy(*by, key).agg(F.count(F.lit(1)).alias("incident_count")).withColumn("__down", -F.col("incident_count"))
+    cum = totals_within(counts, by, ["__down"], "incident_count")
+    ranked = match(counts, cum, [*by, "__down"]).select(
+        *by, key, "incident_count",
+        F.round(F.col("incident_count").cast("double") / F.col("__all") * 100, 2).alias("pct_of_total"),
+        F.round(F.col("__upto").cast("double") / F.col("__all") * 100, 2).alias("cumulative_pct"))
+    # The two labels.
+    return ranked.withColumn("pareto_group", F.when(F.col("cumulative_pct") <= cutoff, "TOP 80%").otherwise("REMAINING")) \
+        .orderBy(*by, F.col("incident_count").desc())
+
+
+def agent_ranking(incidents: DataFrame, min_tickets: int = 20, by: Sequence[str] = ()) -> DataFrame:
+    """Per-agent resolved tickets, mean hours, SLA %, mean CSAT; ranks and quartile, within ``by``.
+
+    Only resolved tickets count; agents under ``min_tickets`` are dropped (HAVING). Ranks put NULL CSAT
+    last; the quartile breaks ties by ``agent_id``. Ranks are distributed (range partitions), as the
+    number of agents grows with the data.
     """
     resolved, deadline = F.col("resolved_at"), F.col("sla_deadline")
-    m = incidents.filter(resolved.isNotNull()).groupBy("agent_id", "agent_name").agg(
+    m = incidents.filter(resolved.isNotNull()).groupBy(*by, "agent_id", "agent_name").agg(
         F.count(F.lit(1)).alias("tickets_handled"),
         F.round(exact_avg(hours_between("created_at", "resolved_at")), 2).alias("avg_resolution_hrs"),
         F.round(F.sum(F.when(resolved <= deadline, 1).otherwise(0)).cast("double")
                 / F.count(F.lit(1)) * 100, 1).alias("sla_compliance_pct"),
         F.round(exact_avg("satisfaction_score"), 2).alias("avg_csat"),
     ).filter(F.col("tickets_handled") >= min_tickets)
-    sla_desc = F.col("sla_compliance_pct").desc_nulls_last()
-    return m.select(
-        "agent_name", "tickets_handled", "avg_resolution_hrs", "sla_compliance_pct", "avg_csat",
-        F.rank().over(Window.orderBy(sla_desc)).cast("long").alias("sla_rank"),
-        F.rank().over(Window.orderBy(F.col("avg_csat").desc_nulls_last())).cast("long").alias("csat_rank"),
-        F.ntile(4).over(Window.orderBy(sla_desc, F.col("agent_id"))).cast("long").alias("performance_quartile"),
-    ).orderBy(sla_desc)
+    last = F.lit(float("inf"))  # descending order as ascending negatives, NULL last
+    m = written(m.withColumns({"__sla": F.coalesce(-F.col("sla_compliance_pct"), last),
+                               "__csat": F.coalesce(-F.col("avg_csat"), last), "__one": F.lit(1)}), "agents")
+    out = m
+    for order, name in ((["__sla"], "sla_rank"), (["__csat"], "csat_rank"), (["__sla", "agent_id"], "__place")):
+        placed = totals_within(m, by, order, "__one").select(
+            *by, *order, (F.col("__upto") - F.col("__own") + 1).cast("long").alias(name), F.col("__all").alias(f"{name}_n"))
+        out = match(out, placed, [*by, *order])
+    n, place = F.col("__place_n"), F.col("__place") - 1
+    small, larger = F.floor(n / 4), n % 4  # the first n % 4 quartiles hold one agent more
+    quartile = F.when(place < larger * (small + 1), F.floor(place / (small + 1)) + 1).otherwise(
+        F.floor((place - larger * (small + 1)) / F.greatest(small, F.lit(1))) + larger + 1)
+    return out.select(*by, "agent_name", "tickets_handled", "avg_resolution_hrs", "sla_compliance_pct", "avg_csat",
+                      "sla_rank", "csat_rank", quartile.cast("long").alias("performance_quartile")) \
+        .orderBy(*by, F.col("sla_compliance_pct").desc_nulls_last())
 
 
 def volume_anomaly(incidents: DataFrame, by: Sequence[str] = (), window: int = 30,

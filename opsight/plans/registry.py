@@ -26,8 +26,8 @@ from opsight.plans import kpi
 from opsight.plans.cleaning_chain import CleaningChain
 from opsight.plans.etl import EtlJob, etl_clean
 from opsight.session import shared_path
-from opsight.sources.files import gate_files, read_source
-from opsight.sources.sinks import bulk_load, upsert
+from opsight.sources.files import read_accepted, read_source
+from opsight.sources.sinks import bulk_load, commit_upsert, upsert
 from opsight.sources.tables import Tables
 from opsight.streaming.landing import run_landing_etl
 
@@ -77,7 +77,7 @@ def _q_pareto(spark, folder):
 def _q_agents(spark, folder):
     t = Tables(spark, folder)
     cols = ["agent_id", "agent_name", "created_at", "resolved_at", "sla_deadline", "satisfaction_score"]
-    return kpi.agent_ranking(fx.incidents(t, cols))
+    return kpi.agent_ranking(fx.incidents(t, cols), min_tickets=500)
 
 
 @register("kpi_volume_anomaly")
@@ -193,8 +193,10 @@ def _q_chain(spark, folder):
 
 @register("clean_chain_audit")
 def _q_chain_audit(spark, folder):
-    _, audit, _ = _messy_chain(spark, folder).run()
-    return audit.drop("ts")
+    chain = _messy_chain(spark, folder)
+    _, audit, _ = chain.run()
+    chain.close()
+    return audit.select("step", "action", "rows_affected")
 
 
 # ------------------------------------------------------------------ sources / sinks
@@ -212,9 +214,16 @@ def _q_parquet(spark, folder):
     return read_source(spark, Tables(spark, folder).path("orders"))
 
 
-@register("source_file_gate")
+@register("source_gate_read")
 def _q_gate(spark, folder):
-    return gate_files(spark, folder)
+    """Orders landed as Parquet and CSV beside files of another kind: the gate, then the accepted rows."""
+    landing = shared_path(spark, "landing")
+    orders = Tables(spark, folder).orders
+    orders.filter("o_orderkey % 2 = 0").write.parquet(f"{landing}/a")
+    orders.filter("o_orderkey % 2 <> 0").write.option("header", True).csv(f"{landing}/b")
+    orders.select(F.col("o_orderkey").cast("string")).write.text(f"{landing}/notes")
+    rows, _ = read_accepted(spark, landing, orders.schema)
+    return rows.drop("_file_name")
 
 
 @register("sink_bulk_load")
@@ -230,15 +239,35 @@ def _q_upsert(spark, folder):
     return upsert(fx.upsert_target(t), fx.upsert_staging(t), ["c_custkey"])
 
 
-@register("etl_run")
-def _q_etl_run(spark, folder):
+@register("sink_upsert_commit")
+def _q_upsert_commit(spark, folder):
+    """Two commits of a versioned table: the target rows, then the upsert; the staging view is dropped."""
+    t = Tables(spark, folder)
+    root = shared_path(spark, "versions")
+    commit_upsert(spark, root, fx.upsert_target(t), ["c_custkey"])
+    staging = fx.upsert_staging(t)
+    staging.createOrReplaceTempView("upsert_staging")
+    return commit_upsert(spark, root, staging, ["c_custkey"], "upsert_staging")
+
+
+def _etl(spark, folder):
     landing = shared_path(spark, "landing", "messy") + ".parquet"
     fx.messy_dup(Tables(spark, folder)).write.mode("overwrite").parquet(landing)
     root = shared_path(spark, "etl")
     job = EtlJob(spark, landing, f"{root}/curated", f"{root}/reports", f"{root}/metrics",
                  source_key=ETL_SOURCE_KEY, run_ts=ETL_RUN_TS)
-    _, report = job.run({"id": "int", "amount": "float", "segment": "str", "signup_txt": "datetime"})
-    return spark.read.parquet(report["output_path"])
+    rows, _ = job.run({"id": "int", "amount": "float", "segment": "str", "signup_txt": "datetime"})
+    return rows, f"{root}/metrics"
+
+
+@register("etl_run")
+def _q_etl_run(spark, folder):
+    return _etl(spark, folder)[0]
+
+
+@register("etl_metrics")
+def _q_etl_metrics(spark, folder):
+    return spark.read.parquet(_etl(spark, folder)[1]).select("metric", "value", "unit")
 
 
 # ------------------------------------------------------------------ profiling
@@ -303,10 +332,16 @@ def _q_spearman(spark, folder):
                                                               "num_support_tickets"], "spearman"))
 
 
+@register("eda_correlation_kendall")
+def _q_kendall(spark, folder):
+    return round_doubles(P.correlation_matrix(fx.telecom(Tables(spark, folder)), ["tenure_months", "monthly_charges",
+                                                                                  "num_support_tickets"], "kendall"))
+
+
 @register("eda_contingency")
 def _q_contingency(spark, folder):
-    o = Tables(spark, folder).orders
-    return o.groupBy("o_orderpriority", "o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+    cells = S.contingency(Tables(spark, folder).orders, "o_orderpriority", "o_orderstatus")
+    return cells.withColumnsRenamed({"a": "o_orderpriority", "b": "o_orderstatus"})
 
 
 @register("stats_group_means")
@@ -343,7 +378,7 @@ def _q_tenure(spark, folder):
 
 @register("stats_paired_statistics")
 def _q_paired_stats(spark, folder):
-    return round_doubles(S.paired_statistics(fx.paired(Tables(spark, folder)), "first_price", "last_price"))
+    return round_doubles(S.paired_statistics(fx.paired(Tables(spark, folder)), "first_price", "last_price").drop("jb_a", "jb_b"))
 
 
 @register("stats_paired_ttest")
@@ -389,6 +424,22 @@ def _q_abp(spark, folder):
     return S.ab_test_proportion(fx.ab(Tables(spark, folder)), "success", "arm", 0, 1)
 
 
+@register("stats_ab_proportion_winner")
+def _q_winner(spark, folder):
+    out = S.ab_test_proportion(fx.ab(Tables(spark, folder)), "success", "arm", 0, 1)
+    return out.select("n_control", "n_treatment", "significant", "winner")
+
+
+@register("stats_effect_sizes")
+def _q_effects(spark, folder):
+    t = Tables(spark, folder)
+    tests = {"ab": S.ttest(fx.ab(t), "value", "arm", 0, 1),
+             "churn": S.ttest(fx.telecom(t), "tenure_months", "churn", 1, 0, equal_var=True),
+             "paired": S.paired_ttest(fx.paired(t), "first_price", "last_price")}
+    parts = [df.select(F.lit(name).alias("test"), "effect_size") for name, df in tests.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @register("stats_ab_continuous_statistics")
 def _q_abc_stats(spark, folder):
     return round_doubles(S.ab_continuous_statistics(fx.ab(Tables(spark, folder)), "value", "arm", 0, 1))
@@ -419,6 +470,19 @@ def _q_band(spark, folder):
     return round_doubles(TS.anomaly_band(_filled_series(spark, folder), ["series"], window=30, sigma=2.5))
 
 
+@register("ts_adf_lag0")
+def _q_adf0(spark, folder):
+    out = FC.adf(_filled_series(spark, folder), ["series"], maxlag=0)
+    return out.select("series", F.round("adf_statistic", 4).alias("adf_statistic"), "nobs")
+
+
+@register("ts_naive_error")
+def _q_naive(spark, folder):
+    split = TS.holdout_split(_filled_series(spark, folder), ["series"], horizon=30)
+    ahead = FC.naive(split.filter(~F.col("is_test")), ["series"], steps=30)
+    return round_doubles(TS.forecast_errors(ahead, split.filter("is_test"), ["series"]))
+
+
 @register("ts_adf")
 def _q_adf(spark, folder):
     return FC.adf(_filled_series(spark, folder), ["series"])
@@ -484,23 +548,38 @@ def _q_report(spark, folder):
     return round_doubles(ML.classification_report(fx.scored(Tables(spark, folder))))
 
 
+@register("ml_split_rows")
+def _q_split_rows(spark, folder):
+    return ML.stratified_split(fx.telecom(Tables(spark, folder)), "churn", "customer_id", 0.2, 42).select("customer_id", "is_test")
+
+
+def _feature_names(df) -> list[str]:
+    return CHURN_FEATURES + [c for c in df.columns if c.startswith(("contract_", "partner_"))]
+
+
 @register("ml_model_comparison")
 def _q_models(spark, folder):
     df = _churn_frame(spark, folder)
-    feats = CHURN_FEATURES + [c for c in df.columns if c.startswith(("contract_", "partner_"))]
-    out, _ = ML.compare_models(df, feats, "churn", "customer_id", folds=5, seed=42)
-    return out
+    return ML.compare_models(df, _feature_names(df), "churn", "customer_id", folds=5, seed=42)[0]
+
+
+@register("ml_best_model_report")
+def _q_best(spark, folder):
+    """Report of the better of two models on the test side."""
+    df = _churn_frame(spark, folder)
+    names = ["Logistic Regression", "Random Forest"]
+    _, outcome = ML.compare_models(df, _feature_names(df), "churn", "customer_id", folds=2, seed=42, models=names)
+    return ML.evaluate_best(outcome, _feature_names(df))["report"]
 
 
 @register("ml_feature_importances")
 def _q_importances(spark, folder):
     df = _churn_frame(spark, folder)
-    feats = CHURN_FEATURES + [c for c in df.columns if c.startswith(("contract_", "partner_"))]
+    feats = _feature_names(df)
     split = ML.stratified_split(df, "churn", "customer_id", 0.2, 42)
-    train = split.filter(~F.col("is_test"))
-    model, _ = ML._fit_score(ML._models(None, 42)["Random Forest"], train, train.limit(0), feats, "churn")
-    rows = ML.feature_importances(model, feats, 15)
-    return spark.createDataFrame(rows, "feature string, importance double")
+    train = ML.assembled(split.filter(~F.col("is_test")), feats, "churn")
+    model = ML.fit_model(ML._models(1, 42)["Random Forest"], train)
+    return spark.createDataFrame(ML.feature_importances(model, feats, 15), "feature string, importance double")
 
 
 # ------------------------------------------------------------------ streaming (A5)
@@ -513,8 +592,8 @@ def _q_stream(spark, folder):
     root = shared_path(spark, "stream")
     events.write.mode("overwrite").parquet(f"{root}/landing")
     run_landing_etl(spark, f"{root}/landing", events.schema, f"{root}/curated", f"{root}/checkpoint",
-                    EVENTS_SCHEMA, metrics_path=f"{root}/metrics")
-    return spark.read.parquet(f"{root}/curated")
+                    EVENTS_SCHEMA, metrics_path=f"{root}/metrics", reports_root=f"{root}/reports")
+    return spark.read.parquet(f"{root}/curated").select("event_id", "ts", "user_id", "value", "event_type")
 
 
 def load_all() -> dict[str, QueryFn]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # File suffixes the landing gate accepts.
-ACCEPTED_SUFFIXES = (".csv", ".xlsx", ".parquet")
+ACCEPTED_SUFFIXES = (".csv", ".parquet")
 # Rejection reasons of the gate.
 REASON_UNSUPPORTED = "Unsupported file type"
 REASON_EMPTY = "Empty file"
@@ -21,14 +21,17 @@ def read_source(spark: SparkSession, path: str, schema: T.StructType | str | Non
 
     CSV is read with a header and ``PERMISSIVE`` mode; pass ``schema`` in
     production (inference costs a full extra pass over the data). With
-    ``corrupt_column`` unparsable lines land in that column instead of
-    becoming silent NULLs. Excel is not a Spark source: convert it upstream.
+    ``corrupt_column`` unparsable lines land in that column; without it a line
+    that does not fit the schema fails the read (``FAILFAST``), so no value
+    silently becomes NULL. Excel is not a Spark source: convert it upstream.
     """
     lower = path.lower().rstrip("/")
     if lower.endswith(".csv"):
-        reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+        lenient = corrupt_column is not None or schema is None
+        reader = spark.read.option("header", True).option("mode", "PERMISSIVE" if lenient else "FAILFAST")
         if schema is not None:
-            if corrupt_column and isinstance(schema, T.StructType):
+            if corrupt_column:
+                schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
                 schema = T.StructType(list(schema.fields) + [T.StructField(corrupt_column, T.StringType())])
                 reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
             reader = reader.schema(schema)
@@ -45,15 +48,12 @@ def read_source(spark: SparkSession, path: str, schema: T.StructType | str | Non
     raise ValueError(f"Unsupported format: {path}")
 
 
-def gate_files(spark: SparkSession, folder: str, suffixes: Sequence[str] = ACCEPTED_SUFFIXES) -> DataFrame:
-    """One row per file under ``folder``: ``path, size, accepted, reason, source`` (A4).
+def gated(files: DataFrame, suffixes: Sequence[str] = ACCEPTED_SUFFIXES) -> DataFrame:
+    """The gate over ``files(path, length)``: ``path, size, accepted, reason, source``.
 
-    Only file metadata is read (the binaryFile ``content`` column is pruned).
-    A file is accepted when its suffix is allowed and it is not empty;
-    ``source`` is the path of an accepted file, NULL otherwise.
+    A file is accepted when its suffix is allowed and it is not empty; ``source`` is the path of an
+    accepted file, NULL otherwise.
     """
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .load(folder).select("path", "length"))
     lower = F.lower(F.col("path"))
     ok_suffix = F.lit(False)
     for s in suffixes:
@@ -67,3 +67,35 @@ def gate_files(spark: SparkSession, folder: str, suffixes: Sequence[str] = ACCEP
         reason.alias("reason"),
         F.when(reason.isNull(), F.col("path")).alias("source"),
     )
+
+
+def gate_files(spark: SparkSession, folder: str, suffixes: Sequence[str] = ACCEPTED_SUFFIXES) -> DataFrame:
+    """The gate over all files under ``folder`` (A4). Only file metadata is read (the binaryFile
+    ``content`` column is pruned)."""
+    return gated(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", "length"), suffixes)
+
+
+def read_files(spark: SparkSession, paths: Sequence[str], schema: T.StructType | str) -> DataFrame:
+    """Rows of accepted files of mixed suffixes, with the file's name as ``_file_name``. A line or file
+    that does not fit fails the read."""
+    rows = None
+    for suffix in ACCEPTED_SUFFIXES:
+        own = [p for p in paths if p.lower().endswith(suffix)]
+        if own:
+            reader = spark.read.schema(schema).option("ignoreCorruptFiles", "false")
+            part = (reader.option("header", True).option("mode", "FAILFAST").csv(own) if suffix == ".csv"
+                    else reader.parquet(*own))
+            part = part.withColumn("_file_name", F.col("_metadata.file_name"))
+            rows = part if rows is None else rows.unionByName(part)
+    if rows is None:
+        empty = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        rows = spark.createDataFrame([], empty).withColumn("_file_name", F.lit(None).cast("string"))
+    return rows
+
+
+def read_accepted(spark: SparkSession, folder: str, schema: T.StructType | str) -> tuple[DataFrame, DataFrame]:
+    """``(rows, rejected)`` of a landing folder: the rows of all accepted files, and the rejected files
+    with their reasons (the gate in front of the readers). The list of files, not of rows, is on the driver."""
+    gate = gate_files(spark, folder)
+    paths = [r["path"] for r in gate.filter("accepted").select("path").toLocalIterator()]
+    return read_files(spark, paths, schema), gate.filter("not accepted").select("path", "size", "reason")

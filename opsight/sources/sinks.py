@@ -11,14 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def write_zone(df: DataFrame, zone_root: str, run_id: str, mode: str = "append") -> str:
-    """Append ``df`` to a Parquet zone partitioned by ``run_id``.
+def write_zone(df: DataFrame, zone_root: str, run_id: str) -> str:
+    """Write ``df`` as the partition ``run_id`` of a Parquet zone.
 
-    Writing with ``partitionOverwriteMode=dynamic`` semantics per run id makes a
-    retried run replace only its own partition.
+    Dynamic partition overwrite: a retried run replaces its own partition and leaves the others.
     """
     out = df.withColumn("run_id", F.lit(run_id))
-    (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("run_id").parquet(zone_root))
     return f"{zone_root.rstrip('/')}/run_id={run_id}"
 
@@ -73,19 +72,38 @@ def upsert(target: DataFrame, staging: DataFrame, keys: Sequence[str]) -> DataFr
     return kept.unionByName(staging.select(*target.columns))
 
 
-def commit_upsert(spark: SparkSession, target_path: str, staging: DataFrame, keys: Sequence[str],
-                  new_version_path: str) -> str:
-    """Materialise :func:`upsert` of the Parquet table at ``target_path`` into
-    ``new_version_path`` (a new folder; readers switch once it is complete)."""
-    target = spark.read.parquet(target_path)
-    upsert(target, staging, keys).write.mode("overwrite").parquet(new_version_path)
-    return new_version_path
+def current_version(spark: SparkSession, table_root: str) -> str | None:
+    """The folder of the table's committed version: the highest number whose write has completed."""
+    from py4j.protocol import Py4JJavaError
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(table_root)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        names = [s.getPath().getName() for s in fs.listStatus(root)]
+    except Py4JJavaError:
+        return None
+    done = [n for n in names if n.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{table_root}/{n}/_SUCCESS"))]
+    return f"{table_root}/{max(done, key=lambda n: int(n[2:]))}" if done else None
+
+
+def commit_upsert(spark: SparkSession, table_root: str, staging: DataFrame, keys: Sequence[str],
+                  staging_name: str | None = None) -> DataFrame:
+    """Upsert into the versioned table at ``table_root`` (A9): write the next version, which readers see
+    once its write has completed, then drop the staging view or table (A10). Returns the new version.
+
+    The first commit writes the staging rows alone.
+    """
+    now = current_version(spark, table_root)
+    merged = upsert(spark.read.parquet(now), staging, keys) if now else staging
+    number = int(now.rsplit("v=", 1)[1]) + 1 if now else 0
+    path = f"{table_root}/v={number}"
+    merged.write.mode("overwrite").parquet(path)
+    if staging_name:
+        drop_staging(spark, staging_name)
+    return spark.read.parquet(path)
 
 
 def drop_staging(spark: SparkSession, name: str) -> None:
     """Remove a staging view or table if it exists (A10)."""
-    if spark.catalog.tableExists(name):
-        try:
-            spark.catalog.dropTempView(name) or spark.sql(f"DROP TABLE IF EXISTS {name}")
-        except Exception:  # noqa: BLE001
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if not spark.catalog.dropTempView(name):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")

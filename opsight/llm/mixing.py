@@ -131,7 +131,8 @@ def taken_ranges(placed: DataFrame, sources: DataFrame, block: int = BLOCK) -> D
                 .withColumn("block", F.explode(F.expr(f"sequence(start div {block}, (start + size - 1) div {block})")))
                 .withColumn("a", F.expr(f"greatest(start - block * {block}, 0)"))
                 .withColumn("b", F.expr(f"least(start + size - block * {block}, {block})")))
-    hit = segments.join(slots(sources, block), ["sid", "block"]).withColumn("b", F.least("b", "upto")).filter("a < b")
+    # slots outgrow the few rows they are made from: without the hint the planner would broadcast them
+    hit = segments.join(slots(sources, block).hint("merge"), ["sid", "block"]).withColumn("b", F.least("b", "upto")).filter("a < b")
     shift = F.expr(f"block * {block} - start")
     return hit.select("doc_id", "__copy", "pass", "shard", (F.col("a") + shift).alias("first"), (F.col("b") + shift).alias("last"))
 

@@ -194,7 +194,7 @@ def _forecast(p: int, d: int, q: int, steps: int):
                 w.append(value)
                 e.append(0.0)
             path = np.array(ahead)
-            for top in list(tops)[::-1]:  # undo the differences, the last one first
+            for top in list(tops)[:d][::-1]:  # undo the differences, the last one first
                 path = top + np.cumsum(path)
             whole = np.r_[1.0, -phi]
             for _ in range(d):
@@ -246,8 +246,9 @@ def arima(df: DataFrame, keys: Sequence[str], ts: str = "ts", value: str = "valu
         gram_sums_when(names, F.col("i") > d + long_lags + q).alias("gram"),
         F.count_if(F.col("i") > d + long_lags + q).alias("nobs"), F.max("__ts").alias("__last"),
         F.sort_array(F.collect_list(F.when(F.col("__left") < tail, kept))).alias("recent"),  # a few rows
-        F.array(*[F.max_by(f"l{k}", "i") for k in range(d)]).cast("array<double>").alias("levels")).filter("nobs > 0"))
-    out = sums.select(*keys, "__last", F.explode(_forecast(p, d, q, steps)("gram", "nobs", "recent", "levels")).alias("f"))
+        F.array(*[F.max_by(f"l{k}" if d else "w", "i") for k in range(max(d, 1))]).alias("levels")).filter("nobs > 0"))
+    paths = sums.withColumn("path", _forecast(p, d, q, steps)("gram", "nobs", "recent", "levels"))
+    out = paths.select(*keys, "__last", F.explode("path").alias("f"))
     return out.select(*keys, F.date_add("__last", F.col("f.step")).alias(ts), "f.step", "f.forecast", "f.lower_95",
                       "f.upper_95", "f.aic")
 

@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from opsight.operators import cleaning as C
 from opsight.operators.quality import etl_quality_score
 from opsight.plans.etl import etl_clean
-from opsight.sources.files import gated, read_files
+from opsight.sources.files import gated, list_files, read_files
 from opsight.sources.metrics import publish_metrics
 from opsight.sources.sinks import write_report
 
@@ -38,10 +38,12 @@ def landing_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger:
 
 
 def make_batch_etl(zone_root: str, expected_schema: dict[str, str], schema: T.StructType,
-                   metrics_path: str | None = None, rejected_path: str | None = None, reports_root: str | None = None):
+                   metrics_path: str | None = None, rejected_path: str | None = None, reports_root: str | None = None,
+                   landing_dir: str | None = None):
     """A ``foreachBatch`` function: gate, read, validate, clean, score, write, report, publish metrics.
 
-    Without ``rejected_path`` the rejected files are listed under ``<zone_root>_rejected``.
+    Without ``rejected_path`` the rejected files are listed under ``<zone_root>_rejected``. Spark's stream
+    leaves empty files out, so each batch lists those that ``landing_dir`` holds at that time as well.
     """
     zone = zone_root.rstrip("/")
     rejects = (rejected_path or f"{zone}_rejected").rstrip("/")
@@ -50,6 +52,8 @@ def make_batch_etl(zone_root: str, expected_schema: dict[str, str], schema: T.St
         spark = batch.sparkSession
         out = None
         try:
+            if landing_dir:
+                batch = batch.unionByName(list_files(spark, landing_dir).filter("length = 0"))
             files = gated(batch).persist()  # a row for each file
             files.filter("not accepted").write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
             paths = [r["path"] for r in files.filter("accepted").select("path").toLocalIterator()]
@@ -88,7 +92,8 @@ def run_landing_etl(spark: SparkSession, landing_dir: str, schema: T.StructType,
                     max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Process every file not yet seen in ``landing_dir`` and stop (availableNow)."""
     q = (landing_stream(spark, landing_dir, max_files_per_trigger).writeStream
-         .foreachBatch(make_batch_etl(zone_root, expected_schema, schema, metrics_path, rejected_path, reports_root))
+         .foreachBatch(make_batch_etl(zone_root, expected_schema, schema, metrics_path, rejected_path, reports_root,
+                                      landing_dir))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())

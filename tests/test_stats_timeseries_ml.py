@@ -85,41 +85,114 @@ def test_rolling_needs_full_window(spark):
     assert out[28]["rolling_mean"] is None and out[29]["rolling_mean"] == pytest.approx(14.5)
 
 
-def test_adf_pvalue_and_power():
+def _series(spark, values, key="a"):
+    rows = [(key, i, float(v)) for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, "k string, day int, value double").withColumn(
+        "ts", F.date_add(F.lit("2024-01-01").cast("date"), F.col("day"))).drop("day")
+
+
+def _plain_adf(x, longest):
+    """ADF with a constant by least squares over NumPy designs: AIC on the common sample, refit on its own."""
+    dx = np.diff(x)
+
+    def fit(lag, first):
+        y = dx[first:]
+        cols = [x[first:-1], np.ones(len(y)), *[dx[first - k:len(dx) - k] for k in range(1, lag + 1)]]
+        m = np.column_stack(cols)
+        beta, *_ = np.linalg.lstsq(m, y, rcond=None)
+        return y, m, beta, float(((y - m @ beta) ** 2).sum())
+
+    aics = []
+    for lag in range(longest + 1):
+        y, _, _, ssr = fit(lag, longest)
+        aics.append(len(y) * np.log(ssr / len(y)) + 2 * (lag + 2))
+    lag = int(np.argmin(aics))
+    y, m, beta, ssr = fit(lag, lag)
+    cov = ssr / (len(y) - m.shape[1]) * np.linalg.inv(m.T @ m)
+    return beta[0] / np.sqrt(cov[0, 0]), lag, len(y)
+
+
+def test_adf_pvalue_and_power(spark):
     assert FC.adf_pvalue(-2.86) == pytest.approx(0.05, abs=0.002)
     rng = np.random.default_rng(7)
-    walk = np.cumsum(rng.normal(size=400))
-    ar = np.zeros(400)
-    for t in range(1, 400):
-        ar[t] = 0.5 * ar[t - 1] + rng.normal()
-    assert FC.adf_test(walk)["p_value"] > 0.05
-    assert FC.adf_test(ar)["p_value"] < 0.01
+    walk = 1000 + np.cumsum(rng.normal(size=300))
+    ar = np.zeros(300)
+    for t in range(2, 300):
+        ar[t] = 0.5 * ar[t - 1] - 0.3 * ar[t - 2] + rng.normal()
+    both = _series(spark, walk, "walk").unionByName(_series(spark, ar, "ar")).unionByName(_series(spark, [1, 2, 3], "short"))
+    got = {r["k"]: r for r in FC.adf(both, ["k"]).collect()}
+    assert set(got) == {"walk", "ar"}
+    for name, values in (("walk", walk), ("ar", ar)):
+        stat, lag, nobs = _plain_adf(values, int(np.ceil(12 * (300 / 100) ** 0.25)))
+        assert (got[name]["used_lag"], got[name]["nobs"]) == (lag, nobs)
+        assert got[name]["adf_statistic"] == pytest.approx(stat, rel=1e-6)
+    assert got["walk"]["p_value"] > 0.05 and got["ar"]["p_value"] < 0.01
 
 
-def test_arima_recovers_ar1():
+def test_arima_forecasts(spark):
     rng = np.random.default_rng(3)
-    y = np.zeros(800)
-    for t in range(1, 800):
-        y[t] = 0.6 * y[t - 1] + rng.normal()
-    fit = FC.fit_arma_css(y, 1, 0)
-    assert fit["phi"][0] == pytest.approx(0.6, abs=0.08)
-    res = FC.arima_forecast(np.cumsum(y), (1, 1, 0), steps=10)
-    assert len(res["forecast"]) == 10 and np.all(res["upper_95"] > res["lower_95"])
-    assert np.all(np.diff(res["upper_95"] - res["lower_95"]) >= -1e-9)
-
-
-def test_arima_per_series(spark):
-    rng = np.random.default_rng(5)
-    rows = []
-    for key in ("a", "b"):
-        level = 50.0
-        for d in range(200):
-            level += rng.normal()
-            rows.append((key, d, level))
-    df = spark.createDataFrame(rows, "k string, day int, value double") \
-        .withColumn("ts", F.date_add(F.lit("2024-01-01").cast("date"), F.col("day")))
-    out = FC.arima(df, ["k"], "ts", "value", (1, 1, 1), steps=5)
-    assert out.count() == 10 and out.filter(F.col("forecast").isNull()).count() == 0
+    y = np.zeros(900)
+    e = rng.normal(size=900)
+    for t in range(1, 900):
+        y[t] = 0.7 * y[t - 1] + e[t] + 0.3 * e[t - 1]
+    out = FC.arima(_series(spark, 5 + y), ["k"], order=(1, 0, 1), steps=60).orderBy("step").collect()
+    assert len(out) == 60 and str(out[0]["ts"]) == "2026-06-19"
+    assert out[-1]["forecast"] == pytest.approx(5 + y.mean(), abs=0.4)  # the process mean
+    wide = [r["upper_95"] - r["lower_95"] for r in out]
+    assert wide[0] == pytest.approx(2 * 1.96, rel=0.1) and all(a <= b + 1e-9 for a, b in zip(wide, wide[1:]))
+    trend = FC.arima(_series(spark, np.arange(200) * 2.0 + np.sin(np.arange(200))), ["k"], order=(2, 1, 2), steps=10).collect()
+    assert all(390 < r["forecast"] < 430 for r in trend)
+
+
+def test_naive_forecast_and_errors(spark):
+    df = _series(spark, [1, 2, 3, 4, 6, 9])
+    split = TS.holdout_split(df, ["k"], horizon=2)
+    ahead = FC.naive(split.filter(~F.col("is_test")), ["k"], steps=2)
+    r = TS.forecast_errors(ahead, split.filter("is_test"), ["k"]).first()
+    assert (r["n"], r["mae"]) == (2, 3.5) and r["rmse"] == pytest.approx(np.sqrt((4 + 25) / 2))
+
+
+def test_kendall_matches_all_pairs(spark):
+    rng = np.random.default_rng(11)
+    rows = [(float(a), float(b)) for a, b in zip(rng.integers(0, 12, 80), rng.normal(size=80).round(1))]
+    rows = [(a, b + a / 5) for a, b in rows] + [(None, 1.0), (2.0, None), (float("nan"), 1.0)]
+    from opsight.operators import profile as P
+    got = P.correlation_matrix(spark.createDataFrame(rows, "a double, b double"), method="kendall").first()["correlation"]
+    whole = [(a, b) for a, b in rows if a is not None and b is not None and a == a]
+    s = dx = dy = 0
+    for i, (a, b) in enumerate(whole):
+        for c, d in whole[:i]:
+            s += np.sign(a - c) * np.sign(b - d)
+            dx += a != c
+            dy += b != d
+    assert got == pytest.approx(s / np.sqrt(dx * dy))
+
+
+def test_compare_models_runs_all_models(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, float(x), float(rng.normal()), int(x + rng.normal() > 0)) for i, x in enumerate(rng.normal(size=160))]
+    df = spark.createDataFrame(rows, "customer_id long, f1 double, f2 double, churn int")
+    cached = df.persist()  # a cached frame in the session must not matter
+    cached.count()
+    out, outcome = ML.compare_models(df, ["f1", "f2"], folds=2, trees=5, rounds=3)
+    table = {r["model"]: r for r in out.collect()}
+    cached.unpersist()
+    assert set(table) == {"Logistic Regression", "Random Forest", "Gradient Boosted Trees"}
+    assert sum(r["is_best"] for r in table.values()) == 1 and table[outcome["best"]]["is_best"]
+    assert table["Logistic Regression"]["auc"] > 0.6 and table["Logistic Regression"]["cv_auc_mean"] > 0.6
+    one = table["Random Forest"]
+    assert one["train_rows"] + one["test_rows"] == 160 and abs(one["train_rate"] - one["test_rate"]) < 0.05
+    parts = ML.evaluate_best(outcome, ["f1", "f2"])
+    assert parts["confusion"].count() == 4 and parts["report"].count() == 4 and parts["importances"].first()["feature"] == "f1"
+
+
+def test_stratified_split_is_exact(spark):
+    df = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(505)], "customer_id long, churn int")
+    got = ML.stratified_split(df, "churn", "customer_id", 0.2, folds=5)
+    counts = {(r["churn"], r["is_test"]): r["n"] for r in got.groupBy("churn", "is_test").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert counts == {(0, True): 91, (0, False): 363, (1, True): 10, (1, False): 41}
+    per_fold = [r["n"] for r in got.filter("not is_test and churn = 1").groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sorted(per_fold) == [8, 8, 8, 8, 9]
 
 
 def test_auc_symmetry_and_ties(spark):
@@ -150,11 +223,36 @@ def test_stream_restart_adds_only_new_files(spark, scratch):
         fh.write("not data")
     open(os.path.join(landing, "empty.parquet"), "w").close()
     schema = {"event_id": "int", "ts": "datetime", "value": "float"}
-    run_landing_etl(spark, landing, events.schema, zone, ckpt, schema)
+    extra = {"metrics_path": f"{scratch}/metrics", "reports_root": f"{scratch}/reports"}
+    run_landing_etl(spark, landing, events.schema, zone, ckpt, schema, **extra)
     first = spark.read.parquet(zone).count()
     assert first == events.filter("event_id % 2 = 0").count()
-    run_landing_etl(spark, landing, events.schema, zone, ckpt, schema)
+    rejected = {os.path.basename(r["path"]): r["reason"] for r in spark.read.parquet(f"{zone}_rejected").collect()}
+    assert rejected == {"notes.txt": "Unsupported file type", "empty.parquet": "Empty file"}
+    metrics = {r["metric"]: r["value"] for r in spark.read.parquet(f"{scratch}/metrics").collect()}
+    assert metrics["RowsProcessed"] == first and 0 < metrics["QualityScore"] <= 100
+    assert spark.read.json(f"{scratch}/reports/*").first()["final_rows"] == first
+    run_landing_etl(spark, landing, events.schema, zone, ckpt, schema, **extra)
     assert spark.read.parquet(zone).count() == first
     events.filter("event_id % 2 = 1").write.mode("append").parquet(landing)
+    run_landing_etl(spark, landing, events.schema, zone, ckpt, schema, **extra)
+    assert spark.read.parquet(zone).count() == events.count()
+
+
+def test_stream_fails_on_a_broken_file_and_forgets_nothing(spark, scratch):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    landing, zone, ckpt = f"{scratch}/landing", f"{scratch}/zone", f"{scratch}/ckpt"
+    events.write.mode("overwrite").parquet(landing)
+    broken = os.path.join(landing, "broken.parquet")
+    with open(broken, "wb") as fh:
+        fh.write(b"PAR1 but nothing else")
+    schema = {"event_id": "int", "ts": "datetime", "value": "float"}
+    with pytest.raises(Exception):
+        run_landing_etl(spark, landing, events.schema, zone, ckpt, schema, metrics_path=f"{scratch}/metrics")
+    assert [r["metric"] for r in spark.read.parquet(f"{scratch}/metrics").collect()] == ["ProcessingErrors"]
+    good = spark.read.parquet(*[os.path.join(landing, f) for f in os.listdir(landing) if f.startswith("part-")]).limit(0)
+    good.coalesce(1).write.mode("overwrite").parquet(f"{scratch}/mended")
+    mended = next(f for f in os.listdir(f"{scratch}/mended") if f.endswith(".parquet"))
+    os.replace(f"{scratch}/mended/{mended}", broken)  # the file is repaired: the batch runs again
     run_landing_etl(spark, landing, events.schema, zone, ckpt, schema)
     assert spark.read.parquet(zone).count() == events.count()

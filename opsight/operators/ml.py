@@ -20,6 +20,9 @@ from opsight.session import shared_path
 from opsight.operators.ranks import average_rank, exact_percentiles, match, running_totals, unpivoted
 
 
+ROWS_PER_PARTITION = 25_000
+
+
 # ---------------------------------------------------------------- K1-K3
 def engineer_features(df: DataFrame, tenure: str = "tenure_months", charges: str = "monthly_charges",
                       total: str = "total_charges", tickets: str = "num_support_tickets") -> DataFrame:
@@ -180,7 +183,9 @@ def assembled(df: DataFrame, features: Sequence[str], label: str, extra: Sequenc
     rows = vector.transform(df).select(F.col(label).cast("double").alias("label"), "features", *extra)
     path = shared_path(df.sparkSession, "features")
     rows.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(rows.schema).parquet(path)
+    table = df.sparkSession.read.schema(rows.schema).parquet(path)
+    # small tables in few partitions: training runs thousands of short jobs over them
+    return table.coalesce(max(1, -(-table.count() // ROWS_PER_PARTITION)))
 
 
 def fit_model(est, train: DataFrame):

@@ -26,7 +26,7 @@ MAX_CONDITIONS = 4
 MAX_RULES = 12
 MIN_COVER = 5
 MIN_PRECISION = 0.95
-GRID = 24  # thresholds of a feature: so many quantiles of either class
+GRID = 24  # a feature's thresholds lie midway between so many quantiles of either class
 
 FEATURES = ("n_words", "mean_word", "symbol_share", "upper_share", "exclaim_share", "bar_share",
             "digit_share", "dup_line_share", "repeat_share")
@@ -186,7 +186,8 @@ def learn_rules(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
                                 [(i + 0.5) / GRID for i in range(GRID)], 10_000).alias(f"c{k}_{f}")
             for k in (0, 1) for f in range(len(FEATURES))]
     row = rows.agg(*cuts).first()
-    thresholds = [sorted({*(row[f"c0_{f}"] or ()), *(row[f"c1_{f}"] or ())}) for f in range(len(FEATURES))]
+    values = [sorted({*(row[f"c0_{f}"] or ()), *(row[f"c1_{f}"] or ())}) for f in range(len(FEATURES))]
+    thresholds = [[(a + b) / 2 for a, b in zip(v, v[1:])] for v in values]  # midway, so that neither class sits on one
     rules: list[Rule] = []
     rest = rows
     while len(rules) < MAX_RULES:

@@ -33,6 +33,14 @@ def lexical_class(c: Column) -> Column:
     return expr.otherwise(F.lit("text"))
 
 
+def _class_bit(c: Column) -> Column:
+    """The value's lexical class as one bit of a mask (NULL has none), so a column's classes are one ``bit_or``."""
+    expr = F.when(c.isNull(), F.lit(0))
+    for k, (_, pattern) in enumerate(LEXICAL_CLASSES):
+        expr = expr.when(c.rlike(pattern), F.lit(1 << k))
+    return expr.otherwise(F.lit(1 << len(LEXICAL_CLASSES)))
+
+
 def _missing(df: DataFrame, c: str) -> Column:
     dtype = df.schema[c].dataType
     col = F.col(c)
@@ -55,8 +63,7 @@ def _parts(df: DataFrame, lexical: bool) -> tuple[DataFrame, int, list[str]]:
         F.sum(F.col("__n") * null_cells).cast("long").alias("total_nulls"),
     ]
     for i, c in enumerate(lex_cols):
-        cls = lexical_class(F.col(c))
-        exprs.append(F.count_distinct(cls).alias(f"__k{i}"))
+        exprs.append(F.bit_count(F.bit_or(_class_bit(F.col(c)))).alias(f"__k{i}"))
     return grouped.agg(*exprs), len(cols), lex_cols
 
 

@@ -14,7 +14,7 @@ from opsight.session import shared_path
 SEPARATORS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 # Size of the row filter below: 2**23 bits in 64-bit words, at most 131,072 rows of 16 bytes.
 FILTER_BITS = 1 << 23
 
@@ -34,7 +34,7 @@ def words_of(text: Column) -> Column:
 
 @contextmanager
 def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Arrow batches of at most 16 MB while a job is planned, so that Python workers stay small."""
+    """Arrow batches of at most 8 MB while a job is planned, so that Python workers stay small."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
     before = spark.conf.get(name)
     number = int(before.rstrip("b")) if before.rstrip("b").lstrip("-").isdigit() else None

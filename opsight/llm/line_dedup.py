@@ -82,7 +82,7 @@ def _split(column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     return lines, np.array(rows, np.int64), np.array(numbers, np.int64)
 
 
-def _slices(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def _slices(batch: pa.RecordBatch, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch of about ``most`` bytes of text."""
     size = 0
     start = 0
@@ -187,7 +187,8 @@ def line_groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
         wanted = shared_table(postings.select("id", "h1", "h2").distinct().join(nodes, "id"), "wanted")
         holders = lines.select("doc_id", "h1", "h2").join(wanted, ["h1", "h2"]).groupBy("id").agg(F.min("doc_id").alias("doc_id"))
         texts = rows_in(docs.select("doc_id", "text"), ["doc_id"], holders.select("doc_id").distinct())
-        words = (texts.mapInArrow(_word_lists, "h1 long, h2 long, words binary").join(wanted, ["h1", "h2"])
+        listed = rows_in(texts.mapInArrow(_word_lists, "h1 long, h2 long, words binary"), ["h1", "h2"], wanted)
+        words = (listed.join(wanted, ["h1", "h2"])
                  .groupBy("id").agg(F.first("words").alias("words")))
         words = shared_table(words, "words")
         both = (pairs.join(words.toDF("a", "words_a"), "a").join(words.toDF("b", "words_b"), "b")

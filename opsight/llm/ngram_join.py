@@ -31,7 +31,7 @@ RARE_DF = 16
 # Class table: 2**25 slots of 4 bits (16 MB), whatever the input. Shingles in one slot share the highest
 # class, which costs signatures but loses no pair; about a slot for four shingles keeps the classes apart.
 SLOT_BITS = 25
-_FLUSH = 1 << 21
+_FLUSH = 1 << 19
 _U = np.uint64
 
 

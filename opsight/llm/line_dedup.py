@@ -48,7 +48,16 @@ def _line_hashes(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def simhashes(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """192-bit SimHash of each line's words as six 32-bit numbers, shape (lines, 6)."""
+    """192-bit SimHash of each line's distinct words as six 32-bit numbers, shape (lines, 6).
+
+    Each word counts once: a separator or a word that fills a line must not decide all its bits.
+    """
+    line = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    order = np.lexsort((words, line))
+    words, line = words[order], line[order]
+    new = np.r_[True, (words[1:] != words[:-1]) | (line[1:] != line[:-1])][:len(words)]
+    words = words[new]
+    bounds = np.searchsorted(line[new], np.arange(len(bounds)))
     n = np.diff(bounds)
     out = np.zeros((len(n), BLOCKS), np.uint32)
     lines = np.flatnonzero(n)

@@ -76,9 +76,13 @@ def links_from_buckets(postings: DataFrame, verify: Callable[[DataFrame], DataFr
             pairs = (rows.join(pivots, "sig").filter("component <> p.component and " + _MAY_LINK.format("p."))
                      .select(F.least("id", "p.id").alias("a"), F.greatest("id", "p.id").alias("b")))
         else:
-            other = rows.toDF(*[c if c == "sig" else f"o_{c}" for c in rows.columns])
-            pairs = (rows.join(other, "sig")
-                     .filter("component < o_component and " + _MAY_LINK.format("o_") + " and " + _MAY_LINK_BY_PIVOT)
+            # a pair that shares several signatures is formed at the smallest only
+            lists = rows.groupBy("id").agg(F.collect_set("sig").alias("sigs"))  # an id's own signatures
+            listed = rows.join(lists, "id")
+            other = listed.toDF(*[c if c == "sig" else f"o_{c}" for c in listed.columns])
+            pairs = (listed.join(other, "sig")
+                     .filter("component < o_component and " + _MAY_LINK.format("o_") + " and " + _MAY_LINK_BY_PIVOT
+                             + " and sig = array_min(array_intersect(sigs, o_sigs))")
                      .select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b")))
         pairs = shared_table(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
         if pairs.limit(1).count():

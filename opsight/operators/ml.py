@@ -8,6 +8,7 @@ models are Spark ML estimators trained on the cluster. Metrics take a
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -209,12 +210,12 @@ def score_model(model, rows: DataFrame) -> DataFrame:
 
 def compare_models(df: DataFrame, features: Sequence[str], label: str = "churn", id_col: str = "customer_id",
                    folds: int = 5, seed: int = 42, models: Sequence[str] | None = None,
-                   trees: int = 100, rounds: int = 100) -> tuple[DataFrame, dict]:
+                   trees: int = 100, rounds: int = 100, parallelism: int = 6) -> tuple[DataFrame, dict]:
     """Train each model on a stratified 80 % split, score the 20 % test side and report accuracy, F1, AUC
     and k-fold CV AUC (mean, population std), with split sizes and label rates (K15).
 
     The scaler is fitted inside each fit (train part or CV fold), not on the whole frame before folding.
-    Fits run one after another on one written feature table. Returns the comparison frame and a dict of
+    Up to ``parallelism`` fits run at a time on one written feature table. Returns the comparison frame and a dict of
     the fitted models, the name of the best (by AUC) and the scored test rows of each.
     """
     feats = list(features)
@@ -227,20 +228,25 @@ def compare_models(df: DataFrame, features: Sequence[str], label: str = "churn",
         rates = [float(counts[k]["rate"]) if k in counts else None for k in (False, True)]
         train, test = table.filter("not is_test").drop("is_test"), table.filter("is_test").drop("is_test", "fold")
         rows, fitted, scored = [], {}, {}
-        for name, est in _models(sizes[0], seed, trees, rounds).items():
-            if models is not None and name not in models:
-                continue
-            aucs = []
-            for k in range(folds):
-                part = train.filter(F.col("fold") != k)
-                own = est.copy().setRegParam(1.0 / max(part.count(), 1)) if est.getFeaturesCol() == "scaled" else est
-                aucs.append(roc_auc(score_model(fit_model(own, part), train.filter(F.col("fold") == k))).first()["auc"])
-            fitted[name] = fit_model(est, train)
+        chosen = {n: e for n, e in _models(sizes[0], seed, trees, rounds).items() if models is None or n in models}
+
+        def fold_auc(est, k):
+            part = train.filter(F.col("fold") != k)
+            own = est.copy().setRegParam(1.0 / max(part.count(), 1)) if est.getFeaturesCol() == "scaled" else est
+            return roc_auc(score_model(fit_model(own, part), train.filter(F.col("fold") == k))).first()["auc"]
+
+        # fits are independent jobs: small ones share the cluster instead of queueing
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            whole = {n: pool.submit(fit_model, e, train) for n, e in chosen.items()}
+            parts = {n: [pool.submit(fold_auc, e, k) for k in range(folds)] for n, e in chosen.items()}
+            fitted = {n: f.result() for n, f in whole.items()}
+            cv = {n: [f.result() for f in fs] for n, fs in parts.items()}
+        for name, model in fitted.items():
             path = shared_path(spark, "scored")
-            score_model(fitted[name], test).write.mode("overwrite").parquet(path)
+            score_model(model, test).write.mode("overwrite").parquet(path)
             scored[name] = spark.read.parquet(path)
             af, auc = accuracy_f1(scored[name]).first(), roc_auc(scored[name]).first()["auc"]
-            known = [v for v in aucs if v is not None]
+            known = [v for v in cv[name] if v is not None]
             mean = sum(known) / len(known) if known else None
             std = (sum((v - mean) ** 2 for v in known) / len(known)) ** 0.5 if known else None
             rows.append((name, af["accuracy"], af["f1"], auc, mean, std))

@@ -204,7 +204,7 @@ def line_groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
                 .select("a", "b", "words_a", "words_b"))
         return both.mapInArrow(_compared, "a string, b string, shared long, link boolean")
 
-    found, _ = links_from_buckets(postings.select("sig", "id", "size", "rank", "usable"), verify)
+    found, _ = links_from_buckets(postings.select("sig", "id", "size", "rank", "usable"), verify, star_rounds=1)
     return found.join(postings.select("id", "h1", "h2").distinct(), "id").select("h1", "h2", "component")
 
 

@@ -46,12 +46,12 @@ def small_batches(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def shared_table(df: DataFrame, name: str) -> DataFrame:
+def shared_table(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back: a cut in the lineage that
     survives lost executors."""
     path = shared_path(df.sparkSession, "tables", name)
     with small_batches(df.sparkSession):
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

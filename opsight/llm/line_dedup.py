@@ -1,10 +1,16 @@
-"""Fuzzy line dedup: SimHash, pigeonhole blocks, edit similarity, one occurrence for each group.
+"""Fuzzy line dedup: word 3-gram prefixes, edit similarity, one occurrence for each group.
 
-A line's normal form is its sequence of lower-case words. Lines of at least ``MIN_WORDS`` words are
-compared; shorter ones (and blank ones) always stay. Equal normal forms are one line. Different ones
-are candidates when their 192-bit SimHashes agree in one of six 32-bit blocks, which holds for every
-pair within five differing bits, and are linked when the edit similarity of their word sequences is
-at least 0.8. Of each connected group the first occurrence stays, by doc_id, then line number.
+A line's normal form is its sequence of lower-case words; equal normal forms are one line. Lines under four
+words (and blank ones) always stay.
+Different ones are linked when the edit similarity of their units is at least 0.8, that is,
+when at most a fifth of the longer line's units differ; under five units that leaves equal lines only.
+Of each connected group the first occurrence stays, by doc_id, then line number.
+
+The search misses no such pair (hash collisions aside). One edit breaks three 3-grams at most, so of a
+line's 3-grams in a global order (rarest first), one more than the allowed edits can break must hold one
+that the partner has as well; 3-grams of one line only are known from a class table and need no signature,
+and frequent ones of longer lines are indexed as 2-combinations (see ``ngram_join``). Lines of four to
+nine units, where one edit is allowed, are found by the line with one unit left out.
 
 Rows without a doc_id, and NULL or empty texts, pass unchanged and take no part. Rows that repeat a
 doc_id and its text are treated alike. A document that loses its last line with words keeps an empty
@@ -13,6 +19,7 @@ text in ``deduplicated`` and goes in ``without_repeated_lines``.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,8 +31,13 @@ from pyspark.sql import types as T
 from opsight.llm.common import flag_rows, rows_in, shared_table
 from opsight.llm.components import links_from_buckets
 from opsight.llm.hashing import mix, word_runs
+from opsight.llm.ngram_join import combinations, gram_kinds, shingle_classes
 
 MIN_WORDS = 5
+MAX_SHORT = 9  # units up to which one edit is allowed at most
+COMBINED = 32  # size band from which frequent 3-grams are combined
+SLOT_BITS = 26  # class table of 2**26 four-bit slots (32 MB), whatever the input
+RARE_DF = 256  # 3-grams of more lines count as frequent
 BLOCKS = 6  # of 32 bits
 MIN_SIMILARITY = 0.8
 _U = np.uint64
@@ -50,7 +62,8 @@ def _line_hashes(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 def simhashes(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """192-bit SimHash of each line's distinct words as six 32-bit numbers, shape (lines, 6).
 
-    Each word counts once: a separator or a word that fills a line must not decide all its bits.
+    Each word counts once: a separator or a word that fills a line must not decide all its bits. The search
+    does not use it: at similarity 0.8 about 40 bits differ, more than any pigeonhole of blocks can find.
     """
     line = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     order = np.lexsort((words, line))
@@ -104,7 +117,7 @@ def _slices(batch: pa.RecordBatch, most: int = 1 << 20) -> Iterator[pa.RecordBat
         yield batch.slice(start)
 
 
-_LINES = "doc_id long, line int, n int, h1 long, h2 long, s0 long, s1 long, s2 long"
+_LINES = "doc_id long, line int, h1 long, h2 long"
 
 
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,32 +128,141 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at, words, bounds in word_runs(pa.array(lines, pa.large_string())):
             n = np.diff(bounds)
             hashes = _line_hashes(words, bounds)
-            chosen = np.flatnonzero(n >= MIN_WORDS)
+            chosen = np.flatnonzero(n >= MIN_WORDS - 1)
             if not len(chosen):
                 continue
             key = np.stack([rows[at + chosen].view(np.uint64), hashes[chosen, 0], hashes[chosen, 1]], 1)
             _, first = np.unique(key, axis=0, return_index=True)
             chosen = chosen[np.sort(first)]
-            # distinct lines only: their words close up
-            kept = np.repeat(np.isin(np.arange(len(n)), chosen), n)
-            sims = simhashes(words[kept], np.r_[0, np.cumsum(n[chosen])]).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids[rows[at + chosen]].astype(np.int64)), pa.array(numbers[at + chosen].astype(np.int32)),
-                 pa.array(n[chosen].astype(np.int32)), *[pa.array(hashes[chosen, k].view(np.int64)) for k in range(2)],
-                 *[pa.array(sims[:, k].copy()) for k in range(3)]], [f.split()[0] for f in _LINES.split(", ")])
+                 *[pa.array(hashes[chosen, k].view(np.int64)) for k in range(2)]],
+                [f.split()[0] for f in _LINES.split(", ")])
+
+
+def _own_runs(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For runs of a ``(doc_id, text, skip)`` batch: the units of its lines, their bounds, their hashes and rows,
+    without the lines whose first hash is in the row's ``skip``."""
+    for part in _slices(batch):
+        lines, rows, _ = _split(part.column(1))
+        skip = [mix(np.array(x, np.int64).view(np.uint64) ^ _SALTS[2]) + _U(k) for k, x in enumerate(part.column(2).to_pylist()) if x]
+        skip = np.concatenate(skip) if skip else np.empty(0, np.uint64)
+        for at, words, bounds in word_runs(pa.array(lines, pa.large_string())):
+            n, hashes = np.diff(bounds), _line_hashes(words, bounds)
+            row = rows[at:at + len(n)]
+            stays = n > 0
+            if len(skip):
+                stays &= ~np.isin(mix(hashes[:, 0] ^ _SALTS[2]) + row.astype(np.uint64), skip)
+            if stays.any():
+                yield words[np.repeat(stays, n)], np.r_[0, np.cumsum(n[stays])], hashes[stays], row[stays]
+
+
+def may_break(n):
+    """How many 3-grams of a line of ``n`` units the edits that similarity 0.8 allows can break: each edit three,
+    but a unit that only the partner has (whose length may allow one edit more) two."""
+    return 3 * (n // 5) + np.maximum(0, n % 5 - 2)
+
+
+def line_grams(words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The lines with more than seven units, where each one's 3-grams start, and these (48-bit hashes, a repeated
+    one numbered)."""
+    n = np.diff(bounds)
+    chosen = np.flatnonzero(n >= MAX_SHORT - 1)
+    if not len(chosen):
+        return chosen, np.zeros(1, np.int64), np.empty(0, np.uint64)
+    starts = np.r_[0, np.cumsum(n[chosen] - 2)]
+    owner = np.repeat(np.arange(len(chosen)), n[chosen] - 2)
+    at = np.arange(starts[-1]) - starts[owner] + bounds[chosen][owner]
+    factor = _U(0xD6E8FEB86659FD93)
+    grams = mix((words[at] * factor + words[at + 1]) * factor + words[at + 2])
+    keys = np.sort(owner.astype(np.uint64) << _U(48) | grams >> _U(16))
+    grams = keys & _U((1 << 48) - 1)
+    same = np.r_[False, keys[1:] == keys[:-1]]
+    if same.any():
+        places = np.arange(len(keys))
+        nth = (places - np.maximum.accumulate(np.where(same, 0, places))).astype(np.uint64)
+        grams = np.where(same, mix(grams + nth * _SALTS[0]) >> _U(16), grams)
+    return chosen, starts, grams
+
+
+def gram_signatures(grams: np.ndarray, kind: np.ndarray, n: int) -> np.ndarray:
+    """Signatures of a line of ``n`` units from its 3-grams and their classes."""
+    need = int(may_break(n)) + 1
+    order = np.lexsort((grams, kind))
+    grams, kind = grams[order], kind[order]
+    unique, common = int((kind == 0).sum()), grams[kind > 1]
+    rare = grams[unique:len(grams) - len(common)]
+    singles = rare[:max(0, need - unique)]
+    need -= unique + len(rare)
+    out = [singles]
+    if need > 0 and len(common):
+        top = 1 << (n.bit_length() - 1)
+        for lower in ([top, 2 * top] if 5 * n >= 8 * top else [top]):  # size bands that a partner may use
+            out += combinations(common, need, lower) if lower >= COMBINED else [common[:need]]
+    return np.concatenate(out)
+
+
+def short_signatures(words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lines of four to nine units, each with its hash and those with one unit left out."""
+    n = np.diff(bounds)
+    lines, sigs = [], []
+    for size in range(MIN_WORDS - 1, MAX_SHORT + 1):
+        some = np.flatnonzero(n == size)
+        if len(some):
+            units = words[bounds[some][:, None] + np.arange(size)]
+            for gone in range(size + 1):  # the last leaves the line whole
+                left = np.delete(units, gone, axis=1) if gone < size else units
+                place = np.arange(1, left.shape[1] + 1, dtype=np.uint64) * _SALTS[1]
+                lines.append(some)
+                sigs.append(mix(mix(left ^ mix(place)).sum(axis=1, dtype=np.uint64) + _U(left.shape[1])))
+    if not lines:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    return np.concatenate(lines), np.concatenate(sigs)
+
+
+def _gram_sets(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
+    for words, bounds, _, _ in _own_runs(batch):
+        yield 0, line_grams(words, bounds)[2] << _U(16)
+
+
+_POSTINGS = "sig long, id long, size long, doc_id long"
+
+
+def _postings(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.value
+        for batch in batches:
+            for part in _slices(batch):
+                ids = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                for words, bounds, hashes, rows in _own_runs(part):
+                    n = np.diff(bounds)
+                    lines, starts, grams = line_grams(words, bounds)
+                    short, sigs = short_signatures(words, bounds)
+                    found, owner = [sigs], [short]
+                    if len(lines):
+                        kind = gram_kinds(table, grams << _U(16))
+                        unique = np.add.reduceat((kind == 0).astype(np.int64), starts[:-1])
+                        for k in np.flatnonzero(unique <= may_break(n[lines])).tolist():
+                            a, b = starts[k], starts[k + 1]
+                            found.append(np.unique(gram_signatures(grams[a:b], kind[a:b], int(n[lines[k]]))))
+                            owner.append(np.full(len(found[-1]), lines[k]))
+                    found, owner = np.concatenate(found), np.concatenate(owner)
+                    if len(found):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(found.view(np.int64)), pa.array(hashes[owner, 0].view(np.int64)),
+                             pa.array(n[owner].astype(np.int64)), pa.array(ids[rows[owner]])], [f.split()[0] for f in _POSTINGS.split(", ")])
+    return run
 
 
 def _word_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The word hashes of every line with enough words."""
-    for batch in (part for b in batches for part in _slices(b)):
-        lines, _, _ = _split(batch.column(1))
-        for _, words, bounds in word_runs(pa.array(lines, pa.large_string())):
-            hashes = _line_hashes(words, bounds).view(np.int64)
-            chosen = np.flatnonzero(np.diff(bounds) >= MIN_WORDS)
+    """The unit hashes of every line that may have a partner."""
+    for batch in batches:
+        for words, bounds, hashes, _ in _own_runs(batch):
+            chosen = np.flatnonzero(np.diff(bounds) >= MIN_WORDS - 1)
             if len(chosen):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes[chosen, 0]), pa.array(hashes[chosen, 1]),
-                     pa.array([words[bounds[i]:bounds[i + 1]].tobytes() for i in chosen], pa.binary())], ["h1", "h2", "words"])
+                    [pa.array(hashes[chosen, 0].view(np.int64)),
+                     pa.array([words[bounds[i]:bounds[i + 1]].tobytes() for i in chosen], pa.binary())], ["id", "words"])
 
 
 def edit_distance(a: list[int], b: list[int]) -> int:
@@ -172,53 +294,56 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         link = []
         for x, y in zip(batch.column(2), batch.column(3)):
             p, q = (np.frombuffer(v.as_buffer(), np.uint64).tolist() for v in (x, y))
-            link.append(edit_distance(p, q) <= (1 - MIN_SIMILARITY) * max(len(p), len(q)) + 1e-9)
+            longer = max(len(p), len(q))
+            most = (1 - MIN_SIMILARITY) * longer + 1e-9
+            # units that only one has need an edit each
+            link.append(longer - (Counter(p) & Counter(q)).total() <= most and edit_distance(p, q) <= most)
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.nulls(len(link), pa.int64()),
                                           pa.array(link, pa.bool_())], ["a", "b", "shared", "link"])
 
 
-_NODE = "concat(lpad(hex(h1), 16, '0'), lpad(hex(h2), 16, '0'))"
-
-
-def line_groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """``(h1, h2, component)`` of the lines that are linked with other normal forms."""
-    distinct = lines.groupBy("h1", "h2").agg(*[F.max(c).alias(c) for c in ("n", "s0", "s1", "s2")])
-    blocks = F.array(*[F.struct(F.xxhash64(F.lit(2 * k + j), F.expr(f"shiftrightunsigned(s{k}, {32 * j}) & 4294967295")).alias("sig"))
-                       for k in range(3) for j in range(2)])
-    keyed = shared_table(distinct.select("h1", "h2", "n", F.explode(blocks).alias("block")).select("h1", "h2", "n", "block.sig"), "blocks")
-    crowded = shared_table(keyed.groupBy("sig").agg(F.count(F.lit(1)).alias("count")).filter("count > 1").select("sig"), "crowded")
-    postings = shared_table(rows_in(keyed, ["sig"], crowded).select(
-        "sig", F.expr(_NODE).alias("id"), F.col("n").cast("long").alias("size"), F.lit(0).alias("rank"),
-        F.col("n").cast("long").alias("usable"), "h1", "h2"), "postings")
+def line_groups(docs: DataFrame) -> DataFrame:
+    """``(h1, component)`` of the lines that are linked with other normal forms; ``docs(doc_id, text, skip)``
+    has each normal form in one document outside ``skip``. Equal first hashes stand for equal lines here."""
+    table = docs.sparkSession.sparkContext.broadcast(shingle_classes(docs, RARE_DF, _gram_sets, SLOT_BITS))
+    postings = shared_table(docs.mapInArrow(_postings(table), _POSTINGS), "postings")
 
     def verify(pairs: DataFrame) -> DataFrame:
         nodes = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        wanted = shared_table(postings.select("id", "h1", "h2").distinct().join(nodes, "id"), "wanted")
-        holders = lines.select("doc_id", "h1", "h2").join(wanted, ["h1", "h2"]).groupBy("id").agg(F.min("doc_id").alias("doc_id"))
-        texts = rows_in(docs.select("doc_id", "text"), ["doc_id"], holders.select("doc_id").distinct())
-        listed = rows_in(texts.mapInArrow(_word_lists, "h1 long, h2 long, words binary"), ["h1", "h2"], wanted)
-        words = (listed.join(wanted, ["h1", "h2"])
-                 .groupBy("id").agg(F.first("words").alias("words")))
-        words = shared_table(words, "words")
+        wanted = shared_table(rows_in(postings.select("id", "doc_id"), ["id"], nodes).distinct(), "wanted")
+        texts = rows_in(docs, ["doc_id"], wanted.select("doc_id").distinct())
+        listed = rows_in(texts.mapInArrow(_word_lists, "id long, words binary"), ["id"], wanted)
+        words = shared_table(listed.groupBy("id").agg(F.first("words").alias("words")), "words")
         both = (pairs.join(words.toDF("a", "words_a"), "a").join(words.toDF("b", "words_b"), "b")
                 .select("a", "b", "words_a", "words_b"))
-        return both.mapInArrow(_compared, "a string, b string, shared long, link boolean")
+        return both.mapInArrow(_compared, "a long, b long, shared long, link boolean")
+
+    members = postings.select("sig", "id", "size", F.lit(0).alias("rank"), F.col("size").alias("usable"))
+    found, _ = links_from_buckets(members, verify, star_rounds=1)
+    return found.withColumnRenamed("id", "h1")
+
 
-    found, _ = links_from_buckets(postings.select("sig", "id", "size", "rank", "usable"), verify, star_rounds=1)
-    return found.join(postings.select("id", "h1", "h2").distinct(), "id").select("h1", "h2", "component")
+def once_each(docs: DataFrame, lines: DataFrame) -> DataFrame:
+    """``(doc_id, text, skip)``: in ``skip`` the first hashes of the lines that an earlier document has."""
+    first = lines.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
+    skip = shared_table(lines.select("doc_id", "h1", "h2").join(first, ["h1", "h2"]).filter("doc_id > first")
+                        .groupBy("doc_id").agg(F.collect_set("h1").alias("skip")), "skip")  # at most a document's own lines
+    flagged = flag_rows(docs, ["doc_id"], skip, "__maybe")
+    sure = flagged.filter("not __maybe").select("doc_id", "text", F.lit(None).cast("array<long>").alias("skip"))
+    return shared_table(sure.unionByName(flagged.filter("__maybe").join(skip, "doc_id", "left").select("doc_id", "text", "skip")), "once", "zstd")
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """``(doc_id, gone)``: the hashes of each document's lines that occur earlier elsewhere in their group."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
     lines = shared_table(docs.mapInArrow(_described, _LINES), "lines")
-    groups = shared_table(line_groups(docs, lines), "groups")
+    groups = shared_table(line_groups(once_each(docs, lines)), "groups")
     spread = (lines.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")))
     # lines of one normal form in several documents: all but the first document lose it
     plain = lines.select("doc_id", "h1", "h2").join(
-        spread.filter("first < last").join(groups, ["h1", "h2"], "left_anti"), ["h1", "h2"]).filter("doc_id > first")
+        spread.filter("first < last").join(groups, "h1", "left_anti"), ["h1", "h2"]).filter("doc_id > first")
     # lines of several normal forms: the first place of the whole group stays
-    linked = lines.select("doc_id", "line", "h1", "h2").join(groups, ["h1", "h2"])
+    linked = lines.select("doc_id", "line", "h1").join(groups, "h1")
     heads = linked.groupBy("component").agg(F.min("doc_id").alias("first"))
     place = (linked.join(heads, "component").filter("doc_id = first").groupBy("component", "first").agg(F.min("line").alias("at")))
     fuzzy = (linked.join(place, "component").filter("doc_id <> first or line <> at").select("doc_id", "h1"))
@@ -242,9 +367,9 @@ def _kept(columns: list[str]):
                     hashes = _line_hashes(words, bounds)
                     for i in np.flatnonzero(n):
                         row = int(rows[at + i])
-                        if n[i] >= MIN_WORDS and not null_id[row]:
+                        if not null_id[row]:
                             key = (row, int(hashes[i, 0]), int(hashes[i, 1]))
-                            if key in seen or int(hashes[i, 0].view(np.int64)) in gone[row]:
+                            if n[i] >= MIN_WORDS and key in seen or int(hashes[i, 0].view(np.int64)) in gone[row]:
                                 stays[at + i] = False
                                 continue
                             seen.add(key)

@@ -46,8 +46,8 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array(marks[:, 1].copy())], ["doc_id", "n_shingles", "d1", "d2"])
 
 
-def _token_blocks(bucket_bits: int):
-    """Shingles (their upper 48 bits) of a task's documents, sorted and cut into hash ranges."""
+def _token_blocks(bucket_bits: int, sets):
+    """Shingles (their upper 48 bits) of a task's rows, sorted and cut into hash ranges."""
     def blocks(tokens: list[np.ndarray]) -> pa.RecordBatch:
         t = np.sort(np.concatenate(tokens) >> _U(16))
         bounds = np.searchsorted(t, np.arange((1 << bucket_bits) + 1, dtype=np.uint64) << _U(48 - bucket_bits))
@@ -61,7 +61,7 @@ def _token_blocks(bucket_bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for batch in batches:
-            for _, grams in shingle_sets(batch.column(0)):
+            for _, grams in sets(batch):
                 held.append(grams)
                 n += len(grams)
                 if n >= _FLUSH:
@@ -72,7 +72,7 @@ def _token_blocks(bucket_bits: int):
     return run
 
 
-def _class_slices(bucket_bits: int, rare_df: int):
+def _class_slices(bucket_bits: int, rare_df: int, slot_bits: int):
     """Each hash range's slice of the class table: 0 unique, 1 rare, then frequent by powers of four."""
     limits = np.array([1, *(rare_df * 4 ** k for k in range(14))])
 
@@ -82,12 +82,12 @@ def _class_slices(bucket_bits: int, rare_df: int):
             for bucket, high, low in zip(*[c.to_pylist() for c in batch.columns]):
                 held.setdefault(bucket, []).append((np.frombuffer(high, np.uint16).astype(np.uint64) << _U(32))
                                                    | np.frombuffer(low, np.uint32))
-        rest = SLOT_BITS - bucket_bits
+        rest = slot_bits - bucket_bits
         for bucket in sorted(held):
             t = np.sort(np.concatenate(held.pop(bucket)))
             starts = np.flatnonzero(np.r_[True, t[1:] != t[:-1]])
             kind = np.searchsorted(limits, np.diff(np.r_[starts, len(t)])).astype(np.uint8)
-            slot = ((t[starts] >> _U(48 - SLOT_BITS)) & _U((1 << rest) - 1)).astype(np.int64)
+            slot = ((t[starts] >> _U(48 - slot_bits)) & _U((1 << rest) - 1)).astype(np.int64)
             table = np.zeros(1 << rest, np.uint8)
             np.maximum.at(table, slot[kind > 0], kind[kind > 0])
             yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array(
@@ -95,29 +95,57 @@ def _class_slices(bucket_bits: int, rare_df: int):
     return run
 
 
-def shingle_classes(docs: DataFrame, rare_df: int = RARE_DF) -> np.ndarray:
-    """The packed class table of the shingles of all documents.
+def _text_sets(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
+    return shingle_sets(batch.column(0))
+
+
+def shingle_classes(rows: DataFrame, rare_df: int = RARE_DF, sets=_text_sets, slot_bits: int = SLOT_BITS) -> np.ndarray:
+    """The packed class table of the shingles that ``sets`` finds in the Arrow batches of ``rows``.
 
     Every shingle is shuffled once, as 6 bytes in sorted blocks; a hash range is counted by one task.
     """
-    spark = docs.sparkSession
+    spark = rows.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bucket_bits = min(18, max(8, (4 * partitions - 1).bit_length()))
-    blocks = docs.select("text").mapInArrow(_token_blocks(bucket_bits), "bucket int, high binary, low binary")
+    blocks = rows.mapInArrow(_token_blocks(bucket_bits, sets), "bucket int, high binary, low binary")
     slices = (blocks.repartition(partitions, "bucket")
-              .mapInArrow(_class_slices(bucket_bits, rare_df), "bucket int, kinds binary"))
-    width = 1 << (SLOT_BITS - bucket_bits - 1)
-    table = np.zeros(1 << (SLOT_BITS - 1), np.uint8)
-    for row in slices.collect():  # 16 MB at most, whatever the input
+              .mapInArrow(_class_slices(bucket_bits, rare_df, slot_bits), "bucket int, kinds binary"))
+    width = 1 << (slot_bits - bucket_bits - 1)
+    table = np.zeros(1 << (slot_bits - 1), np.uint8)
+    for row in slices.collect():  # the table's fixed size at most, whatever the input
         table[row.bucket * width:(row.bucket + 1) * width] = np.frombuffer(row.kinds, np.uint8)
     return table
 
 
-def _kinds(table: np.ndarray, grams: np.ndarray) -> np.ndarray:
-    slot = (grams >> _U(64 - SLOT_BITS)).astype(np.int64)
+def gram_kinds(table: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """The class of each 64-bit shingle hash in a packed table of two slots a byte."""
+    slot = (grams >> _U(64 - (len(table).bit_length()))).astype(np.int64)
     return (table[slot >> 1] >> ((1 - (slot & 1)) * 4).astype(np.uint8)) & 15
 
 
+def combinations(common: np.ndarray, need: int, lower: int) -> list[np.ndarray]:
+    """2-combinations within hash groups of the prefix of ``common`` that may lose ``need`` - 1 shingles."""
+    out = []
+    groups = _U(max(1, lower // 10))
+    group = (common >> _U(7)) % groups
+    # a group's shingles count from the second on: find where the prefix ends
+    order = np.argsort(group, kind="stable")
+    sorted_group = group[order]
+    first = np.r_[True, sorted_group[1:] != sorted_group[:-1]]
+    counts = np.empty(len(common), bool)
+    counts[order] = ~first
+    end = int(np.searchsorted(np.cumsum(counts), need)) + 1
+    kept, kept_group = common[:end], group[:end]
+    order = np.argsort(kept_group, kind="stable")
+    kept, kept_group = kept[order], kept_group[order]
+    for step in range(1, len(kept)):
+        same = kept_group[step:] == kept_group[:-step]
+        if not same.any():
+            break
+        out.append(mix(mix(kept[:-step][same] + _U(lower)) + kept[step:][same]))
+    return out
+
+
 def signatures(grams: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, int, int]:
     """The signatures of one sorted shingle set, and how many shingles are not frequent and how many not unique.
 
@@ -125,7 +153,7 @@ def signatures(grams: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, int, i
     """
     n = len(grams)
     need = n - (4 * n + 4) // 5 + 1
-    kind = _kinds(table, grams)
+    kind = gram_kinds(table, grams)
     often = kind > 1
     unique, rare, common = int((kind == 0).sum()), grams[kind == 1], grams[often]
     common = common[np.argsort(kind[often], kind="stable")]
@@ -139,23 +167,7 @@ def signatures(grams: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, int, i
     out = [singles]
     top = 1 << (n.bit_length() - 1)
     for lower in ([top, 2 * top] if 5 * n >= 8 * top else [top]):  # size bands that a partner may use
-        groups = _U(max(1, lower // 10))
-        group = (common >> _U(7)) % groups
-        # a group's shingles count from the second on: find where the prefix ends
-        order = np.argsort(group, kind="stable")
-        sorted_group = group[order]
-        first = np.r_[True, sorted_group[1:] != sorted_group[:-1]]
-        counts = np.empty(len(common), bool)
-        counts[order] = ~first
-        end = int(np.searchsorted(np.cumsum(counts), need)) + 1
-        kept, kept_group = common[:end], group[:end]
-        order = np.argsort(kept_group, kind="stable")
-        kept, kept_group = kept[order], kept_group[order]
-        for step in range(1, len(kept)):
-            same = kept_group[step:] == kept_group[:-step]
-            if not same.any():
-                break
-            out.append(mix(mix(kept[:-step][same] + _U(lower)) + kept[step:][same]))
+        out += combinations(common, need, lower)
     return np.concatenate(out), rank, n - unique
 
 
@@ -215,7 +227,7 @@ def jaccard_components(docs: DataFrame, rare_df: int = RARE_DF) -> DataFrame:
     copies = shared_table(sizes.filter("n_shingles > 0").join(groups, ["d1", "d2"]).filter("doc_id > rep")
                           .select("doc_id", "rep").distinct(), "copies")
     nodes = rows_not_in(docs.filter("doc_id is not null"), ["doc_id"], copies)
-    table = spark.sparkContext.broadcast(shingle_classes(nodes, rare_df))
+    table = spark.sparkContext.broadcast(shingle_classes(nodes.select("text"), rare_df))
     postings = shared_table(nodes.mapInArrow(_postings(table), "sig long, id long, size long, rank long, usable long"), "postings")
     found, _ = links_from_buckets(postings, verify_pairs(docs))
     reps = found.select(F.col("id").alias("rep"), "component")

@@ -134,6 +134,39 @@ def test_line_dedup_exact_repeats(spark, folder):
     assert all(any(len(set(x) & s) >= 0.5 * len(set(x)) for s in left) for x in lost)  # went for a similar line
 
 
+def _edited(rng, words, edits):
+    """``words`` after so many random substitutions, deletions and insertions."""
+    words = list(words)
+    for _ in range(edits):
+        kind, at = rng.integers(3), int(rng.integers(len(words)))
+        words[at:at + (kind < 2)] = [f"new{rng.integers(1 << 30)}"] if kind != 1 else []
+    return words
+
+
+def test_line_dedup_finds_every_pair_within_the_threshold(spark):
+    """Recall against brute-force edit similarity, lines of 4 to 90 words with up to a fifth of them changed."""
+    rng = np.random.default_rng(11)
+    rows, wanted = [], []
+    common = [f"c{k}" for k in range(40)]  # shared phrases make 3-grams frequent
+    for k in range(600):
+        n = int(rng.integers(4, 91))
+        base = [f"w{rng.integers(1 << 30)}" for _ in range(n)] if k % 3 else [*common[:n // 2], *(f"w{rng.integers(300)}" for _ in range(n - n // 2))]
+        other = _edited(rng, base, int(rng.integers(0, n // 5 + 2)))
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(other))]
+        if line_dedup.edit_distance(base, other) * 5 <= max(len(base), len(other)):
+            wanted.append(2 * k + 1)
+    got = {r.doc_id: r.n_removed for r in line_dedup.line_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(wanted) > 300 and all(got[i] == 1 for i in wanted)
+    words = {i: t.split() for i, t in rows}
+    union = brute.Union(words)
+    for i, a in words.items():
+        for j in range(i):
+            b, longer = words[j], max(len(a), len(words[j]))
+            if 5 * min(len(a), len(b)) >= 4 * longer and 5 * len(set(a) & set(b)) >= len(set(a)) // 2 and line_dedup.edit_distance(a, b) * 5 <= longer:
+                union.join(i, j)
+    assert {i for i, n in got.items() if n} == {i for i in words if union.find(i) != i}
+
+
 def test_edit_distance_and_simhash():
     def plain(a, b):
         row = list(range(len(b) + 1))

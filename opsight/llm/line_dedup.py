@@ -1,10 +1,11 @@
 """Fuzzy line dedup: word 3-gram prefixes, edit similarity, one occurrence for each group.
 
-A line's normal form is its sequence of lower-case words; equal normal forms are one line. Lines under four
-words (and blank ones) always stay.
-Different ones are linked when the edit similarity of their units is at least 0.8, that is,
+A line's normal form is its sequence of units: lower-case words, the characters of scripts that write no
+blanks, and the characters of a line that is one long word. Equal normal forms are one line, whatever
+their length. Different ones are linked when the edit similarity of their units is at least 0.8, that is,
 when at most a fifth of the longer line's units differ; under five units that leaves equal lines only.
-Of each connected group the first occurrence stays, by doc_id, then line number.
+Of each connected group the first occurrence stays, by doc_id, then line number; only repeats of a line
+under ``MIN_WORDS`` units within the first document that has it stay there.
 
 The search misses no such pair (hash collisions aside). One edit breaks three 3-grams at most, so of a
 line's 3-grams in a global order (rarest first), one more than the allowed edits can break must hold one
@@ -19,6 +20,7 @@ text in ``deduplicated`` and goes in ``without_repeated_lines``.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -34,6 +36,7 @@ from opsight.llm.hashing import mix, word_runs
 from opsight.llm.ngram_join import combinations, gram_kinds, shingle_classes
 
 MIN_WORDS = 5
+LONG_WORD = 24  # a line that is one word of more characters is compared by its characters
 MAX_SHORT = 9  # units up to which one edit is allowed at most
 COMBINED = 32  # size band from which frequent 3-grams are combined
 SLOT_BITS = 26  # class table of 2**26 four-bit slots (32 MB), whatever the input
@@ -43,6 +46,9 @@ MIN_SIMILARITY = 0.8
 _U = np.uint64
 # Each byte's bits as eight counters of eight bits.
 _SPREAD = np.array([sum(((b >> k) & 1) << (8 * k) for k in range(8)) for b in range(256)], np.uint64)
+# Thai, Lao, Burmese, Khmer, CJK with kana: scripts without blanks between words.
+_BLANKLESS = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SALTS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
@@ -117,18 +123,30 @@ def _slices(batch: pa.RecordBatch, most: int = 1 << 20) -> Iterator[pa.RecordBat
         yield batch.slice(start)
 
 
+def _unit_lines(lines: list[str]) -> pa.Array:
+    """The lines with blanks between their units."""
+    out = []
+    for x in lines:
+        if not x.isascii() and _BLANKLESS.search(x):
+            x = _BLANKLESS.sub(r" \1 ", x)
+        if len(x) > LONG_WORD and " " not in x and len(found := _WORD.findall(x)) == 1 and len(found[0]) > LONG_WORD:
+            x = " ".join(found[0])
+        out.append(x)
+    return pa.array(out, pa.large_string())
+
+
 _LINES = "doc_id long, line int, h1 long, h2 long"
 
 
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first occurrence in its document of each line with enough words."""
+    """The first occurrence in its document of each line with words."""
     for batch in (part for b in batches for part in _slices(b)):
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         lines, rows, numbers = _split(batch.column(1))
-        for at, words, bounds in word_runs(pa.array(lines, pa.large_string())):
+        for at, words, bounds in word_runs(_unit_lines(lines)):
             n = np.diff(bounds)
             hashes = _line_hashes(words, bounds)
-            chosen = np.flatnonzero(n >= MIN_WORDS - 1)
+            chosen = np.flatnonzero(n)
             if not len(chosen):
                 continue
             key = np.stack([rows[at + chosen].view(np.uint64), hashes[chosen, 0], hashes[chosen, 1]], 1)
@@ -147,7 +165,7 @@ def _own_runs(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, n
         lines, rows, _ = _split(part.column(1))
         skip = [mix(np.array(x, np.int64).view(np.uint64) ^ _SALTS[2]) + _U(k) for k, x in enumerate(part.column(2).to_pylist()) if x]
         skip = np.concatenate(skip) if skip else np.empty(0, np.uint64)
-        for at, words, bounds in word_runs(pa.array(lines, pa.large_string())):
+        for at, words, bounds in word_runs(_unit_lines(lines)):
             n, hashes = np.diff(bounds), _line_hashes(words, bounds)
             row = rows[at:at + len(n)]
             stays = n > 0
@@ -362,7 +380,7 @@ def _kept(columns: list[str]):
                 gone = [set(x) if x else set() for x in batch.column(2).to_pylist()]
                 null_id = np.array(batch.column(0).is_null())
                 seen: set[tuple[int, int, int]] = set()
-                for at, words, bounds in word_runs(pa.array(lines, pa.large_string())):
+                for at, words, bounds in word_runs(_unit_lines(lines)):
                     n = np.diff(bounds)
                     hashes = _line_hashes(words, bounds)
                     for i in np.flatnonzero(n):

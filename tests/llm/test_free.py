@@ -167,6 +167,15 @@ def test_line_dedup_finds_every_pair_within_the_threshold(spark):
     assert {i for i, n in got.items() if n} == {i for i in words if union.find(i) != i}
 
 
+def test_line_dedup_short_lines_and_scripts_without_blanks(spark):
+    """Equal lines of any length go from all but their first document; lines without blanks have units to compare."""
+    chinese, thai, token = "这是一个没有空格的很长的中文句子用来测试", "ภาษาไทยไม่มีช่องว่างระหว่างคำ", "QmFzZTY0IHRva2VuIHdpdGhvdXQgYmxhbmtz"
+    rows = [(1, f"All rights reserved.\nown\n{chinese}\n{token}"), (2, "other words\nall  rights reserved."),
+            (3, f"x\n{chinese[:5]}那{chinese[6:]}\n{thai}"), (4, f"x\n{thai}\n{thai}\n{token[:9]}Z{token[10:]}"), (5, "own\nown\nlast")]
+    got = {r.doc_id: r.text for r in line_dedup.line_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: rows[0][1], 2: "other words", 3: f"x\n{thai}", 4: "", 5: "last"}
+
+
 def test_edit_distance_and_simhash():
     def plain(a, b):
         row = list(range(len(b) + 1))

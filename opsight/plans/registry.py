@@ -563,23 +563,28 @@ def _q_models(spark, folder):
     return ML.compare_models(df, _feature_names(df), "churn", "customer_id", folds=5, seed=42)[0]
 
 
+def _best_of_all(spark, folder) -> tuple[dict, list[str]]:
+    """The outcome of ``ml_model_comparison`` (all three models, same split and seed) without the CV fits, which
+    have no part in choosing the best model."""
+    df = _churn_frame(spark, folder)
+    feats = _feature_names(df)
+    return ML.compare_models(df, feats, "churn", "customer_id", folds=5, seed=42, cross_validate=False)[1], feats
+
+
 @register("ml_best_model_report")
 def _q_best(spark, folder):
-    """Report of the better of two models on the test side."""
-    df = _churn_frame(spark, folder)
-    names = ["Logistic Regression", "Random Forest"]
-    _, outcome = ML.compare_models(df, _feature_names(df), "churn", "customer_id", folds=2, seed=42, models=names)
-    return ML.evaluate_best(outcome, _feature_names(df))["report"]
+    """Report of the best model on the test side."""
+    outcome, feats = _best_of_all(spark, folder)
+    return ML.evaluate_best(outcome, feats)["report"]
 
 
 @register("ml_feature_importances")
 def _q_importances(spark, folder):
-    df = _churn_frame(spark, folder)
-    feats = _feature_names(df)
-    split = ML.stratified_split(df, "churn", "customer_id", 0.2, 42)
-    train = ML.assembled(split.filter(~F.col("is_test")), feats, "churn")
-    model = ML.fit_model(ML._models(1, 42)["Random Forest"], train)
-    return spark.createDataFrame(ML.feature_importances(model, feats, 15), "feature string, importance double")
+    """Importances of the best model; no rows if it is not a tree model."""
+    outcome, feats = _best_of_all(spark, folder)
+    model = outcome["models"][outcome["best"]]
+    rows = ML.feature_importances(model, feats, 15) if hasattr(model.stages[-1], "featureImportances") else []
+    return spark.createDataFrame(rows, "feature string, importance double")
 
 
 # ------------------------------------------------------------------ streaming (A5)

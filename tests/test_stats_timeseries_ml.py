@@ -256,3 +256,29 @@ def test_stream_fails_on_a_broken_file_and_forgets_nothing(spark, scratch):
     os.replace(f"{scratch}/mended/{mended}", broken)  # the file is repaired: the batch runs again
     run_landing_etl(spark, landing, events.schema, zone, ckpt, schema)
     assert spark.read.parquet(zone).count() == events.count()
+
+
+def test_best_model_queries_use_all_models(spark, monkeypatch):
+    """The report and the importances are those of the best of all three models, here set to each in turn."""
+    from opsight.plans import registry
+
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("test data not present")
+    compare, made = ML.compare_models, []
+
+    def small(*args, **kwargs):
+        if not made:
+            made.append(compare(*args, **kwargs, trees=3, rounds=2))
+            assert made[0][1]["best"] in made[0][1]["models"]
+        return made[0][0], {**made[0][1], "best": best}
+
+    monkeypatch.setattr(ML, "compare_models", small)
+    for best in ("Logistic Regression", "Random Forest", "Gradient Boosted Trees"):
+        report = registry.REGISTRY["ml_best_model_report"](spark, folder).collect()
+        importances = registry.REGISTRY["ml_feature_importances"](spark, folder).collect()
+        model = made[0][1]["models"][best].stages[-1]
+        assert report == ML.classification_report(made[0][1]["scored"][best]).collect()
+        assert len(importances) == (0 if best == "Logistic Regression" else 15)
+        if importances:
+            assert importances[0].importance == max(model.featureImportances.toArray())

@@ -38,7 +38,7 @@ MORE_RULES = (
     SecretRule("private_key", 1, r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----"),
     SecretRule("hosted_token", 1, r"\b(?:gh[pousr]_[A-Za-z0-9]{36,}|glpat-[A-Za-z0-9_-]{20,}|xox[abprs]-[A-Za-z0-9-]{10,})"),
     SecretRule("web_token", 1, r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    SecretRule("url_password", 1, r"\b[a-z][a-z0-9+.-]{1,20}://[^\s/:@]{1,64}:[^\s/:@]{3,64}@"),
+    SecretRule("url_password", 2, r"\b[a-z][a-z0-9+.-]++://[^\s/:@]++:[^\s/:@]{3,}+@"),
 )
 RULES = BASE_RULES + MORE_RULES
 

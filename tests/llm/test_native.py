@@ -120,3 +120,12 @@ def test_shard_counts_add_up(spark, folder):
     totals = {r.sid: r.t for r in counts.groupBy("sid").agg(F.sum("tokens").alias("t")).collect()}
     for r in sources.collect():
         assert totals.get(r.sid, 0) == min(round(r.target), 2 * r.source_size)
+
+
+def test_url_passwords_of_any_length(spark):
+    token, user, scheme = "github_pat_" + "a1B2" * 21, "u" * 90, "a" + "b+c" * 10
+    texts = [f"see https://{user}:{token}@host/x", f"{scheme}://me:{token}@host", f"https://host:8080/{token}@x and https://me:pw@h"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [(x.start, x.end) for x in r.spans if x.kind == "url_password"]
+           for r in secret_ledger.findings(*secret_ledger.scan(docs)).collect()}
+    assert got == {0: [(4, texts[0].index("@") + 1)], 1: [(0, texts[1].index("@") + 1)], 2: []}

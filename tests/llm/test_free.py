@@ -93,6 +93,16 @@ def test_url_rules_hard_cases_and_mined_rules(spark):
     assert url_rules.url_verdicts(pages.limit(0)).collect() == []
 
 
+def test_url_rules_use_path_parts_and_endings_with_digits(spark):
+    urls = [f"http://a{k}.example.com/en/4u-casino/{k}" for k in range(30)] + [f"http://b{k}.example.com/en/{k}/x{k}.mp3" for k in range(30)]
+    urls += [f"http://site{k}.com/web/{k}" for k in range(60)]
+    urls += ["http://other.net/de/4u-casino/999", "http://other.net/de/song.mp3", "http://other.net/de/web"]
+    got = {r.url: r for r in url_rules.url_verdicts(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).join(
+        spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), "page_id").collect()}
+    assert [got[u].verdict for u in urls[-3:]] == ["block", "block", "allow"]
+    assert (got[urls[-3]].mined_rule, got[urls[-2]].mined_rule) == ("path=4u-casino", "ending=mp3")
+
+
 def test_line_dedup_keeps_one_line_of_each_group(spark, hard, empty):
     line = " ".join(f"word{k}" for k in range(80))
 

@@ -34,9 +34,11 @@ SEED = 11
 
 # Elements of HTML.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small "
-                   "span strike strong sub sup time tt u var wbr".split())
+                   "span strike strong sub sup time tt u var wbr "
+                   "object svg g text tspan math semantics annotation mi mn mo ms mtext mrow mfrac msqrt mroot mstyle mspace "
+                   "msub msup msubsup munder mover munderover mpadded mphantom menclose mtable mtr mtd".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style template noscript textarea title svg math iframe object select".split())
+RAW = frozenset("script style template textarea title select".split())
 CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"},
           "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"}}
 # These keep an implied end tag from closing elements outside them.
@@ -103,7 +105,7 @@ def _text_features(text: str, linked: int, tag: str) -> list[str]:
     n = text.count(" ") + 1
     share = linked / len(text)
     return [f"tag={tag}", f"words={min(n, 64).bit_length()}", f"links={0 if not linked else 1 + (share > 0.5) + (share > 0.9)}",
-            f"stop={text[-1] in '.!?…:;'}", f"says={bool(_SAYS.search(text[:400]))}", "bias"]
+            f"stop={text[-1] in '.!?…:;'}", f"says={bool(_SAYS.search(text))}", "bias"]
 
 
 def leaf_blocks(page: str) -> list[Block]:
@@ -113,6 +115,7 @@ def leaf_blocks(page: str) -> list[Block]:
     held: list[str] = []
     linked = at = 0
     links = 0  # open a elements
+    unclosed: set[str] = set()  # tags without an end in the rest of the page
 
     def end_block() -> None:
         nonlocal linked
@@ -155,11 +158,15 @@ def leaf_blocks(page: str) -> list[Block]:
             held.append(" ")
             continue
         if tag in RAW:
-            if not m[3].rstrip().endswith("/"):
+            if not m[3].rstrip().endswith("/") and tag not in unclosed:
                 close = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-                at = close.end() if close else len(page)
-            if tag not in ("svg", "math", "object"):
-                end_block()
+                if close:
+                    at = close.end()
+                elif tag in ("script", "style"):
+                    at = len(page)
+                else:  # its parent's end is its own: what follows is read as text
+                    unclosed.add(tag)
+            end_block()
             continue
         if tag not in INLINE:
             end_block()

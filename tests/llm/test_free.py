@@ -186,6 +186,17 @@ def test_line_dedup_short_lines_and_scripts_without_blanks(spark):
     assert got == {1: rows[0][1], 2: "other words", 3: f"x\n{thai}", 4: "", 5: "last"}
 
 
+def test_html_blocks_keep_formulas_and_fallback_texts():
+    texts = lambda page: [b.text for b in html_crf.leaf_blocks(page)]
+    assert texts("<p>so <math><mi>E</mi><mo>=</mo><mn>3</mn></math> holds</p>") == ["so E=3 holds"]
+    assert texts("<p>a</p><noscript><p>fallback</p></noscript><iframe>frame</iframe>") == ["a", "fallback", "frame"]
+    for tag in ("math", "object", "select", "svg", "noscript", "textarea", "template", "title"):
+        assert texts(f"<div><p>before</p><{tag}></div><p>the rest of the page</p>")[-1] == "the rest of the page"
+    assert texts("<p>a</p><select><option>x</select><script>y</script><style>z") == ["a"]
+    long = html_crf.leaf_blocks("<p>" + "words " * 100 + "all rights reserved</p>")[0]
+    assert "says=True" in long.features
+
+
 def test_edit_distance_and_simhash():
     def plain(a, b):
         row = list(range(len(b) + 1))

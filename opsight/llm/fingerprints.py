@@ -21,13 +21,13 @@ from pyspark.sql import functions as F
 
 from opsight.llm.hashing import shingle_sets
 
-FRACTION = 0.25
+FRACTION = 1.0  # a lower one leaves short texts without hashes, see the README's errors by length
 _DIGITS = np.frombuffer(b"0123456789abcdef", np.uint8)
 
 
 def kept_hashes(grams: np.ndarray, fraction: float = FRACTION) -> np.ndarray:
     """The leading 48 bits of the shingle hashes under the threshold, sorted and distinct."""
-    limit = np.searchsorted(grams, np.uint64(int(fraction * 2.0 ** 64)))
+    limit = len(grams) if fraction >= 1 else np.searchsorted(grams, np.uint64(int(fraction * 2.0 ** 64)))
     return np.unique(grams[:limit] >> np.uint64(16))
 
 

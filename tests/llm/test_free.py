@@ -197,6 +197,16 @@ def test_html_blocks_keep_formulas_and_fallback_texts():
     assert "says=True" in long.features
 
 
+def test_fingerprints_of_short_texts(spark):
+    words = [f"w{k}" for k in range(40)]
+    rows = [(k, " ".join(words[:n])) for k, n in enumerate([3, 5, 6, 9, 10, 14, 15, 40])]
+    out = fingerprints.fingerprint_report(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()
+    assert len({r.fingerprint for r in out}) == len(rows) and all(r.fingerprint for r in out)
+    sets = [brute.shingles(t) for _, t in rows]
+    for r, a, b in zip(out, sets, sets[1:]):
+        assert abs(r.near_next - len(a & b) / len(a | b)) < 0.05
+
+
 def test_edit_distance_and_simhash():
     def plain(a, b):
         row = list(range(len(b) + 1))

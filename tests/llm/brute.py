@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import zlib
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -132,3 +133,45 @@ def archive(rows):
         to = last.get(p, i)
         out[i] = (len(p), hashlib.sha1(p).hexdigest(), "response" if to == i else "revisit", None if to == i else to)
     return out
+
+
+def spelling_words(rows):
+    """word -> occurrences after the contract's made-up misspellings, of enough length and occurrences."""
+    count = collections.Counter()
+    for i, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = lowered(run)
+            h = zlib.crc32(f"{i}:{run}".encode())
+            if h % 97 == 0:
+                run = "".join(c for k, c in enumerate(run) if k != h % len(run))
+            count[run] += 1
+    return {w: n for w, n in count.items() if len(w) >= 5 and n >= 3}
+
+
+def spelling_variants(rows):
+    """word -> (form, root, n, n_near, form_n), near words by their common neighbours with one code point gone."""
+    words = spelling_words(rows)
+    gone = collections.defaultdict(set)
+    for w in words:
+        for k in range(len(w)):
+            gone[w[:k] + w[k + 1:]].add((w, k))
+    near = collections.defaultdict(set)
+    for short, ws in gone.items():
+        for w, k in ws:
+            if short in words:
+                near[w].add(short)
+                near[short].add(w)
+            near[w] |= {v for v, j in ws if j == k and v != w}
+    form = {}
+    for w in words:
+        if near[w]:
+            best = min(near[w], key=lambda v: (-words[v], v))
+            if words[best] >= 2 * words[w]:
+                form[w] = best
+    out = {}
+    for w, n in words.items():
+        root = w
+        while root in form:
+            root = form[root]
+        out[w] = (form.get(w), root, n, len(near[w]), words[form[w]] if w in form else None)
+    return out

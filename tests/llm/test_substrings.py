@@ -3,9 +3,11 @@
 import duckdb
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from opsight.llm import queries, spelling_variants
+from opsight.llm import periodic_runs, queries, spelling_variants
 from tests.llm import brute
 
 
@@ -41,3 +43,53 @@ def test_spelling_variants_of_dense_words(spark, monkeypatch, frequent, entries)
     expected = brute.spelling_variants(rows)
     assert sum(v[3] for v in expected.values()) > 2000 and any(v[0] for v in expected.values())
     assert _variants(spelling_variants.spelling_variants(spark.createDataFrame(rows, "doc_id long, text string"))) == expected
+
+
+def _stretches(texts):
+    """Runs of each list of words, all taken together as in a task."""
+    bounds = np.cumsum([0, *map(len, texts)])
+    codes = {}
+    words = np.array([hash_of(codes, w) for t in texts for w in t], np.uint64)
+    runs = periodic_runs.periodic_stretches(words, bounds)
+    return [sorted((int(a - lo), int(b - a), int(q)) for a, b, q in runs if lo <= a < hi) for lo, hi in zip(bounds, bounds[1:])]
+
+
+def hash_of(codes, word):
+    return codes.setdefault(word, len(codes) * 0x9E3779B97F4A7C15 % (1 << 64))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("aaab"), max_size=70), min_size=1, max_size=4),
+       st.integers(1, 12), st.integers(1, 8))
+def test_periodic_stretches(texts, period, times):
+    texts = [*texts, texts[0][:period] * times + texts[-1], (texts[-1][:period] * times)[:-1] * 5]
+    assert _stretches(texts) == [brute.periodic_runs(t) for t in texts]
+
+
+def test_periodic_stretches_of_regular_texts():
+    """Fibonacci and Thue-Morse words, powers of powers, one letter only, and long unary stretches within a period."""
+    fib = ["a", "ab"]
+    while len(fib[-1]) < 400:
+        fib.append(fib[-1] + fib[-2])
+    morse = "a"
+    while len(morse) < 512:
+        morse += morse.translate(str.maketrans("ab", "ba"))
+    texts = [fib[-1], morse, "a" * 333, ("a" * 10 + "b") * 9, (("ab" * 5 + "c") * 4 + "d") * 6, ("a" * 17 + "b" + "a" * 16 + "c") * 5,
+             "x" + "abc" * 50 + "abd" * 50, ("aab" * 7 + "a" * 40) * 5]
+    texts = [list(t) for t in texts]
+    assert _stretches(texts) == [brute.periodic_runs(t) for t in texts]
+
+
+def test_periodic_runs(spark, folder, hard, empty):
+    got = sorted(tuple(r) for r in queries.op12_periodic_runs(spark, folder).collect())
+    assert got == sorted(brute.run_row(i, t) for i, t in _docs(folder))
+    assert sum(r[1] for r in got) > 10
+    rows = [brute.run_row(r.doc_id, r.text if r.text is None or len(r.text) < 9999 else "w " * 500) for r in hard.collect()]
+    small = hard.withColumn("text", F.expr("if(length(text) < 9999, text, if(text is null, null, repeat('w ', 500)))"))
+    key = lambda r: (r[0] is None, r)
+    assert sorted((tuple(r) for r in periodic_runs.run_report(small.union(small)).collect()), key=key) == sorted(rows + rows, key=key)
+    assert periodic_runs.run_report(empty).collect() == [] and periodic_runs.periodic_runs(empty).collect() == []
+    long = [r for r in periodic_runs.periodic_runs(hard).collect() if r.doc_id == 33]
+    assert [(r.start, r.length, r.period) for r in long] == [(0, 20000, 1)]
+    none = periodic_runs.run_report(hard.withColumn("doc_id", F.lit(None).cast("long")))
+    assert none.count() == hard.count() and none.filter("doc_id is not null").count() == 0

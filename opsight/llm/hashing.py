@@ -139,3 +139,23 @@ def shingle_sets(column: pa.Array, k: int = 5, lower: bool = True) -> Iterator[t
                 yield row + i, mix(np.array([whole], np.uint64))
             else:
                 yield row + i, np.empty(0, np.uint64)
+
+
+def sequence_hashes(words: np.ndarray, bounds: np.ndarray, salt: int = 0) -> np.ndarray:
+    """A 64-bit hash of each row's word sequence; rows without words have 0."""
+    n = np.diff(bounds)
+    place = np.arange(len(words)) - np.repeat(bounds[:-1], n)
+    out = np.zeros(len(n), np.uint64)
+    some = np.flatnonzero(n)
+    if len(some):
+        terms = mix(words ^ mix((place + 1).astype(np.uint64) * _U(_BASE) + _U(salt)))
+        out[some] = mix(np.add.reduceat(terms, bounds[:-1][some]) + n[some].astype(np.uint64))
+    return out
+
+
+def stretch_hashes(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each stretch ``words[start:end]``: equal stretches have equal hashes."""
+    up, down = _power_table(len(words) + 1)
+    sums = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(mix(words) * up[:len(words)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * down[starts] + mix((ends - starts).astype(np.uint64)))

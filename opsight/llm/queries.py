@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from opsight.llm import (fingerprints, html_crf, line_dedup, mixing, ngram_join, periodic_runs, quality_rules, secret_ledger,
-                         sentencepiece_bpe, spelling_variants, url_rules, warc)
+                         sentencepiece_bpe, spelling_variants, substring_dedup, url_rules, warc)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +56,10 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archive_report(_table(spark, folder, "pages"))
 
 
+def op11_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.dedup_report(_table(spark, folder, "documents"))
+
+
 def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return periodic_runs.run_report(_table(spark, folder, "documents"))
 
@@ -76,6 +80,7 @@ def llm_queries() -> dict[str, Query]:
         "op8_quality_rules": op8_quality_rules,
         "op9_secret_ledger": op9_secret_ledger,
         "op10_warc": op10_warc,
+        "op11_substring_dedup": op11_substring_dedup,
         "op12_periodic_runs": op12_periodic_runs,
         "op13_spelling_variants": op13_spelling_variants,
     }

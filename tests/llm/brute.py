@@ -208,3 +208,18 @@ def run_row(i, text):
     return (i, len(runs), *(best or (None,) * 3), 1000 * best[1] // best[2] if best else None,
             hashlib.sha256("".join(f"{s},{length},{q}\n" for s, length, q in runs).encode()).hexdigest(),
             hashlib.sha256(" ".join(x for k, x in enumerate(w) if k not in gone).encode()).hexdigest())
+
+
+def substring_dedup(rows, size=20):
+    """doc_id -> (n_words, n_removed, digest of the kept words)."""
+    texts = {i: WORD.findall(t or "") for i, t in rows}
+    first = {}
+    for i in sorted(texts):
+        for k in range(len(texts[i]) - size + 1):
+            first.setdefault(tuple(texts[i][k:k + size]), (i, k))
+    out = {}
+    for i, w in texts.items():
+        gone = {k + j for k in range(len(w) - size + 1) if first[tuple(w[k:k + size])] != (i, k) for j in range(size)}
+        kept = " ".join(x for k, x in enumerate(w) if k not in gone)
+        out[i] = (len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest())
+    return out

@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from opsight.llm import periodic_runs, queries, spelling_variants
+from opsight.llm import periodic_runs, queries, spelling_variants, substring_dedup
 from tests.llm import brute
 
 
@@ -93,3 +93,67 @@ def test_periodic_runs(spark, folder, hard, empty):
     assert [(r.start, r.length, r.period) for r in long] == [(0, 20000, 1)]
     none = periodic_runs.run_report(hard.withColumn("doc_id", F.lit(None).cast("long")))
     assert none.count() == hard.count() and none.filter("doc_id is not null").count() == 0
+
+
+def _kept(df):
+    rows = df.collect()
+    assert len({r.doc_id for r in rows}) == len(rows)
+    return {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in rows}
+
+
+def _passages(rng, letters):
+    """Texts that share passages: whole copies, parts at other places, copies with changed words, repetitions within one text."""
+    pool = [[f"{c}{k}" for k in rng.integers(0, 300, 120)] for c in "pqr"]
+    rows = []
+    for k in range(60):
+        words = [f"w{j}" for j in rng.integers(0, letters, int(rng.integers(0, 60)))]
+        for _ in range(int(rng.integers(0, 4))):
+            base = pool[int(rng.integers(3))]
+            a = int(rng.integers(0, 90))
+            part = base[a:a + int(rng.integers(5, 60))]
+            if rng.random() < .3 and part:
+                part[int(rng.integers(len(part)))] = "changed"
+            at = int(rng.integers(0, len(words) + 1))
+            words[at:at] = part
+        rows.append((k * 7 % 61, " ".join(words)))
+    return rows + [(100, "z " * 400), (101, "y " * 30 + "z " * 70), (102, " ".join("abcdefg" * 30)), (103, rows[5][1]), (104, None)]
+
+
+@pytest.mark.parametrize("shard_words, key_words, letters", [(1 << 19, 1 << 16, 9999), (300, 1 << 16, 3), (1 << 19, 60, 9999), (200, 100, 2)])
+def test_substring_dedup_of_shared_passages(spark, monkeypatch, shard_words, key_words, letters):
+    monkeypatch.setattr(substring_dedup, "SHARD_WORDS", shard_words)
+    monkeypatch.setattr(substring_dedup, "KEY_WORDS", key_words)
+    rows = _passages(np.random.default_rng(letters), letters)
+    got = _kept(substring_dedup.dedup_report(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert got == brute.substring_dedup(rows)
+
+
+def test_fm_index_finds_all_places():
+    rng = np.random.default_rng(1)
+    words = rng.integers(0, 3, 900).astype(np.uint64)
+    bounds = np.array([0, 100, 100, 105, 500, 900])
+    index = substring_dedup.FMIndex(words, bounds)
+    starts = np.concatenate([np.arange(a, b - 4) for a, b in zip(bounds, bounds[1:])])
+    places = {}
+    for s in starts:
+        places.setdefault(words[s:s + 5].tobytes(), []).append(int(s))
+    live, lo, hi = index.repeated(starts, 5)
+    assert set(starts[live]) == {s for p in places.values() if len(p) > 1 for s in p}
+    shift = np.repeat(np.arange(5), np.diff(bounds))
+    for k, a, b in zip(live, lo, hi):
+        text_places = sorted(p + shift[p] for p in places[words[starts[k]:starts[k] + 5].tobytes()])
+        assert sorted(index.suffixes[a:b]) == text_places
+
+
+def test_substring_dedup(spark, folder, hard, empty):
+    assert _kept(queries.op11_substring_dedup(spark, folder)) == brute.substring_dedup(_docs(folder))
+    assert _kept(substring_dedup.dedup_report(hard)) == brute.substring_dedup([(r.doc_id, r.text) for r in hard.collect()])
+    twice = substring_dedup.dedup_report(hard.union(hard)).distinct()
+    assert _kept(twice) == _kept(substring_dedup.dedup_report(hard))
+    assert substring_dedup.dedup_report(empty).collect() == []
+    none = substring_dedup.dedup_report(hard.withColumn("doc_id", F.lit(None).cast("long")))
+    assert none.count() == hard.count() and none.filter("n_removed > 0").count() == 0
+    text = " ".join(f"a{k}" for k in range(25))
+    rows = [(5, text + " b"), (5, "c " + text), (6, text), (None, text)]  # one document with two texts
+    got = {(r.doc_id, r.n_words, r.n_removed) for r in substring_dedup.dedup_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got in ({(5, 26, 0), (5, 26, 25), (6, 25, 25), (None, 25, 0)},)

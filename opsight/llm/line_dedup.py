@@ -1,21 +1,20 @@
-"""Fuzzy line dedup: word 3-gram prefixes, edit similarity, one occurrence for each group.
+"""Fuzzy line dedup: SimHash blocks, edit similarity, one occurrence for each connected group.
 
 A line's normal form is its sequence of units: lower-case words, the characters of scripts that write no
-blanks, and the characters of a line that is one long word. Equal normal forms are one line, whatever
-their length. Different ones are linked when the edit similarity of their units is at least 0.8, that is,
-when at most a fifth of the longer line's units differ; under five units that leaves equal lines only.
-Of each connected group the first occurrence stays, by doc_id, then line number; only repeats of a line
-under ``MIN_WORDS`` units within the first document that has it stay there.
-
-The search misses no such pair (hash collisions aside). One edit breaks three 3-grams at most, so of a
-line's 3-grams in a global order (rarest first), one more than the allowed edits can break must hold one
-that the partner has as well; 3-grams of one line only are known from a class table and need no signature,
-and frequent ones of longer lines are indexed as 2-combinations (see ``ngram_join``). Lines of four to
-nine units, where one edit is allowed, are found by the line with one unit left out.
-
-Rows without a doc_id, and NULL or empty texts, pass unchanged and take no part. Rows that repeat a
-doc_id and its text are treated alike. A document that loses its last line with words keeps an empty
-text in ``deduplicated`` and goes in ``without_repeated_lines``.
+blanks, and the characters of a line that is one word. Equal normal forms are one line, whatever
+their length. Different ones are linked when at most a tenth of the longer line's units differ (edit
+similarity ``MIN_SIMILARITY``; under ten units that leaves equal lines only). Of each connected group, and so of
+each normal form, one occurrence stays: the first by doc_id, then line number.
+
+Candidates come from a SimHash of 512 bits over a line's distinct units, cut into ``BLOCKS`` blocks: by the
+pigeonhole principle lines that differ in fewer bits than there are blocks agree in one. Beyond that the search is
+probable, not certain; the README has its recall against brute force. The hash ranges of the blocks are
+worked through by Spark tasks on packed arrays. In a block's list, short lists give the pairs whose other bits
+differ little; long ones go on as a whole to the search by pivots, which leaves no pair out.
+
+Rows without a doc_id, NULL or empty texts, and lines without words pass unchanged and take no part. Rows
+with the same doc_id are one document, and each of them keeps the first occurrence. A document that
+loses its last line with words keeps an empty text in ``line_report`` and goes in ``without_repeated_lines``.
 """
 
 from __future__ import annotations
@@ -26,50 +25,35 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opsight.llm.common import flag_rows, rows_in, shared_table
+from opsight.llm.common import flag_rows, rows_in, shared_table, small_batches
 from opsight.llm.components import links_from_buckets
-from opsight.llm.hashing import mix, word_runs
-from opsight.llm.ngram_join import combinations, gram_kinds, shingle_classes
-
-MIN_WORDS = 5
-LONG_WORD = 24  # a line that is one word of more characters is compared by its characters
-MAX_SHORT = 9  # units up to which one edit is allowed at most
-COMBINED = 32  # size band from which frequent 3-grams are combined
-SLOT_BITS = 26  # class table of 2**26 four-bit slots (32 MB), whatever the input
-RARE_DF = 256  # 3-grams of more lines count as frequent
-BLOCKS = 6  # of 32 bits
-MIN_SIMILARITY = 0.8
+from opsight.llm.hashing import mix, sequence_hashes, word_runs
+
+MIN_SIMILARITY = 0.9
+MIN_FUZZY = 10  # units: at fewer, one edit is more than the threshold allows
+WORDS64 = 8  # of a SimHash
+BLOCKS, BLOCK_BITS = 24, 21  # three blocks of each 64 bits
+CHECK_BITS = 10  # of 32 further bits, that may differ in a candidate pair
+LONG_LIST = 64  # members of a block's list from which no pairs are formed there
+_FLUSH = 1 << 19
 _U = np.uint64
 # Each byte's bits as eight counters of eight bits.
 _SPREAD = np.array([sum(((b >> k) & 1) << (8 * k) for k in range(8)) for b in range(256)], np.uint64)
 # Thai, Lao, Burmese, Khmer, CJK with kana: scripts without blanks between words.
 _BLANKLESS = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_SALTS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
-
-
-def _line_hashes(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Two 64-bit hashes of each line's word sequence, shape (lines, 2)."""
-    n = np.diff(bounds)
-    place = np.arange(len(words)) - np.repeat(bounds[:-1], n)
-    out = np.zeros((len(n), 2), np.uint64)
-    some = np.flatnonzero(n)
-    for k in range(2):
-        terms = mix(words ^ mix((place + 1).astype(np.uint64) * _SALTS[k]))
-        if len(some):
-            out[some, k] = mix(np.add.reduceat(terms, bounds[:-1][some]) + n[some].astype(np.uint64))
-    return out
+_SALTS = np.random.default_rng(20240301).integers(1, 1 << 63, WORDS64, dtype=np.uint64)
 
 
 def simhashes(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """192-bit SimHash of each line's distinct words as six 32-bit numbers, shape (lines, 6).
+    """512-bit SimHash of each line's distinct units as eight 64-bit numbers, shape (lines, 8).
 
-    Each word counts once: a separator or a word that fills a line must not decide all its bits. The search
-    does not use it: at similarity 0.8 about 40 bits differ, more than any pigeonhole of blocks can find.
+    Each unit counts once: a separator or a word that fills a line must not decide all its bits.
     """
     line = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     order = np.lexsort((words, line))
@@ -78,27 +62,35 @@ def simhashes(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     words = words[new]
     bounds = np.searchsorted(line[new], np.arange(len(bounds)))
     n = np.diff(bounds)
-    out = np.zeros((len(n), BLOCKS), np.uint32)
+    out = np.zeros((len(n), WORDS64), np.uint64)
     lines = np.flatnonzero(n)
-    for low in range(0, len(lines), 512):
-        some = lines[low:low + 512]
+    for low in range(0, len(lines), 256):
+        some = lines[low:low + 256]
         # counters of 8 bits hold 255 words: longer lines are summed in parts, some parts at a time
         parts = np.concatenate([np.arange(bounds[i], bounds[i + 1], 255) for i in some])
         ends = np.r_[parts[1:], bounds[some[-1] + 1]]
-        counts = np.empty((len(parts), 192), np.uint8)
-        for p in range(0, len(parts), 1024):
-            a, b = parts[p], ends[min(p + 1024, len(parts)) - 1]
-            bits = np.stack([mix(words[a:b] ^ s) for s in _SALTS], 1).view(np.uint8).reshape(b - a, 24)
-            sums = np.add.reduceat(_SPREAD[bits], parts[p:p + 1024] - a, axis=0)
-            counts[p:p + 1024] = sums.view(np.uint8).reshape(-1, 192)
-        counts = counts.astype(np.int64)
+        counts = np.empty((len(parts), 64 * WORDS64), np.uint8)
+        for p in range(0, len(parts), 128):
+            a, b = parts[p], ends[min(p + 128, len(parts)) - 1]
+            bits = np.stack([mix(words[a:b] ^ s) for s in _SALTS], 1).view(np.uint8).reshape(b - a, 8 * WORDS64)
+            sums = np.add.reduceat(_SPREAD[bits], parts[p:p + 128] - a, axis=0)
+            counts[p:p + 128] = sums.view(np.uint8).reshape(-1, 64 * WORDS64)
         owner = np.repeat(np.arange(len(some)), -(-n[some] // 255))
         first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-        total = np.add.reduceat(counts, first, axis=0)
-        out[some] = np.packbits(2 * total > n[some][:, None], axis=1, bitorder="little").view(np.uint32).reshape(-1, BLOCKS)
+        total = counts if len(first) == len(counts) else np.add.reduceat(counts.astype(np.int64), first, axis=0)
+        out[some] = np.packbits(2 * total.astype(np.int32) > n[some][:, None], axis=1, bitorder="little").view(np.uint64)
     return out
 
 
+def block_keys(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each SimHash its blocks, numbered, and 32 bits from another part beside each, shapes (lines, BLOCKS)."""
+    shifts = (np.arange(3) * BLOCK_BITS).astype(np.uint64)
+    blocks = (hashes[:, :, None] >> shifts) & _U((1 << BLOCK_BITS) - 1)
+    keys = blocks.reshape(len(hashes), BLOCKS) | np.arange(BLOCKS, dtype=np.uint64) << _U(BLOCK_BITS)
+    checks = np.repeat(np.roll(hashes, 4, axis=1), 3, axis=1) & _U((1 << 32) - 1)
+    return keys.astype(np.uint32), checks.astype(np.uint32)
+
+
 def _split(column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     """All lines of a text column, the row of each, and its number in the row."""
     lines, rows, numbers = [], [], []
@@ -110,17 +102,17 @@ def _split(column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     return lines, np.array(rows, np.int64), np.array(numbers, np.int64)
 
 
-def _slices(batch: pa.RecordBatch, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch of about ``most`` bytes of text."""
+def _slices(batch: pa.RecordBatch, texts: pa.Array, most: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Parts of a batch and its texts of about ``most`` bytes of text."""
     size = 0
     start = 0
-    for k, text in enumerate(batch.column(1)):
-        size += len(text.as_buffer()) if text.is_valid else 0
+    for k, n in enumerate(pc.binary_length(texts).to_pylist()):
+        size += n or 0
         if size >= most:
-            yield batch.slice(start, k + 1 - start)
+            yield batch.slice(start, k + 1 - start), texts.slice(start, k + 1 - start)
             start, size = k + 1, 0
     if start < batch.num_rows:
-        yield batch.slice(start)
+        yield batch.slice(start), texts.slice(start)
 
 
 def _unit_lines(lines: list[str]) -> pa.Array:
@@ -129,158 +121,114 @@ def _unit_lines(lines: list[str]) -> pa.Array:
     for x in lines:
         if not x.isascii() and _BLANKLESS.search(x):
             x = _BLANKLESS.sub(r" \1 ", x)
-        if len(x) > LONG_WORD and " " not in x and len(found := _WORD.findall(x)) == 1 and len(found[0]) > LONG_WORD:
+        if " " not in x and len(found := _WORD.findall(x)) == 1:
             x = " ".join(found[0])
         out.append(x)
     return pa.array(out, pa.large_string())
 
 
-_LINES = "doc_id long, line int, h1 long, h2 long"
+_LINES = "doc_id long, line int, h long"
 
 
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The first occurrence in its document of each line with words."""
-    for batch in (part for b in batches for part in _slices(b)):
+    for batch, texts in (part for b in batches for part in _slices(b, b.column(1))):
         ids = batch.column(0).to_numpy(zero_copy_only=False)
-        lines, rows, numbers = _split(batch.column(1))
+        lines, rows, numbers = _split(texts)
         for at, words, bounds in word_runs(_unit_lines(lines)):
-            n = np.diff(bounds)
-            hashes = _line_hashes(words, bounds)
-            chosen = np.flatnonzero(n)
-            if not len(chosen):
-                continue
-            key = np.stack([rows[at + chosen].view(np.uint64), hashes[chosen, 0], hashes[chosen, 1]], 1)
-            _, first = np.unique(key, axis=0, return_index=True)
-            chosen = chosen[np.sort(first)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[rows[at + chosen]].astype(np.int64)), pa.array(numbers[at + chosen].astype(np.int32)),
-                 *[pa.array(hashes[chosen, k].view(np.int64)) for k in range(2)]],
-                [f.split()[0] for f in _LINES.split(", ")])
-
-
-def _own_runs(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For runs of a ``(doc_id, text, skip)`` batch: the units of its lines, their bounds, their hashes and rows,
-    without the lines whose first hash is in the row's ``skip``."""
-    for part in _slices(batch):
-        lines, rows, _ = _split(part.column(1))
-        skip = [mix(np.array(x, np.int64).view(np.uint64) ^ _SALTS[2]) + _U(k) for k, x in enumerate(part.column(2).to_pylist()) if x]
-        skip = np.concatenate(skip) if skip else np.empty(0, np.uint64)
-        for at, words, bounds in word_runs(_unit_lines(lines)):
-            n, hashes = np.diff(bounds), _line_hashes(words, bounds)
-            row = rows[at:at + len(n)]
-            stays = n > 0
-            if len(skip):
-                stays &= ~np.isin(mix(hashes[:, 0] ^ _SALTS[2]) + row.astype(np.uint64), skip)
-            if stays.any():
-                yield words[np.repeat(stays, n)], np.r_[0, np.cumsum(n[stays])], hashes[stays], row[stays]
-
-
-def may_break(n):
-    """How many 3-grams of a line of ``n`` units the edits that similarity 0.8 allows can break: each edit three,
-    but a unit that only the partner has (whose length may allow one edit more) two."""
-    return 3 * (n // 5) + np.maximum(0, n % 5 - 2)
-
-
-def line_grams(words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The lines with more than seven units, where each one's 3-grams start, and these (48-bit hashes, a repeated
-    one numbered)."""
-    n = np.diff(bounds)
-    chosen = np.flatnonzero(n >= MAX_SHORT - 1)
-    if not len(chosen):
-        return chosen, np.zeros(1, np.int64), np.empty(0, np.uint64)
-    starts = np.r_[0, np.cumsum(n[chosen] - 2)]
-    owner = np.repeat(np.arange(len(chosen)), n[chosen] - 2)
-    at = np.arange(starts[-1]) - starts[owner] + bounds[chosen][owner]
-    factor = _U(0xD6E8FEB86659FD93)
-    grams = mix((words[at] * factor + words[at + 1]) * factor + words[at + 2])
-    keys = np.sort(owner.astype(np.uint64) << _U(48) | grams >> _U(16))
-    grams = keys & _U((1 << 48) - 1)
-    same = np.r_[False, keys[1:] == keys[:-1]]
-    if same.any():
-        places = np.arange(len(keys))
-        nth = (places - np.maximum.accumulate(np.where(same, 0, places))).astype(np.uint64)
-        grams = np.where(same, mix(grams + nth * _SALTS[0]) >> _U(16), grams)
-    return chosen, starts, grams
-
-
-def gram_signatures(grams: np.ndarray, kind: np.ndarray, n: int) -> np.ndarray:
-    """Signatures of a line of ``n`` units from its 3-grams and their classes."""
-    need = int(may_break(n)) + 1
-    order = np.lexsort((grams, kind))
-    grams, kind = grams[order], kind[order]
-    unique, common = int((kind == 0).sum()), grams[kind > 1]
-    rare = grams[unique:len(grams) - len(common)]
-    singles = rare[:max(0, need - unique)]
-    need -= unique + len(rare)
-    out = [singles]
-    if need > 0 and len(common):
-        top = 1 << (n.bit_length() - 1)
-        for lower in ([top, 2 * top] if 5 * n >= 8 * top else [top]):  # size bands that a partner may use
-            out += combinations(common, need, lower) if lower >= COMBINED else [common[:need]]
-    return np.concatenate(out)
-
-
-def short_signatures(words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The lines of four to nine units, each with its hash and those with one unit left out."""
-    n = np.diff(bounds)
-    lines, sigs = [], []
-    for size in range(MIN_WORDS - 1, MAX_SHORT + 1):
-        some = np.flatnonzero(n == size)
-        if len(some):
-            units = words[bounds[some][:, None] + np.arange(size)]
-            for gone in range(size + 1):  # the last leaves the line whole
-                left = np.delete(units, gone, axis=1) if gone < size else units
-                place = np.arange(1, left.shape[1] + 1, dtype=np.uint64) * _SALTS[1]
-                lines.append(some)
-                sigs.append(mix(mix(left ^ mix(place)).sum(axis=1, dtype=np.uint64) + _U(left.shape[1])))
-    if not lines:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    return np.concatenate(lines), np.concatenate(sigs)
-
-
-def _gram_sets(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
-    for words, bounds, _, _ in _own_runs(batch):
-        yield 0, line_grams(words, bounds)[2] << _U(16)
-
-
-_POSTINGS = "sig long, id long, size long, doc_id long"
-
+            hashes = sequence_hashes(words, bounds)
+            chosen = np.flatnonzero(np.diff(bounds))
+            if len(chosen):
+                _, first = np.unique(mix(hashes[chosen]) + rows[at + chosen].astype(np.uint64), return_index=True)
+                chosen = chosen[np.sort(first)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[rows[at + chosen]].astype(np.int64)), pa.array(numbers[at + chosen].astype(np.int32)),
+                     pa.array(hashes[chosen].view(np.int64))], [f.split()[0] for f in _LINES.split(", ")])
+
+
+def _block_lists(bucket_bits: int):
+    """The blocks of each task's fuzzy lines, packed by hash range: key, line hash and check bits."""
+    def packed(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        ids, first = np.unique(np.concatenate([h for h, _ in held]), return_index=True)
+        keys, checks = block_keys(np.concatenate([s for _, s in held])[first])
+        ids, keys, checks = np.repeat(ids, BLOCKS), keys.ravel(), checks.ravel()
+        bucket = (mix(keys.astype(np.uint64)) >> _U(64 - bucket_bits)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        bucket, ids, keys, checks = bucket[order], ids[order], keys[order], checks[order]
+        starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+        cut = list(zip(starts.tolist(), [*starts[1:].tolist(), len(bucket)]))
+        return pa.RecordBatch.from_arrays([pa.array(bucket[starts]), *[pa.array([x[a:b].tobytes() for a, b in cut], pa.binary())
+                                                                     for x in (keys, ids, checks)]], ["bucket", "keys", "ids", "checks"])
 
-def _postings(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
-        for batch in batches:
-            for part in _slices(batch):
-                ids = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-                for words, bounds, hashes, rows in _own_runs(part):
-                    n = np.diff(bounds)
-                    lines, starts, grams = line_grams(words, bounds)
-                    short, sigs = short_signatures(words, bounds)
-                    found, owner = [sigs], [short]
-                    if len(lines):
-                        kind = gram_kinds(table, grams << _U(16))
-                        unique = np.add.reduceat((kind == 0).astype(np.int64), starts[:-1])
-                        for k in np.flatnonzero(unique <= may_break(n[lines])).tolist():
-                            a, b = starts[k], starts[k + 1]
-                            found.append(np.unique(gram_signatures(grams[a:b], kind[a:b], int(n[lines[k]]))))
-                            owner.append(np.full(len(found[-1]), lines[k]))
-                    found, owner = np.concatenate(found), np.concatenate(owner)
-                    if len(found):
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(found.view(np.int64)), pa.array(hashes[owner, 0].view(np.int64)),
-                             pa.array(n[owner].astype(np.int64)), pa.array(ids[rows[owner]])], [f.split()[0] for f in _POSTINGS.split(", ")])
+        held, n = [], 0
+        for batch, texts in (part for b in batches for part in _slices(b, b.column(0))):
+            for _, words, bounds in word_runs(_unit_lines(_split(texts)[0])):
+                size, hashes = np.diff(bounds), sequence_hashes(words, bounds)
+                some = np.flatnonzero(size >= MIN_FUZZY)
+                if len(some):
+                    _, first = np.unique(hashes[some], return_index=True)
+                    some = some[first]
+                    own = np.r_[0, np.cumsum(size[some])]
+                    at = np.arange(own[-1]) - np.repeat(own[:-1] - bounds[some], size[some])
+                    held.append((hashes[some], simhashes(words[at], own)))
+                    n += len(some) * BLOCKS
+                if n >= _FLUSH:
+                    yield packed(held)
+                    held, n = [], 0
+        if n:
+            yield packed(held)
     return run
 
 
-def _word_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The unit hashes of every line that may have a partner."""
+def candidate_lists(keys: np.ndarray, ids: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Signature and member of each list to search: pairs from short lists, long lists as a whole."""
+    order = np.lexsort((ids, keys))
+    keys, ids, checks = keys[order], ids[order], checks[order]
+    new = np.r_[True, (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])][:len(keys)]
+    keys, ids, checks = keys[new], ids[new], checks[new]
+    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][:len(keys)])
+    size = np.repeat(np.diff(np.r_[starts, len(keys)]), np.diff(np.r_[starts, len(keys)]))
+    long = size > LONG_LIST
+    sigs, members = [mix(keys[long].astype(np.uint64))], [ids[long]]
+    short = np.flatnonzero(~long & (size > 1))
+    for step in range(1, LONG_LIST):
+        short = short[short + step < len(keys)]
+        short = short[keys[short] == keys[short + step]]
+        if not len(short):
+            break
+        near = short[np.bitwise_count(checks[short] ^ checks[short + step]) <= CHECK_BITS]
+        a, b = ids[near], ids[near + step]
+        sig = mix(mix(a) + b)
+        sigs += [sig, sig]
+        members += [a, b]
+    return np.concatenate(sigs), np.concatenate(members)
+
+
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: dict[int, list[tuple[np.ndarray, ...]]] = {}
     for batch in batches:
-        for words, bounds, hashes, _ in _own_runs(batch):
-            chosen = np.flatnonzero(np.diff(bounds) >= MIN_WORDS - 1)
-            if len(chosen):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes[chosen, 0].view(np.int64)),
-                     pa.array([words[bounds[i]:bounds[i + 1]].tobytes() for i in chosen], pa.binary())], ["id", "words"])
+        for bucket, *data in zip(*[c.to_pylist() for c in batch.columns]):
+            held.setdefault(bucket, []).append(tuple(np.frombuffer(d, t) for d, t in zip(data, (np.uint32, np.uint64, np.uint32))))
+    for bucket in sorted(held):
+        sigs, ids = candidate_lists(*[np.concatenate(c) for c in zip(*held.pop(bucket))])
+        if len(sigs):
+            yield pa.RecordBatch.from_arrays([pa.array(sigs.view(np.int64)), pa.array(ids.view(np.int64))], ["sig", "id"])
+
+
+def _unit_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The unit hashes of each text's wanted lines."""
+    for whole in batches:
+        for batch, texts in _slices(whole, whole.column(0)):
+            wanted = [set(x) for x in batch.column(1).to_pylist()]
+            lines, rows, _ = _split(texts)
+            for at, words, bounds in word_runs(_unit_lines(lines)):
+                hashes = sequence_hashes(words, bounds).view(np.int64).tolist()
+                chosen = [k for k, h in enumerate(hashes) if h in wanted[rows[at + k]]]
+                if chosen:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([hashes[k] for k in chosen], pa.int64()),
+                         pa.array([words[bounds[k]:bounds[k + 1]].tobytes() for k in chosen], pa.binary())], ["id", "units"])
 
 
 def edit_distance(a: list[int], b: list[int]) -> int:
@@ -307,129 +255,119 @@ def edit_distance(a: list[int], b: list[int]) -> int:
     return score
 
 
+def similar(a: list[int], b: list[int]) -> bool:
+    """Whether two lines' units have edit similarity ``MIN_SIMILARITY``."""
+    longer = max(len(a), len(b))
+    most = (1 - MIN_SIMILARITY) * longer + 1e-9
+    # units that only one has need an edit each
+    return longer - (Counter(a) & Counter(b)).total() <= most and edit_distance(a, b) <= most
+
+
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        link = []
-        for x, y in zip(batch.column(2), batch.column(3)):
-            p, q = (np.frombuffer(v.as_buffer(), np.uint64).tolist() for v in (x, y))
-            longer = max(len(p), len(q))
-            most = (1 - MIN_SIMILARITY) * longer + 1e-9
-            # units that only one has need an edit each
-            link.append(longer - (Counter(p) & Counter(q)).total() <= most and edit_distance(p, q) <= most)
+        link = [similar(*(np.frombuffer(v.as_buffer(), np.uint64).tolist() for v in pair)) for pair in zip(batch.column(2), batch.column(3))]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.nulls(len(link), pa.int64()),
                                           pa.array(link, pa.bool_())], ["a", "b", "shared", "link"])
 
 
-def line_groups(docs: DataFrame) -> DataFrame:
-    """``(h1, component)`` of the lines that are linked with other normal forms; ``docs(doc_id, text, skip)``
-    has each normal form in one document outside ``skip``. Equal first hashes stand for equal lines here."""
-    table = docs.sparkSession.sparkContext.broadcast(shingle_classes(docs, RARE_DF, _gram_sets, SLOT_BITS))
-    postings = shared_table(docs.mapInArrow(_postings(table), _POSTINGS), "postings")
+def line_groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
+    """``(h, component)`` of the lines of ``docs(doc_id, text)`` that are linked with other normal forms; ``lines``
+    lists the documents of each."""
+    spark = docs.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bucket_bits = min(18, max(8, (4 * partitions - 1).bit_length()))
+    lists = docs.select("text").mapInArrow(_block_lists(bucket_bits), "bucket int, keys binary, ids binary, checks binary")
+    postings = shared_table(lists.repartition(partitions, "bucket").mapInArrow(_candidates, "sig long, id long").distinct(), "postings")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        nodes = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        wanted = shared_table(rows_in(postings.select("id", "doc_id"), ["id"], nodes).distinct(), "wanted")
-        texts = rows_in(docs, ["doc_id"], wanted.select("doc_id").distinct())
-        listed = rows_in(texts.mapInArrow(_word_lists, "id long, words binary"), ["id"], wanted)
-        words = shared_table(listed.groupBy("id").agg(F.first("words").alias("words")), "words")
-        both = (pairs.join(words.toDF("a", "words_a"), "a").join(words.toDF("b", "words_b"), "b")
-                .select("a", "b", "words_a", "words_b"))
+        nodes = pairs.select(F.col("a").alias("h")).union(pairs.select(F.col("b").alias("h"))).distinct()
+        place = rows_in(lines.select("h", "doc_id"), ["h"], nodes).groupBy("h").agg(F.min("doc_id").alias("doc_id"))
+        wanted = shared_table(place.groupBy("doc_id").agg(F.collect_list("h").alias("wanted")), "wanted")  # a document's own lines
+        texts = rows_in(docs, ["doc_id"], wanted).join(wanted, "doc_id").select("text", "wanted")
+        units = shared_table(texts.mapInArrow(_unit_lists, "id long, units binary").groupBy("id").agg(F.first("units").alias("units")), "units")
+        both = (pairs.join(units.toDF("a", "units_a"), "a").join(units.toDF("b", "units_b"), "b")
+                .select("a", "b", "units_a", "units_b"))
         return both.mapInArrow(_compared, "a long, b long, shared long, link boolean")
 
-    members = postings.select("sig", "id", "size", F.lit(0).alias("rank"), F.col("size").alias("usable"))
+    members = postings.select("sig", "id", F.lit(1).cast("long").alias("size"), F.lit(0).alias("rank"), F.lit(1).cast("long").alias("usable"))
     found, _ = links_from_buckets(members, verify, star_rounds=1)
-    return found.withColumnRenamed("id", "h1")
-
-
-def once_each(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """``(doc_id, text, skip)``: in ``skip`` the first hashes of the lines that an earlier document has."""
-    first = lines.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
-    skip = shared_table(lines.select("doc_id", "h1", "h2").join(first, ["h1", "h2"]).filter("doc_id > first")
-                        .groupBy("doc_id").agg(F.collect_set("h1").alias("skip")), "skip")  # at most a document's own lines
-    flagged = flag_rows(docs, ["doc_id"], skip, "__maybe")
-    sure = flagged.filter("not __maybe").select("doc_id", "text", F.lit(None).cast("array<long>").alias("skip"))
-    return shared_table(sure.unionByName(flagged.filter("__maybe").join(skip, "doc_id", "left").select("doc_id", "text", "skip")), "once", "zstd")
+    return found.withColumnRenamed("id", "h")
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
-    """``(doc_id, gone)``: the hashes of each document's lines that occur earlier elsewhere in their group."""
+    """``(doc_id, gone)``: the hashes of each document's lines that occur earlier, in another document or another form."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
-    lines = shared_table(docs.mapInArrow(_described, _LINES), "lines")
-    groups = shared_table(line_groups(once_each(docs, lines)), "groups")
-    spread = (lines.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")))
-    # lines of one normal form in several documents: all but the first document lose it
-    plain = lines.select("doc_id", "h1", "h2").join(
-        spread.filter("first < last").join(groups, "h1", "left_anti"), ["h1", "h2"]).filter("doc_id > first")
-    # lines of several normal forms: the first place of the whole group stays
-    linked = lines.select("doc_id", "line", "h1").join(groups, "h1")
-    heads = linked.groupBy("component").agg(F.min("doc_id").alias("first"))
-    place = (linked.join(heads, "component").filter("doc_id = first").groupBy("component", "first").agg(F.min("line").alias("at")))
-    fuzzy = (linked.join(place, "component").filter("doc_id <> first or line <> at").select("doc_id", "h1"))
-    gone = plain.select("doc_id", "h1").unionByName(fuzzy)
-    return gone.groupBy("doc_id").agg(F.collect_set("h1").alias("gone"))  # at most a document's own lines
-
-
-def _kept(columns: list[str]):
-    """Texts without the lines that go, and how many went."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in _slices(whole):
-                lines, rows, _ = _split(batch.column(1))
-                stays = np.ones(len(lines), bool)
-                worded = np.zeros(batch.num_rows, np.int64)
-                gone = [set(x) if x else set() for x in batch.column(2).to_pylist()]
-                null_id = np.array(batch.column(0).is_null())
-                seen: set[tuple[int, int, int]] = set()
-                for at, words, bounds in word_runs(_unit_lines(lines)):
-                    n = np.diff(bounds)
-                    hashes = _line_hashes(words, bounds)
-                    for i in np.flatnonzero(n):
-                        row = int(rows[at + i])
-                        if not null_id[row]:
-                            key = (row, int(hashes[i, 0]), int(hashes[i, 1]))
-                            if n[i] >= MIN_WORDS and key in seen or int(hashes[i, 0].view(np.int64)) in gone[row]:
-                                stays[at + i] = False
-                                continue
-                            seen.add(key)
-                        worded[row] += 1
-                first = np.r_[np.searchsorted(rows, np.arange(batch.num_rows)), len(lines)]
-                removed = np.array([int((~stays[a:b]).sum()) for a, b in zip(first, first[1:])], np.int64)
-                source = batch.column(1).to_pylist()
-                texts = [source[k] if not removed[k] else ("" if not worded[k] else
-                         "\n".join([x for x, y in zip(lines[first[k]:first[k + 1]], stays[first[k]:first[k + 1]]) if y]))
-                         for k in range(batch.num_rows)]
-                made = {"text": pa.array(texts, pa.string()), "__removed": pa.array(removed, pa.int64()),
-                        "__left": pa.array(worded, pa.int64())}
-                yield pa.RecordBatch.from_arrays([made[c] if c in made else batch.column(batch.schema.names.index(c))
-                                                  for c in columns], columns)
-    return run
+    with small_batches(docs.sparkSession):
+        lines = shared_table(docs.mapInArrow(_described, _LINES), "lines", "zstd")
+    groups = shared_table(line_groups(docs, lines), "groups")
+    firsts = lines.groupBy("h").agg(F.min(F.struct("doc_id", "line", "h")).alias("at"), F.max("doc_id").alias("last"))
+    formed = shared_table(firsts.join(groups, "h", "left").filter("at.doc_id < last or component is not null"), "formed")
+    heads = formed.filter("component is not null").groupBy("component").agg(F.min("at").alias("head"))
+    keeps = (formed.join(heads, "component", "left").select("h", F.coalesce("head", "at").alias("keep"))
+             .select("h", F.col("keep.doc_id").alias("keep_doc"), F.col("keep.h").alias("keep_h")))
+    gone = (rows_in(lines.select("doc_id", "h"), ["h"], keeps).join(keeps, "h")
+            .filter("doc_id <> keep_doc or h <> keep_h"))
+    return gone.groupBy("doc_id").agg(F.collect_set("h").alias("gone"))  # at most a document's own lines
+
+
+def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows without the lines that go, and how many lines went and how many with words are left."""
+    for whole in batches:
+        for batch, texts in _slices(whole, whole.column(0).field("text")):
+            lines, rows, _ = _split(texts)
+            stays = np.ones(len(lines), bool)
+            worded = np.zeros(batch.num_rows, np.int64)
+            gone = [set(x) if x else set() for x in batch.column(2).to_pylist()]
+            no_id = np.array(batch.column(1).is_null())
+            seen: set[tuple[int, int]] = set()
+            for at, words, bounds in word_runs(_unit_lines(lines)):
+                hashes = sequence_hashes(words, bounds).view(np.int64)
+                for i in np.flatnonzero(np.diff(bounds)).tolist():
+                    row, h = int(rows[at + i]), int(hashes[i])
+                    if not no_id[row]:
+                        if (row, h) in seen or h in gone[row]:
+                            stays[at + i] = False
+                            continue
+                        seen.add((row, h))
+                    worded[row] += 1
+            first = np.r_[np.searchsorted(rows, np.arange(batch.num_rows)), len(lines)]
+            removed = np.array([int((~stays[a:b]).sum()) for a, b in zip(first, first[1:])], np.int64)
+            source = texts.to_pylist()
+            made = [source[k] if not removed[k] else ("" if not worded[k] else
+                    "\n".join([x for x, y in zip(lines[first[k]:first[k + 1]], stays[first[k]:first[k + 1]]) if y]))
+                    for k in range(batch.num_rows)]
+            fields = list(batch.schema.field(0).type)
+            columns = [batch.column(0).field(f.name) for f in fields]
+            for k, f in enumerate(fields):
+                if f.name == "text":
+                    columns[k] = pa.array(made, f.type)
+                elif f.name == "n_chars":
+                    length = pc.utf8_length(pa.array(made, pa.string())).cast(f.type)
+                    columns[k] = pc.if_else(pa.array(removed > 0), length, columns[k])
+            yield pa.RecordBatch.from_arrays([pa.StructArray.from_arrays(columns, fields=fields), pa.array(removed), pa.array(worded)],
+                                             ["row", "removed", "left"])
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """``docs`` with deduplicated ``text``, and ``__removed`` and ``__left``: lines that went, and lines
-    with words that stayed. ``n_chars``, if there, follows the text."""
-    gone = shared_table(repeated_lines(docs), "gone")
-    own = [c for c in docs.columns if c not in ("doc_id", "text")]
-    flagged = flag_rows(docs, ["doc_id"], gone, "__maybe")
-    sure = flagged.filter(~F.col("__maybe")).withColumn("__gone", F.lit(None).cast("array<long>"))
-    lists = gone.select(F.col("doc_id").alias("__id"), F.col("gone").alias("__gone"))
-    joined = (flagged.filter("__maybe").join(lists, F.col("doc_id") == F.col("__id"), "left").drop("__id"))
-    rows = sure.select("doc_id", "text", "__gone", *own).unionByName(joined.select("doc_id", "text", "__gone", *own))
-    schema = T.StructType([*docs.schema.fields, T.StructField("__removed", T.LongType()), T.StructField("__left", T.LongType())])
-    out = rows.mapInArrow(_kept(schema.names), schema)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType))
-                             .otherwise(F.col("n_chars")))
-    return out
+    """``row, removed, left``: each row of ``docs`` with deduplicated ``text`` (``n_chars``, if there, follows it), and
+    the numbers of lines that went and of lines with words that stayed."""
+    gone = shared_table(repeated_lines(docs), "gone", "zstd")
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
+    flagged = flag_rows(packed, ["doc_id"], gone, "maybe")
+    sure = flagged.filter("not maybe or maybe is null").select("row", "doc_id", F.lit(None).cast("array<long>").alias("gone"))
+    joined = flagged.filter("maybe").join(gone, "doc_id", "left").select("row", "doc_id", "gone")
+    schema = T.StructType([T.StructField("row", packed.schema["row"].dataType), T.StructField("removed", T.LongType()),
+                           T.StructField("left", T.LongType())])
+    with small_batches(docs.sparkSession):
+        return sure.unionByName(joined).mapInArrow(_kept, schema)
 
 
 def line_report(docs: DataFrame) -> DataFrame:
     """``doc_id, n_removed, n_left, text``: each document without its repeated lines."""
     out = deduplicated(docs.select("doc_id", "text"))
-    return out.select("doc_id", F.col("__removed").alias("n_removed"), F.col("__left").alias("n_left"), "text")
+    return out.select("row.doc_id", F.col("removed").alias("n_removed"), F.col("left").alias("n_left"), "row.text")
 
 
 def without_repeated_lines(docs: DataFrame) -> DataFrame:
     """The documents without repeated lines; those that lost all their lines with words go."""
-    out = deduplicated(docs).filter("not (__removed > 0 and __left = 0)")
-    return out.drop("__removed", "__left")
+    return deduplicated(docs).filter("not (removed > 0 and left = 0)").select("row.*")

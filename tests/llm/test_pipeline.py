@@ -29,7 +29,7 @@ def test_pipeline_stages(spark, folder):
     lines = {r.doc_id: r for r in rows["line_dedup"]}
     assert set(lines) <= set(good)
     norm = lambda x: tuple(brute.WORD.findall(brute.lowered(x)))
-    seen = [norm(x) for i in sorted(lines) for x in lines[i].text.split("\n") if len(norm(x)) >= 5]
+    seen = [norm(x) for i in sorted(lines) for x in lines[i].text.split("\n") if norm(x)]
     assert len(seen) == len(set(seen))
     assert set(seen) <= {norm(x) for t in good.values() for x in t.split("\n")}
     assert all(r.n_chars == len(r.text) for r in lines.values())

@@ -38,9 +38,9 @@ MIN_SIMILARITY = 0.9
 MIN_FUZZY = 10  # units: at fewer, one edit is more than the threshold allows
 WORDS64 = 8  # of a SimHash
 BLOCKS, BLOCK_BITS = 24, 21  # three blocks of each 64 bits
-CHECK_BITS = 10  # of 32 further bits, that may differ in a candidate pair
+CHECK_BITS = 8  # of 32 further bits, that may differ in a candidate pair
 LONG_LIST = 64  # members of a block's list from which no pairs are formed there
-_FLUSH = 1 << 19
+_FLUSH = 1 << 17  # lines that a task holds, each form once
 _U = np.uint64
 # Each byte's bits as eight counters of eight bits.
 _SPREAD = np.array([sum(((b >> k) & 1) << (8 * k) for k in range(8)) for b in range(256)], np.uint64)
@@ -148,36 +148,41 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _block_lists(bucket_bits: int):
     """The blocks of each task's fuzzy lines, packed by hash range: key, line hash and check bits."""
-    def packed(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        ids, first = np.unique(np.concatenate([h for h, _ in held]), return_index=True)
-        keys, checks = block_keys(np.concatenate([s for _, s in held])[first])
-        ids, keys, checks = np.repeat(ids, BLOCKS), keys.ravel(), checks.ravel()
-        bucket = (mix(keys.astype(np.uint64)) >> _U(64 - bucket_bits)).astype(np.int32)
-        order = np.argsort(bucket, kind="stable")
-        bucket, ids, keys, checks = bucket[order], ids[order], keys[order], checks[order]
-        starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-        cut = list(zip(starts.tolist(), [*starts[1:].tolist(), len(bucket)]))
-        return pa.RecordBatch.from_arrays([pa.array(bucket[starts]), *[pa.array([x[a:b].tobytes() for a, b in cut], pa.binary())
-                                                                     for x in (keys, ids, checks)]], ["bucket", "keys", "ids", "checks"])
+    def packed(ids: np.ndarray, hashes: np.ndarray) -> Iterator[pa.RecordBatch]:
+        every_key, every_check = block_keys(hashes)
+        for low in range(0, BLOCKS, 6):
+            keys, checks = every_key[:, low:low + 6].ravel(), every_check[:, low:low + 6].ravel()
+            bucket = (mix(keys.astype(np.uint64)) >> _U(64 - bucket_bits)).astype(np.int32)
+            order = np.argsort(bucket, kind="stable")
+            bucket, keys, checks, own = bucket[order], keys[order], checks[order], ids[order // 6]
+            starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+            cut = list(zip(starts.tolist(), [*starts[1:].tolist(), len(bucket)]))
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[starts]), *[pa.array([x[a:b].tobytes() for a, b in cut], pa.binary())
+                                                                        for x in (keys, own, checks)]], ["bucket", "keys", "ids", "checks"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
+        seen: set[int] = set()
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch, texts in (part for b in batches for part in _slices(b, b.column(0))):
             for _, words, bounds in word_runs(_unit_lines(_split(texts)[0])):
                 size, hashes = np.diff(bounds), sequence_hashes(words, bounds)
                 some = np.flatnonzero(size >= MIN_FUZZY)
-                if len(some):
-                    _, first = np.unique(hashes[some], return_index=True)
-                    some = some[first]
+                new = []
+                for k, h in zip(some.tolist(), hashes[some].tolist()):
+                    if h not in seen:
+                        seen.add(h)
+                        new.append(k)
+                if new:
+                    some = np.array(new)
                     own = np.r_[0, np.cumsum(size[some])]
                     at = np.arange(own[-1]) - np.repeat(own[:-1] - bounds[some], size[some])
                     held.append((hashes[some], simhashes(words[at], own)))
-                    n += len(some) * BLOCKS
-                if n >= _FLUSH:
-                    yield packed(held)
-                    held, n = [], 0
-        if n:
-            yield packed(held)
+            if len(seen) >= _FLUSH:
+                yield from packed(*map(np.concatenate, zip(*held)))
+                seen.clear()
+                held.clear()
+        if held:
+            yield from packed(*map(np.concatenate, zip(*held)))
     return run
 
 

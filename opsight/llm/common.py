@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsight.session import shared_path
+from opsight.session import ensure_checkpoint_dir, shared_path
 
 # Java classes of the word contract: words are runs of anything but these separators.
 SEPARATORS = r"[\x20\x09-\x0D]+"
@@ -55,38 +55,58 @@ def shared_table(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(df: DataFrame) -> None:
+    """Remove the files of the shared tables that ``df`` reads; nothing that reads them may be evaluated later."""
+    jvm = df.sparkSession.sparkContext._jvm
+    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/") + "/tables/"
+    for folder in {"/".join(f.split("/")[:-1]) for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        if base.split(":", 1)[-1].lstrip("/") in folder:  # schemes are written with one or three slashes
+            path.getFileSystem(conf).delete(path, True)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a name made from it that ``df`` has no column of (Spark ignores case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def _slot(*keys: Column) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(FILTER_BITS))
 
 
 def flag_rows(df: DataFrame, keys: list[str], wanted: DataFrame, flag: str) -> DataFrame:
-    """Add the boolean column ``flag``: false means that the row's key is certainly not in
+    """Add the boolean column ``flag``: false or NULL means that the row's key is certainly not in
     ``wanted`` (which has columns of the same names), true that it may be.
 
     The filter is a bitmap of fixed size (at most 2 MB whatever the input, so it is broadcast):
     rows that need no join then skip its shuffle. A full bitmap only stops the saving.
     """
     slot = _slot(*[F.col(k) for k in keys])
-    bits = (wanted.select(slot.alias("_slot"))
-            .select(F.expr("_slot div 64").alias("_word"),
-                    F.expr("shiftleft(1L, cast(_slot % 64 as int))").alias("_bit"))
-            .groupBy("_word").agg(F.bit_or("_bit").alias("_bits")))
-    marked = df.withColumn("_slot", slot).withColumn("_word", F.expr("_slot div 64"))
-    hit = F.expr("coalesce(_bits & shiftleft(1L, cast(_slot % 64 as int)), 0L) <> 0")
-    return (marked.join(F.broadcast(bits), "_word", "left")
-            .withColumn(flag, hit).drop("_word", "_slot", "_bits"))
+    word, bits = free_name(df, "slot_word"), free_name(df, "slot_bits")
+    filled = (wanted.select(slot.alias("slot"))
+              .select(F.expr("shiftright(slot, 6)").alias(word), F.expr("shiftleft(1L, cast(slot % 64 as int))").alias("bit"))
+              .groupBy(word).agg(F.bit_or("bit").alias(bits)))
+    hit = F.coalesce(F.col(bits).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int"))), F.lit(0)) != 0
+    return (df.withColumn(word, F.shiftright(slot, 6)).join(F.broadcast(filled), word, "left")
+            .withColumn(flag, hit).drop(word, bits))
 
 
 def rows_in(df: DataFrame, keys: list[str], wanted: DataFrame) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``wanted``; only candidate rows are shuffled."""
-    flagged = flag_rows(df, keys, wanted, "_maybe").filter("_maybe").drop("_maybe")
-    return flagged.join(wanted.select(*keys).distinct(), keys, "left_semi")
+    maybe = free_name(df, "maybe")
+    flagged = flag_rows(df, keys, wanted, maybe).filter(F.col(maybe)).drop(maybe)
+    return flagged.join(wanted.select(*keys).distinct(), keys, "left_semi").select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def rows_not_in(df: DataFrame, keys: list[str], unwanted: DataFrame) -> DataFrame:
     """Rows of ``df`` whose key does not occur in ``unwanted``; only candidate rows are shuffled."""
-    flagged = flag_rows(df, keys, unwanted, "_maybe")
-    sure = flagged.filter(~F.col("_maybe")).drop("_maybe")
-    checked = (flagged.filter("_maybe").drop("_maybe")
-               .join(unwanted.select(*keys).distinct(), keys, "left_anti"))
+    maybe = free_name(df, "maybe")
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    flagged = flag_rows(df, keys, unwanted, maybe)
+    sure = flagged.filter(~F.coalesce(F.col(maybe), F.lit(False))).select(*columns)
+    checked = flagged.filter(F.col(maybe)).join(unwanted.select(*keys).distinct(), keys, "left_anti").select(*columns)
     return sure.unionByName(checked)

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opsight.llm.common import rows_in, shared_table
+from opsight.llm.common import release, rows_in, shared_table
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -29,11 +29,15 @@ def connected_components(edges: DataFrame) -> DataFrame:
         after = shared_table(step.join(jump, "low", "left")
                              .select("id", F.col("component").alias("was"),
                                      F.least("low", "lower").alias("component")), "labels")
+        release(labels)
         labels = after.select("id", "component")
         if after.filter("component <> was").limit(1).count() == 0:
+            release(both)
             return labels
 
 
+PART = 128  # members of a bucket for each part that is compared with the whole bucket
+
 # Two members can share 4/9 of their sizes' sum (similarity 0.8) only if the parts that others share allow it.
 _MAY_LINK = ("5 * least(size, {0}size) >= 4 * greatest(size, {0}size) "
              "and 9 * least(usable, {0}usable) >= 4 * (size + {0}size)")
@@ -57,8 +61,8 @@ def links_from_buckets(postings: DataFrame, verify: Callable[[DataFrame], DataFr
     cannot link. So no link between components is lost, whatever the bucket's size.
     """
     keys = (postings.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("sig"))
-    rows = shared_table(postings.join(keys, "sig", "left_semi").select("sig", "id", "size", "rank", "usable").distinct(),
-                        "members").withColumn("near", F.lit(None).cast("long"))
+    opened = shared_table(postings.join(keys, "sig", "left_semi").select("sig", "id", "size", "rank", "usable").distinct(), "members")
+    rows = opened.withColumn("near", F.lit(None).cast("long"))
     spark, id_type = postings.sparkSession, postings.schema["id"].dataType.simpleString()
     links = spark.createDataFrame([], f"a {id_type}, b {id_type}")
     tested = spark.createDataFrame([], f"a {id_type}, b {id_type}")
@@ -69,6 +73,8 @@ def links_from_buckets(postings: DataFrame, verify: Callable[[DataFrame], DataFr
         mixed = (labelled.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"))
                  .filter("low <> high").select("sig"))
         rows = shared_table(labelled.join(mixed, "sig", "left_semi"), "open")
+        release(opened)  # the table before this one; results and pairs are still read
+        opened = rows
         pivots = rows.groupBy("sig").agg(lowest)
         if k == 1:  # the first pivot has met all members: take the lowest outside its component
             pivots = rows.join(pivots, "sig").filter("component <> p.component").groupBy("sig").agg(lowest)
@@ -78,9 +84,13 @@ def links_from_buckets(postings: DataFrame, verify: Callable[[DataFrame], DataFr
         else:
             # a pair that shares several signatures is formed at the smallest only
             lists = rows.groupBy("id").agg(F.collect_set("sig").alias("sigs"))  # an id's own signatures
-            listed = rows.join(lists, "id")
-            other = listed.toDF(*[c if c == "sig" else f"o_{c}" for c in listed.columns])
-            pairs = (listed.join(other, "sig")
+            # members of a large bucket are dealt out in parts, each of which meets all others
+            parts = rows.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
+            listed = shared_table(rows.join(lists, "id").join(parts, "sig"), "listed", "zstd")
+            other = listed.drop("parts").toDF(*[c if c == "sig" else f"o_{c}" for c in listed.columns if c != "parts"])
+            other = other.join(parts.filter("parts > 1"), "sig", "left").withColumn("part", F.expr("explode(sequence(0, coalesce(parts, 1) - 1))"))
+            listed = listed.withColumn("part", F.expr("pmod(hash(id), parts)"))
+            pairs = (listed.join(other.drop("parts"), ["sig", "part"])
                      .filter("component < o_component and " + _MAY_LINK.format("o_") + " and " + _MAY_LINK_BY_PIVOT
                              + " and sig = array_min(array_intersect(sigs, o_sigs))")
                      .select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b")))

@@ -20,17 +20,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opsight.llm.common import rows_not_in, shared_table
+from opsight.llm.common import flag_rows, rows_not_in, shared_table, small_batches
 from opsight.llm.components import fetch, links_from_buckets
 from opsight.llm.hashing import mix, shingle_sets
 
 RARE_DF = 16
-# Class table: 2**25 slots of 4 bits (16 MB), whatever the input. Shingles in one slot share the highest
-# class, which costs signatures but loses no pair; about a slot for four shingles keeps the classes apart.
-SLOT_BITS = 25
 _FLUSH = 1 << 19
 _U = np.uint64
 
@@ -46,83 +44,83 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array(marks[:, 1].copy())], ["doc_id", "n_shingles", "d1", "d2"])
 
 
-def _token_blocks(bucket_bits: int, sets):
-    """Shingles (their upper 48 bits) of a task's rows, sorted and cut into hash ranges."""
-    def blocks(tokens: list[np.ndarray]) -> pa.RecordBatch:
-        t = np.sort(np.concatenate(tokens) >> _U(16))
+_TOKENS = "block long, bucket int, high binary, low binary, docs binary, ids binary, sizes binary"
+_KNOWN = "block long, tokens binary, kinds binary, docs binary, ids binary, sizes binary"
+_POSTINGS = "sig long, id long, size long, rank long, usable long"
+
+
+def _names(schema: str) -> list[str]:
+    return [f.split()[0] for f in schema.split(", ")]
+
+
+def _token_blocks(bucket_bits: int):
+    """A task's documents in blocks: their shingles (the upper 48 bits) with the document's number in the block,
+    sorted and cut into hash ranges; the first range holds the block's ids and set sizes."""
+    def packed(block: int, ids: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+        t = np.concatenate(sets) >> _U(16)
+        doc = np.repeat(np.arange(len(sets)), [len(x) for x in sets]).astype(np.uint16)
+        order = np.argsort(t, kind="stable")
+        t, doc = t[order], doc[order]
         bounds = np.searchsorted(t, np.arange((1 << bucket_bits) + 1, dtype=np.uint64) << _U(48 - bucket_bits))
         filled = np.flatnonzero(bounds[1:] > bounds[:-1])
         high, low = (t >> _U(32)).astype(np.uint16), t.astype(np.uint32)
         cut = [(bounds[b], bounds[b + 1]) for b in filled.tolist()]
+        head = [np.array(ids, np.int64).tobytes(), np.array([len(x) for x in sets], np.int64).tobytes()]
         return pa.RecordBatch.from_arrays(
-            [pa.array(filled.astype(np.int32)), pa.array([high[a:b].tobytes() for a, b in cut], pa.binary()),
-             pa.array([low[a:b].tobytes() for a, b in cut], pa.binary())], ["bucket", "high", "low"])
+            [pa.array([block] * len(cut), pa.int64()), pa.array(filled.astype(np.int32)),
+             *[pa.array([x[a:b].tobytes() for a, b in cut], pa.binary()) for x in (high, low, doc)],
+             *[pa.array([h, *[None] * (len(cut) - 1)], pa.binary()) for h in head]], _names(_TOKENS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
+        block, ids, sets, n = TaskContext.get().partitionId() << 32, [], [], 0
         for batch in batches:
-            for _, grams in sets(batch):
-                held.append(grams)
-                n += len(grams)
-                if n >= _FLUSH:
-                    yield blocks(held)
-                    held, n = [], 0
+            own = batch.column(0).to_pylist()
+            for row, grams in shingle_sets(batch.column(1)):
+                if len(grams):
+                    ids.append(own[row])
+                    sets.append(grams)
+                    n += len(grams)
+                if n >= _FLUSH or len(ids) >= 1 << 16:
+                    yield packed(block, ids, sets)
+                    block, ids, sets, n = block + 1, [], [], 0
         if n:
-            yield blocks(held)
+            yield packed(block, ids, sets)
     return run
 
 
-def _class_slices(bucket_bits: int, rare_df: int, slot_bits: int):
-    """Each hash range's slice of the class table: 0 unique, 1 rare, then frequent by powers of four."""
-    limits = np.array([1, *(rare_df * 4 ** k for k in range(14))])
+def _classified(rare_df: int):
+    """The shingles of each hash range that several documents have, with their class: 1 rare, then frequent by
+    powers of four. Each block gets its own back; shingles of one document stay behind."""
+    limits = np.array([1, *(rare_df * 4 ** k for k in range(20))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[np.ndarray]] = {}
+        held: dict[int, list[tuple]] = {}
         for batch in batches:
-            for bucket, high, low in zip(*[c.to_pylist() for c in batch.columns]):
-                held.setdefault(bucket, []).append((np.frombuffer(high, np.uint16).astype(np.uint64) << _U(32))
-                                                   | np.frombuffer(low, np.uint32))
-        rest = slot_bits - bucket_bits
+            for block, bucket, *rest in zip(*[c.to_pylist() for c in batch.columns]):
+                held.setdefault(bucket, []).append((block, *rest))
         for bucket in sorted(held):
-            t = np.sort(np.concatenate(held.pop(bucket)))
-            starts = np.flatnonzero(np.r_[True, t[1:] != t[:-1]])
-            kind = np.searchsorted(limits, np.diff(np.r_[starts, len(t)])).astype(np.uint8)
-            slot = ((t[starts] >> _U(48 - slot_bits)) & _U((1 << rest) - 1)).astype(np.int64)
-            table = np.zeros(1 << rest, np.uint8)
-            np.maximum.at(table, slot[kind > 0], kind[kind > 0])
-            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array(
-                [(table[::2] << 4 | table[1::2]).tobytes()], pa.binary())], ["bucket", "kinds"])
+            rows = held.pop(bucket)
+            tokens = [(np.frombuffer(r[1], np.uint16).astype(np.uint64) << _U(32)) | np.frombuffer(r[2], np.uint32) for r in rows]
+            every = np.concatenate(tokens)
+            order = np.argsort(every, kind="stable")
+            sorted_tokens = every[order]
+            starts = np.flatnonzero(np.r_[True, sorted_tokens[1:] != sorted_tokens[:-1]])
+            count = np.diff(np.r_[starts, len(every)])
+            kinds = np.empty(len(every), np.uint8)
+            kinds[order] = np.repeat(np.searchsorted(limits, count).astype(np.uint8), count)
+            out, at = [], 0
+            for r, own in zip(rows, tokens):
+                kind = kinds[at:at + len(own)]
+                at += len(own)
+                again = kind > 0
+                if again.any() or r[4] is not None:
+                    out.append((r[0], own[again].tobytes(), kind[again].tobytes(), np.frombuffer(r[3], np.uint16)[again].tobytes(), r[4], r[5]))
+            if out:
+                kinds_of = [pa.int64(), *[pa.binary()] * 5]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds_of)], _names(_KNOWN))
     return run
 
 
-def _text_sets(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
-    return shingle_sets(batch.column(0))
-
-
-def shingle_classes(rows: DataFrame, rare_df: int = RARE_DF, sets=_text_sets, slot_bits: int = SLOT_BITS) -> np.ndarray:
-    """The packed class table of the shingles that ``sets`` finds in the Arrow batches of ``rows``.
-
-    Every shingle is shuffled once, as 6 bytes in sorted blocks; a hash range is counted by one task.
-    """
-    spark = rows.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bucket_bits = min(18, max(8, (4 * partitions - 1).bit_length()))
-    blocks = rows.mapInArrow(_token_blocks(bucket_bits, sets), "bucket int, high binary, low binary")
-    slices = (blocks.repartition(partitions, "bucket")
-              .mapInArrow(_class_slices(bucket_bits, rare_df, slot_bits), "bucket int, kinds binary"))
-    width = 1 << (slot_bits - bucket_bits - 1)
-    table = np.zeros(1 << (slot_bits - 1), np.uint8)
-    for row in slices.collect():  # the table's fixed size at most, whatever the input
-        table[row.bucket * width:(row.bucket + 1) * width] = np.frombuffer(row.kinds, np.uint8)
-    return table
-
-
-def gram_kinds(table: np.ndarray, grams: np.ndarray) -> np.ndarray:
-    """The class of each 64-bit shingle hash in a packed table of two slots a byte."""
-    slot = (grams >> _U(64 - (len(table).bit_length()))).astype(np.int64)
-    return (table[slot >> 1] >> ((1 - (slot & 1)) * 4).astype(np.uint8)) & 15
-
-
 def combinations(common: np.ndarray, need: int, lower: int) -> list[np.ndarray]:
     """2-combinations within hash groups of the prefix of ``common`` that may lose ``need`` - 1 shingles."""
     out = []
@@ -146,53 +144,62 @@ def combinations(common: np.ndarray, need: int, lower: int) -> list[np.ndarray]:
     return out
 
 
-def signatures(grams: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, int, int]:
-    """The signatures of one sorted shingle set, and how many shingles are not frequent and how many not unique.
+def signatures(grams: np.ndarray, kind: np.ndarray, n: int) -> np.ndarray:
+    """The signatures of a set of ``n`` shingles from those that other documents have, and their classes.
 
     ``need`` shingles of the prefix must remain countable: one more than may be missing in a partner.
     """
-    n = len(grams)
-    need = n - (4 * n + 4) // 5 + 1
-    kind = gram_kinds(table, grams)
-    often = kind > 1
-    unique, rare, common = int((kind == 0).sum()), grams[kind == 1], grams[often]
-    common = common[np.argsort(kind[often], kind="stable")]
-    rank = n - len(common)
-    if unique >= need:
-        return np.empty(0, np.uint64), rank, n - unique
-    singles = rare[:need - unique]
-    need -= unique + len(singles)
-    if need <= 0 or not len(common):
-        return singles, rank, n - unique
-    out = [singles]
-    top = 1 << (n.bit_length() - 1)
-    for lower in ([top, 2 * top] if 5 * n >= 8 * top else [top]):  # size bands that a partner may use
-        out += combinations(common, need, lower)
-    return np.concatenate(out), rank, n - unique
-
-
-def _postings(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
-        for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            sigs, at, size, rank, usable = [], [], [], [], []
-            for row, grams in shingle_sets(batch.column(1)):
-                if len(grams):
-                    s, r, u = signatures(grams, table)
-                    if len(s):
-                        sigs.append(np.unique(s))
-                        at.append(row)
-                        size.append(len(grams))
-                        rank.append(r)
-                        usable.append(u)
-            if sigs:
-                n = [len(s) for s in sigs]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(sigs).view(np.int64)),
-                     *[pa.array(np.repeat(c, n).astype(np.int64)) for c in (ids[at], size, rank, usable)]],
-                    ["sig", "id", "size", "rank", "usable"])
-    return run
+    need = n - (4 * n + 4) // 5 + 1 - (n - len(grams))
+    order = np.lexsort((grams, kind))
+    grams, kind = grams[order], kind[order]
+    rare = int((kind == 1).sum())
+    out = [grams[:min(rare, need)]]
+    need -= len(out[0])
+    if need > 0 and rare < len(grams):
+        top = 1 << (n.bit_length() - 1)
+        for lower in ([top, 2 * top] if 5 * n >= 8 * top else [top]):  # size bands that a partner may use
+            out += combinations(grams[rare:], need, lower)
+    return np.concatenate(out)
+
+
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The postings of each block's documents. A partner shares four fifths of a document's shingles at least, so
+    those with fewer shingles that others have need none."""
+    held: dict[int, list[tuple]] = {}
+    for batch in batches:
+        for block, *rest in zip(*[c.to_pylist() for c in batch.columns]):
+            held.setdefault(block, []).append(rest)
+    for block in sorted(held):
+        rows = held.pop(block)
+        tokens, kinds, docs = (np.concatenate([np.frombuffer(r[k], t) for r in rows]) for k, t in ((0, np.uint64), (1, np.uint8), (2, np.uint16)))
+        ids, sizes = (np.frombuffer(next(r[k] for r in rows if r[k] is not None), np.int64) for k in (3, 4))
+        usable = np.bincount(docs, minlength=len(ids))
+        order = np.argsort(docs, kind="stable")
+        bounds = np.r_[0, np.cumsum(usable)]
+        found, owner, rank = [], [], []
+        for k in np.flatnonzero(5 * usable >= 4 * sizes).tolist():
+            own = order[bounds[k]:bounds[k + 1]]
+            found.append(np.unique(signatures(tokens[own], kinds[own], int(sizes[k]))))
+            owner.append(k)
+            rank.append(int(sizes[k] - (kinds[own] > 1).sum()))
+        if found:
+            n = [len(x) for x in found]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(found).view(np.int64)),
+                 *[pa.array(np.repeat(np.array(c, np.int64), n)) for c in (ids[owner], sizes[owner], rank, usable[owner])]], _names(_POSTINGS))
+
+
+def postings_of(nodes: DataFrame, rare_df: int = RARE_DF) -> DataFrame:
+    """``(sig, id, size, rank, usable)``: the prefix signatures of each document that may have a partner.
+
+    Every shingle is shuffled once, as 8 bytes in sorted blocks, and counted in the task of its hash range
+    (2 bytes there for each document of a shared shingle); only shared shingles go back to their block.
+    """
+    partitions = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bucket_bits = min(18, max(8, (4 * partitions - 1).bit_length()))
+    blocks = nodes.select("doc_id", "text").mapInArrow(_token_blocks(bucket_bits), _TOKENS)
+    known = blocks.repartition(partitions, "bucket").mapInArrow(_classified(rare_df), _KNOWN)
+    return known.repartition(partitions, "block").mapInArrow(_signed, _POSTINGS)
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,16 +226,19 @@ def verify_pairs(docs: DataFrame):
 def jaccard_components(docs: DataFrame, rare_df: int = RARE_DF) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for each row of ``docs(doc_id, text)``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    spark = docs.sparkSession
     sizes = shared_table(docs.mapInArrow(_digests, "doc_id long, n_shingles long, d1 long, d2 long"), "sizes")
     groups = (sizes.filter("n_shingles > 0 and doc_id is not null").groupBy("d1", "d2")
               .agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last")).filter("rep < last")
               .select("d1", "d2", "rep"))
     copies = shared_table(sizes.filter("n_shingles > 0").join(groups, ["d1", "d2"]).filter("doc_id > rep")
                           .select("doc_id", "rep").distinct(), "copies")
-    nodes = rows_not_in(docs.filter("doc_id is not null"), ["doc_id"], copies)
-    table = spark.sparkContext.broadcast(shingle_classes(nodes.select("text"), rare_df))
-    postings = shared_table(nodes.mapInArrow(_postings(table), "sig long, id long, size long, rank long, usable long"), "postings")
+    flagged = flag_rows(docs.filter("doc_id is not null"), ["doc_id"], copies, "maybe")
+    others = flagged.filter("maybe").drop("maybe").join(copies.select("doc_id"), "doc_id", "left_anti")
+    # a repeated task must number its documents alike, so rows that were shuffled are sorted
+    others = others.withColumn("mark", F.xxhash64("text")).sortWithinPartitions("doc_id", "mark").drop("mark")
+    nodes = flagged.filter("not maybe").drop("maybe").unionByName(others)
+    with small_batches(docs.sparkSession):
+        postings = shared_table(postings_of(nodes, rare_df), "postings")
     found, _ = links_from_buckets(postings, verify_pairs(docs))
     reps = found.select(F.col("id").alias("rep"), "component")
     return (sizes.select("doc_id", "n_shingles").join(copies, "doc_id", "left")

@@ -367,3 +367,20 @@ def test_warc_hard_cases_and_random_access(spark, monkeypatch):
         assert headers["WARC-Record-ID"] == r.record_id
         if headers["WARC-Type"] == "response":
             assert block == (dict((i, h) for i, _, h in pages)[r.page_id] or "").encode()
+
+
+def test_links_of_buckets_over_several_rounds(spark):
+    """Links that only a later round finds, in a large bucket whose members are compared in parts."""
+    rows = [(s, i, 10, 0, 10) for s in range(3) for i in range(s, 400, 2)]
+    postings = spark.createDataFrame(rows, "sig long, id long, size long, rank long, usable long")
+    verify = lambda pairs: pairs.select("a", "b", F.lit(None).cast("long").alias("shared"), F.expr("a % 7 = b % 7").alias("link"))
+    found, links = components.links_from_buckets(postings, verify)
+    union = brute.Union(range(400))
+    members = [sorted({i for s, i, *_ in rows if s == k}) for k in range(3)]
+    for own in members:
+        for a in own:
+            for b in own:
+                if a < b and a % 7 == b % 7:
+                    union.join(a, b)
+    assert {r.id: r.component for r in found.collect()} == {i: union.find(i) for i in range(400)}
+    assert links.filter("a % 7 <> b % 7").count() == 0

@@ -7,8 +7,9 @@ by seeking to its frame and decompressing that frame only.
 
 Among records with equal payloads of at least 1000 bytes (equal SHA-1 and length) the one with the
 largest page_id is a response, the others are revisit records that refer to it and carry no payload.
-Pages without a page_id are always responses. NULL html is an empty payload. Repeated rows are
-written and read as separate records; a row whose page_id is the group's largest is a response.
+Pages without a page_id are always responses. NULL html is an empty payload. Record ids are made of
+page_id and payload digest, so pages that repeat a page_id with another payload have records of their own, each decided by
+its own payload. Repeated rows are written and read as separate records; a row whose page_id is the group's largest is a response.
 """
 
 from __future__ import annotations
@@ -39,20 +40,20 @@ INDEX = "page_id long, record_id string, bundle string, frame int, offset long,
 RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string"
 
 
-def _uri(page_id: int | None) -> str:
-    return f"urn:page:{'' if page_id is None else page_id}"
+def _uri(page_id: int | None, digest: str) -> str:
+    return f"urn:page:{'' if page_id is None else page_id}:{digest}"
 
 
 def record_bytes(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
     """One WARC record. A revisit names its response and has an empty block."""
     kind = "response" if refers_to is None else "revisit"
     block = payload if refers_to is None else b""
-    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <{_uri(page_id)}>", f"WARC-Date: {_WARC_DATE}",
+    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <{_uri(page_id, digest)}>", f"WARC-Date: {_WARC_DATE}",
              "WARC-Target-URI: " + (url or "").replace("\r", "%0D").replace("\n", "%0A"),
              f"WARC-Payload-Digest: sha1:{digest}", f"WARC-Payload-Length: {len(payload)}", f"Content-Length: {len(block)}"]
     if refers_to is not None:
         lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
-                  f"WARC-Refers-To: <{_uri(refers_to)}>"]
+                  f"WARC-Refers-To: <{_uri(refers_to, digest)}>"]
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
@@ -139,13 +140,14 @@ def _write(folder: str):
             rows = []
             for page_id, url, html, refers_to in zip(*[c.to_pylist() for c in batch.columns]):
                 payload = (html or "").encode()
-                record = record_bytes(page_id, url, payload, hashlib.sha1(payload).hexdigest(), refers_to)
+                digest = hashlib.sha1(payload).hexdigest()
+                record = record_bytes(page_id, url, payload, digest, refers_to)
                 if bundle is not None and bundle.written > BUNDLE_BYTES:
                     bundle.close()
                     bundle = None
                 if bundle is None:
                     bundle, n = BundleWriter(folder, f"part-{part:06d}-{n:04d}.warc.zst"), n + 1
-                rows.append((page_id, f"<{_uri(page_id)}>", bundle.name, *bundle.add(record), len(record)))
+                rows.append((page_id, f"<{_uri(page_id, digest)}>", bundle.name, *bundle.add(record), len(record)))
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64()))],
@@ -155,14 +157,12 @@ def _write(folder: str):
     return run
 
 
-def record_kinds(pages: DataFrame) -> DataFrame:
-    """``(page_id, refers_to)`` of the pages that become revisit records."""
-    html = F.coalesce("html", F.lit(""))
-    marks = shared_table(pages.filter("page_id is not null").select(
-        "page_id", F.sha1(html).alias("digest"), F.octet_length(html).alias("n")).filter(F.col("n") >= REVISIT_BYTES), "marks")
+def record_kinds(marks: DataFrame) -> DataFrame:
+    """``(page_id, digest, n, refers_to)`` of the pages in ``marks(page_id, digest, n)`` that become revisit records."""
+    marks = shared_table(marks.filter((F.col("n") >= REVISIT_BYTES) & F.col("page_id").isNotNull()), "marks")
     groups = (marks.groupBy("digest", "n").agg(F.max("page_id").alias("refers_to"), F.min("page_id").alias("least"))
               .filter("least < refers_to").drop("least"))
-    return marks.join(groups, ["digest", "n"]).filter("page_id < refers_to").select("page_id", "refers_to").distinct()
+    return marks.join(groups, ["digest", "n"]).filter("page_id < refers_to").distinct()
 
 
 def write_archive(pages: DataFrame, folder: str) -> DataFrame:
@@ -172,8 +172,10 @@ def write_archive(pages: DataFrame, folder: str) -> DataFrame:
     hash of page_id and sorted within a task, so groups of copies do not meet in one task.
     """
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    kinds = shared_table(record_kinds(pages), "revisits")
-    rows = (pages.join(kinds, "page_id", "left").repartition(F.xxhash64("page_id", "url"))
+    html = F.coalesce("html", F.lit(""))
+    marked = pages.withColumn("digest", F.sha1(html)).withColumn("n", F.octet_length(html))
+    kinds = shared_table(record_kinds(marked.select("page_id", "digest", "n")), "revisits")
+    rows = (marked.join(kinds, ["page_id", "digest", "n"], "left").repartition(F.xxhash64("page_id", "url"))
             .sortWithinPartitions("page_id", "url").select("page_id", "url", "html", "refers_to"))
     return shared_table(rows.mapInArrow(_write(folder), INDEX), "index")
 
@@ -199,14 +201,15 @@ def _read(folder: str):
 
 
 def _page(uri: str) -> int | None:
-    number = uri.strip("<>").removeprefix("urn:page:")
+    number = uri.strip("<>").removeprefix("urn:page:").split(":")[0]
     return int(number) if number else None
 
 
 def read_archive(spark: SparkSession, index: DataFrame, folder: str) -> DataFrame:
     """All records of the bundles that ``index`` lists, read frame by frame; response digests are computed anew."""
-    bundles = index.select("bundle").distinct()
-    return bundles.repartition("bundle").mapInArrow(_read(folder), RECORDS)
+    bundles = shared_table(index.select("bundle").distinct(), "bundles")
+    # a task for each bundle: without a number such narrow rows would be merged into one task
+    return bundles.repartition(max(1, bundles.count()), "bundle").mapInArrow(_read(folder), RECORDS)
 
 
 def archive_report(pages: DataFrame) -> DataFrame:

@@ -29,6 +29,7 @@ EPOCHS = 2
 SEED = 20240501
 ROUNDS = 24
 _CHUNK = 4096
+_TASK_CHUNKS = 16
 
 
 def _copy_numbers(docs: DataFrame, order: list[Column]) -> DataFrame:
@@ -82,9 +83,11 @@ def slots(sources: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS
          .withColumn("passes", F.expr("want div source_size")).withColumn("rest", F.expr("want % source_size"))
          .withColumn("n", F.expr(f"passes * blocks + (rest + {block - 1}) div {block}")))
     total = F.sum("n").over(Window.partitionBy(F.lit(1)))
-    chunks = (s.withColumn("shards", F.greatest(F.lit(1), F.ceil(total / shard_slots))).filter("n > 0")
-              .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {_CHUNK}"))))
-              .repartition("sid", "chunk"))
+    s = s.withColumn("shards", F.greatest(F.lit(1), F.ceil(total / shard_slots))).filter("n > 0")
+    # a number, as the few narrow rows that the slots are made from would else be merged into one task
+    tasks = -(-(s.agg(F.sum("n")).first()[0] or 0) // (_TASK_CHUNKS * _CHUNK))
+    chunks = (s.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {_CHUNK}"))))
+              .repartition(max(1, tasks), "sid", "chunk"))
     drawn = (chunks.withColumn("slot", F.explode(F.expr(
         f"sequence(chunk * {_CHUNK}, least(n, (chunk + 1) * {_CHUNK}) - 1)")))
         .withColumn("shard", F.expr(f"pmod(xxhash64({SEED + 2}, sid, slot), shards)"))
@@ -158,14 +161,17 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     parts = (taken_ranges(placed, sources).groupBy("doc_id", "__copy", "pass")
              .agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("__ranges"))
              .select(F.col("doc_id").alias("__id"), F.col("__copy").alias("__c"), "__ranges"))
-    keyed = _copy_numbers(docs, [F.xxhash64("text"), F.col("source")])
+    # the rows as one column, whatever the names of their own columns
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "source", F.xxhash64("text").alias("h"))
+    keyed = _copy_numbers(packed, [F.col("h"), F.col("source")])
     hit = keyed.join(parts, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__copy") == F.col("__c")))
-    n_words = F.size(words_of(F.col("text")))
+    text = F.col("row.text")
     covered = F.aggregate("__ranges", F.lit(0).cast("long"), lambda s, r: s + r["last"] - r["first"])
-    pieces = F.regexp_extract_all("text", F.lit(f"(?:{SEPARATORS})?[^\\x20\\x09-\\x0D]+"), F.lit(0))
+    pieces = F.regexp_extract_all(text, F.lit(f"(?:{SEPARATORS})?[^\\x20\\x09-\\x0D]+"), F.lit(0))
     cut = let(pieces, lambda p: F.array_join(F.flatten(F.transform("__ranges", lambda r: F.slice(
         p, (r["first"] + 1).cast("int"), (r["last"] - r["first"]).cast("int")))), ""))
-    out = hit.withColumn("text", F.when(covered >= n_words, F.col("text")).otherwise(cut))
+    row = F.col("row").withField("text", F.when(covered >= F.size(words_of(text)), text).otherwise(cut))
+    out = hit.select(row.alias("row"))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        out = out.select(F.col("row").withField("n_chars", F.length("row.text").cast(docs.schema["n_chars"].dataType)).alias("row"))
+    return out.select("row.*")

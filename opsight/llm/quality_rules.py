@@ -224,11 +224,15 @@ def judged(docs: DataFrame, rules: list[Rule]) -> DataFrame:
 
 def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Base counts, base verdict and final verdict of each document."""
-    out = judged(docs.select("doc_id", "text"), learn_rules(docs, labels))
+    docs = docs.select("doc_id", "text")
+    out = judged(docs, learn_rules(docs, labels))
     return out.select("doc_id", *[f"{STATS}.{c}" for c in (
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")])
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the base rule and the learned rules keep, with their own columns."""
-    return judged(docs, learn_rules(docs, labels)).filter(f"{STATS}.kept").drop(STATS)
+    # the rows as one column, whatever the names of their own columns
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text")
+    rules = learn_rules(docs.select("doc_id", "text"), labels)
+    return judged(packed, rules).filter(f"{STATS}.kept").select("row.*")

@@ -1,10 +1,9 @@
 """Time-series operators over ``(keys..., ts, value)`` frames.
 
-Every operator takes ``keys`` (series id columns, possibly empty) and
-partitions its windows on them, so many series run in parallel, one task per
-series group. Inputs are daily series that have already been aggregated from
-raw rows (a ``groupBy(keys, day)`` with partial aggregation), so a single
-series is small (one row per day) even when the raw data is not.
+Every operator takes ``keys`` (series id columns, possibly empty). Rows are
+numbered within their series and windows run over ranges of these numbers that
+carry the neighbouring rows (:mod:`opsight.operators.series`), so many series run in
+parallel and a single long one spreads over tasks as well.
 """
 
 from __future__ import annotations
@@ -14,9 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def _w(keys: Sequence[str], ts: str):
-    return (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(ts)
+from opsight.operators.series import RANGE_ROWS, in_ranges, numbered, own_rows, range_window
 
 
 def gap_fill(df: DataFrame, keys: Sequence[str], ts: str = "ts", value: str = "value",
@@ -33,7 +30,7 @@ def gap_fill(df: DataFrame, keys: Sequence[str], ts: str = "ts", value: str = "v
 
 
 def decompose(df: DataFrame, keys: Sequence[str], ts: str = "ts", value: str = "value",
-              period: int = 7) -> DataFrame:
+              period: int = 7, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Additive decomposition: trend = centred moving average, seasonal = mean
     detrended value per phase (centred to mean 0), resid = value − trend − seasonal (J1).
 
@@ -42,8 +39,9 @@ def decompose(df: DataFrame, keys: Sequence[str], ts: str = "ts", value: str = "
     where the window is incomplete. Phase = position in the series mod period.
     """
     keys = list(keys)
-    w = _w(keys, ts)
     half = period // 2
+    rows = in_ranges(numbered(df.select(*keys, ts, value), keys, ts), half, half, range_rows)
+    w = range_window(keys)
     frame = w.rowsBetween(-half, half)
     y = F.col(value).cast("double")
     if period % 2:
@@ -52,8 +50,8 @@ def decompose(df: DataFrame, keys: Sequence[str], ts: str = "ts", value: str = "
         ends = F.lag(y, half).over(w) + F.lead(y, half).over(w)
         inner = F.sum(y).over(frame) - ends
         trend = F.when(F.count(y).over(frame) == period + 1, (inner + 0.5 * ends) / period)
-    base = df.select(*keys, ts, y.alias(value), trend.alias("trend"),
-                     ((F.row_number().over(w) - 1) % period).alias("phase"))
+    base = own_rows(rows.select(*keys, ts, y.alias(value), trend.alias("trend"), ((F.col("__i") - 1) % period).alias("phase"),
+                                "__i", "__n", "__range", "__own"))
     phase_means = base.groupBy(*keys, "phase").agg(F.avg(F.col(value) - F.col("trend")).alias("pm"))
     kw = Window.partitionBy(*keys) if keys else Window.partitionBy()
     seasonal = phase_means.select(*keys, "phase", (F.col("pm") - F.avg("pm").over(kw)).alias("seasonal"))
@@ -63,19 +61,19 @@ def decompose(df: DataFrame, keys: Sequence[str], ts: str = "ts", value: str = "
 
 
 def rolling_stats(df: DataFrame, keys: Sequence[str], ts: str = "ts", value: str = "value",
-                  window: int = 30) -> DataFrame:
+                  window: int = 30, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Trailing rolling mean and sample std over ``window`` rows; NULL until the
     window is full (pandas ``rolling(window)``) (J2, F9)."""
     keys = list(keys)
-    frame = _w(keys, ts).rowsBetween(-(window - 1), 0)
+    rows = in_ranges(numbered(df.select(*keys, ts, value), keys, ts), window - 1, 0, range_rows)
+    frame = range_window(keys).rowsBetween(-(window - 1), 0)
     full = F.count(F.col(value)).over(frame) == window
-    return df.select(*keys, ts, value,
-                     F.when(full, F.avg(value).over(frame)).alias("rolling_mean"),
-                     F.when(full, F.stddev_samp(value).over(frame)).alias("rolling_std"))
+    return own_rows(rows.withColumns({"rolling_mean": F.when(full, F.avg(value).over(frame)),
+                                      "rolling_std": F.when(full, F.stddev_samp(value).over(frame))}))
 
 
 def anomaly_band(df: DataFrame, keys: Sequence[str], ts: str = "ts", value: str = "value",
-                 window: int = 30, sigma: float = 2.5) -> DataFrame:
+                 window: int = 30, sigma: float = 2.5, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Rows outside centred rolling mean ± sigma·std.
 
     Centred windows: odd sizes are symmetric; an even size n covers rows
@@ -85,11 +83,11 @@ def anomaly_band(df: DataFrame, keys: Sequence[str], ts: str = "ts", value: str
     keys = list(keys)
     before = window // 2
     after = window // 2 - 1 if window % 2 == 0 else window // 2
-    frame = _w(keys, ts).rowsBetween(-before, after)
+    rows = in_ranges(numbered(df.select(*keys, ts, value), keys, ts), before, after, range_rows)
+    frame = range_window(keys).rowsBetween(-before, after)
     full = F.count(F.col(value)).over(frame) == window
-    band = df.select(*keys, ts, value,
-                     F.when(full, F.avg(value).over(frame)).alias("mean"),
-                     F.when(full, F.stddev_samp(value).over(frame)).alias("std"))
+    band = own_rows(rows.withColumns({"mean": F.when(full, F.avg(value).over(frame)),
+                                      "std": F.when(full, F.stddev_samp(value).over(frame))}))
     band = band.select("*", (F.col("mean") - sigma * F.col("std")).alias("lower"),
                        (F.col("mean") + sigma * F.col("std")).alias("upper"))
     return band.filter((F.col(value) > F.col("upper")) | (F.col(value) < F.col("lower")))
@@ -98,8 +96,8 @@ def anomaly_band(df: DataFrame, keys: Sequence[str], ts: str = "ts", value: str
 def holdout_split(df: DataFrame, keys: Sequence[str], ts: str = "ts", horizon: int = 30) -> DataFrame:
     """Mark the last ``horizon`` rows of each series as ``is_test``."""
     keys = list(keys)
-    w = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(F.col(ts).desc())
-    return df.withColumn("is_test", F.row_number().over(w) <= horizon)
+    rows = numbered(df, keys, ts)
+    return rows.withColumn("is_test", F.col("__n") - F.col("__i") < horizon).drop("__i", "__n")
 
 
 def forecast_errors(forecast: DataFrame, actual: DataFrame, keys: Sequence[str], ts: str = "ts",

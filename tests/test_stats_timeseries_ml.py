@@ -3,6 +3,7 @@ import os
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from opsight.operators import forecasting as FC
@@ -120,8 +121,8 @@ def test_adf_pvalue_and_power(spark):
     for t in range(2, 300):
         ar[t] = 0.5 * ar[t - 1] - 0.3 * ar[t - 2] + rng.normal()
     both = _series(spark, walk, "walk").unionByName(_series(spark, ar, "ar")).unionByName(_series(spark, [1, 2, 3], "short"))
-    got = {r["k"]: r for r in FC.adf(both, ["k"]).collect()}
-    assert set(got) == {"walk", "ar"}
+    got = {r["k"]: r for r in FC.adf(both, ["k"], chunk_rows=64).collect()}
+    assert set(got) == {"walk", "ar", "short"} and got["short"]["adf_statistic"] is None
     for name, values in (("walk", walk), ("ar", ar)):
         stat, lag, nobs = _plain_adf(values, int(np.ceil(12 * (300 / 100) ** 0.25)))
         assert (got[name]["used_lag"], got[name]["nobs"]) == (lag, nobs)
@@ -144,6 +145,84 @@ def test_arima_forecasts(spark):
     assert all(390 < r["forecast"] < 430 for r in trend)
 
 
+def _css(y, p, q, params, d):
+    """Conditional residuals of an ARIMA model, row by row."""
+    w = np.diff(y, d)
+    phi, theta, c = params[:p], params[p:p + q], params[p + q] if d == 0 else 0.0
+    e = np.zeros(len(w))
+    for t in range(p, len(w)):
+        e[t] = w[t] - c - sum(phi[k] * w[t - 1 - k] for k in range(p)) - sum(theta[k] * e[t - 1 - k] for k in range(q) if t - 1 - k >= 0)
+    return e[p:]
+
+
+@pytest.mark.parametrize("chunk_rows", [64, 5000])
+def test_arima_fit_over_chunks(spark, chunk_rows):
+    """The fit is a minimum of the conditional sum of squares, whatever the chunks, and finds the true coefficients."""
+    rng = np.random.default_rng(8)
+    e = rng.normal(size=1500)
+    w = np.zeros(1500)
+    for t in range(2, 1500):
+        w[t] = 0.5 * w[t - 1] - 0.3 * w[t - 2] + e[t] + 0.6 * e[t - 1]
+    y = np.cumsum(w)
+    both = _series(spark, y, "a").unionByName(_series(spark, 3 + w, "b")).unionByName(_series(spark, [1, 5, 2], "short"))
+    fit = {r["k"]: r for r in FC.arima_fit(both, ["k"], order=(2, 1, 1), chunk_rows=chunk_rows).collect()}
+    assert set(fit) == {"a", "b"}
+    assert np.allclose(fit["a"]["params"], [0.5, -0.3, 0.6], atol=0.1)
+    for name, series, d in (("a", y, 1), ("b", 3 + w, 1)):
+        params = np.array(fit[name]["params"])
+        own = _css(series, 2, 1, params, d)
+        assert fit[name]["sse"] == pytest.approx((own ** 2).sum(), rel=1e-9) and fit[name]["nobs"] == len(own)
+        assert fit[name]["residuals"][0] == pytest.approx(own[-1], abs=1e-7)
+        for k in range(3):
+            for step in (1e-3, -1e-3):
+                moved = params + step * (np.arange(3) == k)
+                if FC._outside(-moved[2:]):
+                    assert (_css(series, 2, 1, moved, d) ** 2).sum() >= fit[name]["sse"] * (1 - 1e-9)
+    out = FC.arima(both, ["k"], order=(2, 1, 1), steps=3, chunk_rows=chunk_rows).collect()
+    assert len(out) == 7 and [r for r in out if r["k"] == "short"][0]["forecast"] is None
+
+
+def test_arima_of_a_weekly_cycle_beats_the_last_value(spark):
+    """A trend with a weekly cycle, on which the two regressions alone are not invertible."""
+    rng = np.random.default_rng(4)
+    t = np.arange(730)
+    values = 50 + 0.02 * t + 6 * np.sin(2 * np.pi * t / 7) + rng.normal(0, 2, 730)
+    df = _series(spark, values)
+    split = TS.holdout_split(df, ["k"], horizon=30)
+    train, test = split.filter(~F.col("is_test")).drop("is_test"), split.filter("is_test")
+    fit = FC.arima_fit(train, ["k"], order=(2, 1, 2)).first()
+    assert FC._outside(np.array(fit["params"][:2])) and FC._outside(-np.array(fit["params"][2:4]))
+    ours = TS.forecast_errors(FC.arima(train, ["k"], order=(2, 1, 2), steps=30), test, ["k"]).first()
+    last = TS.forecast_errors(FC.naive(train, ["k"], steps=30), test, ["k"]).first()
+    assert ours["mae"] < last["mae"] and ours["rmse"] < last["rmse"]
+
+
+def test_reflected_roots():
+    inside = np.array([2.5, -1.0])  # 1 - 2.5 z + z^2: roots 2 and 1/2
+    assert np.allclose(FC.reflected(inside), [1.0, -0.25])
+    assert np.allclose(FC.reflected(np.array([0.5, 0.0])), [0.5, 0.0]) and not FC._outside(np.array([1.0]))
+
+
+@pytest.mark.parametrize("range_rows", [30, 37, 1 << 16])
+def test_windows_over_ranges_of_a_long_series(spark, range_rows):
+    """Ranges with lent rows give what one window over the whole series gives."""
+    rng = np.random.default_rng(6)
+    rows = [(k, int(t), float(v)) for k in ("a", "b") for t, v in zip(rng.permutation(400 if k == "a" else 35), rng.normal(size=400))]
+    df = spark.createDataFrame(rows, "k string, ts int, value double")
+    w = Window.partitionBy("k").orderBy("ts")
+    full = F.count("value").over(w.rowsBetween(-29, 0)) == 30
+    plain = df.select("k", "ts", "value", F.when(full, F.avg("value").over(w.rowsBetween(-29, 0))).alias("m"))
+    ours = TS.rolling_stats(df, ["k"], "ts", "value", 30, range_rows).select("k", "ts", "value", F.col("rolling_mean").alias("m"))
+    key = lambda r: (r["k"], r["ts"])
+    for x, y in zip(sorted(plain.collect(), key=key), sorted(ours.collect(), key=key), strict=True):
+        assert key(x) == key(y) and x["m"] == pytest.approx(y["m"])
+    parts = TS.decompose(df, ["k"], "ts", "value", 7, range_rows).collect()
+    trend = {(r["k"], r["ts"]): r["t"] for r in df.select("k", "ts", F.when(F.count("value").over(w.rowsBetween(-3, 3)) == 7, F.avg("value").over(w.rowsBetween(-3, 3))).alias("t")).collect()}
+    assert len(parts) == 435 and all(r["trend"] == pytest.approx(trend[(r["k"], r["ts"])]) for r in parts)
+    band = {key(r) for r in TS.anomaly_band(df, ["k"], "ts", "value", 30, 1.0, range_rows).collect()}
+    assert band == {key(r) for r in TS.anomaly_band(df, ["k"], "ts", "value", 30, 1.0).collect()} and band
+
+
 def test_naive_forecast_and_errors(spark):
     df = _series(spark, [1, 2, 3, 4, 6, 9])
     split = TS.holdout_split(df, ["k"], horizon=2)

@@ -98,7 +98,7 @@ def _adf_design(x: np.ndarray, rows: np.ndarray, lags: int, width: int) -> np.nd
     return np.column_stack([dx[rows], x[rows - 1], np.ones(len(rows)), _lags(dx, rows, lags, width)])
 
 
-def _adf_sums(most: int | None, width: int):
+def _adf_sums(most: int | None, width: int, least: int):
     @F.pandas_udf("array<double>")
     def run(n: pd.Series, first: pd.Series, lent: pd.Series, x: pd.Series, shift: pd.Series) -> pd.Series:
         out = []
@@ -106,7 +106,7 @@ def _adf_sums(most: int | None, width: int):
             lag = _longest_lag(int(size), most)
             values = np.asarray(values, float) - mean
             rows = np.arange(max(before, lag + 2 - start), len(values))  # places from lag + 2 on
-            m = _adf_design(values, rows[rows > 0], max(lag, 0), width) if lag >= 0 else np.zeros((0, 3 + width))
+            m = _adf_design(values, rows[rows > 0], lag, width) if lag >= least else np.zeros((0, 3 + width))
             edge = np.zeros(2 * width + 4)  # the first values, for the rows that only shorter lags have
             if start == 1:
                 head = values[:len(edge)]
@@ -122,7 +122,7 @@ _ADF_RESULT = T.StructType([
     *[T.StructField(f"crit_{k}pct", T.DoubleType()) for k in (1, 5, 10)], T.StructField("stationary", T.BooleanType())])
 
 
-def _adf_result(most: int | None, width: int):
+def _adf_result(most: int | None, width: int, least: int):
     entries = (3 + width) * (4 + width) // 2
 
     @F.pandas_udf(_ADF_RESULT)
@@ -130,12 +130,12 @@ def _adf_result(most: int | None, width: int):
         rows = []
         for flat, size in zip(sums, n):
             longest = _longest_lag(int(size), most)
-            if longest < 0:
+            if longest < least:
                 rows.append((None,) * 8)
                 continue
             common, nobs, edge = _square(flat[:entries]), float(flat[entries]), np.asarray(flat[entries + 1:])
             best = (math.inf, 0)
-            for lag in range(longest + 1):  # all lengths on the sample of the longest
+            for lag in range(least, longest + 1):  # all lengths on the sample of the longest
                 _, ssr, _ = _solve(common, [1, 2, *range(3, 3 + lag)])
                 if ssr > 0 and nobs > 0:
                     best = min(best, (nobs * math.log(ssr / nobs) + 2 * (lag + 2), lag))
@@ -158,22 +158,23 @@ def _adf_result(most: int | None, width: int):
 
 
 def adf(df: DataFrame, keys: Sequence[str], ts: str = "ts", value: str = "value", maxlag: int | None = None,
-        chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+        lag: int | None = None, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Augmented Dickey-Fuller test with a constant for each series (J3); lag length by AIC up to ``maxlag``.
 
     All lengths are compared on the sample of the longest, and the best is refitted on its own. With
-    ``maxlag=0`` this is the plain Dickey-Fuller regression. Series of fewer than six values, and constant ones, have
-    NULLs. The sums of all rows come from one pass; the refit adds the few rows that the longest lag leaves out.
+    ``maxlag=0`` this is the plain Dickey-Fuller regression; ``lag`` fixes the length. Series of fewer than six values, or
+    too short for a fixed length, have NULLs, constant ones no statistic. The sums of all rows come from one pass; the refit adds the few rows that the longest lag leaves out.
     """
     keys = list(keys)
+    maxlag, least = (maxlag, 0) if lag is None else (lag, lag)
     values = df.filter(F.col(value).isNotNull()).select(*keys, ts, F.col(value).cast("double").alias(value))
     about = written(values.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("shift")), "adf")
     width = max(0, _longest_lag(int(about.agg(F.max("n")).first()[0] or 0), maxlag))
     table = chunks(numbered(values, keys, ts), keys, value, width + 2, chunk_rows)
     parts = match(table, about.select(*keys, "shift"), keys).select(
-        *keys, _adf_sums(maxlag, width)("n", "first", "lent", "x", "shift").alias("sums"))
+        *keys, _adf_sums(maxlag, width, least)("n", "first", "lent", "x", "shift").alias("sums"))
     sums = match(sum_arrays(parts, keys, "sums"), about.select(*keys, "n"), keys)
-    return sums.select(*keys, _adf_result(maxlag, width)("sums", "n").alias("r")).select(*keys, "r.*")
+    return sums.select(*keys, _adf_result(maxlag, width, least)("sums", "n").alias("r")).select(*keys, "r.*")
 
 
 # ---------------------------------------------------------------- ARIMA

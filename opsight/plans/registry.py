@@ -476,6 +476,12 @@ def _q_adf0(spark, folder):
     return out.select("series", F.round("adf_statistic", 4).alias("adf_statistic"), "nobs")
 
 
+@register("ts_adf_lag1")
+def _q_adf1(spark, folder):
+    out = FC.adf(_filled_series(spark, folder), ["series"], lag=1)
+    return out.select("series", F.round("adf_statistic", 4).alias("adf_statistic"), "used_lag", "nobs")
+
+
 @register("ts_naive_error")
 def _q_naive(spark, folder):
     split = TS.holdout_split(_filled_series(spark, folder), ["series"], horizon=30)
@@ -502,6 +508,19 @@ def _q_holdout(spark, folder):
     return TS.forecast_errors(fc, test, ["series"])
 
 
+@register("ts_arima_ar1")
+def _q_ar1(spark, folder):
+    out = FC.arima(_filled_series(spark, folder), ["series"], order=(1, 1, 0), steps=30)
+    return round_doubles(out, 4)
+
+
+@register("ts_ar1_holdout_error")
+def _q_ar1_holdout(spark, folder):
+    split = TS.holdout_split(_filled_series(spark, folder), ["series"], horizon=30)
+    ahead = FC.arima(split.filter(~F.col("is_test")).drop("is_test"), ["series"], order=(1, 1, 0), steps=30)
+    return round_doubles(TS.forecast_errors(ahead, split.filter("is_test"), ["series"]), 4)
+
+
 # ------------------------------------------------------------------ churn models and metrics
 CHURN_FEATURES = ["senior_citizen", "tenure_months", "monthly_charges", "total_charges", "num_support_tickets",
                   "num_orders", "charge_per_month_tenure", "tickets_per_tenure", "high_value_customer",

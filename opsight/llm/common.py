@@ -95,11 +95,16 @@ def flag_rows(df: DataFrame, keys: list[str], wanted: DataFrame, flag: str) -> D
             .withColumn(flag, hit).drop(word, bits))
 
 
-def rows_in(df: DataFrame, keys: list[str], wanted: DataFrame) -> DataFrame:
-    """Rows of ``df`` whose key occurs in ``wanted``; only candidate rows are shuffled."""
+def rows_in(df: DataFrame, keys: list[str], wanted: DataFrame, unique: bool = False) -> DataFrame:
+    """Rows of ``df`` whose key occurs in ``wanted``; only candidate rows are shuffled.
+
+    Where the keys of ``wanted``, a written table, are ``unique``, no aggregate stands before the join, and adaptive
+    execution can split the rows of a hot key.
+    """
     maybe = free_name(df, "maybe")
     flagged = flag_rows(df, keys, wanted, maybe).filter(F.col(maybe)).drop(maybe)
-    return flagged.join(wanted.select(*keys).distinct(), keys, "left_semi").select(*[F.col(f"`{c}`") for c in df.columns])
+    wanted = wanted.select(*keys)
+    return flagged.join(wanted if unique else wanted.distinct(), keys, "left_semi").select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def rows_not_in(df: DataFrame, keys: list[str], unwanted: DataFrame) -> DataFrame:

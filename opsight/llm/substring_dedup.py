@@ -222,7 +222,7 @@ def covered_stretches(docs: DataFrame) -> DataFrame:
     docs = docs.filter("doc_id is not null")
     segments = shared_table(docs.mapInArrow(_segments, SEGMENTS), "segments", "zstd")
     again = segments.groupBy("key").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("key")
-    candidates = shared_table(rows_in(segments, ["key"], shared_table(again, "keys")), "candidates", "zstd")
+    candidates = shared_table(rows_in(segments, ["key"], shared_table(again, "keys"), unique=True), "candidates", "zstd")
     firsts = shared_table(candidates.groupBy("key", "content").agg(
         F.min(F.struct("doc", "mark", "start")).alias("at"), F.first("n").alias("n"), F.count(F.lit(1)).alias("times")), "firsts", "zstd")
     others = (candidates.join(firsts.filter("times > 1").select("key", "content", "at"), ["key", "content"])

@@ -285,10 +285,10 @@ def line_groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
     postings = shared_table(lists.repartition(partitions, "bucket").mapInArrow(_candidates, "sig long, id long").distinct(), "postings")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        nodes = pairs.select(F.col("a").alias("h")).union(pairs.select(F.col("b").alias("h"))).distinct()
-        place = rows_in(lines.select("h", "doc_id"), ["h"], nodes).groupBy("h").agg(F.min("doc_id").alias("doc_id"))
+        nodes = shared_table(pairs.select(F.col("a").alias("h")).union(pairs.select(F.col("b").alias("h"))).distinct(), "nodes")
+        place = rows_in(lines.select("h", "doc_id"), ["h"], nodes, unique=True).groupBy("h").agg(F.min("doc_id").alias("doc_id"))
         wanted = shared_table(place.groupBy("doc_id").agg(F.collect_list("h").alias("wanted")), "wanted")  # a document's own lines
-        texts = rows_in(docs, ["doc_id"], wanted).join(wanted, "doc_id").select("text", "wanted")
+        texts = flag_rows(docs, ["doc_id"], wanted, "maybe").filter("maybe").select("doc_id", "text").join(wanted, "doc_id").select("text", "wanted")
         units = shared_table(texts.mapInArrow(_unit_lists, "id long, units binary").groupBy("id").agg(F.first("units").alias("units")), "units")
         both = (pairs.join(units.toDF("a", "units_a"), "a").join(units.toDF("b", "units_b"), "b")
                 .select("a", "b", "units_a", "units_b"))
@@ -310,7 +310,9 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     heads = formed.filter("component is not null").groupBy("component").agg(F.min("at").alias("head"))
     keeps = (formed.join(heads, "component", "left").select("h", F.coalesce("head", "at").alias("keep"))
              .select("h", F.col("keep.doc_id").alias("keep_doc"), F.col("keep.h").alias("keep_h")))
-    gone = (rows_in(lines.select("doc_id", "h"), ["h"], keeps).join(keeps, "h")
+    keeps = shared_table(keeps, "keeps")
+    maybe = flag_rows(lines.select("doc_id", "h"), ["h"], keeps, "maybe").filter("maybe").select("doc_id", "h")
+    gone = (maybe.join(keeps, "h")
             .filter("doc_id <> keep_doc or h <> keep_h"))
     return gone.groupBy("doc_id").agg(F.collect_set("h").alias("gone"))  # at most a document's own lines
 

@@ -32,25 +32,32 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SEPARATORS), "")
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting for a while."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 @contextmanager
 def small_batches(spark: SparkSession) -> Iterator[None]:
     """Arrow batches of at most 8 MB while a job is planned, so that Python workers stay small."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
     before = spark.conf.get(name)
     number = int(before.rstrip("b")) if before.rstrip("b").lstrip("-").isdigit() else None
-    if number is not None and not 0 < number <= BATCH_BYTES:
-        spark.conf.set(name, str(BATCH_BYTES))
-    try:
+    with setting(spark, name, str(BATCH_BYTES) if number is not None and not 0 < number <= BATCH_BYTES else before):
         yield
-    finally:
-        spark.conf.set(name, before)
 
 
 def shared_table(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back: a cut in the lineage that
-    survives lost executors."""
+    survives lost executors. The shuffle files that made it go as soon as it is written."""
     path = shared_path(df.sparkSession, "tables", name)
-    with small_batches(df.sparkSession):
+    with small_batches(df.sparkSession), setting(df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
         df.write.mode("overwrite").option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -42,12 +42,46 @@ CHECK_BITS = 8  # of 32 further bits, that may differ in a candidate pair
 LONG_LIST = 64  # members of a block's list from which no pairs are formed there
 _FLUSH = 1 << 17  # lines that a task holds, each form once
 _U = np.uint64
-# Each byte's bits as eight counters of eight bits.
-_SPREAD = np.array([sum(((b >> k) & 1) << (8 * k) for k in range(8)) for b in range(256)], np.uint64)
+_LINES_AT_ONCE = 1 << 13
+_WAITING = 1 << 18  # units that a task collects before it hashes their lines
+_LONG_LINE = 512  # units from which a line's bits are counted by itself, with the same result
 # Thai, Lao, Burmese, Khmer, CJK with kana: scripts without blanks between words.
 _BLANKLESS = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_SALTS = np.random.default_rng(20240301).integers(1, 1 << 63, WORDS64, dtype=np.uint64)
+_SALTS = np.random.default_rng(20240301).integers(1, 1 << 63, WORDS64, dtype=np.uint64) | np.uint64(1)
+
+
+def _bits(units: np.ndarray) -> np.ndarray:
+    """512 pseudorandom bits of each unit, shape (units, 8)."""
+    out = units[:, None] * _SALTS
+    out ^= out >> _U(32)
+    out *= _U(0x94D049BB133111EB)
+    out ^= out >> _U(29)
+    return out
+
+
+def _majority(units: np.ndarray, starts: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The bits that more than half of each line's ``n`` units have: counters are held bit by bit, one plane of all
+    lines for each binary digit, and take the lines' units one after the other."""
+    order = np.argsort(-n, kind="stable")  # the lines that still have units come first
+    starts, size = starts[order], n[order]
+    planes = np.zeros((int(size[0]).bit_length(), len(n), WORDS64), np.uint64)
+    for k in range(int(size[0])):
+        live = int(np.searchsorted(-size, -k, "left"))
+        carry = _bits(units[starts[:live] + k])
+        for plane in planes[:(k + 1).bit_length()]:
+            both = plane[:live] & carry
+            plane[:live] ^= carry
+            carry = both
+    more = np.zeros((len(n), WORDS64), np.uint64)
+    same = ~more
+    for k in range(len(planes) - 1, -1, -1):  # compare the counters with half of n
+        half = np.where((size // 2 >> k) & 1, ~_U(0), _U(0))[:, None]
+        more |= same & planes[k] & ~half
+        same &= ~(planes[k] ^ half)
+    out = np.empty_like(more)
+    out[order] = more
+    return out
 
 
 def simhashes(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -55,30 +89,23 @@ def simhashes(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
     Each unit counts once: a separator or a word that fills a line must not decide all its bits.
     """
-    line = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    order = np.lexsort((words, line))
-    words, line = words[order], line[order]
-    new = np.r_[True, (words[1:] != words[:-1]) | (line[1:] != line[:-1])][:len(words)]
-    words = words[new]
-    bounds = np.searchsorted(line[new], np.arange(len(bounds)))
-    n = np.diff(bounds)
-    out = np.zeros((len(n), WORDS64), np.uint64)
-    lines = np.flatnonzero(n)
-    for low in range(0, len(lines), 256):
-        some = lines[low:low + 256]
-        # counters of 8 bits hold 255 words: longer lines are summed in parts, some parts at a time
-        parts = np.concatenate([np.arange(bounds[i], bounds[i + 1], 255) for i in some])
-        ends = np.r_[parts[1:], bounds[some[-1] + 1]]
-        counts = np.empty((len(parts), 64 * WORDS64), np.uint8)
-        for p in range(0, len(parts), 128):
-            a, b = parts[p], ends[min(p + 128, len(parts)) - 1]
-            bits = np.stack([mix(words[a:b] ^ s) for s in _SALTS], 1).view(np.uint8).reshape(b - a, 8 * WORDS64)
-            sums = np.add.reduceat(_SPREAD[bits], parts[p:p + 128] - a, axis=0)
-            counts[p:p + 128] = sums.view(np.uint8).reshape(-1, 64 * WORDS64)
-        owner = np.repeat(np.arange(len(some)), -(-n[some] // 255))
-        first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-        total = counts if len(first) == len(counts) else np.add.reduceat(counts.astype(np.int64), first, axis=0)
-        out[some] = np.packbits(2 * total.astype(np.int32) > n[some][:, None], axis=1, bitorder="little").view(np.uint64)
+    out = np.zeros((len(bounds) - 1, WORDS64), np.uint64)
+    for low in range(0, len(out), _LINES_AT_ONCE):
+        own = bounds[low:low + _LINES_AT_ONCE + 1]
+        line = np.repeat(np.arange(len(own) - 1, dtype=np.uint64), np.diff(own))
+        keys = np.sort(line << _U(48) | words[own[0]:own[-1]] >> _U(16))
+        keys = keys[np.r_[True, keys[1:] != keys[:-1]][:len(keys)]]
+        places = np.searchsorted(keys, np.arange(len(own), dtype=np.uint64) << _U(48))
+        n, units = np.diff(places), mix(keys & _U((1 << 48) - 1))
+        short = np.flatnonzero((n > 0) & (n < _LONG_LINE))
+        if len(short):
+            out[low + short] = _majority(units, places[short], n[short])
+        for k in np.flatnonzero(n >= _LONG_LINE).tolist():
+            count = np.zeros(64 * WORDS64, np.int64)
+            for a in range(places[k], places[k + 1], 4096):
+                part = units[a:min(a + 4096, places[k + 1])]
+                count += np.unpackbits(_bits(part).view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+            out[low + k] = np.packbits(count > n[k] // 2, bitorder="little").view(np.uint64)
     return out
 
 
@@ -163,24 +190,40 @@ def _block_lists(bucket_bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         held: list[tuple[np.ndarray, np.ndarray]] = []
+        waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # line hashes, units, units of each line
+        size = 0
+
+        def hashed() -> None:
+            ids, units, sizes = map(np.concatenate, zip(*waiting))
+            held.append((ids, simhashes(units, np.r_[0, np.cumsum(sizes)])))
+            waiting.clear()
+
         for batch, texts in (part for b in batches for part in _slices(b, b.column(0))):
             for _, words, bounds in word_runs(_unit_lines(_split(texts)[0])):
-                size, hashes = np.diff(bounds), sequence_hashes(words, bounds)
-                some = np.flatnonzero(size >= MIN_FUZZY)
+                n, hashes = np.diff(bounds), sequence_hashes(words, bounds)
+                some = np.flatnonzero(n >= MIN_FUZZY)
                 new = []
                 for k, h in zip(some.tolist(), hashes[some].tolist()):
                     if h not in seen:
                         seen.add(h)
                         new.append(k)
                 if new:
-                    some = np.array(new)
-                    own = np.r_[0, np.cumsum(size[some])]
-                    at = np.arange(own[-1]) - np.repeat(own[:-1] - bounds[some], size[some])
-                    held.append((hashes[some], simhashes(words[at], own)))
+                    stays = np.zeros(len(n), bool)
+                    stays[new] = True
+                    waiting.append((hashes[stays], words[np.repeat(stays, n)], n[stays]))
+                    size += len(waiting[-1][1])
+                if size >= _WAITING:
+                    hashed()
+                    size = 0
             if len(seen) >= _FLUSH:
+                if waiting:
+                    hashed()
+                    size = 0
                 yield from packed(*map(np.concatenate, zip(*held)))
                 seen.clear()
                 held.clear()
+        if waiting:
+            hashed()
         if held:
             yield from packed(*map(np.concatenate, zip(*held)))
     return run

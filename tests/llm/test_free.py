@@ -237,6 +237,14 @@ def test_edit_distance_and_simhash():
     words = hashing.mix(np.arange(1, 1300, dtype=np.uint64))
     sims = line_dedup.simhashes(np.concatenate((words, words[:8], words)), np.array([0, 1299, 1307, 2606]))
     assert (sims[0] == sims[2]).all() and (sims[0] != sims[1]).any()
+    # the bits of more than half of a line's distinct units, whatever its length
+    sizes = [*range(30), 255, 256, 511, 512, 700]
+    lines = [rng.integers(0, 400, n).astype(np.uint64) << np.uint64(20) for n in sizes]
+    sims = line_dedup.simhashes(np.concatenate(lines), np.cumsum([0, *sizes]))
+    for line, sim in zip(lines, sims):
+        units = hashing.mix(np.unique(line >> np.uint64(16)))
+        bits = np.unpackbits(line_dedup._bits(units).view(np.uint8), axis=1, bitorder="little").astype(int)
+        assert (np.unpackbits(sim.view(np.uint8), bitorder="little") == (2 * bits.sum(axis=0) > len(units))).all()
 
 
 def test_sentencepiece_equals_the_library(spark, folder, hard, empty):

@@ -36,7 +36,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-PART = 128  # members of a bucket for each part that is compared with the whole bucket
+PART = 2048  # members of a bucket for each part that is compared with the whole bucket
 
 # Two members can share 4/9 of their sizes' sum (similarity 0.8) only if the parts that others share allow it.
 _MAY_LINK = ("5 * least(size, {0}size) >= 4 * greatest(size, {0}size) "

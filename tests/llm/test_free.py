@@ -377,8 +377,9 @@ def test_warc_hard_cases_and_random_access(spark, monkeypatch):
             assert block == (dict((i, h) for i, _, h in pages)[r.page_id] or "").encode()
 
 
-def test_links_of_buckets_over_several_rounds(spark):
+def test_links_of_buckets_over_several_rounds(spark, monkeypatch):
     """Links that only a later round finds, in a large bucket whose members are compared in parts."""
+    monkeypatch.setattr(components, "PART", 50)
     rows = [(s, i, 10, 0, 10) for s in range(3) for i in range(s, 400, 2)]
     postings = spark.createDataFrame(rows, "sig long, id long, size long, rank long, usable long")
     verify = lambda pairs: pairs.select("a", "b", F.lit(None).cast("long").alias("shared"), F.expr("a % 7 = b % 7").alias("link"))

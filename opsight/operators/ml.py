@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opsight.session import shared_path
-from opsight.operators.ranks import average_rank, exact_percentiles, match, running_totals, unpivoted
+from opsight.operators.ranks import average_rank, exact_percentiles, match, running_totals, totals_within, unpivoted, written
 
 
 ROWS_PER_PARTITION = 25_000
@@ -118,6 +119,30 @@ def roc_auc(scored: DataFrame, label: str = "label", score: str = "score") -> Da
                      / (F.col("npos") * F.col("nneg"))).alias("auc"))
 
 
+def group_auc(scored: DataFrame, by: Sequence[str], label: str = "label", score: str = "score") -> DataFrame:
+    """Exact ROC AUC of each group, in one job for all (K9, K11): the share of pairs of a positive and a negative row
+    that the score orders right, ties half. NULL for groups of one class."""
+    by = list(by)
+    s = scored.select(*by, F.col(score).cast("double").alias("s"), (F.col(label) == 1).cast("long").alias("pos"), (F.col(label) == 0).cast("long").alias("neg"))
+    at = s.groupBy(*by, "s").agg(F.sum("pos").alias("pos"))
+    below = match(totals_within(s, by, ["s"], "neg"), at, [*by, "s"])
+    right = below.groupBy(*by).agg(F.sum(F.col("pos") * (2 * F.col("__upto") - F.col("__own"))).alias("twice"),
+                                   F.sum("pos").alias("p"), F.max("__all").alias("n"))
+    return right.select(*by, F.when((F.col("p") > 0) & (F.col("n") > 0), F.col("twice") / (2.0 * F.col("p") * F.col("n"))).alias("auc"))
+
+
+def cv_summary(fold_aucs: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
+    """Mean and population standard deviation of the folds' AUC, and the folds that have one."""
+    return fold_aucs.groupBy(*by).agg(F.count("auc").alias("folds"), F.avg("auc").alias("cv_auc_mean"), F.stddev_pop("auc").alias("cv_auc_std"))
+
+
+def best_by_auc(scored: DataFrame, by: str = "model") -> DataFrame:
+    """AUC of each model's scores, and which is the best (ties: the first by name)."""
+    aucs = group_auc(scored, [by])
+    first = aucs.filter("auc is not null").agg(F.min(F.struct((-F.col("auc")).alias("a"), by))[by].alias("__best"))  # one row
+    return aucs.crossJoin(F.broadcast(first)).select(by, "auc", (F.col(by) == F.col("__best")).alias("is_best"))
+
+
 def roc_curve(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """ROC points per distinct score threshold: fpr, tpr for 'score ≥ threshold' (K10)."""
     s = scored.select(F.col(score).cast("double").alias("threshold"),
@@ -189,6 +214,14 @@ def assembled(df: DataFrame, features: Sequence[str], label: str, extra: Sequenc
     return table.coalesce(max(1, -(-table.count() // ROWS_PER_PARTITION)))
 
 
+def scaled(df: DataFrame, features: Sequence[str], id_col: str = "customer_id") -> DataFrame:
+    """``(id, features...)`` with mean 0 and sample standard deviation 1 (K4); a constant feature becomes 0."""
+    vector = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep").transform(df).select(id_col, "features")
+    model = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True).fit(vector)
+    values = model.transform(vector).select(id_col, vector_to_array("scaled").alias("v"))
+    return values.select(id_col, *[F.col("v")[k].alias(f) for k, f in enumerate(features)])
+
+
 def fit_model(est, train: DataFrame):
     """The scaler (K4) and the estimator, fitted on ``train(label, features)``; trees take the raw features.
 
@@ -232,25 +265,28 @@ def compare_models(df: DataFrame, features: Sequence[str], label: str = "churn",
         rows, fitted, scored = [], {}, {}
         chosen = {n: e for n, e in _models(sizes[0], seed, trees, rounds).items() if models is None or n in models}
 
-        def fold_auc(est, k):
+        def fold_scores(name, est, k):
             part = train.filter(F.col("fold") != k)
             own = est.copy().setRegParam(1.0 / max(part.count(), 1)) if est.getFeaturesCol() == "scaled" else est
-            return roc_auc(score_model(fit_model(own, part), train.filter(F.col("fold") == k))).first()["auc"]
+            return written(score_model(fit_model(own, part), train.filter(F.col("fold") == k)), "cv").select(
+                F.lit(name).alias("model"), F.lit(k).alias("fold"), "label", "score")
 
         # fits are independent jobs: small ones share the cluster instead of queueing
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
             whole = {n: pool.submit(fit_model, e, train) for n, e in chosen.items()}
-            parts = {n: [pool.submit(fold_auc, e, k) for k in range(folds if cross_validate else 0)] for n, e in chosen.items()}
+            parts = {n: [pool.submit(fold_scores, n, e, k) for k in range(folds if cross_validate else 0)] for n, e in chosen.items()}
             fitted = {n: f.result() for n, f in whole.items()}
-            cv = {n: [f.result() for f in fs] for n, fs in parts.items()}
+            folded = [f.result() for fs in parts.values() for f in fs]
+        cv, fold_aucs = {}, None
+        if folded:
+            fold_aucs = written(group_auc(reduce(DataFrame.unionByName, folded), ["model", "fold"]), "fold_auc")
+            cv = {r["model"]: r for r in cv_summary(fold_aucs).collect()}  # a row for each model
         for name, model in fitted.items():
             path = shared_path(spark, "scored")
             score_model(model, test).write.mode("overwrite").parquet(path)
             scored[name] = spark.read.parquet(path)
             af, auc = accuracy_f1(scored[name]).first(), roc_auc(scored[name]).first()["auc"]
-            known = [v for v in cv[name] if v is not None]
-            mean = sum(known) / len(known) if known else None
-            std = (sum((v - mean) ** 2 for v in known) / len(known)) ** 0.5 if known else None
+            mean, std = (cv[name]["cv_auc_mean"], cv[name]["cv_auc_std"]) if name in cv else (None, None)
             rows.append((name, af["accuracy"], af["f1"], auc, mean, std))
     finally:
         table.unpersist()
@@ -259,7 +295,7 @@ def compare_models(df: DataFrame, features: Sequence[str], label: str = "churn",
         [(*r, *sizes, *rates, r[0] == best) for r in rows],
         "model string, accuracy double, f1 double, auc double, cv_auc_mean double, cv_auc_std double, "
         "train_rows long, test_rows long, train_rate double, test_rate double, is_best boolean")
-    return out, {"models": fitted, "best": best, "scored": scored}
+    return out, {"models": fitted, "best": best, "scored": scored, "auc": {r[0]: r[3] for r in rows}, "folds": fold_aucs}
 
 
 def evaluate_best(outcome: dict, features: Sequence[str]) -> dict[str, DataFrame]:

@@ -337,8 +337,8 @@ def test_stream_fails_on_a_broken_file_and_forgets_nothing(spark, scratch):
     assert spark.read.parquet(zone).count() == events.count()
 
 
-def test_best_model_queries_use_all_models(spark, monkeypatch):
-    """The report and the importances are those of the best of all three models, here set to each in turn."""
+def test_best_model_queries_share_one_comparison(spark, monkeypatch):
+    """Comparison, report and importances are of one training of all three models, whichever is the best."""
     from opsight.plans import registry
 
     folder = "/root/testdata/sf0.001"
@@ -348,16 +348,21 @@ def test_best_model_queries_use_all_models(spark, monkeypatch):
 
     def small(*args, **kwargs):
         if not made:
-            made.append(compare(*args, **kwargs, trees=3, rounds=2))
+            made.append(compare(*args, **{**kwargs, "folds": 2}, trees=3, rounds=2))
             assert made[0][1]["best"] in made[0][1]["models"]
+        calls.append(1)
         return made[0][0], {**made[0][1], "best": best}
 
     monkeypatch.setattr(ML, "compare_models", small)
     for best in ("Logistic Regression", "Random Forest", "Gradient Boosted Trees"):
-        report = registry.REGISTRY["ml_best_model_report"](spark, folder).collect()
-        importances = registry.REGISTRY["ml_feature_importances"](spark, folder).collect()
-        model = made[0][1]["models"][best].stages[-1]
-        assert report == ML.classification_report(made[0][1]["scored"][best]).collect()
-        assert len(importances) == (0 if best == "Logistic Regression" else 15)
-        if importances:
-            assert importances[0].importance == max(model.featureImportances.toArray())
+        calls = []
+        monkeypatch.setattr(registry, "_OUTCOMES", {})
+        run = {n: registry.REGISTRY[n](spark, folder).collect() for n in ("ml_best_model_report", "ml_model_comparison", "ml_feature_importances", "ml_cv_fold_auc")}
+        assert len(calls) == 1 and len(run["ml_model_comparison"]) == 3 and len(run["ml_cv_fold_auc"]) == 6
+        assert run["ml_best_model_report"] == ML.classification_report(made[0][1]["scored"][best]).collect()
+        rows = run["ml_feature_importances"]
+        auc = made[0][1]["auc"]
+        assert len(rows) == 15 and rows[0].model == max(("Random Forest", "Gradient Boosted Trees"), key=lambda n: auc[n])
+        assert all(r.is_best == (r.model == best) for r in rows)
+        model = made[0][1]["models"][rows[0].model].stages[-1]
+        assert max(r.importance for r in rows) == max(model.featureImportances.toArray())

@@ -4,6 +4,8 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+import re
+
 from opsight.llm import mixing, quality_rules, queries, secret_ledger
 from tests.llm import brute
 
@@ -129,3 +131,17 @@ def test_url_passwords_of_any_length(spark):
     got = {r.doc_id: [(x.start, x.end) for x in r.spans if x.kind == "url_password"]
            for r in secret_ledger.findings(*secret_ledger.scan(docs)).collect()}
     assert got == {0: [(4, texts[0].index("@") + 1)], 1: [(0, texts[1].index("@") + 1)], 2: []}
+
+
+def test_secret_spans_of_dotted_and_crowded_texts(spark):
+    """Long texts of runs and of very many findings are read in linear time; offsets stay exact."""
+    import time
+
+    crowded = " é".join(f"AKIA{k:016d}" for k in range(3000))
+    rows = [(1, "a." * 100_000), (2, "eyJ-" * 50_000), (3, crowded), (4, "x -1.https://me:secret99@host y"), (5, "password " * 20_000)]
+    before = time.time()
+    got = {r.doc_id: r for r in secret_ledger.secret_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert time.time() - before < 60
+    assert got[1].spans == got[2].spans == got[5].spans == ""
+    assert got[3].spans == ",".join(f"access:{m.start()}:{m.end()}" for m in re.finditer("AKIA[A-Z0-9]{16,}", crowded))
+    assert got[4].spans == "url_password:2:25"

@@ -9,8 +9,8 @@ each normal form, one occurrence stays: the first by doc_id, then line number.
 Candidates come from a SimHash of 512 bits over a line's distinct units, cut into ``BLOCKS`` blocks: by the
 pigeonhole principle lines that differ in fewer bits than there are blocks agree in one. Beyond that the search is
 probable, not certain; the README has its recall against brute force. The hash ranges of the blocks are
-worked through by Spark tasks on packed arrays. In a block's list, short lists give the pairs whose other bits
-differ little; long ones go on as a whole to the search by pivots, which leaves no pair out.
+worked through by Spark tasks on packed arrays. Members of a block's list whose further bits differ little are one
+bucket (a row for each member, no pairs) of the search by pivots, which leaves no pair of a bucket out.
 
 Rows without a doc_id, NULL or empty texts, and lines without words pass unchanged and take no part. Rows
 with the same doc_id are one document, and each of them keeps the first occurrence. A document that
@@ -39,7 +39,7 @@ MIN_FUZZY = 10  # units: at fewer, one edit is more than the threshold allows
 WORDS64 = 8  # of a SimHash
 BLOCKS, BLOCK_BITS = 24, 21  # three blocks of each 64 bits
 CHECK_BITS = 8  # of 32 further bits, that may differ in a candidate pair
-LONG_LIST = 64  # members of a block's list from which no pairs are formed there
+LONG_LIST = 1024  # members of a block's list beyond which their check bits are not compared
 _FLUSH = 1 << 17  # lines that a task holds, each form once
 _U = np.uint64
 _LINES_AT_ONCE = 1 << 13
@@ -230,27 +230,30 @@ def _block_lists(bucket_bits: int):
 
 
 def candidate_lists(keys: np.ndarray, ids: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Signature and member of each list to search: pairs from short lists, long lists as a whole."""
+    """Signature and member of each list to search: the members of a block's list that are connected by check bits
+    that differ little, one row for each; lists of more than ``LONG_LIST`` members as a whole."""
     order = np.lexsort((ids, keys))
     keys, ids, checks = keys[order], ids[order], checks[order]
     new = np.r_[True, (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])][:len(keys)]
     keys, ids, checks = keys[new], ids[new], checks[new]
     starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][:len(keys)])
-    size = np.repeat(np.diff(np.r_[starts, len(keys)]), np.diff(np.r_[starts, len(keys)]))
-    long = size > LONG_LIST
-    sigs, members = [mix(keys[long].astype(np.uint64))], [ids[long]]
-    short = np.flatnonzero(~long & (size > 1))
+    sizes = np.diff(np.r_[starts, len(keys)])
+    size = np.repeat(sizes, sizes)
+    group = np.where(size > LONG_LIST, np.repeat(starts, sizes), np.arange(len(keys)))
+    at = np.flatnonzero((size > 1) & (size <= LONG_LIST))
     for step in range(1, LONG_LIST):
-        short = short[short + step < len(keys)]
-        short = short[keys[short] == keys[short + step]]
-        if not len(short):
+        at = at[at + step < len(keys)]
+        at = at[keys[at] == keys[at + step]]
+        if not len(at):
             break
-        near = short[np.bitwise_count(checks[short] ^ checks[short + step]) <= CHECK_BITS]
-        a, b = ids[near], ids[near + step]
-        sig = mix(mix(a) + b)
-        sigs += [sig, sig]
-        members += [a, b]
-    return np.concatenate(sigs), np.concatenate(members)
+        near = at[np.bitwise_count(checks[at] ^ checks[at + step]) <= CHECK_BITS]
+        while len(near := near[group[near] != group[near + step]]):
+            a, b = group[near], group[near + step]
+            np.minimum.at(group, np.maximum(a, b), np.minimum(a, b))
+            while (group[group] != group).any():
+                group = group[group]
+    some = np.bincount(group, minlength=len(keys))[group] > 1
+    return mix(mix(keys[some].astype(np.uint64)) + ids[group[some]]), ids[some]
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,12 +1,13 @@
 """Threshold-scaled document fingerprints.
 
-A fingerprint keeps every hash of a document's distinct five-word shingles (lower case) that lies
-below a fixed fraction of the hash range. Sketches of any two documents share one threshold, so
-their intersection and union estimate containment and Jaccard likeness whatever the two sizes, and
-the sketch of a union is the union of sketches.
-
-A fingerprint is text: for each kept hash in order, 12 hexadecimal digits. Texts without words have
-an empty fingerprint. The likeness of two empty fingerprints is 1 for equal texts, else 0.
+A text's shingles are its runs of ``WIDTH`` bytes in UTF-8 (A-Z lower-cased; the text's beginning follows its
+end, so a text of n bytes has n of them). A fingerprint keeps every shingle hash below a fixed fraction of the
+hash range. Sketches of any two documents share one threshold, so their intersection and union estimate
+containment and Jaccard likeness whatever the two sizes, and the sketch of a union is the union of sketches.
+
+A fingerprint is text: for each kept hash in order, 12 hexadecimal digits. Empty texts have an empty
+fingerprint, and so may very short ones; the README has the errors by length. The likeness of two empty
+fingerprints is 1 for equal texts, else 0.
 """
 
 from __future__ import annotations
@@ -19,16 +20,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from opsight.llm.hashing import shingle_sets
+from opsight.llm.hashing import LOWERED, PIECE, window_hashes
 
-FRACTION = 1.0  # a lower one leaves short texts without hashes, see the README's errors by length
+WIDTH = 12
+FRACTION = 1 / 8
+RANGE_BYTES = 32 << 20  # of text in a range of documents
 _DIGITS = np.frombuffer(b"0123456789abcdef", np.uint8)
 
 
-def kept_hashes(grams: np.ndarray, fraction: float = FRACTION) -> np.ndarray:
-    """The leading 48 bits of the shingle hashes under the threshold, sorted and distinct."""
-    limit = len(grams) if fraction >= 1 else np.searchsorted(grams, np.uint64(int(fraction * 2.0 ** 64)))
-    return np.unique(grams[:limit] >> np.uint64(16))
+def kept_hashes(text: str, fraction: float = FRACTION, width: int = WIDTH) -> np.ndarray:
+    """The leading 48 bits of the text's shingle hashes under the threshold, sorted and distinct."""
+    data = LOWERED[np.frombuffer(text.encode(), np.uint8)]
+    n = len(data)
+    if not n:
+        return np.empty(0, np.uint64)
+    data = np.concatenate([data, np.resize(data, width - 1)])
+    limit = np.uint64(int(fraction * 2.0 ** 64) - 1) if fraction < 1 else ~np.uint64(0)
+    found = []
+    for low in range(0, n, PIECE):
+        hashes = window_hashes(data[low:low + PIECE + width - 1], width)
+        found.append(hashes[hashes <= limit] >> np.uint64(16))
+    return np.unique(np.concatenate(found))
 
 
 def to_text(kept: np.ndarray) -> str:
@@ -73,7 +85,7 @@ def edited_text(text: str, following: str) -> str:
 
 
 _SCHEMA = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-           "near_edited double, near_next double, n_shingles long")
+           "near_edited double, near_next double, n_hashes long")
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,16 +95,13 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     def described(rows: list[tuple]) -> pa.RecordBatch:
         texts = [r[2] for r in rows]
         edited = [edited_text(a[2], b[2]) for a, b in zip(rows, rows[1:])]
-        kept = [g for _, g in shingle_sets(pa.array(texts, pa.large_string()))]
-        sizes = [len(g) for g in kept]
-        kept = [kept_hashes(g) for g in kept]
-        changed = [kept_hashes(g) for _, g in shingle_sets(pa.array(edited, pa.large_string()))]
+        kept, changed = [kept_hashes(t) for t in texts], [kept_hashes(t) for t in edited]
         out = []
         for k, (row, following) in enumerate(zip(rows, rows[1:])):
             if row[1]:
                 out.append((row[0], len(row[2]), hashlib.sha256(edited[k].encode()).hexdigest(), to_text(kept[k]),
                             to_text(changed[k]), likeness(kept[k], changed[k], row[2] == edited[k]),
-                            likeness(kept[k], kept[k + 1], row[2] == following[2]), sizes[k]))
+                            likeness(kept[k], kept[k + 1], row[2] == following[2]), len(kept[k])))
         columns = list(zip(*out)) if out else [()] * 8
         kinds = [pa.int64(), pa.int64(), *[pa.string()] * 3, pa.float64(), pa.float64(), pa.int64()]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)],
@@ -121,9 +130,8 @@ def fingerprint_report(docs: DataFrame) -> DataFrame:
     sent to the range before it (the very first to the last range), so each text has its successor in
     its own task. Equal doc_ids stand in the order of their texts, rows without a doc_id come first.
     """
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, -(-(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // RANGE_BYTES))
     shares = [k / parts for k in range(1, parts)] or [0.5]
     cuts = sorted(set(docs.agg(F.percentile_approx("doc_id", shares, 100 * parts)).first()[0] or []))
     limits = F.array(*[F.lit(c) for c in cuts]).cast("array<long>")

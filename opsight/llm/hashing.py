@@ -20,9 +20,9 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTE_VALUES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_LOWERED = np.arange(256)
-_LOWERED[65:91] += 32
-_LOWER_VALUES = _BYTE_VALUES[_LOWERED]
+LOWERED = np.arange(256, dtype=np.uint8)
+LOWERED[65:91] += 32
+_LOWER_VALUES = _BYTE_VALUES[LOWERED]
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -159,3 +159,12 @@ def stretch_hashes(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> n
     sums = np.zeros(len(words) + 1, np.uint64)
     np.cumsum(mix(words) * up[:len(words)], out=sums[1:])
     return mix((sums[ends] - sums[starts]) * down[starts] + mix((ends - starts).astype(np.uint64)))
+
+
+def window_hashes(data: np.ndarray, width: int) -> np.ndarray:
+    """A 64-bit hash of each run of ``width`` bytes."""
+    n = len(data)
+    up, down = _power_table(n + 1)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(_BYTE_VALUES[data] * up[:n], out=sums[1:])
+    return mix((sums[width:] - sums[:-width]) * down[:n - width + 1])

@@ -223,3 +223,9 @@ def substring_dedup(rows, size=20):
         kept = " ".join(x for k, x in enumerate(w) if k not in gone)
         out[i] = (len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest())
     return out
+
+
+def byte_shingles(text, width=12):
+    data = lowered(text).encode()
+    ring = data + (data * width)[:width - 1]
+    return {ring[k:k + width] for k in range(len(data))}

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -51,16 +52,27 @@ _WORDS = re.compile(r"[a-z]+")
 _SAYS = re.compile(r"©|copyright|all rights reserved|cookie|subscribe|newsletter|sign in|log in|advert|sponsored|comment|repl(?:y|ies)", re.I)
 
 
+@dataclass(eq=False)
+class _Open:
+    """An open element; its ancestors' features are reached through ``parent``, not copied."""
+    tag: str
+    own: list[str]
+    parent: _Open | None = None
+
+
 @dataclass
 class Block:
     text: str
-    features: list[str]
+    above: _Open | None
+    own: list[str]
 
-
-@dataclass
-class _Open:
-    tag: str
-    features: list[str]
+    @property
+    def features(self) -> list[str]:
+        out, node = list(self.own), self.above
+        while node is not None:
+            out += node.own
+            node = node.parent
+        return out
 
 
 @dataclass
@@ -77,10 +89,16 @@ class Field:
         (a00, a01), (a10, a11) = self.moves
         back: list[tuple[int, int]] = []
         other, main = self.start
+        known: dict[_Open | None, float] = {None: 0.0}  # an element's and its ancestors' weight
         for k, block in enumerate(blocks):
-            score = 0.0
-            for f in block.features:
-                score += self.weights.get(f, 0.0)
+            path, node = [], block.above
+            while node not in known:
+                path.append(node)
+                node = node.parent
+            score = known[node]
+            for node in reversed(path):
+                score = known[node] = score + sum(self.weights.get(f, 0.0) for f in node.own)
+            score += sum(self.weights.get(f, 0.0) for f in block.own)
             if k:
                 to_other, to_main = (other + a00, main + a10), (other + a01, main + a11)
                 back.append((int(to_other[1] > to_other[0]), int(to_main[1] > to_main[0])))
@@ -111,48 +129,62 @@ def _text_features(text: str, linked: int, tag: str) -> list[str]:
 def leaf_blocks(page: str) -> list[Block]:
     """The page's leaf blocks in order, character references decoded and white space made one space."""
     stack: list[_Open] = []
+    open_at: dict[str, list[int]] = {}  # depths of the open elements of a tag, of those that are no inline ones, and of fences
+    outer: list[int] = []
+    fences: list[int] = []
     blocks: list[Block] = []
     held: list[str] = []
     linked = at = 0
-    links = 0  # open a elements
     unclosed: set[str] = set()  # tags without an end in the rest of the page
+    last = page.rfind(">") + 1  # no tag ends after it
 
     def end_block() -> None:
         nonlocal linked
         text = " ".join(entities.unescape("".join(held)).split()) if held else ""
         held.clear()
         if text:
-            tag = next((o.tag for o in reversed(stack) if o.tag not in INLINE), "")
-            above = [f for o in stack for f in o.features]
-            blocks.append(Block(text, above + _text_features(text, min(linked, len(text)), tag)))
+            tag = stack[outer[-1]].tag if outer else ""
+            blocks.append(Block(text, stack[-1] if stack else None, _text_features(text, min(linked, len(text)), tag)))
         linked = 0
 
     def take(text: str) -> None:
         nonlocal linked
         if text:
             held.append(text)
-            if links:
+            if open_at.get("a"):
                 linked += len(text)
 
+    def close_from(depth: int) -> None:
+        for o in stack[depth:]:
+            open_at[o.tag].pop()
+        for depths in (outer, fences):
+            while depths and depths[-1] >= depth:
+                depths.pop()
+        del stack[depth:]
+
     while True:
-        m = _TAG.search(page, at)
+        m = _TAG.search(page, at, last)
         if m is None:
-            take(page[at:])
+            rest = re.compile("<[!?]").search(page, max(at, last))  # a declaration without an end
+            take(page[at:rest.start() if rest else len(page)])
             break
         take(page[at:m.start()])
         at = m.end()
         if m[2] is None:
-            if m[0].startswith("<![CDATA["):
-                take(entities.escape(m[0][9:].removesuffix("]]>")))
+            cdata = m[0].startswith("<![CDATA[")
+            if cdata and not m[0].endswith("]]>") or m[0].startswith("<!--") and not m[0].endswith("-->"):
+                at = len(page)
+            if cdata:
+                take(entities.escape(page[m.start() + 9:at].removesuffix("]]>")))
             continue
         tag = m[2].lower()
         if m[1]:
-            depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k].tag == tag), None)
+            depths = open_at.get(tag)
             if tag not in INLINE:
                 end_block()
-            if depth is not None and (tag not in INLINE or not any(o.tag not in INLINE for o in stack[depth:])):
-                links -= sum(o.tag == "a" for o in stack[depth:])
-                del stack[depth:]
+            # the end of an inline element does not reach beyond the element that it is in
+            if depths and (tag not in INLINE or not outer or outer[-1] < depths[-1]):
+                close_from(depths[-1])
             continue
         if tag == "br":
             held.append(" ")
@@ -171,17 +203,20 @@ def leaf_blocks(page: str) -> list[Block]:
         if tag not in INLINE:
             end_block()
             gone = CLOSES.get(tag, {"p"} if tag in _OPENS_PARAGRAPH else ())
-            k = len(stack)
-            for j in range(len(stack) - 1, -1, -1):
-                if stack[j].tag in gone:
-                    k = j
-                elif stack[j].tag in FENCES:
-                    break
-            links -= sum(o.tag == "a" for o in stack[k:])
-            del stack[k:]
+            fence = fences[-1] if fences else -1
+            ends = []
+            for name in gone:
+                depths = open_at.get(name, [])
+                k = bisect_right(depths, fence)
+                if k < len(depths):
+                    ends.append(depths[k])
+            if ends:
+                close_from(min(ends))
         if tag not in VOID and not m[3].endswith("/"):
-            stack.append(_Open(tag, _ancestor_features(tag, m[3])))
-            links += tag == "a"
+            for depths, fits in ((open_at.setdefault(tag, []), True), (outer, tag not in INLINE), (fences, tag in FENCES)):
+                if fits:
+                    depths.append(len(stack))
+            stack.append(_Open(tag, _ancestor_features(tag, m[3]), stack[-1] if stack else None))
     end_block()
     return blocks
 

@@ -403,3 +403,22 @@ def test_links_of_buckets_over_several_rounds(spark, monkeypatch):
                     union.join(a, b)
     assert {r.id: r.component for r in found.collect()} == {i: union.find(i) for i in range(400)}
     assert links.filter("a % 7 <> b % 7").count() == 0
+
+
+def test_html_of_deep_and_unclosed_markup():
+    """Blocks of awkward pages are found in linear time, their features reached through the open elements."""
+    import time
+
+    for unit in ("<ul><li><p>x</b></i>", "<div>x ", "<p ", "<b><p>y", "<b><div>x</b>", "<!-- ", "<a href='x'>y"):
+        took = []
+        for n in (3000, 12000):
+            start = time.process_time()
+            blocks = html_crf.leaf_blocks(unit * n)
+            html_crf.Field(weights={"in=div": 0.1, "tag=p": -1.0}).labels(blocks)
+            took.append(time.process_time() - start)
+        assert took[1] < 8 * took[0] + 1
+    blocks = html_crf.leaf_blocks("<div class='menu top'><ul><li>one</b><li><b>two</li></ul></div><p>three <i>four</i>")
+    assert [b.text for b in blocks] == ["one", "two", "three four"]
+    assert {"in=div", "name=menu", "in=ul", "in=li", "tag=li"} <= set(blocks[0].features) and "in=div" not in blocks[2].features
+    field = html_crf.Field(weights={"in=div": -2.0, "bias": 1.0})
+    assert field.labels(blocks) == [0, 0, 1]

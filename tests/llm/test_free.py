@@ -422,3 +422,22 @@ def test_html_of_deep_and_unclosed_markup():
     assert {"in=div", "name=menu", "in=ul", "in=li", "tag=li"} <= set(blocks[0].features) and "in=div" not in blocks[2].features
     field = html_crf.Field(weights={"in=div": -2.0, "bias": 1.0})
     assert field.labels(blocks) == [0, 0, 1]
+
+
+def test_url_rules_of_deep_hosts_and_long_urls(spark):
+    """A host of 20 labels, repeated rows and a long URL do not multiply the item sets; rules of one and two tokens are found."""
+    deep = ".".join(f"l{k}" for k in range(20)) + ".com"
+    rows = [(url, "block") for url in [f"x://{deep}/shop/{k}" for k in range(30)] * 2]
+    rows += [(f"x://a{k}.org/shop/{k}", "allow") for k in range(40)] + [(f"x://{deep}/news/{k}", "allow") for k in range(40)]
+    frame = spark.createDataFrame(rows, "url string, verdict string")
+    labelled = url_rules.judged_urls(frame.withColumn("page_id", F.lit(1))).select("tokens", "verdict")
+    rules = {(tuple(r.tokens), r.verdict): r for r in url_rules.mine_rules(labelled, min_support=0.05).collect()}
+    assert len(rules) < 200
+    assert (("domain=org",), "allow") in rules and (("path=news",), "allow") in rules
+    pairs = [r for (tokens, verdict), r in rules.items() if verdict == "block" and len(tokens) == 2]
+    assert any(set(r.tokens) == {f"domain={deep}", "path=shop"} and r.confidence == 1.0 and r.matches == 60 for r in pairs)
+    urls = ["x://example.com/en/1"] * 40 + ["x://y.net/es/" + "a/" * 3000, "x://" + "z." * 400 + "com/?" + "k=v&" * 2000] + [f"x://b{k}.org/q" for k in range(9)]
+    got = {r.page_id: r for r in url_rules.url_verdicts(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).collect()}
+    assert len(got) == len(urls) and [got[k].rule for k in (0, 40, 41, 42)] == ["example.com/en/", "net/es/", "com/", None]
+    twice = [(1, "x://example.com/en/1"), (1, "x://example.com/en/1"), (1, "x://other.net/es/")]
+    assert url_rules.url_verdicts(spark.createDataFrame(twice, "page_id long, url string")).count() == 3

@@ -112,15 +112,24 @@ def coerce_types(df: DataFrame, expected: dict[str, str],
     return df.select(*cols), [c for c in df.columns if c in exprs]
 
 
+def value_lost(df: DataFrame, name: str, cast: Column) -> Column:
+    """Whether a non-NULL value of the column is NULL after the cast, or a number that lost its fraction."""
+    source, kind = F.col(name), dict(df.dtypes)[name]
+    number = (strip_ws(source) if kind == "string" else source).try_cast("double")
+    cut = F.coalesce((F.abs(number) < 2.0 ** 52) & (number != F.floor(number)), F.lit(False))
+    whole = isinstance(df.select(cast.alias("c")).schema["c"].dataType, T.IntegralType)
+    gone = cast.isNull() | cut if whole and kind not in ("boolean", "timestamp", "timestamp_ntz", "date") else cast.isNull()
+    return source.isNotNull() & gone
+
+
 def coercion_losses(df: DataFrame, expected: dict[str, str],
                     date_formats: Sequence[str] = DEFAULT_DATE_FORMATS) -> dict[str, int]:
-    """Per coerced column, non-NULL values of ``df`` that the cast turns into NULL (one aggregate)."""
+    """Per coerced column, values of ``df`` that the cast turns into NULL or whose fraction it cuts (one aggregate)."""
     exprs = coercion_exprs(df, expected, date_formats)
     if not exprs:
         return {}
     names = list(exprs)
-    row = df.agg(*[F.count_if(F.col(c).isNotNull() & exprs[c].isNull()).alias(f"l{i}")
-                   for i, c in enumerate(names)]).first()
+    row = df.agg(*[F.count_if(value_lost(df, c, exprs[c])).alias(f"l{i}") for i, c in enumerate(names)]).first()
     return {c: int(row[f"l{i}"]) for i, c in enumerate(names)}
 
 

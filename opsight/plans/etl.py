@@ -80,7 +80,7 @@ class EtlJob:
         seen = Observation(f"etl_{uuid.uuid4().hex[:8]}")
         lost = {f"lost_{i}": (c, e) for i, (c, e) in enumerate(C.coercion_exprs(raw, expected_schema, C.DEFAULT_DATE_FORMATS).items())}
         observed = raw.observe(seen, F.count(F.lit(1)).alias("rows"), *[
-            F.count_if(F.col(c).isNotNull() & e.isNull()).alias(k) for k, (c, e) in lost.items()])
+            F.count_if(C.value_lost(raw, c, e)).alias(k) for k, (c, e) in lost.items()])
         typed, _ = C.coerce_types(observed, expected_schema)
         cleaned = etl_clean(typed, self.source_key, self.run_ts).persist()
         try:

@@ -188,8 +188,10 @@ def _messy_chain(spark, folder) -> CleaningChain:
 
 @register("clean_chain_result")
 def _q_chain(spark, folder):
-    df, _ = _messy_chain(spark, folder).build()
-    return df
+    chain = _messy_chain(spark, folder)
+    result = written(chain.build()[0], "clean_chain")
+    chain.close()  # the result no longer needs the chain's persisted frames
+    return result
 
 
 @register("clean_chain_audit")

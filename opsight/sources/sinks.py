@@ -4,8 +4,10 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,35 +74,105 @@ def upsert(target: DataFrame, staging: DataFrame, keys: Sequence[str]) -> DataFr
     return kept.unionByName(staging.select(*target.columns))
 
 
-def current_version(spark: SparkSession, table_root: str) -> str | None:
-    """The folder of the table's committed version: the highest number whose write has completed."""
-    from py4j.protocol import Py4JJavaError
+BUCKETS = 64  # of a new table; a commit rewrites those that its keys fall into
+_BUCKET = "__bucket"
+_COMMITS = 20  # attempts before a commit gives up
+
+
+def _fs(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    return hadoop.Path(path), hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def current_version(spark: SparkSession, table_root: str) -> int | None:
+    """The table's newest committed version."""
+    path, fs = _fs(spark, f"{table_root}/_versions")
+    if not fs.exists(path):
+        return None
+    numbers = [int(n[2:]) for n in (s.getPath().getName() for s in fs.listStatus(path)) if n.startswith("v=")]
+    return max(numbers, default=None)
+
+
+def _manifest(spark: SparkSession, table_root: str, version: int) -> dict:
+    """Schema, keys, number of buckets, and the folder of each bucket that has rows."""
+    path, fs = _fs(spark, f"{table_root}/_versions/v={version}")
+    return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(fs.open(path), "UTF-8"))
+
+
+def _claim(spark: SparkSession, table_root: str, version: int, manifest: dict) -> bool:
+    """Publish a manifest as ``version``; False if another writer already has that number.
+
+    The manifest is written under a name of its own and renamed, which fails where the target exists.
+    """
+    own, fs = _fs(spark, f"{table_root}/_versions/_{uuid.uuid4().hex}")
+    out = fs.create(own)
+    out.write(json.dumps(manifest).encode())
+    out.close()
     jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(table_root)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
     try:
-        names = [s.getPath().getName() for s in fs.listStatus(root)]
-    except Py4JJavaError:
-        return None
-    done = [n for n in names if n.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{table_root}/{n}/_SUCCESS"))]
-    return f"{table_root}/{max(done, key=lambda n: int(n[2:]))}" if done else None
+        context.rename(own, jvm.org.apache.hadoop.fs.Path(f"{table_root}/_versions/v={version}"), none)
+    except Py4JJavaError as error:
+        fs.delete(own, False)
+        if error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            return False
+        raise
+    return True
+
+
+def read_version(spark: SparkSession, table_root: str, version: int | None = None) -> DataFrame:
+    """The table at ``version`` (the newest one if None)."""
+    version = current_version(spark, table_root) if version is None else version
+    if version is None:
+        raise ValueError(f"no committed version at {table_root}")
+    manifest = _manifest(spark, table_root, version)
+    return _bucket_rows(spark, manifest, manifest["buckets"])
+
+
+def _bucket_rows(spark: SparkSession, manifest: dict, buckets) -> DataFrame:
+    schema = T.StructType.fromJson(manifest["schema"])
+    folders = [manifest["buckets"][b] for b in buckets if b in manifest["buckets"]]
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
 def commit_upsert(spark: SparkSession, table_root: str, staging: DataFrame, keys: Sequence[str],
-                  staging_name: str | None = None) -> DataFrame:
-    """Upsert into the versioned table at ``table_root`` (A9): write the next version, which readers see
-    once its write has completed, then drop the staging view or table (A10). Returns the new version.
+                  staging_name: str | None = None, buckets: int = BUCKETS) -> DataFrame:
+    """Upsert into the versioned table at ``table_root`` (A9), then drop the staging view or table (A10).
 
-    The first commit writes the staging rows alone.
+    Rows lie in buckets by a hash of ``keys``; a commit rewrites the buckets of the staging keys and takes over
+    the files of the others. A version is a manifest that names each bucket's folder, and its number can be
+    claimed once: a writer that finds its number taken starts again from the newest version, so no commit is lost.
+    The first commit writes the staging rows alone. Returns the new version.
     """
-    now = current_version(spark, table_root)
-    merged = upsert(spark.read.parquet(now), staging, keys) if now else staging
-    number = int(now.rsplit("v=", 1)[1]) + 1 if now else 0
-    path = f"{table_root}/v={number}"
-    merged.write.mode("overwrite").parquet(path)
-    if staging_name:
-        drop_staging(spark, staging_name)
-    return spark.read.parquet(path)
+    keys = list(keys)
+    for _ in range(_COMMITS):
+        version = current_version(spark, table_root)
+        old = _manifest(spark, table_root, version) if version is not None else None
+        if old and old["keys"] != keys:
+            raise ValueError(f"the table's keys are {old['keys']}")
+        count = old["count"] if old else buckets
+        bucket = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(count)).cast("int")
+        if old:
+            touched = [str(r[0]) for r in staging.select(bucket.alias("b")).distinct().collect()]  # at most the buckets
+            merged = upsert(_bucket_rows(spark, old, touched), staging, keys)
+        else:
+            merged = staging
+        folder = f"{table_root}/data/{uuid.uuid4().hex}"
+        rows = merged.withColumn(_BUCKET, bucket)
+        rows.repartition(_BUCKET).write.partitionBy(_BUCKET).parquet(folder)
+        path, fs = _fs(spark, folder)
+        made = {n.split("=")[1]: f"{folder}/{n}" for n in (s.getPath().getName() for s in fs.listStatus(path)) if n.startswith(_BUCKET)}
+        kept = {b: f for b, f in old["buckets"].items() if b not in touched} if old else {}
+        schema = json.loads(merged.schema.json()) if not old else old["schema"]
+        manifest = {"schema": schema, "keys": keys, "count": count, "buckets": {**kept, **made}}
+        number = 0 if version is None else version + 1
+        if _claim(spark, table_root, number, manifest):
+            if staging_name:
+                drop_staging(spark, staging_name)
+            return read_version(spark, table_root, number)
+        fs.delete(path, True)
+    raise RuntimeError(f"no version of {table_root} could be claimed in {_COMMITS} attempts")
 
 
 def drop_staging(spark: SparkSession, name: str) -> None:

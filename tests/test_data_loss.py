@@ -15,6 +15,7 @@ from opsight.operators import ranks as R
 from opsight.operators import stattests as S
 from opsight.plans.cleaning_chain import CleaningChain
 from opsight.sources.files import read_accepted, read_source
+from opsight.sources import sinks
 from opsight.sources.sinks import commit_upsert, current_version, write_zone
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -31,7 +32,7 @@ def test_whole_number_texts(spark):
     rows = [("12",), ("12.0",), (" 1e3 ",), ("9007199254740993",), ("12.7",), ("-12.7",), ("x",), ("1e40",), (None,)]
     df, _ = C.coerce_types(spark.createDataFrame(rows, "a string"), {"a": "int"})
     assert [r["a"] for r in df.collect()] == [12, 12, 1000, 9007199254740993, 12, -12, None, None, None]
-    assert C.coercion_losses(spark.createDataFrame(rows, "a string"), {"a": "int"}) == {"a": 2}
+    assert C.coercion_losses(spark.createDataFrame(rows, "a string"), {"a": "int"}) == {"a": 4}  # two fractions, no number, too large
 
 
 def test_nan_is_missing(spark):
@@ -72,13 +73,39 @@ def test_zone_retry_replaces_its_run(spark, scratch):
 def test_upsert_commit_switches_only_complete_versions(spark, scratch):
     root = f"{scratch}/table"
     assert current_version(spark, root) is None
-    commit_upsert(spark, root, spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), ["k"])
-    os.makedirs(f"{root}/v=7")  # a write that has not completed
-    staging = spark.createDataFrame([(2, "B"), (3, "C")], "k int, v string")
+    commit_upsert(spark, root, spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "k int, v string"), ["k"])
+    os.makedirs(f"{root}/data/unfinished/__bucket=1")  # a write that has not been committed
+    staging = spark.createDataFrame([(2, "B"), (3, "C"), (None, "m")], "k int, v string")
     staging.createOrReplaceTempView("staging_rows")
     out = commit_upsert(spark, root, staging, ["k"], "staging_rows")
-    assert sorted(map(tuple, out.collect())) == [(1, "a"), (2, "B"), (3, "C")]
-    assert current_version(spark, root).endswith("v=1") and not spark.catalog.tableExists("staging_rows")
+    key = lambda r: (r[0] is None, *r)
+    assert sorted(map(tuple, out.collect()), key=key) == [(1, "a"), (2, "B"), (3, "C"), (None, "m"), (None, "n")]
+    assert current_version(spark, root) == 1 and not spark.catalog.tableExists("staging_rows")
+    assert sorted(r.v for r in sinks.read_version(spark, root, 0).collect()) == ["a", "b", "n"]
+
+
+def test_upsert_of_two_writers(spark, scratch, monkeypatch):
+    """A writer that is overtaken starts again from the other's version; untouched buckets keep their files."""
+    root = f"{scratch}/table"
+    rows = lambda pairs: spark.createDataFrame(pairs, "k long, v string")
+    commit_upsert(spark, root, rows([(k, "old") for k in range(500)]), ["k"])
+    before = sinks._manifest(spark, root, 0)["buckets"]
+    claim, overtaken = sinks._claim, []
+
+    def slow(*args):
+        if not overtaken:
+            overtaken.append(1)
+            commit_upsert(spark, root, rows([(7, "second"), (1000, "second")]), ["k"])
+        return claim(*args)
+
+    monkeypatch.setattr(sinks, "_claim", slow)
+    out = {r.k: r.v for r in commit_upsert(spark, root, rows([(3, "first"), (7, "first")]), ["k"]).collect()}
+    assert current_version(spark, root) == 2 and len(out) == 501
+    assert (out[3], out[7], out[1000], out[8]) == ("first", "first", "second", "old")
+    after = sinks._manifest(spark, root, 2)["buckets"]
+    assert sum(after[b] == f for b, f in before.items()) >= len(before) - 3 and len(before) == 64
+    with pytest.raises(ValueError):
+        commit_upsert(spark, root, rows([(1, "x")]), ["v"])
 
 
 def test_bad_csv_lines_are_not_silent(spark, scratch):

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from opsight.functions.scalar import exact_avg
 from opsight.operators.cleaning import nan_to_null
-from opsight.operators.ranks import average_rank, exact_percentiles, running_totals, unpivoted
+from opsight.operators.ranks import average_rank, running_totals, summary_percentiles, unpivoted, value_summary
 
 
 def _numeric(df: DataFrame) -> list[str]:
@@ -70,9 +70,9 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, exact_distinct:
     sample std, corrected skewness and kurtosis (E12). NaN counts as NULL, as in
     pandas. The mean is taken from an exact decimal sum where it fits.
 
-    Moments come from one aggregate, medians from distributed ranks
-    (:func:`~opsight.operators.ranks.exact_percentiles`), distinct counts and
-    duplicate rows from grouped passes. ``exact_distinct=False`` switches to
+    Moments come from one aggregate, medians and distinct counts of numeric columns from one summary of
+    counted values (:func:`~opsight.operators.ranks.value_summary`), distinct counts of the others and duplicate
+    rows from grouped passes. ``exact_distinct=False`` switches to
     HyperLogLog and ``exact_median=False`` to ``percentile_approx``.
     """
     df = nan_to_null(df)
@@ -109,19 +109,28 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, exact_distinct:
             (corrected_kurtosis(F.col(f"g2{i}"), nn) if num else none).alias("kurtosis"),
         ))
     long = wide.select(F.explode(F.array(*entries)).alias("p")).select("p.*")
-    long = long.join(_medians(df, [c for c in cols if c in nums], exact_median), "column", "left")
-    uniq = distinct_counts(df, cols, exact_distinct)
+    numeric = [c for c in cols if c in nums]
+    summary = value_summary(df, numeric) if numeric and (exact_median or exact_distinct) else None
+    long = long.join(_medians(df, numeric, exact_median, summary), "column", "left")
+    if exact_distinct and summary is not None:
+        names = df.sparkSession.createDataFrame([(c,) for c in numeric], "column string")
+        own = names.join(summary.groupBy("column").agg(F.sum("forms").alias("unique_count")), "column", "left")
+        uniq = own.select("column", F.coalesce("unique_count", F.lit(0).cast("long")).alias("unique_count"))
+        rest = [c for c in cols if c not in nums]
+        uniq = uniq.unionByName(distinct_counts(df, rest)) if rest else uniq
+    else:
+        uniq = distinct_counts(df, cols, exact_distinct)
     return long.join(uniq, "column").select(
         "column", "dtype", "non_null_count", "null_count", "null_pct", "unique_count", "duplicate_rows",
         "mean", "median", "std", "skewness", "kurtosis")
 
 
-def _medians(df: DataFrame, cols: Sequence[str], exact: bool) -> DataFrame:
+def _medians(df: DataFrame, cols: Sequence[str], exact: bool, summary: DataFrame | None) -> DataFrame:
     if not cols:
         return df.sparkSession.createDataFrame([], "column string, median double")
-    long = unpivoted(df, cols)
     if exact:
-        return exact_percentiles(long, ["column"], [0.5]).select("column", F.col("q")[0].alias("median"))
+        return summary_percentiles(summary, [0.5]).select("column", F.col("q")[0].alias("median"))
+    long = unpivoted(df, cols)
     return long.groupBy("column").agg(F.percentile_approx("value", 0.5, 10000).alias("median"))
 
 
@@ -156,48 +165,41 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 3
         F.col("count").cast("long").alias("count"))
 
 
-def outlier_summary(df: DataFrame, columns: Sequence[str] | None = None, method: str = "iqr") -> DataFrame:
+def outlier_summary(df: DataFrame, columns: Sequence[str] | None = None, method: str = "iqr",
+                    summary: DataFrame | None = None) -> DataFrame:
     """Per column: outlier count and % of non-NULL rows, lower and upper bound.
 
     ``iqr``: outside Q1 − 1.5·IQR, Q3 + 1.5·IQR. ``zscore``: |x − mean| / σ > 3
     with the population σ (as ``scipy.stats.zscore``), while the reported
-    bounds use the sample σ (as the original does). Two passes: bounds, then
-    counts; both are single aggregates over all columns.
+    bounds use the sample σ (as the original does). Percentiles and counts are read from a
+    :func:`~opsight.operators.ranks.value_summary` (the given one, or a new one); means and deviations come
+    from one aggregate over the rows. Columns without values have no bounds and no outliers.
     """
+    if method not in ("iqr", "zscore"):
+        raise ValueError("method must be 'iqr' or 'zscore'")
     cols = list(columns or _numeric(df))
     df = nan_to_null(df)
+    summary = value_summary(df, cols) if summary is None else summary
+    names = df.sparkSession.createDataFrame(list(enumerate(cols)), "__at int, column string")
     if method == "iqr":
-        q = exact_percentiles(unpivoted(df, cols), ["column"], [0.25, 0.75])  # a row for each column
-        st = q.agg(*[F.first(F.when(F.col("column") == c, F.col("q")), ignorenulls=True).alias(f"q{i}")
-                     for i, c in enumerate(cols)])
-        bounds = st.select(*[
-            e for i, _ in enumerate(cols) for e in (
-                (F.col(f"q{i}")[0] - 1.5 * (F.col(f"q{i}")[1] - F.col(f"q{i}")[0])).alias(f"lo{i}"),
-                (F.col(f"q{i}")[1] + 1.5 * (F.col(f"q{i}")[1] - F.col(f"q{i}")[0])).alias(f"hi{i}"))])
-        flag = {i: (F.col(c) < F.col(f"lo{i}")) | (F.col(c) > F.col(f"hi{i}")) for i, c in enumerate(cols)}
-    elif method == "zscore":
-        st = df.agg(*[e for i, c in enumerate(cols) for e in (
-            F.avg(F.col(c).cast("double")).alias(f"m{i}"), F.stddev_samp(F.col(c).cast("double")).alias(f"s{i}"),
-            F.stddev_pop(F.col(c).cast("double")).alias(f"p{i}"))])
-        bounds = st.select("*", *[e for i, _ in enumerate(cols) for e in (
-            (F.col(f"m{i}") - 3 * F.col(f"s{i}")).alias(f"lo{i}"),
-            (F.col(f"m{i}") + 3 * F.col(f"s{i}")).alias(f"hi{i}"))])
-        flag = {i: F.abs(F.col(c) - F.col(f"m{i}")) / F.col(f"p{i}") > 3 for i, c in enumerate(cols)}
+        q = summary_percentiles(summary, [0.25, 0.75])  # a row for each column
+        spread = 1.5 * (F.col("q")[1] - F.col("q")[0])
+        bounds = q.select("column", (F.col("q")[0] - spread).alias("lo"), (F.col("q")[1] + spread).alias("hi"))
+        out = (F.col("value") < F.col("lo")) | (F.col("value") > F.col("hi"))
     else:
-        raise ValueError("method must be 'iqr' or 'zscore'")
-    counts = df.select(*cols).crossJoin(F.broadcast(bounds)).agg(
-        *[F.first(f"lo{i}").alias(f"lo{i}") for i, _ in enumerate(cols)],
-        *[F.first(f"hi{i}").alias(f"hi{i}") for i, _ in enumerate(cols)],
-        *[F.count_if(F.coalesce(flag[i], F.lit(False))).alias(f"o{i}") for i, _ in enumerate(cols)],
-        *[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)])
-    entries = [F.struct(
-        F.lit(c).alias("column"), F.lit(method.upper()).alias("method"),
-        F.col(f"o{i}").cast("long").alias("n_outliers"),
-        F.round(F.col(f"o{i}") / F.nullif(F.col(f"n{i}").cast("double"), F.lit(0.0)) * 100, 2)
-        .alias("pct_outliers"),
-        F.round(F.col(f"lo{i}"), 4).alias("lower_bound"),
-        F.round(F.col(f"hi{i}"), 4).alias("upper_bound")) for i, c in enumerate(cols)]
-    return counts.select(F.explode(F.array(*entries)).alias("o")).select("o.*")
+        x = [F.col(c).cast("double") for c in cols]
+        st = df.agg(*[e for i, c in enumerate(x) for e in (F.avg(c).alias(f"m{i}"), F.stddev_samp(c).alias(f"s{i}"), F.stddev_pop(c).alias(f"p{i}"))])
+        each = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("m"), F.col(f"s{i}").alias("s"), F.col(f"p{i}").alias("p"))
+                                   for i, c in enumerate(cols)]))
+        bounds = st.select(each.alias("b")).select("b.*").withColumns({"lo": F.col("m") - 3 * F.col("s"), "hi": F.col("m") + 3 * F.col("s")})
+        out = F.try_divide(F.abs(F.col("value") - F.col("m")), F.col("p")) > 3
+    counts = (summary.join(F.broadcast(bounds), "column")  # a row for each column
+              .groupBy("column").agg(F.sum(F.when(F.coalesce(out, F.lit(False)), F.col("n")).otherwise(F.lit(0))).alias("o"), F.max("total").alias("t")))
+    rows = names.join(bounds, "column", "left").join(counts, "column", "left")
+    return rows.select(
+        "column", F.lit(method.upper()).alias("method"), F.coalesce("o", F.lit(0)).cast("long").alias("n_outliers"),
+        F.round(F.col("o") / F.col("t").cast("double") * 100, 2).alias("pct_outliers"),
+        F.round("lo", 4).alias("lower_bound"), F.round("hi", 4).alias("upper_bound"))
 
 
 def segment_rates(df: DataFrame, segments: Sequence[str], target: str = "churn") -> DataFrame:

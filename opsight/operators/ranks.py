@@ -79,6 +79,48 @@ def unpivoted(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) ->
     return df.select(*by, pairs.alias("__v")).select(*by, "__v.column", "__v.value").filter(F.col("value").isNotNull())
 
 
+def value_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(column, value, n, forms, upto, total)``: the values of numeric columns as doubles with their counts, the
+    number of different values of the column's own type that this double stands for, the count of all values up to it
+    and of all in the column. One shuffle of counted values for all columns, written to the shared folder.
+
+    Distinct counts, percentiles, modes, histograms and outlier counts of all columns can be read from it
+    without another pass over the rows. Summaries of parts of the data (days) add up by ``column`` and ``value``.
+    """
+    items = []
+    for c in columns:
+        kind = df.schema[c].dataType
+        value = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+        exact = F.lit(None).cast("string")
+        if isinstance(kind, (T.LongType, T.DecimalType)):  # beyond the precision of doubles
+            exact = F.when(~value.try_cast(kind).eqNullSafe(F.col(c)), F.col(c).cast("string"))
+        items.append(F.struct(F.lit(c).alias("column"), value.alias("value"), exact.alias("exact")))
+    pairs = df.select(F.explode(F.array(*items)).alias("__v")).select("__v.*").filter(F.col("value").isNotNull())
+    counts = (pairs.groupBy("column", "value", "exact").agg(F.count(F.lit(1)).alias("n"))
+              .select("column", "value", "n", F.lit(1).cast("long").alias("forms")))
+    ranked = written(running_totals(counts, ["column", "value"], ["n", "forms"]), "ranked")
+    heads = ranked.groupBy("column").agg(F.min(F.col("cum_n") - F.col("n")).alias("__start"), F.sum("n").alias("total"))  # a row for each column
+    return ranked.join(F.broadcast(heads), "column").select("column", "value", "n", "forms", (F.col("cum_n") - F.col("__start")).alias("upto"), "total")
+
+
+def summary_percentiles(summary: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """``(column, q)``: the linearly interpolated percentiles of each column of a :func:`value_summary`."""
+    picks, out = [], []
+    for i, p in enumerate(probs):
+        at = F.lit(float(p)) * (F.col("total") - 1)
+        picks += [F.min(F.when(F.col("upto") > F.floor(at), F.col("value"))).alias(f"__lo{i}"),
+                  F.min(F.when(F.col("upto") > F.ceil(at), F.col("value"))).alias(f"__hi{i}")]
+        lo, hi = F.col(f"__lo{i}"), F.col(f"__hi{i}")
+        out.append(F.when(lo == hi, lo).otherwise((F.ceil(at) - at) * lo + (at - F.floor(at)) * hi))
+    return summary.groupBy("column", "total").agg(*picks).select("column", F.array(*out).alias("q"))
+
+
+def summary_modes(summary: DataFrame) -> DataFrame:
+    """``(column, mode, n)``: the most frequent value of each column of a summary (ties: the smallest)."""
+    best = summary.groupBy("column").agg(F.min(F.struct((-F.col("n")).alias("m"), "value")).alias("b"))
+    return best.select("column", F.col("b.value").alias("mode"), (-F.col("b.m")).alias("n"))
+
+
 def exact_percentiles(values: DataFrame, keys: Sequence[str], probs: Sequence[float], value: str = "value") -> DataFrame:
     """``(keys..., n, q)``: the linearly interpolated percentiles of ``value`` for each key, as an array.
 

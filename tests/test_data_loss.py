@@ -185,3 +185,22 @@ def test_launcher_settings_win():
                                                "--conf spark.ui.enabled=false pyspark-shell"}
     out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=120).stdout
     assert "GOT 2000 local[2] true" in out
+
+
+def test_value_summary(spark):
+    """One summary gives distinct counts, percentiles, modes and outliers of all columns, also beyond double precision."""
+    big = 9007199254740992
+    rows = [(k % 7 + 0.5, big + k % 3, None if k % 2 else k) for k in range(50)] + [(float("nan"), None, 1000), (1e9, big, None)]
+    df = spark.createDataFrame(rows, "a double, b long, c int")
+    summary = R.value_summary(df, ["a", "b", "c"])
+    distinct = {r["column"]: r["u"] for r in summary.groupBy("column").agg(F.sum("forms").alias("u")).collect()}
+    assert distinct == {"a": 8, "b": 3, "c": 26}
+    q = {r["column"]: list(r["q"]) for r in R.summary_percentiles(summary, [0.25, 0.5]).collect()}
+    for k, c in enumerate("abc"):
+        values = [float(r[k]) for r in rows if r[k] is not None and r[k] == r[k]]
+        assert q[c] == pytest.approx(list(np.percentile(values, [25, 50])))
+    assert {r["column"]: r["mode"] for r in R.summary_modes(summary).collect()}["a"] == 0.5
+    out = {r["column"]: r["n_outliers"] for r in P.outlier_summary(df, ["a", "b", "c"], summary=summary).collect()}
+    assert out == {"a": 1, "b": 0, "c": 1}
+    none = P.outlier_summary(df.filter("c < 0"), ["a"]).first()
+    assert none["n_outliers"] == 0 and none["lower_bound"] is None

@@ -38,7 +38,7 @@ MIN_SIMILARITY = 0.9
 MIN_FUZZY = 10  # units: at fewer, one edit is more than the threshold allows
 WORDS64 = 8  # of a SimHash
 BLOCKS, BLOCK_BITS = 24, 21  # three blocks of each 64 bits
-CHECK_BITS = 8  # of 32 further bits, that may differ in a candidate pair
+CHECK_BITS = 6  # of 32 further bits, that may differ in a candidate pair
 LONG_LIST = 1024  # members of a block's list beyond which their check bits are not compared
 _FLUSH = 1 << 17  # lines that a task holds, each form once
 _U = np.uint64
@@ -340,8 +340,11 @@ def line_groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
                 .select("a", "b", "units_a", "units_b"))
         return both.mapInArrow(_compared, "a long, b long, shared long, link boolean")
 
-    members = postings.select("sig", "id", F.lit(1).cast("long").alias("size"), F.lit(0).alias("rank"), F.lit(1).cast("long").alias("usable"))
-    found, _ = links_from_buckets(members, verify, star_rounds=1)
+    # the line of most documents is the pivot of its buckets: versions of it are near to it rather than to each other
+    common = shared_table(lines.groupBy("h").agg((-F.count(F.lit(1))).alias("rank")).filter("rank < -1").withColumnRenamed("h", "id"), "common")
+    one = F.lit(1).cast("long")
+    members = postings.join(common, "id", "left").select("sig", "id", one.alias("size"), F.coalesce("rank", -one).alias("rank"), one.alias("usable"))
+    found, _ = links_from_buckets(members, verify, star_rounds=2)
     return found.withColumnRenamed("id", "h")
 
 

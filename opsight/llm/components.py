@@ -47,7 +47,7 @@ _MAY_LINK_BY_PIVOT = ("(near is null or o_near is null or 9 * (least(near, o_nea
 
 
 def links_from_buckets(postings: DataFrame, verify: Callable[[DataFrame], DataFrame],
-                       star_rounds: int = 2) -> tuple[DataFrame, DataFrame]:
+                       star_rounds: int = 2, details: DataFrame | None = None, may_link: str = "true") -> tuple[DataFrame, DataFrame]:
     """Connected ``(id, component)`` of all ids that share a signature and pass ``verify``, and the links.
 
     ``postings(sig, id, size, rank, usable)`` lists the ids of each signature; ``usable`` is how much of
@@ -58,7 +58,9 @@ def links_from_buckets(postings: DataFrame, verify: Callable[[DataFrame], DataFr
     bucket's pivot (lowest ``rank``, then id), then with the lowest member outside that pivot's component.
     What then lies in one component needs no further comparison; the last round compares all members of
     a bucket that are still in different components, unless their overlaps with the pivot show that they
-    cannot link. So no link between components is lost, whatever the bucket's size.
+    cannot link. So no link between components is lost, whatever the bucket's size. ``details(id, ...)`` adds columns
+    to the members of that round, and ``may_link`` is false only for pairs whose columns (``o_...`` of the second)
+    show that they cannot link; such pairs are no rows.
     """
     keys = (postings.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("sig"))
     opened = shared_table(postings.join(keys, "sig", "left_semi").select("sig", "id", "size", "rank", "usable").distinct(), "members")
@@ -86,13 +88,16 @@ def links_from_buckets(postings: DataFrame, verify: Callable[[DataFrame], DataFr
             lists = rows.groupBy("id").agg(F.collect_set("sig").alias("sigs"))  # an id's own signatures
             # members of a large bucket are dealt out in parts, each of which meets all others
             parts = rows.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
-            listed = shared_table(rows.join(lists, "id").join(parts, "sig"), "listed", "zstd")
+            listed = rows.join(lists, "id").join(parts, "sig")
+            if details is not None:
+                listed = listed.join(rows_in(details, ["id"], lists.select("id"), unique=True), "id")
+            listed = shared_table(listed, "listed", "zstd")
             other = listed.drop("parts").toDF(*[c if c == "sig" else f"o_{c}" for c in listed.columns if c != "parts"])
             other = other.join(parts.filter("parts > 1"), "sig", "left").withColumn("part", F.expr("explode(sequence(0, coalesce(parts, 1) - 1))"))
             listed = listed.withColumn("part", F.expr("pmod(hash(id), parts)"))
             pairs = (listed.join(other.drop("parts"), ["sig", "part"])
                      .filter("component < o_component and " + _MAY_LINK.format("o_") + " and " + _MAY_LINK_BY_PIVOT
-                             + " and sig = array_min(array_intersect(sigs, o_sigs))")
+                             + " and " + may_link + " and sig = array_min(array_intersect(sigs, o_sigs))")
                      .select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b")))
         pairs = shared_table(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
         if pairs.limit(1).count():

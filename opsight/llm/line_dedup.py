@@ -10,7 +10,8 @@ Candidates come from a SimHash of 512 bits over a line's distinct units, cut int
 pigeonhole principle lines that differ in fewer bits than there are blocks agree in one. Beyond that the search is
 probable, not certain; the README has its recall against brute force. The hash ranges of the blocks are
 worked through by Spark tasks on packed arrays. Members of a block's list whose further bits differ little are one
-bucket (a row for each member, no pairs) of the search by pivots, which leaves no pair of a bucket out.
+bucket (a row for each member, no pairs) of the search by pivots, which leaves no pair of a bucket out but those
+whose units differ in more places than a link allows, by bitmaps of the units.
 
 Rows without a doc_id, NULL or empty texts, and lines without words pass unchanged and take no part. Rows
 with the same doc_id are one document, and each of them keeps the first occurrence. A document that
@@ -267,8 +268,28 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(sigs.view(np.int64)), pa.array(ids.view(np.int64))], ["sig", "id"])
 
 
+def unit_bitmaps(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A bitmap of each line's units, the k-th occurrence of one being a unit of its own, shape (lines, 8).
+
+    Every bit that only one of two lines has is at least one unit that only this line has.
+    """
+    bits = np.zeros((len(bounds) - 1, 64 * WORDS64), np.uint8)
+    line = np.repeat(np.arange(len(bits)), np.diff(bounds))
+    order = np.lexsort((words, line))
+    line, words = line[order], words[order]
+    first = np.flatnonzero(np.r_[True, (line[1:] != line[:-1]) | (words[1:] != words[:-1])][:len(line)])
+    occurrence = np.arange(len(line)) - np.repeat(first, np.diff(np.r_[first, len(line)]))
+    bits[line, (mix(words + mix(occurrence.astype(np.uint64))) % _U(64 * WORDS64)).astype(np.int64)] = 1
+    return np.packbits(bits, axis=1, bitorder="little").view(np.int64)
+
+
+# What a link needs of the units' numbers and bitmaps: at least nine tenths of the longer line's units in common.
+_MAY_LINK = " and ".join(f"10 * ({x}n - ({' + '.join(f'bit_count({x}bits[{k}] & ~{y}bits[{k}])' for k in range(WORDS64))})) >= 9 * greatest(n, o_n)"
+                         for x, y in (("", "o_"), ("o_", "")))
+
+
 def _unit_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The unit hashes of each text's wanted lines."""
+    """The unit hashes of each text's wanted lines, their number and bitmap."""
     for whole in batches:
         for batch, texts in _slices(whole, whole.column(0)):
             wanted = [set(x) for x in batch.column(1).to_pylist()]
@@ -277,9 +298,12 @@ def _unit_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 hashes = sequence_hashes(words, bounds).view(np.int64).tolist()
                 chosen = [k for k, h in enumerate(hashes) if h in wanted[rows[at + k]]]
                 if chosen:
+                    own = np.concatenate([words[bounds[k]:bounds[k + 1]] for k in chosen])
+                    ends = np.r_[0, np.cumsum(np.diff(bounds)[chosen])]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([hashes[k] for k in chosen], pa.int64()),
-                         pa.array([words[bounds[k]:bounds[k + 1]].tobytes() for k in chosen], pa.binary())], ["id", "units"])
+                         pa.array([own[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary()), pa.array(np.diff(ends), pa.int64()),
+                         pa.array(unit_bitmaps(own, ends).tolist(), pa.list_(pa.int64()))], ["id", "units", "n", "bits"])
 
 
 def edit_distance(a: list[int], b: list[int]) -> int:
@@ -330,21 +354,24 @@ def line_groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
     lists = docs.select("text").mapInArrow(_block_lists(bucket_bits), "bucket int, keys binary, ids binary, checks binary")
     postings = shared_table(lists.repartition(partitions, "bucket").mapInArrow(_candidates, "sig long, id long").distinct(), "postings")
 
+    nodes = shared_table(postings.select(F.col("id").alias("h")).distinct(), "nodes")
+    place = rows_in(lines.select("h", "doc_id"), ["h"], nodes, unique=True).groupBy("h").agg(F.min("doc_id").alias("doc_id"))
+    wanted = shared_table(place.groupBy("doc_id").agg(F.collect_list("h").alias("wanted")), "wanted")  # a document's own lines
+    texts = flag_rows(docs, ["doc_id"], wanted, "maybe").filter("maybe").select("doc_id", "text").join(wanted, "doc_id").select("text", "wanted")
+    units = shared_table(texts.mapInArrow(_unit_lists, "id long, units binary, n long, bits array<long>")
+                         .groupBy("id").agg(*[F.first(c).alias(c) for c in ("units", "n", "bits")]), "units")
+
     def verify(pairs: DataFrame) -> DataFrame:
-        nodes = shared_table(pairs.select(F.col("a").alias("h")).union(pairs.select(F.col("b").alias("h"))).distinct(), "nodes")
-        place = rows_in(lines.select("h", "doc_id"), ["h"], nodes, unique=True).groupBy("h").agg(F.min("doc_id").alias("doc_id"))
-        wanted = shared_table(place.groupBy("doc_id").agg(F.collect_list("h").alias("wanted")), "wanted")  # a document's own lines
-        texts = flag_rows(docs, ["doc_id"], wanted, "maybe").filter("maybe").select("doc_id", "text").join(wanted, "doc_id").select("text", "wanted")
-        units = shared_table(texts.mapInArrow(_unit_lists, "id long, units binary").groupBy("id").agg(F.first("units").alias("units")), "units")
-        both = (pairs.join(units.toDF("a", "units_a"), "a").join(units.toDF("b", "units_b"), "b")
-                .select("a", "b", "units_a", "units_b"))
+        both = (pairs.join(units.select(F.col("id").alias("a"), F.col("units").alias("units_a"), "n", "bits"), "a")
+                .join(units.select(F.col("id").alias("b"), F.col("units").alias("units_b"), F.col("n").alias("o_n"), F.col("bits").alias("o_bits")), "b")
+                .filter(_MAY_LINK).select("a", "b", "units_a", "units_b"))
         return both.mapInArrow(_compared, "a long, b long, shared long, link boolean")
 
     # the line of most documents is the pivot of its buckets: versions of it are near to it rather than to each other
     common = shared_table(lines.groupBy("h").agg((-F.count(F.lit(1))).alias("rank")).filter("rank < -1").withColumnRenamed("h", "id"), "common")
     one = F.lit(1).cast("long")
     members = postings.join(common, "id", "left").select("sig", "id", one.alias("size"), F.coalesce("rank", -one).alias("rank"), one.alias("usable"))
-    found, _ = links_from_buckets(members, verify, star_rounds=2)
+    found, _ = links_from_buckets(members, verify, star_rounds=2, details=units.select("id", "n", "bits"), may_link=_MAY_LINK)
     return found.withColumnRenamed("id", "h")
 
 

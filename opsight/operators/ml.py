@@ -23,6 +23,7 @@ from opsight.operators.ranks import average_rank, exact_percentiles, match, runn
 
 
 ROWS_PER_PARTITION = 25_000
+MOST_ROWS = 1_000_000  # of a partition, however few cores there are
 
 
 # ---------------------------------------------------------------- K1-K3
@@ -210,8 +211,14 @@ def assembled(df: DataFrame, features: Sequence[str], label: str, extra: Sequenc
     path = shared_path(df.sparkSession, "features")
     rows.write.mode("overwrite").parquet(path)
     table = df.sparkSession.read.schema(rows.schema).parquet(path)
-    # small tables in few partitions: training runs thousands of short jobs over them
-    return table.coalesce(max(1, -(-table.count() // ROWS_PER_PARTITION)))
+    return table.coalesce(training_partitions(table.count(), df.sparkSession.sparkContext.defaultParallelism))
+
+
+def training_partitions(rows: int, cores: int) -> int:
+    """Partitions of a table that thousands of short training jobs read: few for small tables, two for each core for
+    others. Each task of each job sends its result to the driver, so their number must not grow with the rows; only
+    partitions beyond ``MOST_ROWS`` rows are split."""
+    return max(1, min(-(-rows // ROWS_PER_PARTITION), 2 * cores), -(-rows // MOST_ROWS))
 
 
 def scaled(df: DataFrame, features: Sequence[str], id_col: str = "customer_id") -> DataFrame:

@@ -366,3 +366,8 @@ def test_best_model_queries_share_one_comparison(spark, monkeypatch):
         assert all(r.is_best == (r.model == best) for r in rows)
         model = made[0][1]["models"][rows[0].model].stages[-1]
         assert max(r.importance for r in rows) == max(model.featureImportances.toArray())
+
+
+def test_training_tasks_do_not_grow_with_the_rows():
+    assert [ML.training_partitions(n, 12) for n in (0, 15_000, 90_000, 900_000, 5_400_000)] == [1, 1, 4, 24, 24]
+    assert ML.training_partitions(100_000_000, 12) == 100

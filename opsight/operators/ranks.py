@@ -8,8 +8,11 @@ meets in one task but one row for each partition.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from itertools import accumulate
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +27,27 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _with_running_sums(cols: Sequence[str]):
+    """Add the running sums ``__l_<col>`` of the columns ``__s_<col>`` over a task's rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        upto: list[pa.Scalar | None] = [None] * len(cols)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sums = []
+            for i, c in enumerate(cols):
+                own = batch.column(batch.schema.names.index(f"__s_{c}"))
+                own = pc.fill_null(own, pa.scalar(0).cast(own.type))
+                if pa.types.is_decimal(own.type):  # Arrow adds these up in Python only
+                    own = pa.array(list(accumulate(own.to_pylist(), initial=upto[i].as_py() if upto[i] else 0))[1:], own.type)
+                else:
+                    own = pc.cumulative_sum_checked(own, start=upto[i])
+                sums.append(own)
+                upto[i] = own[-1]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *sums], [*batch.schema.names, *[f"__l_{c}" for c in cols]])
+    return run
+
+
 def fixed_ranges(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     """``df`` range-partitioned by ``order``, with the partition as ``__p``, as a written table.
 
@@ -35,6 +59,15 @@ def fixed_ranges(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     return written(df.repartitionByRange(parts, *order).withColumn("__p", F.spark_partition_id()), "ranges")
 
 
+def summed_ranges(grouped: DataFrame, order: Sequence[Column], cols: Sequence[str]) -> DataFrame:
+    """:func:`fixed_ranges` with the running sums ``__l_<col>`` of the columns ``__s_<col>`` within each range: the
+    task that gets a range sorts it, sums it up and writes it, so rows are shuffled once."""
+    parts = int(grouped.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = grouped.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("__p", F.spark_partition_id())
+    schema = T.StructType([*ranged.schema.fields, *[T.StructField(f"__l_{c}", ranged.schema[f"__s_{c}"].dataType) for c in cols]])
+    return written(ranged.mapInArrow(_with_running_sums(cols), schema), "ranges")
+
+
 def running_totals(df: DataFrame, order_by: Sequence[str], cols: Sequence[str], descending: bool = False,
                    prefix: str = "cum_") -> DataFrame:
     """Running sums of ``cols`` over the global order of ``order_by``; rows equal in it are one row.
@@ -43,12 +76,9 @@ def running_totals(df: DataFrame, order_by: Sequence[str], cols: Sequence[str],
     each partition, so that side is broadcast).
     """
     keys = [F.col(c).desc() if descending else F.col(c).asc() for c in order_by]
-    grouped = df.groupBy(*order_by).agg(*[F.sum(c).alias(f"__s_{c}") for c in cols])
-    ranged = fixed_ranges(grouped, keys)
-    inside = Window.partitionBy("__p").orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
-    local = ranged.select("*", *[F.sum(f"__s_{c}").over(inside).alias(f"__l_{c}") for c in cols])
+    local = summed_ranges(df.groupBy(*order_by).agg(*[F.sum(c).alias(f"__s_{c}") for c in cols]), keys, cols)
     before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
-    totals = ranged.groupBy("__p").agg(*[F.sum(f"__s_{c}").alias(f"__t_{c}") for c in cols])
+    totals = local.groupBy("__p").agg(*[F.sum(f"__s_{c}").alias(f"__t_{c}") for c in cols])
     offsets = totals.select("__p", *[F.coalesce(F.sum(f"__t_{c}").over(before), F.lit(0)).alias(f"__o_{c}") for c in cols])
     return local.join(F.broadcast(offsets), "__p").select(
         *order_by, *[F.col(f"__s_{c}").alias(c) for c in cols],
@@ -87,20 +117,31 @@ def value_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     Distinct counts, percentiles, modes, histograms and outlier counts of all columns can be read from it
     without another pass over the rows. Summaries of parts of the data (days) add up by ``column`` and ``value``.
     """
-    items = []
-    for c in columns:
+    plain, inexact = [], []
+    for i, c in enumerate(columns):
         kind = df.schema[c].dataType
         value = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
-        exact = F.lit(None).cast("string")
         if isinstance(kind, (T.LongType, T.DecimalType)):  # beyond the precision of doubles
             exact = F.when(~value.try_cast(kind).eqNullSafe(F.col(c)), F.col(c).cast("string"))
-        items.append(F.struct(F.lit(c).alias("column"), value.alias("value"), exact.alias("exact")))
-    pairs = df.select(F.explode(F.array(*items)).alias("__v")).select("__v.*").filter(F.col("value").isNotNull())
-    counts = (pairs.groupBy("column", "value", "exact").agg(F.count(F.lit(1)).alias("n"))
-              .select("column", "value", "n", F.lit(1).cast("long").alias("forms")))
-    ranked = written(running_totals(counts, ["column", "value"], ["n", "forms"]), "ranked")
-    heads = ranked.groupBy("column").agg(F.min(F.col("cum_n") - F.col("n")).alias("__start"), F.sum("n").alias("total"))  # a row for each column
-    return ranked.join(F.broadcast(heads), "column").select("column", "value", "n", "forms", (F.col("cum_n") - F.col("__start")).alias("upto"), "total")
+            inexact.append(F.struct(F.lit(i).alias("at"), value.alias("value"), exact.alias("exact")))
+        else:
+            plain.append(F.struct(F.lit(i).alias("at"), value.alias("value")))
+    one, found = F.count(F.lit(1)).alias("__s_n"), []
+    for items, keys in ((plain, ["at", "value"]), (inexact, ["at", "value", "exact"])):
+        if items:
+            pairs = df.select(F.explode(F.array(*items)).alias("__v")).select("__v.*").filter(F.col("value").isNotNull())
+            counts = pairs.groupBy(*keys).agg(one).withColumn("forms", F.lit(1).cast("long"))
+            found.append(counts if items is plain else counts.groupBy("at", "value").agg(F.sum("__s_n").alias("__s_n"), F.sum("forms").alias("forms")))
+    counts = written(found[0].unionByName(found[1]) if len(found) > 1 else found[0], "counted")  # sampled for its ranges, then read
+    ranked = summed_ranges(counts, [F.col("at").asc(), F.col("value").asc()], ["n"])
+    parts = ranked.groupBy("at", "__p").agg(F.sum("__s_n").alias("n"), F.min(F.col("__l_n") - F.col("__s_n")).alias("first"))
+    # what the column has in ranges before, less what other columns have before it in this range
+    before = Window.partitionBy("at").orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    heads = parts.select("at", "__p", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("__offset"),
+                         F.sum("n").over(Window.partitionBy("at")).alias("total"))
+    heads = written(heads.withColumn("column", F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("at") + 1)), "heads")
+    return (ranked.join(F.broadcast(heads), ["at", "__p"])  # a row for each column and range
+            .select("column", "value", F.col("__s_n").alias("n"), "forms", (F.col("__offset") + F.col("__l_n")).alias("upto"), "total"))
 
 
 def summary_percentiles(summary: DataFrame, probs: Sequence[float]) -> DataFrame:

@@ -2,6 +2,8 @@
 import os
 import subprocess
 import sys
+from decimal import Decimal
+from itertools import accumulate
 
 import numpy as np
 import pytest
@@ -204,3 +206,19 @@ def test_value_summary(spark):
     assert out == {"a": 1, "b": 0, "c": 1}
     none = P.outlier_summary(df.filter("c < 0"), ["a"]).first()
     assert none["n_outliers"] == 0 and none["lower_bound"] is None
+
+
+def test_running_totals_shuffle_rows_once(spark):
+    """The task of a range sums it up; only one row for each range is shuffled afterwards, and decimals stay exact."""
+    rng = np.random.default_rng(8)
+    data = sorted((int(v), Decimal(int(w)) / 100) for v, w in zip(rng.permutation(3000), rng.integers(1, 10 ** 6, 3000)))
+    df = spark.createDataFrame([(v, w, 1) for v, w in data], "v long, w decimal(12,2), n int")
+    totals = R.running_totals(df, ["v"], ["w", "n"])
+    assert totals._jdf.queryExecution().executedPlan().toString().count("hashpartitioning(__p") <= 1
+    got = {r["v"]: (r["cum_w"], r["cum_n"]) for r in totals.collect()}
+    assert got == {v: (s, k + 1) for k, ((v, _), s) in enumerate(zip(data, accumulate(w for _, w in data)))}
+    down = {r["v"]: r["cum_n"] for r in R.running_totals(df, ["v"], ["n"], descending=True).collect()}
+    assert down == {v: 3000 - k for k, (v, _) in enumerate(data)}
+    summary = R.value_summary(df, ["v", "n"])
+    assert "hashpartitioning" not in summary._jdf.queryExecution().executedPlan().toString()
+    assert summary.filter("column = 'v' and upto = value + 1 and total = 3000").count() == 3000

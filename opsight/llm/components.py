@@ -84,20 +84,19 @@ def links_from_buckets(postings: DataFrame, verify: Callable[[DataFrame], DataFr
             pairs = (rows.join(pivots, "sig").filter("component <> p.component and " + _MAY_LINK.format("p."))
                      .select(F.least("id", "p.id").alias("a"), F.greatest("id", "p.id").alias("b")))
         else:
-            # a pair that shares several signatures is formed at the smallest only
-            lists = rows.groupBy("id").agg(F.collect_set("sig").alias("sigs"))  # an id's own signatures
-            # members of a large bucket are dealt out in parts, each of which meets all others
+            # a pair that shares several signatures is a short row for each until the rows are made distinct: a list of its
+            # signatures in each of an id's rows would be quadratic in them. Members of a large bucket are dealt out in parts, each of which meets all others
             parts = rows.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
-            listed = rows.join(lists, "id").join(parts, "sig")
+            listed = rows.join(parts, "sig")
             if details is not None:
-                listed = listed.join(rows_in(details, ["id"], lists.select("id"), unique=True), "id")
+                listed = listed.join(rows_in(details, ["id"], rows.select("id")), "id")
             listed = shared_table(listed, "listed", "zstd")
             other = listed.drop("parts").toDF(*[c if c == "sig" else f"o_{c}" for c in listed.columns if c != "parts"])
             other = other.join(parts.filter("parts > 1"), "sig", "left").withColumn("part", F.expr("explode(sequence(0, coalesce(parts, 1) - 1))"))
             listed = listed.withColumn("part", F.expr("pmod(hash(id), parts)"))
             pairs = (listed.join(other.drop("parts"), ["sig", "part"])
                      .filter("component < o_component and " + _MAY_LINK.format("o_") + " and " + _MAY_LINK_BY_PIVOT
-                             + " and " + may_link + " and sig = array_min(array_intersect(sigs, o_sigs))")
+                             + " and " + may_link)
                      .select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b")))
         pairs = shared_table(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
         if pairs.limit(1).count():
@@ -115,8 +114,3 @@ def links_from_buckets(postings: DataFrame, verify: Callable[[DataFrame], DataFr
                 found = connected_components(links)
         rows = rows.drop("component")
     return found, links
-
-
-def fetch(table: DataFrame, key: str, ids: DataFrame) -> DataFrame:
-    """Rows of ``table`` whose ``key`` is in ``ids(id)``; other rows are dropped before any shuffle."""
-    return rows_in(table, [key], ids.select(F.col("id").alias(key)))

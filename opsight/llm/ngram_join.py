@@ -25,11 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opsight.llm.common import flag_rows, rows_not_in, shared_table, small_batches
-from opsight.llm.components import fetch, links_from_buckets
+from opsight.llm.components import links_from_buckets
 from opsight.llm.hashing import mix, shingle_sets
 
 RARE_DF = 16
 _FLUSH = 1 << 19
+_NARROW = 12  # bits of hash ranges whose shingles have few different upper parts
 _U = np.uint64
 
 
@@ -45,7 +46,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 _TOKENS = "block long, bucket int, high binary, low binary, docs binary, ids binary, sizes binary"
-_KNOWN = "block long, tokens binary, kinds binary, docs binary, ids binary, sizes binary"
+_KNOWN = "block long, bucket int, high binary, low binary, kinds binary, docs binary, ids binary, sizes binary"
 _POSTINGS = "sig long, id long, size long, rank long, usable long"
 
 
@@ -53,6 +54,28 @@ def _names(schema: str) -> list[str]:
     return [f.split()[0] for f in schema.split(", ")]
 
 
+def _halves(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return (tokens >> _U(32)).astype(np.uint16), tokens.astype(np.uint32)
+
+
+def _packed_high(high: np.ndarray, bucket: int, bucket_bits: int) -> bytes:
+    """The upper 16 bits of the sorted 48-bit tokens of a hash range. Where the range has many of them, these are
+    numbers of tokens for each, byte plane by byte plane (all but the lowest are mostly zeros)."""
+    if bucket_bits < _NARROW:
+        counts = np.bincount(high - np.uint16(bucket << 16 >> bucket_bits), minlength=1 << 16 >> bucket_bits).astype(np.uint32)
+        high = counts.view(np.uint8).reshape(-1, 4).T
+    return high.tobytes()
+
+
+def _unpacked_tokens(high: bytes, low: bytes, bucket: int, bucket_bits: int) -> np.ndarray:
+    if bucket_bits < _NARROW:
+        counts = np.ascontiguousarray(np.frombuffer(high, np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
+        upper = np.repeat(np.arange(len(counts), dtype=np.uint64) + _U(bucket << 16 >> bucket_bits), counts)
+    else:
+        upper = np.frombuffer(high, np.uint16).astype(np.uint64)
+    return (upper << _U(32)) | np.frombuffer(low, np.uint32)
+
+
 def _token_blocks(bucket_bits: int):
     """A task's documents in blocks: their shingles (the upper 48 bits) with the document's number in the block,
     sorted and cut into hash ranges; the first range holds the block's ids and set sizes."""
@@ -63,12 +86,13 @@ def _token_blocks(bucket_bits: int):
         t, doc = t[order], doc[order]
         bounds = np.searchsorted(t, np.arange((1 << bucket_bits) + 1, dtype=np.uint64) << _U(48 - bucket_bits))
         filled = np.flatnonzero(bounds[1:] > bounds[:-1])
-        high, low = (t >> _U(32)).astype(np.uint16), t.astype(np.uint32)
         cut = [(bounds[b], bounds[b + 1]) for b in filled.tolist()]
+        high, low = _halves(t)
+        highs = [_packed_high(high[x:y], b, bucket_bits) for b, (x, y) in zip(filled.tolist(), cut)]
         head = [np.array(ids, np.int64).tobytes(), np.array([len(x) for x in sets], np.int64).tobytes()]
         return pa.RecordBatch.from_arrays(
             [pa.array([block] * len(cut), pa.int64()), pa.array(filled.astype(np.int32)),
-             *[pa.array([x[a:b].tobytes() for a, b in cut], pa.binary()) for x in (high, low, doc)],
+             pa.array(highs, pa.binary()), *[pa.array([x[a:b].tobytes() for a, b in cut], pa.binary()) for x in (low, doc)],
              *[pa.array([h, *[None] * (len(cut) - 1)], pa.binary()) for h in head]], _names(_TOKENS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,7 +112,7 @@ def _token_blocks(bucket_bits: int):
     return run
 
 
-def _classified(rare_df: int):
+def _classified(rare_df: int, bucket_bits: int):
     """The shingles of each hash range that several documents have, with their class: 1 rare, then frequent by
     powers of four. Each block gets its own back; shingles of one document stay behind."""
     limits = np.array([1, *(rare_df * 4 ** k for k in range(20))])
@@ -100,7 +124,7 @@ def _classified(rare_df: int):
                 held.setdefault(bucket, []).append((block, *rest))
         for bucket in sorted(held):
             rows = held.pop(bucket)
-            tokens = [(np.frombuffer(r[1], np.uint16).astype(np.uint64) << _U(32)) | np.frombuffer(r[2], np.uint32) for r in rows]
+            tokens = [_unpacked_tokens(r[1], r[2], bucket, bucket_bits) for r in rows]
             every = np.concatenate(tokens)
             order = np.argsort(every, kind="stable")
             sorted_tokens = every[order]
@@ -108,15 +132,18 @@ def _classified(rare_df: int):
             count = np.diff(np.r_[starts, len(every)])
             kinds = np.empty(len(every), np.uint8)
             kinds[order] = np.repeat(np.searchsorted(limits, count).astype(np.uint8), count)
+            high, low = _halves(every)
             out, at = [], 0
             for r, own in zip(rows, tokens):
-                kind = kinds[at:at + len(own)]
+                here = slice(at, at + len(own))
+                kind = kinds[here]
                 at += len(own)
                 again = kind > 0
                 if again.any() or r[4] is not None:
-                    out.append((r[0], own[again].tobytes(), kind[again].tobytes(), np.frombuffer(r[3], np.uint16)[again].tobytes(), r[4], r[5]))
+                    out.append((r[0], bucket, _packed_high(high[here][again], bucket, bucket_bits), low[here][again].tobytes(), kind[again].tobytes(),
+                                np.frombuffer(r[3], np.uint16)[again].tobytes(), r[4], r[5]))
             if out:
-                kinds_of = [pa.int64(), *[pa.binary()] * 5]
+                kinds_of = [pa.int64(), pa.int32(), *[pa.binary()] * 6]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds_of)], _names(_KNOWN))
     return run
 
@@ -162,44 +189,47 @@ def signatures(grams: np.ndarray, kind: np.ndarray, n: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _signed(bucket_bits: int):
     """The postings of each block's documents. A partner shares four fifths of a document's shingles at least, so
     those with fewer shingles that others have need none."""
-    held: dict[int, list[tuple]] = {}
-    for batch in batches:
-        for block, *rest in zip(*[c.to_pylist() for c in batch.columns]):
-            held.setdefault(block, []).append(rest)
-    for block in sorted(held):
-        rows = held.pop(block)
-        tokens, kinds, docs = (np.concatenate([np.frombuffer(r[k], t) for r in rows]) for k, t in ((0, np.uint64), (1, np.uint8), (2, np.uint16)))
-        ids, sizes = (np.frombuffer(next(r[k] for r in rows if r[k] is not None), np.int64) for k in (3, 4))
-        usable = np.bincount(docs, minlength=len(ids))
-        order = np.argsort(docs, kind="stable")
-        bounds = np.r_[0, np.cumsum(usable)]
-        found, owner, rank = [], [], []
-        for k in np.flatnonzero(5 * usable >= 4 * sizes).tolist():
-            own = order[bounds[k]:bounds[k + 1]]
-            found.append(np.unique(signatures(tokens[own], kinds[own], int(sizes[k]))))
-            owner.append(k)
-            rank.append(int(sizes[k] - (kinds[own] > 1).sum()))
-        if found:
-            n = [len(x) for x in found]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(found).view(np.int64)),
-                 *[pa.array(np.repeat(np.array(c, np.int64), n)) for c in (ids[owner], sizes[owner], rank, usable[owner])]], _names(_POSTINGS))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple]] = {}
+        for batch in batches:
+            for block, *rest in zip(*[c.to_pylist() for c in batch.columns]):
+                held.setdefault(block, []).append(rest)
+        for block in sorted(held):
+            rows = held.pop(block)
+            tokens = np.concatenate([_unpacked_tokens(r[1], r[2], r[0], bucket_bits) for r in rows])
+            kinds, docs = (np.concatenate([np.frombuffer(r[k], t) for r in rows]) for k, t in ((3, np.uint8), (4, np.uint16)))
+            ids, sizes = (np.frombuffer(next(r[k] for r in rows if r[k] is not None), np.int64) for k in (5, 6))
+            usable = np.bincount(docs, minlength=len(ids))
+            order = np.argsort(docs, kind="stable")
+            bounds = np.r_[0, np.cumsum(usable)]
+            found, owner, rank = [], [], []
+            for k in np.flatnonzero(5 * usable >= 4 * sizes).tolist():
+                own = order[bounds[k]:bounds[k + 1]]
+                found.append(np.unique(signatures(tokens[own], kinds[own], int(sizes[k]))))
+                owner.append(k)
+                rank.append(int(sizes[k] - (kinds[own] > 1).sum()))
+            if found:
+                n = [len(x) for x in found]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(found).view(np.int64)),
+                     *[pa.array(np.repeat(np.array(c, np.int64), n)) for c in (ids[owner], sizes[owner], rank, usable[owner])]], _names(_POSTINGS))
+    return run
 
 
 def postings_of(nodes: DataFrame, rare_df: int = RARE_DF) -> DataFrame:
     """``(sig, id, size, rank, usable)``: the prefix signatures of each document that may have a partner.
 
-    Every shingle is shuffled once, as 8 bytes in sorted blocks, and counted in the task of its hash range
+    Every shingle is shuffled once, as 6 bytes in sorted blocks, and counted in the task of its hash range
     (2 bytes there for each document of a shared shingle); only shared shingles go back to their block.
     """
     partitions = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bucket_bits = min(18, max(8, (4 * partitions - 1).bit_length()))
     blocks = nodes.select("doc_id", "text").mapInArrow(_token_blocks(bucket_bits), _TOKENS)
-    known = blocks.repartition(partitions, "bucket").mapInArrow(_classified(rare_df), _KNOWN)
-    return known.repartition(partitions, "block").mapInArrow(_signed, _POSTINGS)
+    known = blocks.repartition(partitions, "bucket").mapInArrow(_classified(rare_df, bucket_bits), _KNOWN)
+    return known.repartition(partitions, "block").mapInArrow(_signed(bucket_bits), _POSTINGS)
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,15 +237,20 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for low in range(0, batch.num_rows, 64):
             part = batch.slice(low, 64)
             grams = [g.view(np.int64) for _, g in shingle_sets(part.column(1))]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(grams, pa.list_(pa.int64()))], ["id", "grams"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(grams, pa.list_(pa.int64())), part.column(2), part.column(3)],
+                                             ["id", "grams", "as_a", "as_b"])
 
 
 def verify_pairs(docs: DataFrame):
     """A function that compares the whole sets of pairs ``(a, b)``; Jaccard similarity 0.8 or more is a link."""
     def verify(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        sets = shared_table(fetch(docs, "doc_id", ids).mapInArrow(_sets, "id long, grams array<long>"), "sets")
-        both = (pairs.join(sets.toDF("a", "grams_a"), "a").join(sets.toDF("b", "grams_b"), "b")
+        # a set is shuffled only for the side of the pairs that it stands on
+        ids = (pairs.select(F.col("a").alias("doc_id"), F.lit(True).alias("as_a"), F.lit(False).alias("as_b"))
+               .union(pairs.select("b", F.lit(False), F.lit(True))).groupBy("doc_id").agg(F.max("as_a").alias("as_a"), F.max("as_b").alias("as_b")))
+        texts = flag_rows(docs, ["doc_id"], ids, "maybe").filter("maybe").select("doc_id", "text").join(ids, "doc_id")
+        sets = shared_table(texts.mapInArrow(_sets, "id long, grams array<long>, as_a boolean, as_b boolean"), "sets")
+        own = {side: sets.filter(f"as_{side}").select(F.col("id").alias(side), F.col("grams").alias(f"grams_{side}")) for side in "ab"}
+        both = (pairs.join(own["a"], "a").join(own["b"], "b")
                 .select("a", "b", (F.size("grams_a") + F.size("grams_b")).alias("sizes"),
                         F.size(F.array_intersect("grams_a", "grams_b")).cast("long").alias("shared")))
         return (both.withColumn("link", F.expr("100 * shared >= 80 * (sizes - shared)"))

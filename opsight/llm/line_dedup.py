@@ -39,6 +39,7 @@ MIN_SIMILARITY = 0.9
 MIN_FUZZY = 10  # units: at fewer, one edit is more than the threshold allows
 WORDS64 = 8  # of a SimHash
 BLOCKS, BLOCK_BITS = 24, 21  # three blocks of each 64 bits
+KEY_BITS = BLOCK_BITS + (BLOCKS - 1).bit_length()  # a block's number and bits
 CHECK_BITS = 6  # of 32 further bits, that may differ in a candidate pair
 LONG_LIST = 1024  # members of a block's list beyond which their check bits are not compared
 _FLUSH = 1 << 17  # lines that a task holds, each form once
@@ -119,6 +120,17 @@ def block_keys(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys.astype(np.uint32), checks.astype(np.uint32)
 
 
+def _split_keys(keys: np.ndarray, bucket_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The bucket of each block key and what is left of the key in it, both from a permutation of all keys."""
+    left = KEY_BITS - bucket_bits
+    spread = keys.astype(np.uint64) * _U(0x9E3779B97F4A7C15) & _U((1 << KEY_BITS) - 1)
+    return (spread >> _U(left)).astype(np.int32), (spread & _U((1 << left) - 1)).astype(_left_type(bucket_bits))
+
+
+def _left_type(bucket_bits: int) -> type:
+    return np.uint16 if KEY_BITS - bucket_bits <= 16 else np.uint32
+
+
 def _split(column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     """All lines of a text column, the row of each, and its number in the row."""
     lines, rows, numbers = [], [], []
@@ -175,12 +187,12 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _block_lists(bucket_bits: int):
-    """The blocks of each task's fuzzy lines, packed by hash range: key, line hash and check bits."""
+    """The blocks of each task's fuzzy lines, packed by bucket: rest of the key, line hash and check bits."""
     def packed(ids: np.ndarray, hashes: np.ndarray) -> Iterator[pa.RecordBatch]:
         every_key, every_check = block_keys(hashes)
         for low in range(0, BLOCKS, 6):
             keys, checks = every_key[:, low:low + 6].ravel(), every_check[:, low:low + 6].ravel()
-            bucket = (mix(keys.astype(np.uint64)) >> _U(64 - bucket_bits)).astype(np.int32)
+            bucket, keys = _split_keys(keys, bucket_bits)
             order = np.argsort(bucket, kind="stable")
             bucket, keys, checks, own = bucket[order], keys[order], checks[order], ids[order // 6]
             starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
@@ -257,15 +269,20 @@ def candidate_lists(keys: np.ndarray, ids: np.ndarray, checks: np.ndarray) -> tu
     return mix(mix(keys[some].astype(np.uint64)) + ids[group[some]]), ids[some]
 
 
-def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[int, list[tuple[np.ndarray, ...]]] = {}
-    for batch in batches:
-        for bucket, *data in zip(*[c.to_pylist() for c in batch.columns]):
-            held.setdefault(bucket, []).append(tuple(np.frombuffer(d, t) for d, t in zip(data, (np.uint32, np.uint64, np.uint32))))
-    for bucket in sorted(held):
-        sigs, ids = candidate_lists(*[np.concatenate(c) for c in zip(*held.pop(bucket))])
-        if len(sigs):
-            yield pa.RecordBatch.from_arrays([pa.array(sigs.view(np.int64)), pa.array(ids.view(np.int64))], ["sig", "id"])
+def _candidates(bucket_bits: int):
+    kinds = (_left_type(bucket_bits), np.uint64, np.uint32)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple[np.ndarray, ...]]] = {}
+        for batch in batches:
+            for bucket, *data in zip(*[c.to_pylist() for c in batch.columns]):
+                held.setdefault(bucket, []).append(tuple(np.frombuffer(d, t) for d, t in zip(data, kinds)))
+        for bucket in sorted(held):
+            keys, ids, checks = (np.concatenate(c) for c in zip(*held.pop(bucket)))
+            sigs, ids = candidate_lists(keys.astype(np.uint32) | np.uint32(bucket << KEY_BITS - bucket_bits), ids, checks)
+            if len(sigs):
+                yield pa.RecordBatch.from_arrays([pa.array(sigs.view(np.int64)), pa.array(ids.view(np.int64))], ["sig", "id"])
+    return run
 
 
 def unit_bitmaps(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -350,9 +367,9 @@ def line_groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
     lists the documents of each."""
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bucket_bits = min(18, max(8, (4 * partitions - 1).bit_length()))
+    bucket_bits = min(18, max(10, (4 * partitions - 1).bit_length()))  # 16 bits of a key are left, or fewer
     lists = docs.select("text").mapInArrow(_block_lists(bucket_bits), "bucket int, keys binary, ids binary, checks binary")
-    postings = shared_table(lists.repartition(partitions, "bucket").mapInArrow(_candidates, "sig long, id long").distinct(), "postings")
+    postings = shared_table(lists.repartition(partitions, "bucket").mapInArrow(_candidates(bucket_bits), "sig long, id long").distinct(), "postings")
 
     nodes = shared_table(postings.select(F.col("id").alias("h")).distinct(), "nodes")
     place = rows_in(lines.select("h", "doc_id"), ["h"], nodes, unique=True).groupBy("h").agg(F.min("doc_id").alias("doc_id"))

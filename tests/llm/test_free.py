@@ -557,3 +557,16 @@ def test_jaccard_blocks_take_few_bytes():
             assert len(pa.compress(packed, codec="lz4", asbytes=True)) < 3000 or bits > 8
             none = ngram_join._packed_high(high[:0], bucket, bits)
             assert not len(ngram_join._unpacked_tokens(none, b"", bucket, bits))
+
+
+def test_line_dedup_block_keys_take_two_bytes():
+    """A bucket and the rest of a key are a permutation of the keys; rows of the block lists have 14 bytes a key."""
+    keys = np.arange(0, line_dedup.BLOCKS << line_dedup.BLOCK_BITS, 37, dtype=np.uint32)
+    for bits in (10, 14, 18):
+        bucket, left = line_dedup._split_keys(keys, bits)
+        assert left.dtype == np.uint16 and bucket.max() < 1 << bits and len(np.unique(bucket.astype(np.int64) << 32 | left)) == len(keys)
+        assert np.bincount(bucket).max() < 2 * len(keys) / (1 << bits) + 20
+    lines = pa.RecordBatch.from_arrays([pa.array([" ".join(f"w{k * 20 + j}" for j in range(20)) for k in range(50)])], ["text"])
+    rows = [r for b in line_dedup._block_lists(10)(iter([lines])) for r in b.to_pylist()]
+    assert sum(len(r["ids"]) for r in rows) == 8 * 50 * line_dedup.BLOCKS
+    assert sum(len(r["keys"]) + len(r["ids"]) + len(r["checks"]) for r in rows) == 14 * 50 * line_dedup.BLOCKS

@@ -47,7 +47,8 @@ _MAY_LINK_BY_PIVOT = ("(near is null or o_near is null or 9 * (least(near, o_nea
 
 
 def links_from_buckets(postings: DataFrame, verify: Callable[[DataFrame], DataFrame],
-                       star_rounds: int = 2, details: DataFrame | None = None, may_link: str = "true") -> tuple[DataFrame, DataFrame]:
+                       star_rounds: int = 2, details: DataFrame | None = None, may_link: str = "true",
+                       alone: bool = True) -> tuple[DataFrame, DataFrame]:
     """Connected ``(id, component)`` of all ids that share a signature and pass ``verify``, and the links.
 
     ``postings(sig, id, size, rank, usable)`` lists the ids of each signature; ``usable`` is how much of
@@ -60,10 +61,14 @@ def links_from_buckets(postings: DataFrame, verify: Callable[[DataFrame], DataFr
     a bucket that are still in different components, unless their overlaps with the pivot show that they
     cannot link. So no link between components is lost, whatever the bucket's size. ``details(id, ...)`` adds columns
     to the members of that round, and ``may_link`` is false only for pairs whose columns (``o_...`` of the second)
-    show that they cannot link; such pairs are no rows.
+    show that they cannot link; such pairs are no rows. Where no row of ``postings`` is ``alone`` with its signature or
+    there twice, it is not looked for such.
     """
-    keys = (postings.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("sig"))
-    opened = shared_table(postings.join(keys, "sig", "left_semi").select("sig", "id", "size", "rank", "usable").distinct(), "members")
+    opened = postings.select("sig", "id", "size", "rank", "usable")
+    if alone:
+        keys = (postings.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("sig"))
+        opened = opened.join(keys, "sig", "left_semi").distinct()
+    opened = shared_table(opened, "members")
     rows = opened.withColumn("near", F.lit(None).cast("long"))
     spark, id_type = postings.sparkSession, postings.schema["id"].dataType.simpleString()
     links = spark.createDataFrame([], f"a {id_type}, b {id_type}")

@@ -18,8 +18,8 @@ _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTE_VALUES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
-_IS_SPACE = np.zeros(256, bool)
-_IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+IS_SPACE = np.zeros(256, bool)
+IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWERED = np.arange(256, dtype=np.uint8)
 LOWERED[65:91] += 32
 _LOWER_VALUES = _BYTE_VALUES[LOWERED]
@@ -49,7 +49,7 @@ def _hash_words(data: np.ndarray, cuts: np.ndarray, lower: bool) -> tuple[np.nda
     """Hash of each word in ``data``, and each word's start; ``cuts`` are places where a new text begins."""
     if not len(data):
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    inside = ~_IS_SPACE[data]
+    inside = ~IS_SPACE[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     at = cuts[cuts < len(data)]
@@ -85,11 +85,11 @@ def _piece_ends(data: np.ndarray) -> Iterator[tuple[int, int]]:
     while start < len(data):
         end = start + PIECE
         if end < len(data):
-            spaces = np.flatnonzero(_IS_SPACE[data[start:end]])
+            spaces = np.flatnonzero(IS_SPACE[data[start:end]])
             if len(spaces):
                 end = start + int(spaces[-1]) + 1
             else:
-                while end < len(data) and not _IS_SPACE[data[end]]:
+                while end < len(data) and not IS_SPACE[data[end]]:
                     end += 1
         end = min(end, len(data))
         yield start, end

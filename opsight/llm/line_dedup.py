@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from opsight.llm.common import flag_rows, rows_in, shared_table, small_batches
 from opsight.llm.components import links_from_buckets
-from opsight.llm.hashing import mix, sequence_hashes, word_runs
+from opsight.llm.hashing import IS_SPACE, mix, sequence_hashes, text_buffers, word_runs
 
 MIN_SIMILARITY = 0.9
 MIN_FUZZY = 10  # units: at fewer, one edit is more than the threshold allows
@@ -49,7 +49,10 @@ _WAITING = 1 << 18  # units that a task collects before it hashes their lines
 _LONG_LINE = 512  # units from which a line's bits are counted by itself, with the same result
 # Thai, Lao, Burmese, Khmer, CJK with kana: scripts without blanks between words.
 _BLANKLESS = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
+_MAY_BE_BLANKLESS = np.zeros(256, bool)  # first bytes of these in UTF-8, among others
+_MAY_BE_BLANKLESS[[*range(0xE0, 0xEA), 0xEF, 0xF0]] = True
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_LINE_WITH_WORD = r"[^\x20\x09-\x0D][^\n]*"
 _SALTS = np.random.default_rng(20240301).integers(1, 1 << 63, WORDS64, dtype=np.uint64) | np.uint64(1)
 
 
@@ -68,13 +71,26 @@ def _majority(units: np.ndarray, starts: np.ndarray, n: np.ndarray) -> np.ndarra
     order = np.argsort(-n, kind="stable")  # the lines that still have units come first
     starts, size = starts[order], n[order]
     planes = np.zeros((int(size[0]).bit_length(), len(n), WORDS64), np.uint64)
-    for k in range(int(size[0])):
-        live = int(np.searchsorted(-size, -k, "left"))
+    waiting: list[np.ndarray | None] = [None] * len(planes)  # two carries are added to a plane at once
+    for k, live in enumerate(np.searchsorted(-size, -np.arange(int(size[0])), "left").tolist()):
         carry = _bits(units[starts[:live] + k])
-        for plane in planes[:(k + 1).bit_length()]:
-            both = plane[:live] & carry
-            plane[:live] ^= carry
+        for level, plane in enumerate(planes):
+            if waiting[level] is None:
+                waiting[level] = carry
+                break
+            first, waiting[level] = waiting[level], None
+            plane, some = plane[:len(first)], len(carry)
+            both = plane & first
+            plane ^= first
+            both[:some] |= plane[:some] & carry
+            plane[:some] ^= carry
             carry = both
+    for level, carry in enumerate(waiting):
+        if carry is not None:
+            for plane in planes[level:]:
+                both = plane[:len(carry)] & carry
+                plane[:len(carry)] ^= carry
+                carry = both
     more = np.zeros((len(n), WORDS64), np.uint64)
     same = ~more
     for k in range(len(planes) - 1, -1, -1):  # compare the counters with half of n
@@ -131,15 +147,12 @@ def _left_type(bucket_bits: int) -> type:
     return np.uint16 if KEY_BITS - bucket_bits <= 16 else np.uint32
 
 
-def _split(column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+def _split(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """All lines of a text column, the row of each, and its number in the row."""
-    lines, rows, numbers = [], [], []
-    for row, text in enumerate(column.to_pylist()):
-        own = (text or "").split("\n")
-        lines += own
-        rows += [row] * len(own)
-        numbers += range(len(own))
-    return lines, np.array(rows, np.int64), np.array(numbers, np.int64)
+    lists = pc.split_pattern(pc.fill_null(column.cast(pa.large_string()), ""), "\n")
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    rows = np.repeat(np.arange(len(sizes)), sizes)
+    return lists.flatten(), rows, np.arange(len(rows)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
 def _slices(batch: pa.RecordBatch, texts: pa.Array, most: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
@@ -155,35 +168,55 @@ def _slices(batch: pa.RecordBatch, texts: pa.Array, most: int = 1 << 20) -> Iter
         yield batch.slice(start), texts.slice(start)
 
 
-def _unit_lines(lines: list[str]) -> pa.Array:
+def _unit_lines(lines: pa.Array) -> pa.Array:
     """The lines with blanks between their units."""
-    out = []
-    for x in lines:
+    data, offsets = text_buffers(lines)
+    low = int(offsets[0])
+    data = data[low:int(offsets[-1])]
+    wide = np.flatnonzero(_MAY_BE_BLANKLESS[data])
+    wide = wide[(data[wide] != 0xE2) | (data[np.minimum(wide + 1, len(data) - 1)] >= 0xBA)]  # not the punctuation below U+2E80
+    whole = pc.less(pc.find_substring(lines, " "), 0).to_numpy(zero_copy_only=False)
+    changed, made = [], []
+    for k in np.union1d(np.searchsorted(offsets - low, wide, "right") - 1, np.flatnonzero(whole & (np.diff(offsets) > 1))).tolist():
+        x = before = lines[k].as_py()
         if not x.isascii() and _BLANKLESS.search(x):
             x = _BLANKLESS.sub(r" \1 ", x)
         if " " not in x and len(found := _WORD.findall(x)) == 1:
             x = " ".join(found[0])
-        out.append(x)
-    return pa.array(out, pa.large_string())
+        if x != before:
+            changed.append(k)
+            made.append(x)
+    if not changed:
+        return lines
+    place = np.arange(len(lines))
+    place[changed] = len(lines) + np.arange(len(made))
+    return pa.concat_arrays([lines, pa.array(made, pa.large_string())]).take(pa.array(place))
+
+
+def _line_hashes(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each line's units, and their number."""
+    runs = [(sequence_hashes(words, bounds), np.diff(bounds)) for _, words, bounds in word_runs(_unit_lines(lines))]
+    return np.concatenate([np.empty(0, np.uint64), *[h for h, _ in runs]]), np.concatenate([np.empty(0, np.int64), *[n for _, n in runs]])
 
 
 _LINES = "doc_id long, line int, h long"
 
 
 def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first occurrence in its document of each line with words."""
+    """The first occurrence in its row of each line with words, and a row with line -1 for each row that repeats one."""
     for batch, texts in (part for b in batches for part in _slices(b, b.column(1))):
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
         lines, rows, numbers = _split(texts)
-        for at, words, bounds in word_runs(_unit_lines(lines)):
-            hashes = sequence_hashes(words, bounds)
-            chosen = np.flatnonzero(np.diff(bounds))
-            if len(chosen):
-                _, first = np.unique(mix(hashes[chosen]) + rows[at + chosen].astype(np.uint64), return_index=True)
-                chosen = chosen[np.sort(first)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[rows[at + chosen]].astype(np.int64)), pa.array(numbers[at + chosen].astype(np.int32)),
-                     pa.array(hashes[chosen].view(np.int64))], [f.split()[0] for f in _LINES.split(", ")])
+        hashes, n = _line_hashes(lines)
+        chosen = np.flatnonzero(n)
+        _, first = np.unique(mix(hashes[chosen]) + rows[chosen].astype(np.uint64), return_index=True)
+        again = np.unique(rows[np.delete(chosen, first)])
+        chosen = chosen[np.sort(first)]
+        if len(chosen):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.r_[ids[rows[chosen]], ids[again]]),
+                 pa.array(np.r_[numbers[chosen], np.full(len(again), -1)].astype(np.int32)),
+                 pa.array(np.r_[hashes[chosen].view(np.int64), np.zeros(len(again), np.int64)])], [f.split()[0] for f in _LINES.split(", ")])
 
 
 def _block_lists(bucket_bits: int):
@@ -193,7 +226,7 @@ def _block_lists(bucket_bits: int):
         for low in range(0, BLOCKS, 6):
             keys, checks = every_key[:, low:low + 6].ravel(), every_check[:, low:low + 6].ravel()
             bucket, keys = _split_keys(keys, bucket_bits)
-            order = np.argsort(bucket, kind="stable")
+            order = np.argsort(bucket.astype(np.uint16) if bucket_bits <= 16 else bucket, kind="stable")
             bucket, keys, checks, own = bucket[order], keys[order], checks[order], ids[order // 6]
             starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
             cut = list(zip(starts.tolist(), [*starts[1:].tolist(), len(bucket)]))
@@ -244,7 +277,8 @@ def _block_lists(bucket_bits: int):
 
 def candidate_lists(keys: np.ndarray, ids: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Signature and member of each list to search: the members of a block's list that are connected by check bits
-    that differ little, one row for each; lists of more than ``LONG_LIST`` members as a whole."""
+    that differ little, one row for each; lists of more than ``LONG_LIST`` members as a whole. The signature is a
+    hash of the members, so lists of the same lines, which most of two versions' blocks make, are one."""
     order = np.lexsort((ids, keys))
     keys, ids, checks = keys[order], ids[order], checks[order]
     new = np.r_[True, (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])][:len(keys)]
@@ -265,8 +299,14 @@ def candidate_lists(keys: np.ndarray, ids: np.ndarray, checks: np.ndarray) -> tu
             np.minimum.at(group, np.maximum(a, b), np.minimum(a, b))
             while (group[group] != group).any():
                 group = group[group]
-    some = np.bincount(group, minlength=len(keys))[group] > 1
-    return mix(mix(keys[some].astype(np.uint64)) + ids[group[some]]), ids[some]
+    some = np.flatnonzero(np.bincount(group, minlength=len(keys))[group] > 1)
+    if not len(some):
+        return ids[some], ids[some]
+    some = some[np.argsort(group[some], kind="stable")]
+    group, ids = group[some], ids[some]
+    starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+    sizes = np.diff(np.r_[starts, len(ids)])
+    return np.repeat(mix(np.add.reduceat(mix(ids), starts) + sizes.astype(np.uint64)), sizes), ids
 
 
 def _candidates(bucket_bits: int):
@@ -306,20 +346,26 @@ _MAY_LINK = " and ".join(f"10 * ({x}n - ({' + '.join(f'bit_count({x}bits[{k}] &
 
 
 def _unit_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The unit hashes of each text's wanted lines, their number and bitmap."""
+    """The unit hashes of each text's wanted lines (their numbers and hashes), their number and bitmap."""
     for whole in batches:
         for batch, texts in _slices(whole, whole.column(0)):
-            wanted = [set(x) for x in batch.column(1).to_pylist()]
-            lines, rows, _ = _split(texts)
-            for at, words, bounds in word_runs(_unit_lines(lines)):
-                hashes = sequence_hashes(words, bounds).view(np.int64).tolist()
-                chosen = [k for k, h in enumerate(hashes) if h in wanted[rows[at + k]]]
-                if chosen:
-                    own = np.concatenate([words[bounds[k]:bounds[k + 1]] for k in chosen])
-                    ends = np.r_[0, np.cumsum(np.diff(bounds)[chosen])]
+            picked, expected = [], []
+            for text, numbers, hashes in zip(texts.to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                own = (text or "").split("\n")
+                for k, h in zip(numbers, hashes):
+                    if k < len(own):  # another row may have the same doc_id
+                        picked.append(own[k])
+                        expected.append(h)
+            expected = np.array(expected, np.int64)
+            for at, words, bounds in word_runs(_unit_lines(pa.array(picked, pa.large_string()))):
+                hashes = sequence_hashes(words, bounds).view(np.int64)
+                chosen = hashes == expected[at:at + len(hashes)]
+                if chosen.any():
+                    n = np.diff(bounds)
+                    own, ends = words[np.repeat(chosen, n)], np.r_[0, np.cumsum(n[chosen])]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([hashes[k] for k in chosen], pa.int64()),
-                         pa.array([own[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary()), pa.array(np.diff(ends), pa.int64()),
+                        [pa.array(hashes[chosen]),
+                         pa.array([own[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary()), pa.array(n[chosen].astype(np.int64)),
                          pa.array(unit_bitmaps(own, ends).tolist(), pa.list_(pa.int64()))], ["id", "units", "n", "bits"])
 
 
@@ -355,16 +401,32 @@ def similar(a: list[int], b: list[int]) -> bool:
     return longer - (Counter(a) & Counter(b)).total() <= most and edit_distance(a, b) <= most
 
 
+def _edits_at_most(a: np.ndarray, b: np.ndarray) -> int:
+    """An upper bound of the edit distance: no more units differ in place, or between the first and the last that do."""
+    size = min(len(a), len(b))
+    differ = np.flatnonzero(a[:size] != b[:size])
+    if len(a) == len(b):
+        return len(differ)
+    if not len(differ):
+        return max(len(a), len(b)) - size
+    back = np.flatnonzero(a[len(a) - size:] != b[len(b) - size:])
+    same = size - 1 - int(back[-1]) if len(back) else size  # units at the end that agree
+    return max(len(a), len(b)) - min(size, int(differ[0]) + same)
+
+
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        link = [similar(*(np.frombuffer(v.as_buffer(), np.uint64).tolist() for v in pair)) for pair in zip(batch.column(2), batch.column(3))]
+        link = []
+        for pair in zip(batch.column(2), batch.column(3)):
+            a, b = (np.frombuffer(v.as_buffer(), np.uint64) for v in pair)
+            link.append(_edits_at_most(a, b) <= (1 - MIN_SIMILARITY) * max(len(a), len(b)) + 1e-9 or similar(a.tolist(), b.tolist()))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.nulls(len(link), pa.int64()),
                                           pa.array(link, pa.bool_())], ["a", "b", "shared", "link"])
 
 
-def line_groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """``(h, component)`` of the lines of ``docs(doc_id, text)`` that are linked with other normal forms; ``lines``
-    lists the documents of each."""
+def line_groups(docs: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(h, component)`` of the lines of ``docs(doc_id, text)`` that are linked with other normal forms, and ``(h, at,
+    rank)`` with the first occurrence of these and other candidates; ``lines`` lists the documents of each."""
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bucket_bits = min(18, max(10, (4 * partitions - 1).bit_length()))  # 16 bits of a key are left, or fewer
@@ -372,9 +434,13 @@ def line_groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
     postings = shared_table(lists.repartition(partitions, "bucket").mapInArrow(_candidates(bucket_bits), "sig long, id long").distinct(), "postings")
 
     nodes = shared_table(postings.select(F.col("id").alias("h")).distinct(), "nodes")
-    place = rows_in(lines.select("h", "doc_id"), ["h"], nodes, unique=True).groupBy("h").agg(F.min("doc_id").alias("doc_id"))
-    wanted = shared_table(place.groupBy("doc_id").agg(F.collect_list("h").alias("wanted")), "wanted")  # a document's own lines
-    texts = flag_rows(docs, ["doc_id"], wanted, "maybe").filter("maybe").select("doc_id", "text").join(wanted, "doc_id").select("text", "wanted")
+    # the line of most documents is the pivot of its buckets: versions of it are near to it rather than to each other
+    forms = shared_table(rows_in(lines, ["h"], nodes, unique=True).groupBy("h")
+                         .agg(F.min(F.struct("doc_id", "line")).alias("at"), (-F.count(F.lit(1))).alias("rank")), "forms")
+    wanted = forms.groupBy("at.doc_id").agg(F.collect_list(F.struct("at.line", "h")).alias("own"))  # a document's own lines
+    wanted = shared_table(wanted.select("doc_id", F.col("own.line").alias("numbers"), F.col("own.h").alias("hashes")), "wanted")
+    texts = (flag_rows(docs, ["doc_id"], wanted, "maybe").filter("maybe").select("doc_id", "text").join(wanted, "doc_id")
+             .select("text", "numbers", "hashes"))
     units = shared_table(texts.mapInArrow(_unit_lists, "id long, units binary, n long, bits array<long>")
                          .groupBy("id").agg(*[F.first(c).alias(c) for c in ("units", "n", "bits")]), "units")
 
@@ -384,30 +450,31 @@ def line_groups(docs: DataFrame, lines: DataFrame) -> DataFrame:
                 .filter(_MAY_LINK).select("a", "b", "units_a", "units_b"))
         return both.mapInArrow(_compared, "a long, b long, shared long, link boolean")
 
-    # the line of most documents is the pivot of its buckets: versions of it are near to it rather than to each other
-    common = shared_table(lines.groupBy("h").agg((-F.count(F.lit(1))).alias("rank")).filter("rank < -1").withColumnRenamed("h", "id"), "common")
     one = F.lit(1).cast("long")
-    members = postings.join(common, "id", "left").select("sig", "id", one.alias("size"), F.coalesce("rank", -one).alias("rank"), one.alias("usable"))
-    found, _ = links_from_buckets(members, verify, star_rounds=2, details=units.select("id", "n", "bits"), may_link=_MAY_LINK)
-    return found.withColumnRenamed("id", "h")
+    members = postings.join(forms.select(F.col("h").alias("id"), "rank"), "id").select("sig", "id", one.alias("size"), "rank", one.alias("usable"))
+    found, _ = links_from_buckets(members, verify, star_rounds=2, details=units.select("id", "n", "bits"), may_link=_MAY_LINK, alone=False)
+    return found.withColumnRenamed("id", "h"), forms
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
-    """``(doc_id, gone)``: the hashes of each document's lines that occur earlier, in another document or another form."""
+    """``(doc_id, numbers, hashes)``: each document's lines that occur earlier, in another document or another form,
+    and line -1 if it repeats one of its own."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
     with small_batches(docs.sparkSession):
-        lines = shared_table(docs.mapInArrow(_described, _LINES), "lines", "zstd")
-    groups = shared_table(line_groups(docs, lines), "groups")
-    firsts = lines.groupBy("h").agg(F.min(F.struct("doc_id", "line", "h")).alias("at"), F.max("doc_id").alias("last"))
-    formed = shared_table(firsts.join(groups, "h", "left").filter("at.doc_id < last or component is not null"), "formed")
-    heads = formed.filter("component is not null").groupBy("component").agg(F.min("at").alias("head"))
-    keeps = (formed.join(heads, "component", "left").select("h", F.coalesce("head", "at").alias("keep"))
-             .select("h", F.col("keep.doc_id").alias("keep_doc"), F.col("keep.h").alias("keep_h")))
-    keeps = shared_table(keeps, "keeps")
-    maybe = flag_rows(lines.select("doc_id", "h"), ["h"], keeps, "maybe").filter("maybe").select("doc_id", "h")
-    gone = (maybe.join(keeps, "h")
-            .filter("doc_id <> keep_doc or h <> keep_h"))
-    return gone.groupBy("doc_id").agg(F.collect_set("h").alias("gone"))  # at most a document's own lines
+        described = shared_table(docs.mapInArrow(_described, _LINES), "lines", "zstd")
+    lines = described.filter("line >= 0")
+    groups, forms = line_groups(docs, lines)
+    linked = shared_table(forms.select("h", F.col("at.doc_id").alias("doc_id"), F.col("at.line").alias("line")).join(groups, "h"), "linked")
+    heads = linked.groupBy("component").agg(F.min(F.struct("doc_id", "line", "h")).alias("head"))
+    keeps = linked.join(heads, "component").select("h", F.col("head.doc_id").alias("keep_doc"), F.col("head.h").alias("keep_h"))
+    copies = lines.groupBy("h").agg(F.min("doc_id").alias("keep_doc"), F.max("doc_id").alias("last")).filter("keep_doc < last")
+    copies = copies.join(linked.select("h"), "h", "left_anti").select("h", "keep_doc", F.col("h").alias("keep_h"))
+    keeps = shared_table(keeps.unionByName(copies), "keeps")
+    gone = (flag_rows(lines, ["h"], keeps, "maybe").filter("maybe").drop("maybe").join(keeps, "h")
+            .filter("doc_id <> keep_doc or h <> keep_h").select("doc_id", "line", "h"))
+    gone = gone.unionByName(described.filter("line < 0").select("doc_id", "line", "h"))
+    own = gone.groupBy("doc_id").agg(F.collect_list(F.struct("line", "h")).alias("own"))  # at most a document's own lines
+    return own.select("doc_id", F.col("own.line").alias("numbers"), F.col("own.h").alias("hashes"))
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -415,27 +482,33 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch, texts in _slices(whole, whole.column(0).field("text")):
             lines, rows, _ = _split(texts)
-            stays = np.ones(len(lines), bool)
-            worded = np.zeros(batch.num_rows, np.int64)
-            gone = [set(x) if x else set() for x in batch.column(2).to_pylist()]
-            no_id = np.array(batch.column(1).is_null())
-            seen: set[tuple[int, int]] = set()
-            for at, words, bounds in word_runs(_unit_lines(lines)):
-                hashes = sequence_hashes(words, bounds).view(np.int64)
-                for i in np.flatnonzero(np.diff(bounds)).tolist():
-                    row, h = int(rows[at + i]), int(hashes[i])
-                    if not no_id[row]:
-                        if (row, h) in seen or h in gone[row]:
-                            stays[at + i] = False
-                            continue
-                        seen.add((row, h))
-                    worded[row] += 1
             first = np.r_[np.searchsorted(rows, np.arange(batch.num_rows)), len(lines)]
-            removed = np.array([int((~stays[a:b]).sum()) for a, b in zip(first, first[1:])], np.int64)
-            source = texts.to_pylist()
-            made = [source[k] if not removed[k] else ("" if not worded[k] else
-                    "\n".join([x for x, y in zip(lines[first[k]:first[k + 1]], stays[first[k]:first[k + 1]]) if y]))
-                    for k in range(batch.num_rows)]
+            stays = np.ones(len(lines), bool)
+            given = pc.fill_null(pc.list_value_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(batch.num_rows), given)
+            numbers, hashes = (c.flatten().to_numpy(zero_copy_only=False) for c in batch.columns[1:])
+            repeats = np.zeros(batch.num_rows, bool)  # rows that must be looked through as a whole
+            repeats[row[numbers < 0]] = True
+            listed = ~repeats[row] & (numbers < np.diff(first)[row])  # another row may have the same doc_id
+            at, expected = first[row[listed]] + numbers[listed], hashes[listed]
+            found, _ = _line_hashes(lines.take(pa.array(at)))
+            stays[at[found.view(np.int64) == expected]] = False
+            every = np.flatnonzero(repeats[rows])
+            if len(every):
+                seen = set(zip(row[numbers >= 0].tolist(), hashes[numbers >= 0].tolist()))
+                found, n = _line_hashes(lines.take(pa.array(every)))
+                for i, key, some in zip(every.tolist(), zip(rows[every].tolist(), found.view(np.int64).tolist()), n.tolist()):
+                    if some:
+                        stays[i] = key not in seen
+                        seen.add(key)
+            data, offsets = text_buffers(lines)
+            words = np.r_[0, np.cumsum(~IS_SPACE[data])]
+            worded = np.bincount(rows[stays & (words[offsets[1:]] > words[offsets[:-1]])], minlength=batch.num_rows)
+            removed = np.bincount(rows[~stays], minlength=batch.num_rows)
+            made = texts.to_pylist()
+            for k in np.flatnonzero(removed).tolist():
+                own = np.flatnonzero(stays[first[k]:first[k + 1]]) + first[k]
+                made[k] = "\n".join(lines.take(pa.array(own)).to_pylist()) if worded[k] else ""
             fields = list(batch.schema.field(0).type)
             columns = [batch.column(0).field(f.name) for f in fields]
             for k, f in enumerate(fields):
@@ -454,12 +527,13 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     gone = shared_table(repeated_lines(docs), "gone", "zstd")
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
     flagged = flag_rows(packed, ["doc_id"], gone, "maybe")
-    sure = flagged.filter("not maybe or maybe is null").select("row", "doc_id", F.lit(None).cast("array<long>").alias("gone"))
-    joined = flagged.filter("maybe").join(gone, "doc_id", "left").select("row", "doc_id", "gone")
+    worded = F.regexp_count(F.coalesce("row.text", F.lit("")), F.lit(_LINE_WITH_WORD)).cast("long")
+    sure = flagged.filter("not maybe or maybe is null").select("row", F.lit(0).cast("long").alias("removed"), worded.alias("left"))
+    joined = flagged.filter("maybe").join(gone, "doc_id", "left").select("row", "numbers", "hashes")
     schema = T.StructType([T.StructField("row", packed.schema["row"].dataType), T.StructField("removed", T.LongType()),
                            T.StructField("left", T.LongType())])
     with small_batches(docs.sparkSession):
-        return sure.unionByName(joined).mapInArrow(_kept, schema)
+        return sure.unionByName(joined.mapInArrow(_kept, schema))
 
 
 def line_report(docs: DataFrame) -> DataFrame:

@@ -556,3 +556,37 @@ def test_line_dedup_block_keys_take_two_bytes():
     rows = [r for b in line_dedup._block_lists(10)(iter([lines])) for r in b.to_pylist()]
     assert sum(len(r["ids"]) for r in rows) == 8 * 50 * line_dedup.BLOCKS
     assert sum(len(r["keys"]) + len(r["ids"]) + len(r["checks"]) for r in rows) == 14 * 50 * line_dedup.BLOCKS
+
+
+def test_line_dedup_lists_of_the_same_lines_are_one():
+    """Two lines that agree in several blocks share one signature, not one for each block."""
+    ids = np.array([11, 22, 11, 22, 11, 22, 33], np.uint64)
+    sigs, members = line_dedup.candidate_lists(np.array([5, 5, 9, 9, 7, 7, 7], np.uint32), ids, np.array([0, 0, 0, 0, 0, 0, 1], np.uint32))
+    lists = {}
+    for s, x in zip(sigs.tolist(), members.tolist()):
+        lists.setdefault(s, set()).add(x)
+    assert sorted(map(sorted, lists.values())) == [[11, 22], [11, 22, 33]]
+
+
+def test_line_dedup_bound_of_edits():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        a = rng.integers(0, 6, rng.integers(1, 30)).astype(np.uint64)
+        b = np.delete(a, rng.integers(0, len(a), rng.integers(0, 3)))
+        b[rng.random(len(b)) < 0.1] = 7
+        for x, y in ((a, b), (b, a)):
+            assert line_dedup.edit_distance(x.tolist(), y.tolist()) <= line_dedup._edits_at_most(x, y) <= max(len(x), len(y))
+
+
+def test_line_dedup_reads_only_listed_lines(monkeypatch):
+    """A row without a repeat of its own is hashed at its listed lines only; rows that share a doc_id may differ."""
+    hashed = []
+    line_hashes = line_dedup._line_hashes
+    monkeypatch.setattr(line_dedup, "_line_hashes", lambda x: (hashed.append(len(x)), line_hashes(x))[1])
+    h = [int(x) for x in line_hashes(pa.array(["one a", "two b", "six c"], pa.large_string()))[0].view(np.int64)]
+    rows = pa.StructArray.from_arrays([pa.array([1, 1, 2]), pa.array(["one a\ntwo b\n\nsix c", "two b", "One a\none  A\n\ntwo b"])], names=["doc_id", "text"])
+    batch = pa.RecordBatch.from_arrays([rows, pa.array([[1, 3], [1, 3], [-1, 3]], pa.list_(pa.int32())),
+                                        pa.array([[h[1], h[0]], [h[1], h[0]], [0, h[1]]], pa.list_(pa.int64()))], ["row", "numbers", "hashes"])
+    out = pa.Table.from_batches(list(line_dedup._kept(iter([batch])))).to_pylist()
+    assert [(r["row"]["text"], r["removed"], r["left"]) for r in out] == [("one a\n\nsix c", 1, 2), ("two b", 0, 1), ("One a\n", 2, 1)]
+    assert hashed == [2, 4]

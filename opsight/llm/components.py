@@ -36,6 +36,19 @@ def connected_components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def joined_components(found: DataFrame, links: DataFrame) -> DataFrame:
+    """The components of the links of ``found(id, component)`` and of ``links(a, b)``: only what the new links
+    connect, components and new ids, is searched."""
+    ends = links
+    for end in ("a", "b"):
+        ends = (ends.join(found.select(F.col("id").alias(end), "component"), end, "left")
+                .withColumn(end, F.coalesce("component", end)).drop("component"))
+    step = connected_components(shared_table(ends.filter("a <> b").distinct(), "ends"))
+    old = (found.join(step.select(F.col("id").alias("component"), F.col("component").alias("joined")), "component", "left")
+           .select("id", F.coalesce("joined", "component").alias("component")))
+    return shared_table(old.unionByName(step.join(found.select("id"), "id", "left_anti")), "components")
+
+
 PART = 2048  # members of a bucket for each part that is compared with the whole bucket
 
 # Two members can share 4/9 of their sizes' sum (similarity 0.8) only if the parts that others share allow it.
@@ -117,7 +130,7 @@ def links_from_buckets(postings: DataFrame, verify: Callable[[DataFrame], DataFr
             new = results.filter("link").select("a", "b")
             if new.limit(1).count():
                 links = links.unionByName(new)
-                found = connected_components(links)
+                found = joined_components(found, new) if k else connected_components(new)
         rows = rows.drop("component")
     return found, links
 

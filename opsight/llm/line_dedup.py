@@ -279,7 +279,7 @@ def candidate_lists(keys: np.ndarray, ids: np.ndarray, checks: np.ndarray) -> tu
     """Signature and member of each list to search: the members of a block's list that are connected by check bits
     that differ little, one row for each; lists of more than ``LONG_LIST`` members as a whole. The signature is a
     hash of the members, so lists of the same lines, which most of two versions' blocks make, are one."""
-    order = np.lexsort((ids, keys))
+    order = np.argsort(keys.astype(np.uint64) << _U(64 - KEY_BITS) | ids >> _U(KEY_BITS))  # equal rows come together
     keys, ids, checks = keys[order], ids[order], checks[order]
     new = np.r_[True, (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])][:len(keys)]
     keys, ids, checks = keys[new], ids[new], checks[new]

@@ -590,3 +590,14 @@ def test_line_dedup_reads_only_listed_lines(monkeypatch):
     out = pa.Table.from_batches(list(line_dedup._kept(iter([batch])))).to_pylist()
     assert [(r["row"]["text"], r["removed"], r["left"]) for r in out] == [("one a\n\nsix c", 1, 2), ("two b", 0, 1), ("One a\n", 2, 1)]
     assert hashed == [2, 4]
+
+
+def test_new_links_join_components(spark):
+    """Components and new ids that later links connect, as if all links were searched at once."""
+    first, later = [(5, 9), (9, 7), (2, 8), (30, 31)], [(7, 8), (31, 40), (50, 51), (51, 9), (60, 61)]
+    frame = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    found = components.joined_components(components.connected_components(frame(first)), frame(later))
+    want = components.connected_components(frame(first + later))
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+    none = spark.createDataFrame([], "id long, component long")
+    assert sorted(map(tuple, components.joined_components(none, frame(first + later)).collect())) == sorted(map(tuple, want.collect()))

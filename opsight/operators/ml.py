@@ -12,13 +12,14 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opsight.session import shared_path
+from opsight.operators import trees as T
 from opsight.operators.ranks import average_rank, exact_percentiles, match, running_totals, totals_within, unpivoted, written
 
 
@@ -191,16 +192,13 @@ def classification_report(scored: DataFrame, label: str = "label", prediction: s
 
 
 # ---------------------------------------------------------------- K4-K7, K11, K14, K15
-def _models(n_train: int, seed: int, trees: int = 100, rounds: int = 100):
-    return {
-        # C = 1 in the original's objective (sum of losses + ||w||²/2) is
-        # regParam = 1 / n_train in Spark's mean-loss objective.
-        "Logistic Regression": LogisticRegression(maxIter=1000, regParam=1.0 / max(n_train, 1),
-                                                  elasticNetParam=0.0, standardization=False, tol=1e-10,
-                                                  featuresCol="scaled"),
-        "Random Forest": RandomForestClassifier(numTrees=trees, maxDepth=10, seed=seed, featuresCol="features"),
-        "Gradient Boosted Trees": GBTClassifier(maxIter=rounds, seed=seed, featuresCol="features"),
-    }
+MODELS = ("Logistic Regression", "Random Forest", "Gradient Boosted Trees")
+
+
+def _linear(n_train: int) -> LogisticRegression:
+    # C = 1 in the original's objective (sum of losses + ||w||²/2) is regParam = 1 / n_train in Spark's mean-loss objective.
+    return LogisticRegression(maxIter=1000, regParam=1.0 / max(n_train, 1), elasticNetParam=0.0, standardization=False, tol=1e-10,
+                              featuresCol="scaled")
 
 
 def assembled(df: DataFrame, features: Sequence[str], label: str, extra: Sequence[str] = ()) -> DataFrame:
@@ -211,7 +209,7 @@ def assembled(df: DataFrame, features: Sequence[str], label: str, extra: Sequenc
     path = shared_path(df.sparkSession, "features")
     rows.write.mode("overwrite").parquet(path)
     table = df.sparkSession.read.schema(rows.schema).parquet(path)
-    return table.coalesce(training_partitions(table.count(), df.sparkSession.sparkContext.defaultParallelism))
+    return table.repartition(training_partitions(table.count(), df.sparkSession.sparkContext.defaultParallelism))
 
 
 def training_partitions(rows: int, cores: int) -> int:
@@ -230,18 +228,35 @@ def scaled(df: DataFrame, features: Sequence[str], id_col: str = "customer_id")
 
 
 def fit_model(est, train: DataFrame):
-    """The scaler (K4) and the estimator, fitted on ``train(label, features)``; trees take the raw features.
+    """The scaler (K4) and the estimator, fitted on ``train(label, features)``.
 
     The fitted model is saved and loaded again: a fresh model keeps a training summary, which holds the
     session, and a plan that scores with it cannot be sent to the executors once any frame is cached.
     """
-    scaled = est.getFeaturesCol() == "scaled"
-    scaler = [StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)] if scaled else []
+    scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
     path = shared_path(train.sparkSession, "model")
-    Pipeline(stages=[*scaler, est]).fit(train).write().overwrite().save(path)
+    Pipeline(stages=[scaler, est]).fit(train).write().overwrite().save(path)
     return PipelineModel.load(path)
 
 
+def fit_trees(train: DataFrame, names: Sequence[str], held_out: Sequence[int | None], trees: int, rounds: int, seed: int) -> dict[str, list]:
+    """The models of the tree learners among ``names``, one for each held-out fold (None: none), fitted on
+    ``train(label, features, fold)``; trees take the raw features."""
+    if not {*MODELS[1:]} & {*names}:
+        return {}
+    # blocks are small: a partition for each core
+    rows, cores = train.count(), train.sparkSession.sparkContext.defaultParallelism
+    data, out = T.blocks(train, min(cores, training_partitions(rows, cores)) if rows <= cores * MOST_ROWS else training_partitions(rows, cores)), {}
+    try:
+        if MODELS[1] in names:
+            out[MODELS[1]] = T.models(T.fit_forests(data, held_out, trees, 10, seed), data.cuts, False)
+        if MODELS[2] in names:
+            out[MODELS[2]] = T.models(T.fit_boosted(data, held_out, rounds), data.cuts, True)
+    finally:
+        data.blocks.unpersist()
+    return out
+
+
 def score_model(model, rows: DataFrame) -> DataFrame:
     """``(label, score, prediction)`` of the rows."""
     return model.transform(rows).select(F.col("label").cast("int").alias("label"), vector_to_array("probability")[1].alias("score"),
@@ -256,7 +271,8 @@ def compare_models(df: DataFrame, features: Sequence[str], label: str = "churn",
     and k-fold CV AUC (mean, population std), with split sizes and label rates (K15).
 
     The scaler is fitted inside each fit (train part or CV fold), not on the whole frame before folding.
-    Up to ``parallelism`` fits run at a time on one written feature table. Without ``cross_validate`` the CV figures
+    Up to ``parallelism`` linear fits run at a time on one written feature table, and the trees of all fits of a model
+    grow together (:mod:`opsight.operators.trees`); their bins are of the train side's features, without labels. Without ``cross_validate`` the CV figures
     are NULL; models, scores and the best one are the same, as the CV AUC takes no part in them. Returns the comparison frame and a dict of
     the fitted models, the name of the best (by AUC) and the scored test rows of each.
     """
@@ -269,21 +285,26 @@ def compare_models(df: DataFrame, features: Sequence[str], label: str = "churn",
         sizes = [counts[k]["n"] if k in counts else 0 for k in (False, True)]
         rates = [float(counts[k]["rate"]) if k in counts else None for k in (False, True)]
         train, test = table.filter("not is_test").drop("is_test"), table.filter("is_test").drop("is_test", "fold")
-        rows, fitted, scored = [], {}, {}
-        chosen = {n: e for n, e in _models(sizes[0], seed, trees, rounds).items() if models is None or n in models}
+        rows, scored = [], {}
+        chosen = [n for n in MODELS if models is None or n in models]
+        held_out = [None, *range(folds if cross_validate else 0)]
+
+        def fit_linear(fold):
+            part = train if fold is None else train.filter(F.col("fold") != fold)
+            return fit_model(_linear(sizes[0] if fold is None else part.count()), part)
 
-        def fold_scores(name, est, k):
-            part = train.filter(F.col("fold") != k)
-            own = est.copy().setRegParam(1.0 / max(part.count(), 1)) if est.getFeaturesCol() == "scaled" else est
-            return written(score_model(fit_model(own, part), train.filter(F.col("fold") == k)), "cv").select(
-                F.lit(name).alias("model"), F.lit(k).alias("fold"), "label", "score")
+        def fold_scores(name, model, fold):
+            return written(score_model(model, train.filter(F.col("fold") == fold)), "cv").select(
+                F.lit(name).alias("model"), F.lit(fold).alias("fold"), "label", "score")
 
-        # fits are independent jobs: small ones share the cluster instead of queueing
+        # small fits and scores are independent jobs: they share the cluster instead of queueing
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            whole = {n: pool.submit(fit_model, e, train) for n, e in chosen.items()}
-            parts = {n: [pool.submit(fold_scores, n, e, k) for k in range(folds if cross_validate else 0)] for n, e in chosen.items()}
-            fitted = {n: f.result() for n, f in whole.items()}
-            folded = [f.result() for fs in parts.values() for f in fs]
+            linear = [pool.submit(fit_linear, fold) for fold in held_out] if MODELS[0] in chosen else []
+            by_fit = fit_trees(train, chosen, held_out, trees, rounds, seed)
+            by_fit |= {MODELS[0]: [f.result() for f in linear]} if linear else {}
+            parts = [pool.submit(fold_scores, n, by_fit[n][i], fold) for n in chosen for i, fold in enumerate(held_out) if fold is not None]
+            fitted = {n: by_fit[n][0] for n in chosen}
+            folded = [f.result() for f in parts]
         cv, fold_aucs = {}, None
         if folded:
             fold_aucs = written(group_auc(reduce(DataFrame.unionByName, folded), ["model", "fold"]), "fold_auc")

@@ -546,13 +546,13 @@ CHURN_FEATURES = ["senior_citizen", "tenure_months", "monthly_charges", "total_c
                   "new_customer", "long_tenure"]
 
 
-def _churn_frame(spark, folder):
-    return ML.one_hot(ML.engineer_features(fx.telecom(Tables(spark, folder))), ["contract", "partner"])
+def _churn_frame(telecom):
+    return ML.one_hot(ML.engineer_features(telecom), ["contract", "partner"])
 
 
 @register("ml_features")
 def _q_features(spark, folder):
-    return round_doubles(_churn_frame(spark, folder))
+    return round_doubles(_churn_frame(fx.telecom(Tables(spark, folder))))
 
 
 @register("ml_split_counts")
@@ -611,7 +611,7 @@ def _outcome(spark, folder) -> dict:
         state.append((file, status.getLen(), status.getModificationTime()))
     key = (spark.sparkContext.applicationId, tuple(state))
     if key not in _OUTCOMES:
-        df = _churn_frame(spark, folder)
+        df = _churn_frame(written(fx.telecom(Tables(spark, folder)), "churn_rows"))  # read by every step of features and split
         feats = _feature_names(df)
         table, outcome = ML.compare_models(df, feats, "churn", "customer_id", folds=5, seed=42)
         trees = [n for n, m in outcome["models"].items() if hasattr(m.stages[-1], "featureImportances")]

@@ -1,7 +1,7 @@
 """Churn features, model comparison and classification metrics.
 
 Features and metrics are plain DataFrame expressions (checkable in SQL);
-models are Spark ML estimators trained on the cluster. Metrics take a
+models are Spark ML's regression and the trees of :mod:`opsight.operators.trees`. Metrics take a
 ``(label, score, prediction)`` frame, so they work for any model.
 """
 

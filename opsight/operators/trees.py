@@ -9,7 +9,6 @@ shuffle brings the counts of a tree together, and only chosen splits reach the d
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -25,7 +24,8 @@ from pyspark.sql.functions import arrow_udf
 BINS = 32  # of a feature
 POINTS = 4096  # of a feature's values that a task reports
 CELLS = 1024  # of the features that are counted together
-BLOCK_ROWS = 65_536
+BLOCK_ROWS = 32_768
+RUN_ROWS = 16_384  # that are counted at a time: of one block or several small ones
 NEAR = 5  # levels of a tree
 TREES_AT_ONCE = 25
 ROUNDS_KEPT = 25  # of boosting that margins are carried on; then they are added up anew, which keeps their lineage short
@@ -172,8 +172,8 @@ def blocks(train: DataFrame, parts: int) -> Binned:
 
 
 # ---------------------------------------------------------------- levels
-def places(feature: np.ndarray, cut: np.ndarray, bins: np.ndarray, depth: int, rows: np.ndarray | None = None) -> np.ndarray:
-    """The node of a tree that each row (or those given) reaches after ``depth`` steps."""
+def places(feature: np.ndarray, cut: np.ndarray, bins: np.ndarray, depth: int) -> np.ndarray:
+    """The node of a tree that each row reaches after ``depth`` steps."""
     n = bins.shape[1]
     near = np.zeros(n, np.uint8)  # on the first levels all rows are compared with each node's cut: no lookups
     for level in range(min(depth, NEAR)):
@@ -184,10 +184,10 @@ def places(feature: np.ndarray, cut: np.ndarray, bins: np.ndarray, depth: int, r
                 go |= (near == j) & (bins[feature[node]] > cut[node])
         near *= 2
         near += go
-    at = (near if rows is None else near[rows]).astype(np.intp)
+    at = near.astype(np.intp)
     at += 2 ** min(depth, NEAR) - 1
     if depth > NEAR:
-        rows, flat, start = np.arange(n) if rows is None else rows, bins.reshape(-1), feature * n
+        rows, flat, start = np.arange(n), bins.reshape(-1), feature * n
         for _ in range(NEAR, depth):
             go = flat.take(start.take(at) + rows) > cut.take(at)
             at *= 2
@@ -261,31 +261,33 @@ def bag(seed: int, tree: int, key: tuple[int, int], n: int) -> np.ndarray:
     return _BAG[np.random.default_rng([seed, tree, *key]).integers(0, 65_536, n, dtype=np.uint16)]
 
 
-def bagged_codes(block: Block, weight: np.ndarray, tree: tuple[np.ndarray, np.ndarray], open_at: np.ndarray, subset: np.ndarray,
-                 level: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each row in the bag and each feature of its open node's subset the place of its node, feature, bin and label among
-    the counts, and its weight."""
-    n, width = block.bins.shape[1], subset.shape[1]
+def bagged(block: Block, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the rows in the bag twice the bins plus the label, and the weights."""
     rows = np.flatnonzero(weight)
-    slot = open_at.take(places(*tree, block.bins, level, rows))
-    inside = slot >= 0
-    if not inside.all():
-        rows, slot = rows[inside], slot[inside]
-    base, flat, start = slot * (width * BINS * 2) + block.label[rows], block.bins.reshape(-1), subset * n
-    code = np.empty((width, len(rows)), np.intp)
-    for j in range(width):
-        code[j] = flat.take(start[:, j].take(slot) + rows)
-        code[j] *= 2
-        code[j] += base
-        code[j] += j * BINS * 2
-    return code, np.broadcast_to(weight[rows].astype(float), code.shape)
-
-
-def bagged_counts(found: list[tuple[np.ndarray, np.ndarray]], subset: np.ndarray) -> np.ndarray:
-    """Weights and sums of the labels by open node, feature of its subset, and bin."""
-    shape = (*subset.shape, BINS, 2)
-    counts = np.bincount(np.concatenate([c.reshape(-1) for c, _ in found]), np.concatenate([w.reshape(-1) for _, w in found]),
-                         int(np.prod(shape))).reshape(shape)
+    both = block.bins.take(rows, axis=1)
+    both *= 2
+    both += block.label.take(rows)
+    return both, weight.take(rows).astype(float)
+
+
+def bagged_counts(found: list[tuple[np.ndarray, np.ndarray]], tree: tuple[np.ndarray, np.ndarray], open_at: np.ndarray, subset: np.ndarray,
+                  level: int) -> np.ndarray:
+    """Weights and sums of the labels by open node, feature of its subset, and bin, of :func:`bagged` rows."""
+    feature, cut = tree
+    double = np.where(cut < 255, 2 * (cut % 128) + 1, 255).astype(np.uint8)
+    kept = []
+    for both, weight in found:
+        slot, rows = open_at.take(places(feature, double, both, level)), np.arange(both.shape[1])
+        if (slot < 0).any():
+            rows = np.flatnonzero(slot >= 0)
+            slot, weight = slot.take(rows), weight.take(rows)
+        kept.append((both, slot, rows, weight))
+    weights, size = np.concatenate([k[3] for k in kept]), 2 * BINS
+    counts = np.empty((*subset.shape, BINS, 2))
+    for j in range(subset.shape[1]):
+        of = np.ascontiguousarray(subset[:, j])
+        code = np.concatenate([both.reshape(-1).take((of * both.shape[1]).take(slot) + rows) + slot * size for both, slot, rows, _ in kept])
+        counts[:, j] = np.bincount(code, weights, len(subset) * size).reshape(-1, BINS, 2)
     counts[..., 0] += counts[..., 1]
     return counts
 
@@ -309,12 +311,11 @@ def fit_forests(data: Binned, held_out: Sequence[int | None], trees: int = 100,
             def count(found, plan=plan, chunk=chunk, level=level):
                 own = list(found)
                 for t in chunk:
-                    weights = [bag(seed, t, b.key, len(b.label)) for b in own]
+                    bags = [(b.fold, bagged(b, bag(seed, t, b.key, len(b.label)))) for b in own]
                     for i, fold in enumerate(fits):
-                        if (i, t) in plan.value:
-                            codes = [bagged_codes(b, w, *plan.value[i, t], level) for b, w in zip(own, weights) if fold is None or fold != b.fold]
-                            if codes:
-                                yield t * len(fits) + i, bagged_counts(codes, plan.value[i, t][2]).astype(np.int32)
+                        part = [rows for of, rows in bags if fold is None or fold != of]
+                        if part and (i, t) in plan.value:
+                            yield t * len(fits) + i, bagged_counts(part, *plan.value[i, t], level).astype(np.int32)
 
             chosen = _chosen(data.blocks.mapPartitions(count), data.parts)
             plan.destroy()
@@ -326,28 +327,34 @@ def fit_forests(data: Binned, held_out: Sequence[int | None], trees: int = 100,
     return made
 
 
-@lru_cache(maxsize=64)
-def _members(sizes: tuple[int, ...]) -> np.ndarray:
-    """For a group of features with these numbers of bins: which bins, one after the other, each combination has."""
-    cell = np.indices(sizes).reshape(len(sizes), -1)
-    return np.concatenate([cell[a][:, None] == np.arange(n) for a, n in enumerate(sizes)], axis=1).astype(float)
-
-
-def target_counts(found: list[tuple[Block, np.ndarray, np.ndarray]], n_nodes: int, cuts: list[np.ndarray], groups: list[list[int]]) -> np.ndarray:
+def target_counts(found: Iterator[tuple[Block, np.ndarray, np.ndarray]], n_nodes: int, cuts: list[np.ndarray], groups: list[list[int]]) -> np.ndarray:
     """Rows and sums of the target by open node, feature and bin, of blocks with their rows' targets and open nodes (-1: none)."""
+    sizes = [tuple(len(cuts[k]) + 1 for k in members) for members in groups]
+    sums = [np.zeros((2, n_nodes * int(np.prod(s)))) for s in sizes]
+
+    def add(run):
+        targets = np.concatenate([r[1] for r in run])
+        for g, size in enumerate(sizes):
+            code = np.concatenate([slot * int(np.prod(size)) + b.packed[g][inside] for b, _, slot, inside in run])
+            for c, weights in enumerate((None, targets)):
+                sums[g][c] += np.bincount(code, weights, sums[g].shape[1])
+
+    run, n = [], 0
+    for b, target, slot in found:
+        inside = slot >= 0
+        run.append((b, target, slot, slice(None)) if inside.all() else (b, target[inside], slot[inside], inside))
+        n += len(run[-1][1])
+        if n > RUN_ROWS:
+            add(run)
+            run, n = [], 0
+    if run:
+        add(run)
     out = np.zeros((n_nodes, len(cuts), BINS, 2))
-    kept = [(b, target, slot, slice(None)) if (slot >= 0).all() else (b, target[slot >= 0], slot[slot >= 0], slot >= 0) for b, target, slot in found]
-    targets = np.concatenate([k[1] for k in kept])
-    for g, members in enumerate(groups):
-        sizes = tuple(len(cuts[k]) + 1 for k in members)
-        cells = int(np.prod(sizes))
-        code = np.concatenate([slot * cells + b.packed[g][inside] for b, _, slot, inside in kept])
-        for c, weights in enumerate((None, targets)):
-            sums = np.bincount(code, weights, n_nodes * cells).reshape(n_nodes, cells) @ _members(sizes)
-            upto = 0
-            for k, n in zip(members, sizes):
-                out[:, k, :n, c] = sums[:, upto:upto + n]
-                upto += n
+    for members, size, both in zip(groups, sizes, sums):
+        for k, n in zip(members, size):  # the counts of its bins, then it is summed out
+            both = both.reshape(2, n_nodes, n, -1)
+            out[:, k, :n] = np.moveaxis(both.sum(axis=3), 0, -1)
+            both = both.sum(axis=2)
     return out
 
 
@@ -368,15 +375,17 @@ def fit_boosted(data: Binned, held_out: Sequence[int | None], rounds: int = 100,
 
             def count(found, plan=plan, level=level, first=m == 0):
                 own = list(found)
-                for i, (feature, cut, open_at, n_nodes) in plan.items():
-                    parts = []
+
+                def rows(i, feature, cut, open_at):
                     for b, margins in own:
                         if i in used(b):
                             sign = 2.0 * b.label - 1.0
                             target = sign if first else 4.0 * sign / (1.0 + np.exp(2.0 * sign * margins[i]))
-                            parts.append((b, target, open_at.take(places(feature, cut, b.bins, level))))
-                    if parts:
-                        yield i, target_counts(parts, n_nodes, cuts, groups)
+                            yield b, target, open_at.take(places(feature, cut, b.bins, level))
+
+                for i, (*tree, n_nodes) in plan.items():
+                    if any(i in used(b) for b, _ in own):
+                        yield i, target_counts(rows(i, *tree), n_nodes, cuts, groups)
 
             chosen = _chosen(state.mapPartitions(count), min(len(fits), data.parts))
             if before is not None:  # this round's margins are kept now

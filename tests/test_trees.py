@@ -92,9 +92,16 @@ def test_places_and_splits_by_brute_force():
     at = np.zeros(500, int)
     for depth in range(8):
         assert T.places(feature, cut, bins, depth).tolist() == at.tolist()
-        some = np.flatnonzero(rng.random(500) < 0.5)
-        assert T.places(feature, cut, bins, depth, some).tolist() == at[some].tolist()
         at = 2 * at + 1 + (bins[feature[at], np.arange(500)] > cut[at])
+    block, weight = T.Block((0, 0), 0, bins, bins, rng.integers(0, 2, 500).astype(np.uint8)), T.bag(1, 2, (0, 0), 500)
+    subset, at = np.array([[0, 3], [1, 5], [2, 4]]), T.places(feature, cut, bins, 6)
+    nodes = np.unique(at)[:3]
+    got = T.bagged_counts([T.bagged(block, weight)], (feature, cut), T._slots(nodes, 7), subset, 6)
+    for i, node in enumerate(nodes):
+        for j in range(2):
+            for c in range(32):
+                here = (at == node) & (bins[subset[i, j]] == c)
+                assert got[i, j, c].tolist() == [weight[here].sum(), (weight * block.label)[here].sum()]
     counts = np.stack([rng.integers(0, 5, (3, 2, 8)).astype(float)] * 2, axis=-1)
     counts[..., 1] *= rng.random((3, 2, 8))
     counts[:, 1] = counts[:, 0][:, ::-1]  # the same rows by another feature
